@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import neardup_vectors, sharding, simhash, urls
+from . import neardup_vectors, packing, sharding, simhash, urls
 
 
 def queries() -> dict:
     return {
         "op1_sharding": sharding.op1_sharding,
         "op2_urls": urls.op2_urls,
+        "op3_packing": packing.op3_packing,
         "op4_vectors": neardup_vectors.op4_vectors,
         "op8_simhash": simhash.op8_simhash,
     }
