@@ -76,13 +76,11 @@ def fractional(sizes: np.ndarray, demand: np.ndarray, room: int) -> tuple[np.nda
     basis = np.diag((room // sizes).astype(float))
     need = demand * (1 + 1e-7 * np.random.default_rng(0).random(m))  # breaks ties of the ratio test
     inverse = np.linalg.inv(basis)
-    for step in range(ROUNDS):
-        if step % 100 == 99:
-            inverse = np.linalg.inv(basis)
+    for _ in range(ROUNDS):
         worth, column = best_pattern(inverse.sum(0), sizes, room)
         if worth <= 1 + GAP:  # the bound is what is used, divided by worth
             break
-        used, change = inverse @ need, inverse @ column
+        used, change = (inverse * need).sum(1), (inverse * column).sum(1)
         ratio = np.where(change > 1e-9, used / np.where(change > 1e-9, change, 1), np.inf)
         out = int(ratio.argmin())
         if not np.isfinite(ratio[out]):
