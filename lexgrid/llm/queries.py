@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import neardup_vectors, packing, sharding, simhash, urls
+from . import bpe, neardup_vectors, packing, sharding, simhash, urls
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op3_packing": packing.op3_packing,
         "op4_vectors": neardup_vectors.op4_vectors,
         "op8_simhash": simhash.op8_simhash,
+        "op10_bpe": bpe.op10_bpe,
     }
 
 
