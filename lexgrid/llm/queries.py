@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, neardup_vectors, packing, sharding, simhash, urls
+from . import bpe, language, neardup_vectors, packing, sharding, simhash, urls
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op2_urls": urls.op2_urls,
         "op3_packing": packing.op3_packing,
         "op4_vectors": neardup_vectors.op4_vectors,
+        "op5_language": language.op5_language,
         "op8_simhash": simhash.op8_simhash,
         "op10_bpe": bpe.op10_bpe,
     }

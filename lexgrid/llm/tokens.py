@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from functools import cache
 
@@ -27,7 +28,7 @@ class Encoder:
     to the library at once as one text. Texts where a space follows other white space go to it whole.
     """
 
-    def __init__(self, path: str | None = None, remembered: int = 400_000, longest: int = 48):
+    def __init__(self, path: str | None = None, remembered: int = 600_000, longest: int = 48):
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path or vocabulary())
@@ -55,6 +56,15 @@ class Encoder:
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        collecting = gc.isenabled()
+        gc.disable()  # the lists of words hold no cycles, and looking for them takes a seventh of the time
+        try:
+            return self._encode(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         firsts, flat, ends = [], [], []
         for text in texts:
             words = text.split(" ")
