@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, language, neardup_vectors, packing, sharding, simhash, urls
+from . import ann, bpe, language, neardup_vectors, packing, sharding, simhash, urls
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         "op4_vectors": neardup_vectors.op4_vectors,
         "op5_language": language.op5_language,
         "op8_simhash": simhash.op8_simhash,
+        "op9_ann": ann.op9_ann,
         "op10_bpe": bpe.op10_bpe,
     }
 
