@@ -28,7 +28,7 @@ class Encoder:
     to the library at once as one text. Texts where a space follows other white space go to it whole.
     """
 
-    def __init__(self, path: str | None = None, remembered: int = 600_000, longest: int = 48):
+    def __init__(self, path: str | None = None, remembered: int = 900_000, longest: int = 48):
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path or vocabulary())
@@ -36,6 +36,7 @@ class Encoder:
         self.size, self.longest = remembered, longest
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.first: dict[str, bytes] = {}  # ids of texts' first words, which have no space before them
         begins = np.zeros(self.model.get_vocab_size(), bool)
         for token, i in self.model.get_vocab().items():
             begins[i] = token.startswith("Ġ")  # how the vocabulary writes a space
@@ -83,7 +84,11 @@ class Encoder:
         missed.update(self.words(fresh))
         for i in at:
             ids[i] = missed[flat[i]]
-        out, whole, start = self.whole(firsts), [], 0
+        unseen = [w for w in dict.fromkeys(firsts) if w not in self.first]
+        if len(self.first) + len(unseen) > self.size // 8:
+            self.first, unseen = {}, list(dict.fromkeys(firsts))
+        self.first.update(zip(unseen, self.whole(unseen), strict=True))
+        out, whole, start = [self.first[w] for w in firsts], [], 0
         for i, end in enumerate(ends):
             own = ids[start:end]
             if None in own:
