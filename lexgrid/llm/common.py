@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -49,6 +50,11 @@ class Store:
         out._lexgrid_path = path
         return out
 
+    def release(self) -> None:
+        """Let Spark delete the shuffle files of plans that nothing refers to any more; it does so when the driver's garbage goes."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, df: DataFrame) -> None:
         """Delete a kept table that nothing reads any more."""
         jvm = self.spark._jvm
