@@ -1,13 +1,75 @@
-"""The corpus pipeline: language ID, SimHash near-dedup, suffix-array dedup and packing, each stage written and read again."""
+"""The corpus pipeline: language ID, SimHash near-dedup, suffix-array dedup and packing, each stage written and read again.
+
+A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last keep the columns of documents. Nulls, empty
+texts, ties, repeated rows and empty tables are handled as the operators' docstrings say.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lexgrid.llm import language, packing, simhash, substrings
+from lexgrid.llm.common import Store, table
+
+LEAST_SCORE = 0.2  # of the predicted language; what the model takes for one of its languages scores over 0.35
+
+
+def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that have a language: those without a letter, or that no language's regression value speaks for, go.
+
+    The model is fitted on the stage's own documents. Where no document has a label there is no model, and all that
+    have a letter stay.
+    """
+    model = language.train(docs)
+    if model is None:
+        return docs.where(F.col("text").rlike("\\p{L}"))
+    judged = language.predict(docs.select(*docs.columns), model, ("_lang_pred", "_score"))
+    return judged.where((F.col("_lang_pred") != language.UNKNOWN) & (F.col("_score") >= LEAST_SCORE)).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash group: the one with the smallest doc_id, once if its row is repeated.
+
+    Rows without a doc_id stay only if no row of their group has one, one for each of their fingerprints.
+    """
+    groups = simhash.simhash_groups(spark, docs)
+    best = groups.where(F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id")))
+    best = best.select("doc_id", F.when(F.col("doc_id").isNull(), F.col("fp")).alias("fp")).distinct()
+    ids = best.where(F.col("doc_id").isNotNull()).select("doc_id")
+    named = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    nameless = docs.where(F.col("doc_id").isNull())
+    bare = best.where(F.col("doc_id").isNull())
+    text = simhash.fingerprints(nameless.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), "text"), key="h").dropDuplicates(["h"])
+    kept = nameless.withColumn("_h", F.xxhash64(F.coalesce("text", F.lit("")))).join(text, F.col("_h") == F.col("h")).join(bare.select("fp"), "fp", "left_semi").dropDuplicates(["fp"])
+    return named.select(*docs.columns).unionByName(kept.select(*docs.columns))
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that an earlier document has; one that nothing is left of goes, one that was empty before stays."""
+    cut = substrings.without_repeats(spark, docs, docs.columns, "text")
+    cut = cut.where((F.col("n_removed") == 0) | (F.length("kept") > 0))
+    changed = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
+    out = cut.withColumn("_text", changed)
+    fields = {"text": F.col("_text")}
+    if "n_chars" in docs.columns:
+        fields["n_chars"] = F.when(F.col("n_removed") > 0, F.length("_text").cast("long")).otherwise(F.col("n_chars"))
+    return out.select(*[fields.get(c, F.col(c)).alias(c) for c in docs.columns])
+
+
+def fill(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where the pieces of the documents lie in sequences."""
+    return packing.pack(spark, docs)
+
 
-STAGES: list = []
-#: No stage can be expressed in SQL; tests hold each against a brute-force version.
+STAGES = [("language ID", identify), ("SimHash near-dedup", near_dedup), ("suffix-array dedup", cut_repeats), ("packing", fill)]
+#: SQL has none of the four methods; the tests hold the stages against brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """All stages over documents, each stage's rows written to the shared folder and read by the next."""
+    store, docs = Store(spark, "pipeline"), table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = store.keep(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

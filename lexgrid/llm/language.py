@@ -105,13 +105,13 @@ def train(docs: DataFrame) -> Model | None:
     return fit(vectors, [y for y, _ in taken])
 
 
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """docs with lang_pred and score, from whole texts alone.
+def predict(docs: DataFrame, model: Model | None, names_of: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """docs with lang_pred and score (named as names_of says), from whole texts alone.
 
     lang_pred is UNKNOWN and score 0 where the text is null or has no letter, or where there is no model. The score is
     the winning regression value carried from -1..1 to 0..1. Equal values go to the label that is first by name.
     """
-    schema = docs.withColumns({"lang_pred": F.lit("").cast("string"), "score": F.lit(0.0)}).schema
+    schema = docs.withColumns({names_of[0]: F.lit("").cast("string"), names_of[1]: F.lit(0.0)}).schema
 
     def run(batches):
         for batch in batches:
@@ -125,7 +125,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                     values = model.scores([texts[k] for k in rows])
                     for k, best, value in zip(rows, values.argmax(1).tolist(), values.max(1).tolist(), strict=True):
                         names[k], scores[k] = model.labels[best], min(max((value + 1) / 2, 0.0), 1.0)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string()), pa.array(scores)], names=[*part.schema.names, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string()), pa.array(scores)], names=[*part.schema.names, *names_of])
 
     return docs.mapInArrow(run, schema)
 

@@ -87,8 +87,9 @@ class Encoder:
         unseen = [w for w in dict.fromkeys(firsts) if w not in self.first]
         if len(self.first) + len(unseen) > self.size // 8:
             self.first, unseen = {}, list(dict.fromkeys(firsts))
-        self.first.update(zip(unseen, self.whole(unseen), strict=True))
-        out, whole, start = [self.first[w] for w in firsts], [], 0
+        fresh = dict(zip(unseen, self.whole(unseen), strict=True))
+        out, whole, start = [fresh[w] if w in fresh else self.first[w] for w in firsts], [], 0
+        self.first.update((w, x) for w, x in fresh.items() if len(w) <= self.longest)
         for i, end in enumerate(ends):
             own = ids[start:end]
             if None in own:
