@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, language, neardup_vectors, packing, sharding, simhash, substrings, urls
+from . import ann, bpe, idcoder, language, neardup_vectors, packing, sharding, simhash, substrings, urls
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         "op4_vectors": neardup_vectors.op4_vectors,
         "op5_language": language.op5_language,
         "op6_substrings": substrings.op6_substrings,
+        "op7_idcoder": idcoder.op7_idcoder,
         "op8_simhash": simhash.op8_simhash,
         "op9_ann": ann.op9_ann,
         "op10_bpe": bpe.op10_bpe,
