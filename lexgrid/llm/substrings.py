@@ -111,27 +111,86 @@ CONTEXT = ["u1", "u1", "<u4", "<i8", "<i8", "<i8", "u1"]  # lengths, anchors; pe
 SPANS = ["<i8", "<i8", "<i8", "<i8"]  # document, its text's hash, start, end
 
 
-def span_rows(doc: np.ndarray, key: np.ndarray, a: np.ndarray, b: np.ndarray, parts: int) -> list[tuple[int, bytes]]:
-    """The spans, dealt to the parts that their documents are dealt to by key."""
-    part = key % parts
-    order = np.argsort(part, kind="stable")
-    cuts = np.flatnonzero(np.diff(part[order])) + 1
-    return [(int(part[i[0]]), pack([x[i] for x in (doc, key, a, b)])) for i in np.split(order, cuts) if len(i)]
-
-
-def contexts(texts: list[bytes], doc: np.ndarray, key: np.ndarray, base: np.ndarray, shards: int) -> list[tuple[int, int, bytes]]:
-    """(shard, kind, blob): of kind 1 the contexts of sampled suffixes, of kind 0 spans that are known to repeat.
+def marks(key: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """A word for an anchor (32 of its hash's bits that are still even among minima) in a document."""
+    x = key.astype(u64) * u64(0x9E3779B97F4A7C15) ^ (h >> u64(24) & u64(0xFFFFFFFF)) * u64(0xC2B2AE3D27D4EB4F)
+    return (x ^ (x >> u64(31))) * u64(0xBF58476D1CE4E5B9)
+
+
+class Buffer:
+    """Texts end to end, and their sampled suffixes."""
+
+    def __init__(self, rows: list[tuple[int, int, int, bytes]]):
+        """rows: document, its text's key, the position in the document that the bytes start at, the bytes."""
+        self.doc, self.key, self.base = (np.array([r[i] for r in rows], np.int64) for i in range(3))
+        self.text = np.frombuffer(b"".join(r[3] for r in rows), np.uint8)
+        size = np.fromiter((len(r[3]) for r in rows), np.int64, len(rows))
+        self.end = np.cumsum(size)
+        self.start = self.end - size
+        self.first, self.last, self.anchor, self.h = sample(self.text, self.start, self.end)
+        self.own = np.searchsorted(self.end, self.first, "right")
+
+
+def buffers(rows):
+    """Buffers of about BUFFER bytes; the parts of a very long text share LENGTH - 1 bytes."""
+    held, out = 0, []
+    for doc, key, text in rows:
+        for at in range(0, max(1, len(text) - LENGTH + 1), BUFFER):
+            out.append((doc, key, at, text[at : at + BUFFER + LENGTH - 1]))
+            held += len(out[-1][3])
+            if held >= BUFFER:
+                yield Buffer(out)
+                held, out = 0, []
+    if out:
+        yield Buffer(out)
+
+
+def deal(to: np.ndarray, kind: int, columns: list[np.ndarray]) -> list[tuple[int, int, bytes]]:
+    """(number, kind, blob of the columns' rows) for each number in `to`."""
+    order = np.argsort(to, kind="stable")
+    cuts = np.flatnonzero(np.diff(to[order])) + 1
+    return [(int(to[i[0]]), kind, pack([c[i] for c in columns])) for i in np.split(order, cuts) if len(i)]
+
+
+def survey(b: Buffer, shards: int) -> list[tuple[int, int, bytes]]:
+    """Of kind 1, for shards: each distinct anchor once, with its document's key or as one of several; of kind 0, for parts: marks of the latter."""
+    h, key = b.h, b.key[b.own]
+    order = np.lexsort((key, h))
+    h, key = h[order], key[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (key[1:] != key[:-1])
+    h, key = h[new], key[new]
+    first = np.ones(len(h), bool)
+    first[1:] = h[1:] != h[:-1]
+    several = (np.bincount(np.cumsum(first) - 1) > 1)[np.cumsum(first) - 1] if len(h) else first
+    out = deal(key[several] % shards, 0, [marks(key[several], h[several])])
+    h, key, several = h[first], key[first], several[first]
+    return out + deal((h & PLACE).astype(np.int64) % shards, 1, [h, key, several.astype("u1")])
+
+
+def meet(blobs: list[bytes], shards: int) -> list[tuple[int, int, bytes]]:
+    """Marks, for parts, of the anchors of one shard that more than one buffer has."""
+    h, key, several = (np.concatenate(x) for x in zip(*(unpack(x, ["<u8", "<i8", "u1"]) for x in blobs), strict=True))
+    order = np.argsort(h, kind="stable")
+    h, key, several = h[order], key[order], several[order].astype(bool)
+    same = np.zeros(len(h) + 1, bool)
+    same[1:-1] = h[1:] == h[:-1]
+    hit = (same[1:] | same[:-1]) & ~several
+    return deal(key[hit] % shards, 0, [marks(key[hit], h[hit])])
+
+
+def contexts(b: Buffer, shared: np.ndarray, shards: int) -> list[tuple[int, int, bytes]]:
+    """(shard, kind, blob): of kind 1 the contexts of the sampled suffixes whose marks are shared (sorted), of kind 0 spans that are known to repeat.
 
     Equal contexts are one, with the smallest document's places; in later documents all of the context repeats.
     """
-    t = np.frombuffer(b"".join(texts), np.uint8)
-    size = np.fromiter(map(len, texts), np.int64, len(texts))
-    end = np.cumsum(size)
-    start = end - size
-    first, last, anchor, h = sample(t, start, end)
-    if not len(first):
+    word = marks(b.key[b.own], b.h)
+    at = np.searchsorted(shared, word)
+    hit = np.flatnonzero(shared[np.minimum(at, len(shared) - 1)] == word) if len(shared) else np.zeros(0, np.int64)
+    if not len(hit):
         return []
-    own = np.searchsorted(end, first, "right")
+    t, doc, key, base, start = b.text, b.doc, b.key, b.base, b.start
+    first, last, anchor, h, own = b.first[hit], b.last[hit], b.anchor[hit], b.h[hit], b.own[hit]
     stop = last + LENGTH
     same = Hashes(t).of(first, stop) ^ (anchor - first).astype(u64) * u64(0xD6E8FEB86659FD93)
     order = np.lexsort((doc[own], same))
@@ -145,7 +204,7 @@ def contexts(texts: list[bytes], doc: np.ndarray, key: np.ndarray, base: np.ndar
     if len(gone):
         o = own[gone]
         at = base[o] - start[o]
-        out += [(p, 0, blob) for p, blob in span_rows(doc[o], key[o], first[gone] + at, stop[gone] + at, shards)]
+        out += deal(key[o] % shards, 0, [doc[o], key[o], first[gone] + at, stop[gone] + at])
     shard = (h & PLACE).astype(np.int64) % shards
     places, of = order[kept], order[new][group[kept]]  # each place, and where its context stands
     by = np.lexsort((of, shard[of]))
@@ -211,7 +270,7 @@ class Levels:
         return np.concatenate(found)
 
 
-def shard_spans(blobs: list[bytes], parts: int) -> list[tuple[int, bytes]]:
+def shard_spans(blobs: list[bytes], parts: int) -> list[tuple[int, int, bytes]]:
     """The repeated spans among the contexts of one shard."""
     got = [unpack(x, CONTEXT) for x in blobs]
     lengths, anchors = (np.concatenate([x[i] for x in got]).astype(np.int64) for i in (0, 1))
@@ -265,7 +324,7 @@ def shard_spans(blobs: list[bytes], parts: int) -> list[tuple[int, bytes]]:
         a_out.append(pos[record] + rel[0])
         b_out.append(pos[record] + rel[1])
     out = [np.concatenate(x) for x in (doc_out, key_out, a_out, b_out)]
-    return span_rows(*out, parts) if len(out[0]) else []
+    return deal(out[1] % parts, 0, out) if len(out[0]) else []
 
 
 def union(spans: np.ndarray) -> np.ndarray:
@@ -285,85 +344,110 @@ def without_repeats(spark: SparkSession, docs: DataFrame, keep: list[str], kept:
     lose nothing. A null doc_id counts as larger than any other; rows of equal doc_id don't remove from one another.
     Repeated rows come out alike. An empty table gives no row.
 
-    Documents send the surroundings of their sampled suffixes to shards of the index, compressed; a shard finds repeats
-    through its Levels in order of doc_id and sends spans to where the documents are dealt. Shards get about SHARE bytes
-    of text each, so their number grows with the table.
+    Shards of the index first learn which sampled suffixes begin alike in several documents (a word for each). Documents
+    then send the surroundings of those, compressed; a shard finds repeats through its Levels in order of doc_id and
+    sends spans to where the documents are dealt. Shards get about SHARE bytes of text each, so their number grows with
+    the table; what many documents share is one row of each buffer.
     """
     store = Store(spark, "substrings")
     doc, raw = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "utf-8")
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     shards = max(partitions(spark), -(-total // SHARE))
 
-    def read(batches):
-        texts, ids, keys, base, held = [], [], [], [], 0
-        for batch in batches:
-            for d, k, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                for at in range(0, max(1, len(text) - LENGTH + 1), BUFFER):  # parts of a very long text share LENGTH - 1 bytes
-                    part = text[at : at + BUFFER + LENGTH - 1]
-                    texts.append(part)
-                    ids.append(d)
-                    keys.append(k)
-                    base.append(at)
-                    held += len(part)
-                    if held >= BUFFER:
-                        yield from emit(contexts(texts, np.array(ids), np.array(keys), np.array(base), shards))
-                        texts, ids, keys, base, held = [], [], [], [], 0
-        if texts:
-            yield from emit(contexts(texts, np.array(ids), np.array(keys), np.array(base), shards))
-
     def emit(rows):
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())], ["shard", "kind", "blob"])
-
-    def resolve(batches):
-        for g in groups(batches, ["shard", "kind"]):
-            if g.column("kind")[0].as_py() == 0:  # spans already: their shard is their document's part
-                yield from g.combine_chunks().to_batches()
-            else:
-                yield from emit([(p, 0, blob) for p, blob in shard_spans(g.column("blob").to_pylist(), shards)])
-
-    schema = "shard int, kind int, blob binary"
-    source = docs.select(doc.alias("d"), F.xxhash64(doc, raw).alias("k"), raw.alias("t")).where(F.octet_length("t") >= LENGTH)
-    spans = store.keep(source.mapInArrow(read, schema).repartition(shards, "shard").sortWithinPartitions("shard", "kind").mapInArrow(resolve, schema))
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())], ["to", "kind", "blob"])
+
+    def anchors(batches):
+        for b in buffers(x for batch in batches for x in zip(*(c.to_pylist() for c in batch.columns), strict=True)):
+            yield from emit(survey(b, shards))
+
+    def at_shards(f):
+        def run(batches):
+            for g in groups(batches, ["to", "kind"]):
+                if g.column("kind")[0].as_py() == 0:  # for a part already
+                    yield from g.combine_chunks().to_batches()
+                else:
+                    yield from emit(f(g.column("blob").to_pylist(), shards))
+
+        return run
+
+    def surroundings(batches):
+        for blobs, texts in parts_of(batches):
+            shared = np.unique(np.concatenate([np.zeros(0, u64), *(unpack(x, ["<u8"])[0] for x in blobs)]))
+            for b in buffers((d, k, t) for piece in texts for d, k, t in zip(*(piece[c].to_pylist() for c in ("_d", "_k", "_t")), strict=True)):
+                yield from emit(contexts(b, shared, shards))
+
+    schema, order = "to int, kind int, blob binary", ("to", "kind")
+    key = F.xxhash64(doc, raw)
+    source = docs.select(doc.alias("_d"), key.alias("_k"), raw.alias("_t"))
+
+    def dealt(blobs: DataFrame, rows: DataFrame) -> DataFrame:
+        """Blobs and rows (with _k) of one part together, blobs first."""
+        rows = rows.withColumns({"to": F.pmod("_k", F.lit(shards)).cast("int"), "kind": F.lit(1)})
+        both = blobs.unionByName(rows, allowMissingColumns=True).repartition(shards, "to").sortWithinPartitions(*order)
+        return both.select("to", "kind", "blob", *rows.drop("to", "kind").columns)
+
+    long = source.where(F.octet_length("_t") >= LENGTH)
+    met = long.mapInArrow(anchors, schema).repartition(shards, "to").sortWithinPartitions(*order).mapInArrow(at_shards(meet), schema)
+    near = dealt(met, long).mapInArrow(surroundings, schema).repartition(shards, "to").sortWithinPartitions(*order)
+    spans = store.keep(near.mapInArrow(at_shards(shard_spans), schema))
+    del met, near
     store.release()
 
     names = [f"_c{i}" for i in range(len(keep))]
-    rows = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names, strict=True)], doc.alias("_d"), F.xxhash64(doc, raw).alias("_k"), raw.alias("_t"))
-    rows = rows.withColumns({"_part": F.pmod("_k", F.lit(shards)).cast("int"), "_kind": F.lit(1)})
-    found = spans.select(F.col("shard").alias("_part"), F.col("kind").alias("_kind"), F.col("blob").alias("_blob"))
-    dealt = found.unionByName(rows, allowMissingColumns=True).repartition(shards, "_part").sortWithinPartitions("_part", "_kind")
-    dealt = dealt.select(*names, "_part", "_kind", "_blob", "_d", "_k", "_t")
+    rows = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names, strict=True)], doc.alias("_d"), key.alias("_k"), raw.alias("_t"))
     fields = [docs.schema[c] for c in keep]
     result = pa.string() if kept in ("sha256", "text") else pa.binary()
 
     def cut(batches):
-        part, blobs, index = None, [], None
-        for batch in batches:
-            col = lambda n: batch.column(batch.schema.get_field_index(n))  # noqa: B023, E731
-            ps, kinds = col("_part").to_numpy(), col("_kind").to_numpy()
-            edges = np.flatnonzero((np.diff(ps) != 0) | (np.diff(kinds) != 0)) + 1
-            bounds = [0, *edges.tolist(), batch.num_rows] if batch.num_rows else []
-            for a, b in zip(bounds, bounds[1:], strict=False):
-                if ps[a] != part:
-                    part, blobs, index = ps[a], [], None
-                if kinds[a] == 0:
-                    blobs += col("_blob").slice(a, b - a).to_pylist()
-                    continue
-                if index is None:
-                    index, blobs = by_document(blobs), []
-                for i in range(a, b, 500):
-                    n = min(500, b - i)
-                    own = [remove(text, index.get((d, k)), kept) for d, k, text in zip(*(col(c).slice(i, n).to_pylist() for c in ("_d", "_k", "_t")), strict=True)]
-                    yield pa.RecordBatch.from_arrays(
-                        [*(col(c).slice(i, n) for c in names), *(pa.array([x[j] for x in own], pa.int64()) for j in range(3)), pa.array([x[3] for x in own], result)],
-                        names=[*names, "_n0", "_n1", "_n2", "_kept"],
-                    )
+        for blobs, texts in parts_of(batches):
+            index = by_document(blobs)
+            for piece in texts:
+                own = [remove(t, index.get((d, k)), kept) for d, k, t in zip(*(piece[c].to_pylist() for c in ("_d", "_k", "_t")), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [*(piece[c] for c in names), *(pa.array([x[j] for x in own], pa.int64()) for j in range(3)), pa.array([x[3] for x in own], result)],
+                    names=[*names, "_n0", "_n1", "_n2", "_kept"],
+                )
 
     schema = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, fields, strict=True))
-    out = dealt.mapInArrow(cut, f"{schema}, _n0 long, _n1 long, _n2 long, _kept {'binary' if result == pa.binary() else 'string'}")
+    out = dealt(spans, rows).mapInArrow(cut, f"{schema}, _n0 long, _n1 long, _n2 long, _kept {'binary' if result == pa.binary() else 'string'}")
     return out.toDF(*keep, "n_bytes", "n_removed", "n_spans", "kept")
 
 
+class Stretches:
+    """Sorted batches as (to, kind, rows) stretches, with a look at the next one."""
+
+    def __init__(self, batches):
+        self.source = self.cut(batches)
+        self.next = next(self.source, None)
+
+    @staticmethod
+    def cut(batches):
+        for batch in batches:
+            to, kind = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("to", "kind"))
+            edges = np.flatnonzero((np.diff(to) != 0) | (np.diff(kind) != 0)) + 1
+            bounds = [0, *edges.tolist(), batch.num_rows] if batch.num_rows else []
+            for a, b in zip(bounds, bounds[1:], strict=False):
+                yield int(to[a]), int(kind[a]), batch.slice(a, b - a)
+
+    def of(self, to: int, kind: int):
+        """The stretches that come next, as long as they are these."""
+        while self.next is not None and self.next[:2] == (to, kind):
+            rows = self.next[2]
+            self.next = next(self.source, None)
+            yield rows
+
+
+def parts_of(batches):
+    """(blobs, rows) for each part in sorted batches: the blobs that stand first in it, then its rows in pieces, to be read before the next part."""
+    ahead = Stretches(batches)
+    while ahead.next is not None:
+        part = ahead.next[0]
+        blobs = [x for rows in ahead.of(part, 0) for x in rows.column(rows.schema.get_field_index("blob")).to_pylist()]
+        yield blobs, (dict(zip(rows.schema.names, rows.slice(i, 500).columns, strict=True)) for rows in ahead.of(part, 1) for i in range(0, rows.num_rows, 500))
+
+
 def by_document(blobs: list[bytes]) -> dict[tuple[int, int], np.ndarray]:
     """Each document's spans as rows of (start, end)."""
     if not blobs:
