@@ -26,7 +26,7 @@ def query(sql: str | None = None, name: str | None = None):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import relational  # noqa: F401
+    from . import domain, relational, sequences  # noqa: F401
 
     return _QUERIES
 
