@@ -1 +1,291 @@
+"""Queries of the legal domain on the driver's tables: alignment, titles, citations, resolution, events, measurement, quality."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import exprs as X
+from ..operators import quality as Q
+from ..operators import windows as W
+from ..operators.align import positional
+from ..operators.citations import ExtractCitations, target_doc
+from ..operators.headings import lines, sections
+from ..operators.resolve import cascade, seq_ratio
+from ..sources.tables import table
+from .catalog import query
+
+PAIRS = """
+a AS (SELECT l_orderkey % 500 AS k, l_partkey, l_suppkey, l_orderkey, row_number() OVER (PARTITION BY l_orderkey % 500 ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS occ,
+       count(*) OVER (PARTITION BY l_orderkey % 500) AS t FROM lineitem WHERE l_orderkey < 3000 AND l_quantity < 4),
+b AS (SELECT o_orderkey % 650 AS k, o_orderkey, row_number() OVER (PARTITION BY o_orderkey % 650 ORDER BY o_orderkey) AS occ, count(*) OVER (PARTITION BY o_orderkey % 650) AS t FROM orders WHERE o_orderkey < 2000 AND o_totalprice > 300000),
+ta AS (SELECT DISTINCT k, t FROM a), tb AS (SELECT DISTINCT k, t FROM b),
+j AS (SELECT coalesce(a.k, b.k) AS k, coalesce(a.occ, b.occ) AS occurrence, a.l_partkey, b.o_orderkey, a.k IS NOT NULL AS ina, b.k IS NOT NULL AS inb FROM a FULL JOIN b ON a.k = b.k AND a.occ = b.occ),
+p AS (SELECT j.k, occurrence, l_partkey, o_orderkey, CASE WHEN ta.t = 1 AND tb.t = 1 THEN 'exact_key' ELSE 'positional_within_key' END AS method,
+ CASE WHEN ina AND inb THEN 'aligned' WHEN ina THEN (CASE WHEN tb.t IS NULL THEN 'left_only' ELSE 'left_only_occurrence' END) ELSE (CASE WHEN ta.t IS NULL THEN 'right_only' ELSE 'right_only_occurrence' END) END AS status
+ FROM j LEFT JOIN ta ON ta.k = j.k LEFT JOIN tb ON tb.k = j.k)
+"""
+
+
+def _pairs(spark: SparkSession, d: str) -> DataFrame:
+    a = table(spark, d, "lineitem").where("l_orderkey < 3000 AND l_quantity < 4").select((F.col("l_orderkey") % 500).alias("k"), "l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_extendedprice")
+    b = table(spark, d, "orders").where("o_orderkey < 2000 AND o_totalprice > 300000").select((F.col("o_orderkey") % 650).alias("k"), "o_orderkey")
+    return positional(a, b, "k", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"], ["o_orderkey"])
+
+
+@query(f"WITH {PAIRS} SELECT k, CAST(occurrence AS BIGINT) AS occurrence, l_partkey, o_orderkey, method, status FROM p")
+def align_positional(spark, d):
+    """Repeated keys of two lists paired in order."""
+    return _pairs(spark, d).select("k", F.col("occurrence").cast("long").alias("occurrence"), "l_partkey", "o_orderkey", "method", "status")
+
+
+@query(f"WITH {PAIRS} SELECT status, method, CAST(count(*) AS BIGINT) AS n FROM p GROUP BY 1, 2")
+def reconcile(spark, d):
+    """How many rows of either list pair, and how many stand alone."""
+    return _pairs(spark, d).groupBy("status", "method").agg(F.count("*").alias("n"))
+
+
+@query("SELECT p_partkey, trim(regexp_replace(replace(replace(lower('  ' || p_name || ' ʻ ' || p_type || '.; '), 'ʻ', ''''), '’', ''''), '\\s+', ' ', 'g'), ' .,;:\"''') AS title FROM part")
+def norm_title(spark, d):
+    return table(spark, d, "part").select("p_partkey", X.norm_title(F.concat(F.lit("  "), "p_name", F.lit(" ʻ "), "p_type", F.lit(".; "))).alias("title"))
+
+
+@query("""
+SELECT doc_id, CAST(p AS BIGINT) AS found_at, CASE WHEN p = 0 THEN substr(text, 1, 60) ELSE substr(text, CAST(greatest(p - 20, 1) AS BIGINT), 60) END AS excerpt,
+ CASE WHEN p = 0 THEN NULL ELSE substr(text, 1, p - 1) || '[' || substr(text, p, 4) || ']' || substr(text, p + 4, 10) END AS marked
+FROM (SELECT doc_id, text, strpos(lower(text), 'that') AS p FROM documents WHERE length(text) < 600)
+""")
+def excerpt_highlight(spark, d):
+    """A crop around the first hit, and the hit marked."""
+    p = F.col("p")
+    hit = table(spark, d, "documents").where(F.length("text") < 600).select("doc_id", "text", F.locate("that", F.lower("text")).alias("p"))
+    marked = F.concat(F.substr("text", F.lit(1), p - 1), F.lit("["), F.substr("text", p, F.lit(4)), F.lit("]"), F.substr("text", p + 4, F.lit(10)))
+    return hit.select("doc_id", p.cast("long").alias("found_at"), F.when(p == 0, X.crop(F.col("text"), F.lit(1), 60)).otherwise(X.crop(F.col("text"), p - 20, 60)).alias("excerpt"), F.when(p > 0, marked).alias("marked"))
+
+
+@query("""
+SELECT p_partkey, ['','X','XX','XXX','XL','L'][CAST(p_size // 10 + 1 AS INT)] || ['','I','II','III','IV','V','VI','VII','VIII','IX'][CAST(p_size % 10 + 1 AS INT)] AS roman,
+ (p_size % 12) + 1 AS month, '19' || lpad(CAST(p_size + 40 AS VARCHAR), 2, '0') || '-' || lpad(CAST((p_size % 12) + 1 AS VARCHAR), 2, '0') AS iso
+FROM part
+""")
+def roman_month_ordinal(spark, d):
+    """Numerals, and month words back to numbers and dates."""
+    words = F.array(*[F.lit(w + "ar") for w in X.MONTHS])
+    month = X.month_number(F.element_at(words, F.col("p_size") % 12 + 1))
+    return table(spark, d, "part").select("p_partkey", X.roman(F.col("p_size")).alias("roman"), month.alias("month"), F.concat(F.lit("19"), F.lpad((F.col("p_size") + 40).cast("string"), 2, "0"), F.lit("-"), F.lpad(month.cast("string"), 2, "0")).alias("iso"))
+
+
+@query("SELECT event_id, CASE WHEN regexp_matches(event_type, 'pur') THEN 'restated' WHEN regexp_matches(event_type, 'err|pur') THEN 'removed' WHEN regexp_matches(event_type, '^s') THEN 'inserted' ELSE 'other' END AS change_type FROM events")
+def verb_classify(spark, d):
+    """The first pattern that matches decides."""
+    out = F
+    for pattern, name in (("pur", "restated"), ("err|pur", "removed"), ("^s", "inserted")):
+        out = out.when(F.col("event_type").rlike(pattern), name)
+    return table(spark, d, "events").select("event_id", out.otherwise("other").alias("change_type"))
+
+
+@query("SELECT o_orderkey, CAST(year(o_orderdate) AS INT) AS y, CAST(month(o_orderdate) AS INT) AS m, CAST(day(o_orderdate) AS INT) AS dd, CAST(o_custkey AS INT) AS num, 'voided' AS change_type, CAST(2 AS BIGINT) AS n_clauses FROM orders")
+def regex_dates(spark, d):
+    """Amendment clauses split by balanced parentheses, their dates and numbers read back."""
+    o = table(spark, d, "orders")
+    month = F.element_at(F.array(*map(F.lit, X.MONTHS)), F.month("o_orderdate"))
+    note = F.concat(F.lit("(7-modda Oʻzbekiston Respublikasining "), F.year("o_orderdate"), F.lit("-yil "), F.day("o_orderdate"), F.lit("-"), month, F.lit("dagi OʻRQ-"), "o_custkey", F.lit("-sonli (yangi) Qonuniga asosan oʻz kuchini yoʻqotgan) va (ilova)"))
+    clauses = F.regexp_extract_all("note", F.lit(r"\((?:[^()]|\([^()]*\))*\)"), F.lit(0))
+    first = o.select("o_orderkey", note.alias("note")).select("o_orderkey", F.element_at(clauses, 1).alias("c"), F.size(clauses).cast("long").alias("n_clauses"))
+    event = r"(\d{4})-yil\s+(\d{1,2})-(\p{L}+?)dagi\s+OʻRQ-(\d+)"
+    part = lambda g: F.regexp_extract("c", event, g)
+    return first.select(
+        "o_orderkey", part(1).cast("int").alias("y"), X.month_number(part(3)).alias("m"), part(2).cast("int").alias("dd"), part(4).cast("int").alias("num"),
+        F.when(F.col("c").rlike("kuchini yoʻqot"), "voided").otherwise("other").alias("change_type"), "n_clauses",
+    )
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, l_partkey, CAST(article AS BIGINT) AS article FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, CAST(l_quantity AS BIGINT) AS q FROM lineitem WHERE l_orderkey < 500),
+ LATERAL (SELECT unnest([q, q + 100] || generate_series(q + 200, q + 200 + q % 5 + 1)) AS article)
+""")
+def expand_lists(spark, d):
+    """Lists with sub-ranges, written out and expanded again."""
+    q = F.col("q")
+    rows = table(spark, d, "lineitem").where("l_orderkey < 500").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("long").alias("q")).distinct()
+    text = F.concat(q.cast("string"), F.lit(", "), q + 200, F.lit("-"), q + 200 + q % 5 + 1, F.lit(" va "), q + 100)
+    items = F.split(text, r"\s*(?:,|va|hamda)\s*")
+    ends = lambda x: F.transform(F.split(x, r"\s*[-–—]+\s*"), lambda y: y.cast("long"))
+    filled = F.flatten(F.transform(items, lambda x: F.when(F.size(ends(x)) == 2, F.sequence(F.element_at(ends(x), 1), F.element_at(ends(x), -1))).otherwise(ends(x))))
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", F.explode(filled).alias("article"))
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, l_partkey, 'article' AS target_kind, CAST(article AS VARCHAR) AS article, listing,
+ CAST(CASE WHEN b <= 385 THEN -111189 WHEN b <= 1199 THEN -180552 END AS BIGINT) AS dst_doc_id FROM
+ (SELECT *, CASE WHEN article > 1199 THEN article // 10 ELSE article END AS b FROM (
+  SELECT l_orderkey, l_linenumber, l_partkey, unnest(CASE WHEN l_partkey % 2 = 0 THEN [l_partkey + 1] ELSE generate_series(l_partkey + 1, l_partkey + 3) END) AS article, CASE WHEN l_partkey % 2 = 0 THEN 'single' ELSE 'range' END AS listing
+  FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey < 300)))
+""")
+def extract_citations(spark, d):
+    """Sentences that cite articles, through the grammar and to their documents."""
+    rows = table(spark, d, "lineitem").where("l_orderkey < 300").select("l_orderkey", "l_linenumber", "l_partkey").distinct()
+    n = F.col("l_partkey") + 1
+    text = F.concat(F.lit("Bu holat Fuqarolik kodeksining "), n.cast("string"), F.when(F.col("l_partkey") % 2 == 0, F.lit("")).otherwise(F.concat(F.lit(" — "), n + 2)), F.lit("-moddasi bilan belgilanadi, “Sudlar toʻgʻrisida”gi Qonunning 5-moddasi ham."))
+    spark.conf.set("spark.sql.execution.pythonUDTF.arrow.enabled", "true")
+    call = ExtractCitations(F.col("r.text").outer(), F.lit(False), F.lit(False), F.lit(None).cast("string"))
+    found = rows.withColumn("text", text).alias("r").lateralJoin(call.alias("c"))
+    return found.select("r.l_orderkey", "r.l_linenumber", "r.l_partkey", "c.target_kind", "c.article", "c.listing", target_doc(F.col("article")).alias("dst_doc_id"))
+
+
+def _titles(spark, d):
+    c = table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("block"), F.concat(F.col("c_mktsegment"), F.lit(" "), F.col("c_custkey") % 40).alias("title"))
+    s = table(spark, d, "part").select(F.col("p_partkey").alias("dst"), (F.col("p_partkey") % 25).cast("int").alias("block"), F.concat(F.element_at(F.array(*map(F.lit, ("BUILDING", "MACHINERY", "FURNITURE"))), (F.col("p_partkey") % 3 + 1).cast("int")), F.lit(" "), F.col("p_partkey") % 400).alias("title"))
+    return c, s
+
+
+@query("""
+WITH c AS (SELECT c_custkey, c_nationkey AS block, c_mktsegment || ' ' || (c_custkey % 40) AS title FROM customer),
+s AS (SELECT p_partkey AS dst, CAST(p_partkey % 25 AS INT) AS block, ['BUILDING','MACHINERY','FURNITURE'][CAST(p_partkey % 3 + 1 AS INT)] || ' ' || (p_partkey % 400) AS title FROM part),
+j AS (SELECT c_custkey, c.block, c.title, max(CASE WHEN s.title = c.title THEN dst END) AS e, count(CASE WHEN contains(s.title, c.title) OR contains(c.title, s.title) THEN 1 END) AS n,
+  max(CASE WHEN contains(s.title, c.title) OR contains(c.title, s.title) THEN dst END) AS u FROM c LEFT JOIN s ON s.block = c.block GROUP BY 1, 2, 3)
+SELECT c_custkey, block, title, CASE WHEN e IS NOT NULL THEN e WHEN n = 1 THEN u END AS dst, CASE WHEN e IS NOT NULL THEN 'exact' WHEN n = 1 THEN 'substring' ELSE 'unresolved' END AS method FROM j
+""")
+def resolve_cascade(spark, d):
+    """Titles to targets: equal, else the only one within the block that contains or is contained."""
+    return cascade(*_titles(spark, d), "block", "title")
+
+
+@query()
+def fuzzy_ratio(spark, d):
+    """The most similar name within a brand, if it is well ahead of the next."""
+    p = table(spark, d, "part").where("p_partkey < 2000").select("p_partkey", "p_brand", "p_name")
+    other = p.select(F.col("p_partkey").alias("q_partkey"), "p_brand", F.concat("p_name", F.lit("s")).alias("q_name"))
+    scored = p.join(other, "p_brand").where("p_partkey <> q_partkey").withColumn("r", seq_ratio("p_name", "q_name"))
+    best = W.top1(W.spans(scored.withColumn("neg", -F.col("r")), ["p_partkey"], "neg", "next_neg"), ["p_partkey"], [F.desc("r"), "q_partkey"])
+    return best.where("r >= 0.8").select("p_partkey", "q_partkey", F.round("r", 6).alias("ratio"))
+
+
+@query("SELECT o_custkey AS doc_id, CAST(count(*) FILTER (WHERE o_totalprice < 100000) AS BIGINT) AS n_partial, CAST(count(*) FILTER (WHERE o_totalprice >= 100000) AS BIGINT) AS n_whole, arg_max(o_orderkey, o_orderdate::VARCHAR || lpad(CAST(o_orderkey AS VARCHAR), 12, '0')) AS last_clause, string_agg(DISTINCT CASE WHEN o_totalprice < 100000 THEN o_orderpriority END, ', ' ORDER BY CASE WHEN o_totalprice < 100000 THEN o_orderpriority END) AS locators FROM orders GROUP BY 1")
+def partial_vs_whole(spark, d):
+    """Repeals of a part and of the whole, by act."""
+    part = F.col("o_totalprice") < 100000
+    out = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("doc_id")).agg(
+        F.count_if(part).alias("n_partial"), F.count_if(~part).alias("n_whole"), F.max_by("o_orderkey", F.struct("o_orderdate", "o_orderkey")).alias("last_clause"), F.collect_set(F.when(part, F.col("o_orderpriority"))).alias("l")
+    )
+    return out.select("doc_id", "n_partial", "n_whole", "last_clause", F.when(F.size("l") > 0, F.array_join(F.array_sort("l"), ", ")).alias("locators"))
+
+
+@query("SELECT DISTINCT event_id, l_orderkey, l_partkey FROM events JOIN lineitem ON l_orderkey = user_id AND l_linenumber = event_id % 7 + 1 AND CAST(l_quantity AS BIGINT) % 5 = event_id % 5")
+def void_exact_match(spark, d):
+    """Voided sub-units and citations of exactly those: document, article and ordinal agree."""
+    e = table(spark, d, "events").select("event_id", F.col("user_id").alias("l_orderkey"), (F.col("event_id") % 7 + 1).cast("int").alias("l_linenumber"), (F.col("event_id") % 5).alias("o"))
+    lineitem = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", (F.col("l_quantity").cast("long") % 5).alias("o"))
+    return e.join(lineitem, ["l_orderkey", "l_linenumber", "o"]).select("event_id", "l_orderkey", "l_partkey").distinct()
+
+
+@query("""
+WITH en AS (SELECT user_id, max(CAST(regexp_extract(props, '(\\d+)', 1) AS BIGINT)) AS en_latest FROM events WHERE event_id % 3 = 0 GROUP BY 1),
+uz AS (SELECT user_id, max(CAST(regexp_extract(props, '(\\d+)', 1) AS BIGINT)) AS uz_latest FROM events GROUP BY 1),
+ty AS (SELECT e.user_id, string_agg(DISTINCT event_type, ', ' ORDER BY event_type) AS types FROM events e JOIN uz ON uz.user_id = e.user_id AND CAST(regexp_extract(props, '(\\d+)', 1) AS BIGINT) = uz_latest GROUP BY 1)
+SELECT uz.user_id, en_latest, uz_latest, types, en_latest < uz_latest AS stale FROM uz LEFT JOIN en ON en.user_id = uz.user_id JOIN ty ON ty.user_id = uz.user_id
+""")
+def staleness(spark, d):
+    """The latest number that two sources know, and whether one lags; one grouped pass and one window, no self-join."""
+    n = F.regexp_extract("props", r"(\d+)", 1).cast("long")
+    e = table(spark, d, "events").select("user_id", "event_type", n.alias("n"), (F.col("event_id") % 3 == 0).alias("en"))
+    by = e.groupBy("user_id", "n").agg(F.collect_set("event_type").alias("t"), F.max(F.when(F.col("en"), F.col("n"))).alias("en_n"))
+    out = by.groupBy("user_id").agg(F.max("en_n").alias("en_latest"), F.max("n").alias("uz_latest"), F.max_by("t", "n").alias("t"))
+    return out.select("user_id", "en_latest", "uz_latest", F.array_join(F.array_sort("t"), ", ").alias("types"), (F.col("en_latest") < F.col("uz_latest")).alias("stale"))
+
+
+@query("SELECT user_id AS assignment_id, event_type AS decision, ts AS decided_at, CASE WHEN event_type = 'purchase' THEN 1.0::DOUBLE ELSE round(value / 1000, 3) END AS confidence FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
+def decision_log(spark, d):
+    """An append-only log of decisions; the latest of each id holds."""
+    e = W.top1(table(spark, d, "events"), ["user_id"], [F.desc("ts"), F.desc("event_id")])
+    return e.select(F.col("user_id").alias("assignment_id"), F.col("event_type").alias("decision"), F.col("ts").alias("decided_at"), F.when(F.col("event_type") == "purchase", 1.0).otherwise(F.round(F.col("value") / 1000, 3)).alias("confidence"))
+
+
+@query("""
+SELECT 'orders unique' AS "check", count(*) = 0 AS ok, count(*) AS detail FROM (SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'lineitem rows unique', count(*) = 0, count(*) FROM (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1)
+UNION ALL SELECT 'orders refer to customers', count(*) = 0, count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
+UNION ALL SELECT 'labels refer to documents', count(*) = 0, count(*) FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)
+UNION ALL SELECT 'no empty text', count(*) = 0, count(*) FROM documents WHERE text IS NULL OR trim(text) = ''
+UNION ALL SELECT 'lengths agree', count(*) = 0, count(*) FROM documents WHERE n_chars IS DISTINCT FROM length(text)
+""")
+def quality_report(spark, d):
+    """Assertions as rows."""
+    t = {n: table(spark, d, n) for n in ("orders", "lineitem", "customer", "documents", "labels")}
+    docs = t["documents"]
+    return Q.report([
+        Q.unique(t["orders"], ["o_orderkey"], "orders unique"), Q.unique(t["lineitem"], ["l_orderkey", "l_linenumber"], "lineitem rows unique"),
+        Q.refers(t["orders"], "o_custkey", t["customer"], "c_custkey", "orders refer to customers"), Q.refers(t["labels"], "doc_id", docs, "doc_id", "labels refer to documents"),
+        Q.none(docs.where("text IS NULL OR trim(text) = ''"), "no empty text"), Q.none(docs.where(~F.col("n_chars").eqNullSafe(F.length("text"))), "lengths agree"),
+    ])
+
+
+SIGN = """(SELECT doc_id, (CASE WHEN regexp_matches(text, '[0-9]') THEN '1' ELSE '0' END) || (CASE WHEN contains(text, '@') THEN '1' ELSE '0' END) || (CASE WHEN contains(text, '|') THEN '1' ELSE '0' END)
+ || (CASE WHEN regexp_matches(text, '^.*\\n') THEN '1' ELSE '0' END) || (CASE WHEN length(text) < 500 THEN 's' WHEN length(text) < 5000 THEN 'm' ELSE 'l' END) AS signature FROM documents)"""
+
+
+def _signature(spark, d) -> DataFrame:
+    t = F.col("text")
+    flag = lambda c: F.when(c, "1").otherwise("0")
+    size = F.when(F.length(t) < 500, "s").when(F.length(t) < 5000, "m").otherwise("l")
+    return table(spark, d, "documents").select("doc_id", F.concat(flag(t.rlike("[0-9]")), flag(t.contains("@")), flag(t.contains("|")), flag(t.contains("\n")), size).alias("signature"))
+
+
+@query(f"SELECT signature, CAST(count(*) AS BIGINT) AS n, min(doc_id) AS first_doc FROM {SIGN} GROUP BY 1")
+def signature(spark, d):
+    """Structural features of texts, and how many share them."""
+    return _signature(spark, d).groupBy("signature").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"))
+
+
+@query(f"""
+WITH s AS {SIGN}, g AS (SELECT DISTINCT signature FROM s JOIN labels USING (doc_id) WHERE toxic = 1),
+n AS (SELECT doc_id, s.signature, count(*) OVER (PARTITION BY s.signature) AS rarity, row_number() OVER (PARTITION BY s.signature ORDER BY doc_id) AS rn FROM s ANTI JOIN g ON g.signature = s.signature)
+SELECT doc_id, signature, rarity, CAST(rn AS BIGINT) AS rn FROM n ORDER BY rn, rarity, signature, doc_id LIMIT 40
+""")
+def novel_sample(spark, d):
+    """Texts whose signature no gold text has: rarest signatures first, one of each in turn. Ranks beyond the sample's size are not kept."""
+    s, labels = _signature(spark, d), table(spark, d, "labels")
+    gold = s.join(labels.where("toxic = 1"), "doc_id").select("signature").distinct()
+    new = s.join(gold, "signature", "left_anti")
+    ranked = W.occurrence(new, ["signature"], ["doc_id"]).select("doc_id", "signature", F.col("total").alias("rarity"), F.col("occurrence").cast("long").alias("rn"))
+    return ranked.orderBy("rn", "rarity", "signature", "doc_id").limit(40)
+
+
+@query("""
+WITH p AS (SELECT doc_id, CAST(contains(lower(text), 'worthless') OR length(text) % 7 = 0 AS INT) AS guess FROM documents)
+SELECT CAST(count(*) FILTER (WHERE guess = 1 AND toxic = 1) AS BIGINT) AS hits, CAST(count(*) FILTER (WHERE guess = 1) AS BIGINT) AS guessed, CAST(count(*) FILTER (WHERE toxic = 1) AS BIGINT) AS expected,
+ round(count(*) FILTER (WHERE guess = 1 AND toxic = 1) / nullif(count(*) FILTER (WHERE guess = 1), 0), 4) AS precision_, round(count(*) FILTER (WHERE guess = 1 AND toxic = 1) / nullif(count(*) FILTER (WHERE toxic = 1), 0), 4) AS recall_
+FROM p JOIN labels USING (doc_id)
+""")
+def score(spark, d):
+    """Precision and recall against labels."""
+    guess = F.lower("text").contains("worthless") | (F.length("text") % 7 == 0)
+    both = table(spark, d, "documents").select("doc_id", guess.alias("g")).join(table(spark, d, "labels").select("doc_id", (F.col("toxic") == 1).alias("t")), "doc_id")
+    out = both.agg(F.count_if(F.col("g") & F.col("t")).alias("hits"), F.count_if("g").alias("guessed"), F.count_if("t").alias("expected"))
+    share = lambda of: F.round(F.col("hits") / F.nullif(F.col(of), F.lit(0)), 4)
+    return out.select("*", share("guessed").alias("precision_"), share("expected").alias("recall_"))
+
+
+@query("""
+SELECT turn_a.conv_id, turn_a.turn, CASE WHEN b.role IS NULL THEN 'gone' WHEN b.role <> turn_a.role THEN 'role' WHEN b.n <> turn_a.n THEN 'length' ELSE 'same' END AS reason FROM
+ (SELECT conv_id, turn, min(role) AS role, min(length(text)) AS n FROM conversations GROUP BY 1, 2) turn_a LEFT JOIN
+ (SELECT conv_id, turn + 2 AS turn, min(role) AS role, min(length(text)) AS n FROM conversations GROUP BY 1, 2) b ON b.conv_id = turn_a.conv_id AND b.turn = turn_a.turn
+""")
+def drift(spark, d):
+    """Records compared with an earlier state: gone, changed, and in what."""
+    now = table(spark, d, "conversations").groupBy("conv_id", "turn").agg(F.min("role").alias("role"), F.min(F.length("text")).alias("n"))
+    was = now.select("conv_id", (F.col("turn") + 2).alias("turn"), F.col("role").alias("r"), F.col("n").alias("m"))
+    reason = F.when(F.col("r").isNull(), "gone").when(F.col("r") != F.col("role"), "role").when(F.col("m") != F.col("n"), "length").otherwise("same")
+    return now.join(was, ["conv_id", "turn"], "left").select("conv_id", "turn", reason.alias("reason"))
+
+
+@query("""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no FROM documents),
+h AS (SELECT *, sum(CASE WHEN length(line) BETWEEN 1 AND 40 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY no) AS section_no FROM l)
+SELECT doc_id, CAST(any_value(h.section_no) AS BIGINT) AS section_no, CASE WHEN any_value(section_no) > 0 THEN arg_min(line, no) END AS heading, CAST(min(no) AS BIGINT) AS first_line, CAST(max(no) AS BIGINT) AS last_line, CAST(count(*) AS BIGINT) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS n_chars FROM h GROUP BY doc_id, h.section_no
+""")
+def heading_sections(spark, d):
+    """Texts cut at their short lines."""
+    rows = lines(table(spark, d, "documents"), "doc_id", "text")
+    out = sections(rows, "doc_id", F.length("line").between(1, 40))
+    return out.select("doc_id", "section_no", "heading", F.col("first_line").cast("long").alias("first_line"), F.col("last_line").cast("long").alias("last_line"), "n_lines", "n_chars")
