@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Store, by_groups, table
+from .common import Store, by_groups, lean, table
 from .neardup_vectors import unit_rows, usable
 
 TREES, DEPTH = 8, 5
@@ -125,7 +125,7 @@ def smallest_ids(rows: DataFrame, keep: int) -> DataFrame:
             at = np.arange(len(order)) - np.repeat(start, np.diff([*start, len(order)]))
             yield batch.take(pa.array(order[at < keep]))
 
-    kept = rows.select("h1", "h2", "vec_id", "embedding").mapInArrow(combine, f"h1 long, h2 long, vec_id long, embedding {kind}")
+    kept = rows.select("h1", "h2", "vec_id", "embedding").mapInArrow(lean(combine), f"h1 long, h2 long, vec_id long, embedding {kind}")
     least = lambda ids: F.slice(F.array_sort(F.array_distinct(ids)), 1, keep)
     part = kept.groupBy("h1", "h2", F.pmod(F.xxhash64("vec_id"), F.lit(64)).alias("_s")).agg(least(F.collect_list("vec_id")).alias("ids"), F.any_value("embedding").alias("embedding"))
     return part.groupBy("h1", "h2").agg(least(F.flatten(F.collect_list("ids"))).alias("ids"), F.any_value("embedding").alias("embedding"))
@@ -192,7 +192,7 @@ def nearest(spark: SparkSession, vectors: DataFrame, is_query, top: int = TOP, b
                     for r in range(row_blocks):
                         yield batch_of(dim, t, leaf, r, block, 0, h1[at[k]], ids, vec)
 
-    sides = classes.select("h1", "ids", "embedding").mapInArrow(index, schema).unionByName(queries.select("vec_id", "h1", "embedding").mapInArrow(probe, schema))
+    sides = classes.select("h1", "ids", "embedding").mapInArrow(lean(index), schema).unionByName(queries.select("vec_id", "h1", "embedding").mapInArrow(lean(probe), schema))
     keys = ["dim", "tree", "leaf", "rows", "queries"]
     offered = by_groups(sides, keys, "query_id long, h1 long, vec_id long, score double", lambda g: rerank(g, kind, top))
     best = offered.groupBy("query_id", "h1", "vec_id").agg(F.max("score").alias("score"))

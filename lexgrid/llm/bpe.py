@@ -14,7 +14,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import lean, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 WIDTHS = (4, 8, 12, 16, 24, 32, 64, 128, 256)  # columns of the padded matrices; longer pieces merge from a heap
@@ -25,7 +25,7 @@ NONE = np.int64(1) << 40  # the rank of a pair that never merges
 class Coder:
     """Encodes and decodes with the ranks of one vocabulary."""
 
-    def __init__(self, path: str, pattern: str, remembered: int = 400_000):
+    def __init__(self, path: str, pattern: str, remembered: int = 250_000):
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.pattern = regex.compile(pattern)
@@ -221,7 +221,7 @@ def encode_docs(docs: DataFrame, path: str | None = None, pattern: str | None =
                     cells = {"n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()), "ids_sha256": [sha(x) for x in ids], "decoded_sha256": [sha(x) for x in back]}
                 yield pa.RecordBatch.from_pydict({"key": part.column(0).cast(pa.int64())} | cells)
 
-    return docs.select(F.col(key).cast("long").alias("key"), F.col("text").cast("string").alias("text")).mapInArrow(run, f"key long, {tail}").withColumnRenamed("key", key)
+    return docs.select(F.col(key).cast("long").alias("key"), F.col("text").cast("string").alias("text")).mapInArrow(lean(run), f"key long, {tail}").withColumnRenamed("key", key)
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import os
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -52,8 +55,10 @@ class Store:
 
     def release(self) -> None:
         """Let Spark delete the shuffle files of plans that nothing refers to any more; it does so when the driver's garbage goes."""
-        gc.collect()
-        self.spark._jvm.System.gc()
+        for _ in range(2):
+            gc.collect()
+            self.spark._jvm.System.gc()
+            time.sleep(0.5)  # the cleaner works beside us
 
     def drop(self, df: DataFrame) -> None:
         """Delete a kept table that nothing reads any more."""
@@ -62,6 +67,24 @@ class Store:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def lean(f: Callable) -> Callable:
+    """f on a partition's batches; then the worker gives back the memory that it no longer needs, as it stays for other tasks."""
+
+    def run(batches):
+        try:
+            yield from f(batches)
+        finally:
+            from .tokens import settle
+
+            settle()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return run
+
+
 def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Complete groups of equal keys (integers without nulls) from batches that are sorted by them."""
     held: list[pa.RecordBatch] = []
@@ -128,7 +151,7 @@ def by_groups(df: DataFrame, keys: list[str], schema: str, f: Callable[[pa.Table
         if out:
             yield from pa.concat_tables(out).combine_chunks().to_batches()
 
-    return df.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+    return df.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(lean(run), schema)
 
 
 def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:

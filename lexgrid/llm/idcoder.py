@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Store, partitions, table
+from .common import Store, lean, partitions, table
 from .tokens import encoder
 
 BLOCK = 2048  # ids; a block starts from an empty model
@@ -275,7 +275,7 @@ def segments(docs: DataFrame, end: int = END, path: str | None = None) -> DataFr
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     key = F.col("doc_id").asc_nulls_last(), F.xxhash64("text")
-    return rows.repartitionByRange(n, *key).sortWithinPartitions(*key).mapInArrow(run, "part int, segment int, n_ids long, payload binary")
+    return rows.repartitionByRange(n, *key).sortWithinPartitions(*key).mapInArrow(lean(run), "part int, segment int, n_ids long, payload binary")
 
 
 def read_ids(files: DataFrame) -> DataFrame:
@@ -301,7 +301,7 @@ def read_ids(files: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"doc_id": pa.array(docs, pa.int64()), "start": pa.array([a + start for a in begin], pa.int64()), "n_tokens": pa.array(lengths, pa.int64()), "ids_crc32": pa.array(crc, pa.int64())})
 
     found = files.select("part", "segment", "payload").join(F.broadcast(starts), ["part", "segment"])
-    return found.select("payload", "start").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return found.select("payload", "start").mapInArrow(lean(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op7_idcoder(spark: SparkSession, sf_dir: str) -> DataFrame:

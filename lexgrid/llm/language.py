@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import lean, table
 
 DIM = 1 << 13  # of hashed n-gram presence
 GRAMS = (1, 2, 3)  # bytes; the blended spectrum
@@ -99,7 +99,7 @@ def train(docs: DataFrame) -> Model | None:
                 [pa.array([np.packbits(presence(x) > 0).tobytes() for x, _ in own], pa.binary()), pa.array([y for _, y in own], pa.string())], ["bits", "lang"]
             )
 
-    sample = rows.where(unit < share).select("text", "lang").limit(2 * SAMPLE * len(counts)).mapInArrow(bits, "bits binary, lang string")
+    sample = rows.where(unit < share).select("text", "lang").limit(2 * SAMPLE * len(counts)).mapInArrow(lean(bits), "bits binary, lang string")
     taken = sorted((r["lang"], bytes(r["bits"])) for r in sample.collect())
     vectors = np.unpackbits(np.frombuffer(b"".join(x for _, x in taken), np.uint8)).reshape(-1, DIM).astype(np.float32)
     return fit(vectors, [y for y, _ in taken])
@@ -127,7 +127,7 @@ def predict(docs: DataFrame, model: Model | None, names_of: tuple[str, str] = ("
                         names[k], scores[k] = model.labels[best], min(max((value + 1) / 2, 0.0), 1.0)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string()), pa.array(scores)], names=[*part.schema.names, *names_of])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:

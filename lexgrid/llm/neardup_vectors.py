@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Store, by_groups, components, forest, in_block_pairs, table
+from .common import Store, by_groups, components, forest, in_block_pairs, lean, table
 
 THRESHOLD = 0.93
 TABLES, BITS = 20, 10  # a pair at the threshold agrees in one sign with 0.88, so it meets in some table with 0.998
@@ -59,7 +59,7 @@ def signatures(classes: DataFrame) -> DataFrame:
                             ["rep", "n", "label", "dim", "vec", "sigs", "t", "sig"],
                         )
 
-    return classes.select("rep", "n", F.col("label").cast("long").alias("label"), "embedding").mapInArrow(run, schema)
+    return classes.select("rep", "n", F.col("label").cast("long").alias("label"), "embedding").mapInArrow(lean(run), schema)
 
 
 def compare(g: pa.Table, wide: str) -> pa.Table | None:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Store, table
+from .common import Store, lean, table
 from .sharding import with_slots
 from .tokens import encoder
 
@@ -46,7 +46,7 @@ def pieces(docs: DataFrame, length: int = LENGTH, cut: int = CUT, path: str | No
                 )
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(lean(run), schema)
 
 
 def best_pattern(prices: np.ndarray, sizes: np.ndarray, room: int) -> tuple[float, np.ndarray]:
@@ -160,7 +160,7 @@ def pack(spark: SparkSession, docs: DataFrame, length: int = LENGTH, cut: int =
     ranked = with_slots(cut, "class", ["doc_id", "start", "ids_crc32", "doc_tokens"], store).select(*names, "class", F.col("slot").alias("rank"))
     schema = ", ".join(f"{n} long" for n in names) + ", class int, rank long, sequence_id long"
     before = Window.partitionBy("sequence_id").orderBy(F.desc("class"), "rank").rowsBetween(Window.unboundedPreceding, -1)
-    placed = ranked.mapInArrow(place, schema).withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
+    placed = ranked.mapInArrow(lean(place), schema).withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
     return placed.select(*names, "sequence_id", "offset")
 
 

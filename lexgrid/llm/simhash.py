@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Store, by_groups, components, forest, in_block_pairs, table
+from .common import Store, by_groups, components, forest, in_block_pairs, lean, table
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 SEED = 42  # of XXH64, fixed by the fingerprint's definition
@@ -91,7 +91,7 @@ def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
                 fp = np.array([fingerprint(x) for x in part.column(1).to_pylist()], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(fp)], ["key", "fp"])
 
-    return docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(run, "key long, fp long").withColumnRenamed("key", key)
+    return docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(lean(run), "key long, fp long").withColumnRenamed("key", key)
 
 
 def simhash_groups(spark: SparkSession, docs: DataFrame, radius: int = 3) -> DataFrame:

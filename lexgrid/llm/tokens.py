@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import gc
 import os
-from functools import cache
 
 import numpy as np
 
@@ -105,7 +104,17 @@ class Encoder:
         return out
 
 
-@cache
+encoders: dict[str | None, Encoder] = {}
+
+
 def encoder(path: str | None = None) -> Encoder:
     """One for each Python worker."""
-    return Encoder(path)
+    if path not in encoders:
+        encoders[path] = Encoder(path)
+    return encoders[path]
+
+
+def settle() -> None:
+    """Between tasks a worker remembers only the words met last."""
+    for each in encoders.values():
+        each.old = {}
