@@ -12,12 +12,13 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Store, groups, partitions, table
+from .common import Store, groups, lean, partitions, table
 
 LENGTH = 50  # bytes of a match
 GRAM = 16  # bytes by which suffixes are sampled and sorted; each match holds LENGTH - GRAM + 1 of them
 BUFFER = 3 << 20  # bytes of text that a task looks at at once
 SHARE = 3 << 20  # bytes of text whose suffixes one shard of the index gets
+LEVEL = 5  # of compression
 BATCH = 1 << 14  # suffixes that enter the index together
 PLACE = np.uint64((1 << 24) - 1)
 NULL_ID = (1 << 63) - 1  # stands for a null doc_id: no document is after it
@@ -89,7 +90,7 @@ def sample(t: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarra
 
 def pack(arrays: list[np.ndarray]) -> bytes:
     raw = [np.ascontiguousarray(a).tobytes() for a in arrays]
-    return zstandard.ZstdCompressor(level=1).compress(struct.pack(f"<{len(raw)}q", *map(len, raw)) + b"".join(raw))
+    return zstandard.ZstdCompressor(level=LEVEL).compress(struct.pack(f"<{len(raw)}q", *map(len, raw)) + b"".join(raw))
 
 
 def unpack(blob: bytes, kinds: list[str]) -> list[np.ndarray]:
@@ -112,8 +113,8 @@ SPANS = ["<i8", "<i8", "<i8", "<i8"]  # document, its text's hash, start, end
 
 
 def marks(key: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """A word for an anchor (32 of its hash's bits that are still even among minima) in a document."""
-    x = key.astype(u64) * u64(0x9E3779B97F4A7C15) ^ (h >> u64(24) & u64(0xFFFFFFFF)) * u64(0xC2B2AE3D27D4EB4F)
+    """A word for an anchor (32 of its hash's bits that are still even among minima) in a document (32 of its key's)."""
+    x = (key.astype(u64) & u64(0xFFFFFFFF)) * u64(0x9E3779B97F4A7C15) ^ (h >> u64(24) & u64(0xFFFFFFFF)) * u64(0xC2B2AE3D27D4EB4F)
     return (x ^ (x >> u64(31))) * u64(0xBF58476D1CE4E5B9)
 
 
@@ -163,14 +164,15 @@ def survey(b: Buffer, shards: int) -> list[tuple[int, int, bytes]]:
     first = np.ones(len(h), bool)
     first[1:] = h[1:] != h[:-1]
     several = (np.bincount(np.cumsum(first) - 1) > 1)[np.cumsum(first) - 1] if len(h) else first
-    out = deal(key[several] % shards, 0, [marks(key[several], h[several])])
-    h, key, several = h[first], key[first], several[first]
-    return out + deal((h & PLACE).astype(np.int64) % shards, 1, [h, key, several.astype("u1")])
+    out = deal((key[several] & 0xFFFFFFFF) % shards, 0, [marks(key[several], h[several])])
+    h, key, several = h[first], np.where(several, 0, key)[first], several[first]
+    return out + deal((h & PLACE).astype(np.int64) % shards, 1, [(h >> u64(24)).astype("<u4"), key.astype("<u4"), several.astype("u1")])
 
 
 def meet(blobs: list[bytes], shards: int) -> list[tuple[int, int, bytes]]:
     """Marks, for parts, of the anchors of one shard that more than one buffer has."""
-    h, key, several = (np.concatenate(x) for x in zip(*(unpack(x, ["<u8", "<i8", "u1"]) for x in blobs), strict=True))
+    h, key, several = (np.concatenate(x) for x in zip(*(unpack(x, ["<u4", "<u4", "u1"]) for x in blobs), strict=True))
+    h, key = h.astype(u64) << u64(24), key.astype(np.int64)
     order = np.argsort(h, kind="stable")
     h, key, several = h[order], key[order], several[order].astype(bool)
     same = np.zeros(len(h) + 1, bool)
@@ -179,7 +181,7 @@ def meet(blobs: list[bytes], shards: int) -> list[tuple[int, int, bytes]]:
     return deal(key[hit] % shards, 0, [marks(key[hit], h[hit])])
 
 
-def contexts(b: Buffer, shared: np.ndarray, shards: int) -> list[tuple[int, int, bytes]]:
+def contexts(b: Buffer, shared: np.ndarray, shards: int, indexes: int) -> list[tuple[int, int, bytes]]:
     """(shard, kind, blob): of kind 1 the contexts of the sampled suffixes whose marks are shared (sorted), of kind 0 spans that are known to repeat.
 
     Equal contexts are one, with the smallest document's places; in later documents all of the context repeats.
@@ -204,8 +206,8 @@ def contexts(b: Buffer, shared: np.ndarray, shards: int) -> list[tuple[int, int,
     if len(gone):
         o = own[gone]
         at = base[o] - start[o]
-        out += deal(key[o] % shards, 0, [doc[o], key[o], first[gone] + at, stop[gone] + at])
-    shard = (h & PLACE).astype(np.int64) % shards
+        out += deal((key[o] & 0xFFFFFFFF) % shards, 0, [doc[o], key[o], first[gone] + at, stop[gone] + at])
+    shard = (h & PLACE).astype(np.int64) % indexes
     places, of = order[kept], order[new][group[kept]]  # each place, and where its context stands
     by = np.lexsort((of, shard[of]))
     places, of = places[by], of[by]
@@ -324,7 +326,7 @@ def shard_spans(blobs: list[bytes], parts: int) -> list[tuple[int, int, bytes]]:
         a_out.append(pos[record] + rel[0])
         b_out.append(pos[record] + rel[1])
     out = [np.concatenate(x) for x in (doc_out, key_out, a_out, b_out)]
-    return deal(out[1] % parts, 0, out) if len(out[0]) else []
+    return deal((out[1] & 0xFFFFFFFF) % parts, 0, out) if len(out[0]) else []
 
 
 def union(spans: np.ndarray) -> np.ndarray:
@@ -353,6 +355,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, keep: list[str], kept:
     doc, raw = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "utf-8")
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     shards = max(partitions(spark), -(-total // SHARE))
+    indexes = max(1, shards // 4)  # of what is shared, which is less
 
     def emit(rows):
         if rows:
@@ -376,7 +379,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, keep: list[str], kept:
         for blobs, texts in parts_of(batches):
             shared = np.unique(np.concatenate([np.zeros(0, u64), *(unpack(x, ["<u8"])[0] for x in blobs)]))
             for b in buffers((d, k, t) for piece in texts for d, k, t in zip(*(piece[c].to_pylist() for c in ("_d", "_k", "_t")), strict=True)):
-                yield from emit(contexts(b, shared, shards))
+                yield from emit(contexts(b, shared, shards, indexes))
 
     schema, order = "to int, kind int, blob binary", ("to", "kind")
     key = F.xxhash64(doc, raw)
@@ -384,14 +387,14 @@ def without_repeats(spark: SparkSession, docs: DataFrame, keep: list[str], kept:
 
     def dealt(blobs: DataFrame, rows: DataFrame) -> DataFrame:
         """Blobs and rows (with _k) of one part together, blobs first."""
-        rows = rows.withColumns({"to": F.pmod("_k", F.lit(shards)).cast("int"), "kind": F.lit(1)})
+        rows = rows.withColumns({"to": (F.col("_k").bitwiseAND(F.lit(0xFFFFFFFF)) % shards).cast("int"), "kind": F.lit(1)})
         both = blobs.unionByName(rows, allowMissingColumns=True).repartition(shards, "to").sortWithinPartitions(*order)
         return both.select("to", "kind", "blob", *rows.drop("to", "kind").columns)
 
     long = source.where(F.octet_length("_t") >= LENGTH)
-    met = long.mapInArrow(anchors, schema).repartition(shards, "to").sortWithinPartitions(*order).mapInArrow(at_shards(meet), schema)
-    near = dealt(met, long).mapInArrow(surroundings, schema).repartition(shards, "to").sortWithinPartitions(*order)
-    spans = store.keep(near.mapInArrow(at_shards(shard_spans), schema))
+    met = long.mapInArrow(lean(anchors), schema).repartition(shards, "to").sortWithinPartitions(*order).mapInArrow(lean(at_shards(meet)), schema)
+    near = dealt(met, long).mapInArrow(lean(surroundings), schema).repartition(indexes, "to").sortWithinPartitions(*order)
+    spans = store.keep(near.mapInArrow(lean(at_shards(shard_spans)), schema))
     del met, near
     store.release()
 
@@ -411,7 +414,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, keep: list[str], kept:
                 )
 
     schema = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, fields, strict=True))
-    out = dealt(spans, rows).mapInArrow(cut, f"{schema}, _n0 long, _n1 long, _n2 long, _kept {'binary' if result == pa.binary() else 'string'}")
+    out = dealt(spans, rows).mapInArrow(lean(cut), f"{schema}, _n0 long, _n1 long, _n2 long, _kept {'binary' if result == pa.binary() else 'string'}")
     return out.toDF(*keep, "n_bytes", "n_removed", "n_spans", "kept")
 
 
