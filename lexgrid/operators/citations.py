@@ -201,7 +201,7 @@ def extract(text: str | None, allow_fk_alias: bool = False, is_the_code: bool =
         return []
     scanned = blank(text, naming)
     found = anchors(scanned, allow_fk_alias, is_the_code)
-    limits = [a for a, _, _ in found[1:]] + [len(text)]
+    limits = [*(a for a, _, _ in found[1:]), len(text)][: len(found)]
     return [c for anchor, limit in zip(found, limits, strict=True) for c in Window(text, scanned, anchor, limit, doc_type).citations()]
 
 

@@ -70,24 +70,25 @@ def structure(rows: DataFrame) -> DataFrame:
         kind = kind.when(F.trim("line").rlike(rule), name)
     named = rows.withColumn("kind", kind.otherwise(None)).where("kind IS NOT NULL")
     pick = lambda g: F.coalesce(*[F.when(F.col("kind") == k, F.regexp_extract(F.trim("line"), r, g)) for k, r in rules.items()])
-    span = r"\(Articles? (\d+)(?:\s*[–—-]\s*(\d+))?\)"
+    span = r"\(Articles? (\d+)(?:\s*[–—-]\s*(\d+)(?:-\d+)?)?\)"
     a, b = (F.nullif(F.regexp_extract("line", span, g), F.lit("")).cast("int") for g in (1, 2))
     out = named.withColumns({"number": pick(1), "label": pick(2), "art_from": a, "art_to": F.coalesce(b, a), "_d": F.lit(0)})
     up = {k: F.when(F.col("kind") == k, F.struct("line_no", "number")) for k in ("part", "subsection", "chapter")}
     above = carry(out, ["_d"], ["line_no"], **up)
-    under = lambda k, *of: F.when(F.greatest(F.lit(0), *[F.coalesce(F.col(o)["line_no"], F.lit(0)) for o in of]) < F.col(k)["line_no"], F.col(k)["number"])
+    under = lambda k, *of: F.when(F.greatest(F.lit(0), F.lit(0), *[F.coalesce(F.col(o)["line_no"], F.lit(0)) for o in of]) < F.col(k)["line_no"], F.col(k)["number"])
     return above.select(
         "line_no", "kind", "number", "label", "art_from", "art_to", under("part").alias("part"), under("subsection", "part").alias("subsection"), under("chapter", "part", "subsection").alias("chapter")
     )
 
 
 def classifier(rows: DataFrame) -> DataFrame:
-    """(line_no, code, level, parent_code, label, see_also): a dotted classifier; level and parent come from the code alone."""
-    code = r"^[^0-9]*?(\d{2}\.\d{2}\.\d{2}\.\d{2})\s*[-–—.:*]*\s*(.*)$"
-    found = rows.withColumn("code", F.regexp_extract("line", code, 1)).where("code <> ''")
+    """(line_no, code, level, parent_code, label, see_also): a dotted classifier; level and parent come from the code alone, whose fourth pair may be left out."""
+    rule = r"^[^0-9]*?(\d{2}\.\d{2}\.\d{2})(?:\.(\d{2}))?\.?(?!\d)\s*[-–—:*]*\s*(.*)$"
+    last = F.regexp_extract("line", rule, 2)
+    found = rows.where(F.col("line").rlike(rule)).withColumn("code", F.concat_ws(".", F.regexp_extract("line", rule, 1), F.when(last == "", "00").otherwise(last)))
     parts = F.split("code", r"\.")
     level = F.when(F.element_at(parts, 4) != "00", 4).when(F.element_at(parts, 3) != "00", 3).when(F.element_at(parts, 2) != "00", 2).otherwise(1)
-    found = found.withColumns({"level": level, "_rest": F.regexp_extract("line", code, 2)})
+    found = found.withColumns({"level": level, "_rest": F.regexp_extract("line", rule, 3)})
     parent = F.when(F.col("level") == 4, F.concat(F.substring("code", 1, 8), F.lit(".00"))).when(F.col("level") == 3, F.concat(F.substring("code", 1, 5), F.lit(".00.00"))).when(F.col("level") == 2, F.concat(F.substring("code", 1, 2), F.lit(".00.00.00")))
     see = F.regexp_extract_all("_rest", F.lit(r"(\d{2}\.\d{2}\.\d{2}\.\d{2})"), F.lit(1))
     return found.select("line_no", "code", "level", parent.alias("parent_code"), F.trim(F.regexp_replace(F.regexp_replace("_rest", r"(?i)\(?see also.*$", ""), r"\*+", "")).alias("label"), see.alias("see_also"))

@@ -8,15 +8,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType, StringType
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def seq_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """difflib's ratio; the order of the two matters."""
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def nfc(s: pd.Series) -> pd.Series:
     return s.str.normalize("NFC")
 
