@@ -33,28 +33,25 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows without a doc_id stay only if no row of their group has one, one for each of their fingerprints.
     """
-    groups = simhash.simhash_groups(spark, docs)
-    best = groups.where(F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id")))
-    best = best.select("doc_id", F.when(F.col("doc_id").isNull(), F.col("fp")).alias("fp")).distinct()
-    ids = best.where(F.col("doc_id").isNotNull()).select("doc_id")
+    key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    groups = simhash.simhash_groups(spark, docs.select("doc_id", "text")).select("doc_id", F.col("fp").alias("_lg_fp"), "component_id")
+    ids = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     named = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nameless = docs.where(F.col("doc_id").isNull())
-    bare = best.where(F.col("doc_id").isNull())
-    text = simhash.fingerprints(nameless.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), "text"), key="h").dropDuplicates(["h"])
-    kept = nameless.withColumn("_h", F.xxhash64(F.coalesce("text", F.lit("")))).join(text, F.col("_h") == F.col("h")).join(bare.select("fp"), "fp", "left_semi").dropDuplicates(["fp"])
+    bare = groups.where("doc_id IS NULL AND component_id IS NULL").select("_lg_fp").distinct()
+    nameless = docs.where(F.col("doc_id").isNull()).withColumn("_lg_h", key)
+    prints = simhash.fingerprints(nameless.select("_lg_h", "text"), key="_lg_h").withColumnRenamed("fp", "_lg_fp").dropDuplicates(["_lg_h"])
+    kept = nameless.join(prints, "_lg_h").join(bare, "_lg_fp", "left_semi").dropDuplicates(["_lg_fp"])
     return named.select(*docs.columns).unionByName(kept.select(*docs.columns))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that an earlier document has; one that nothing is left of goes, one that was empty before stays."""
-    cut = substrings.without_repeats(spark, docs, docs.columns, "text")
-    cut = cut.where((F.col("n_removed") == 0) | (F.length("kept") > 0))
-    changed = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
-    out = cut.withColumn("_text", changed)
-    fields = {"text": F.col("_text")}
-    if "n_chars" in docs.columns:
-        fields["n_chars"] = F.when(F.col("n_removed") > 0, F.length("_text").cast("long")).otherwise(F.col("n_chars"))
-    return out.select(*[fields.get(c, F.col(c)).alias(c) for c in docs.columns])
+    columns = [f"_lg_{i}" for i in range(len(docs.columns))]  # whatever the documents' columns are named
+    cut = substrings.without_repeats(spark, docs, docs.columns, "text").toDF(*columns, "_lg_bytes", "_lg_removed", "_lg_spans", "_lg_kept")
+    changed = F.col("_lg_removed") > 0
+    new = {"text": F.col("_lg_kept"), "n_chars": F.length("_lg_kept").cast("long")}
+    cut = cut.where(~changed | (F.length("_lg_kept") > 0))
+    return cut.select(*[(F.when(changed, new[c]).otherwise(F.col(x)) if c in new else F.col(x)).alias(c) for c, x in zip(docs.columns, columns, strict=True)])
 
 
 def fill(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,14 +43,14 @@ def presence(text: str) -> np.ndarray:
 
 class Model(NamedTuple):
     labels: list[str]
-    landmarks: np.ndarray  # DIM x landmarks, each of length 1
-    weights: np.ndarray  # landmarks x labels
+    landmarks: np.ndarray  # DIM x landmarks, 0 or 1
+    weights: np.ndarray  # landmarks x labels, for landmarks of length 1
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        """texts x labels: two matrix products."""
+        """texts x labels: two matrix products. The first counts shared n-grams, exactly; the result is rounded, so that a text scores alike in any batch."""
         x = np.stack([presence(t) for t in texts])
-        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
-        return x @ self.landmarks @ self.weights
+        shared = (x @ self.landmarks).astype(np.float64)
+        return np.round(shared / np.sqrt(np.maximum(x.sum(1, dtype=np.float64), 1))[:, None] @ self.weights, 9)
 
 
 def fit(vectors: np.ndarray, labels: list[str]) -> Model | None:
@@ -72,7 +72,8 @@ def fit(vectors: np.ndarray, labels: list[str]) -> Model | None:
     share = 1.0 / np.bincount(which)[which]  # classes weigh the same
     a = (z * share[:, None]).T @ z + RIDGE * np.eye(z.shape[1]) / len(z)
     coefficients = np.linalg.solve(a, (z * share[:, None]).T @ target)
-    return Model(names, np.ascontiguousarray(marks, np.float32), (root @ coefficients).astype(np.float32))
+    weights = (root @ coefficients) / np.sqrt(np.maximum(vectors[own].sum(1, dtype=np.float64), 1))[:, None]
+    return Model(names, np.ascontiguousarray(vectors[own].T, np.float32), weights)
 
 
 def held_out(doc_id) -> F.Column:

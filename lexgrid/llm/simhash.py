@@ -52,7 +52,10 @@ def signed(x: int) -> int:
 
 
 def near(df: DataFrame, store: Store, radius: int = 3, block: int = 1024) -> DataFrame:
-    """Spanning links (a, b) of distinct fingerprints `fp` (long) that differ in at most `radius` bits."""
+    """Links (a, b) of distinct fingerprints `fp` (long) that connect all that differ in at most `radius` bits, and nothing else.
+
+    A bucket gives a link from each fingerprint to the smallest place that it is connected with there.
+    """
     masks = F.array(*[F.lit(signed(m)) for m in covering_masks(radius)])
     tables = df.select("fp", F.posexplode(F.transform(masks, lambda m: m.bitwiseAND(F.col("fp")))).alias("t", "key"))
     paired = in_block_pairs(tables, ["t", "key"], "fp", block)
