@@ -23,6 +23,8 @@ ONE = 12  # bits of a probability
 HITS1, HITS2 = 11, 12  # bits of the tables of order-1 and order-2 predictions
 
 i64 = np.int64
+#: Where a 16-way distribution moves by each choice: every other choice keeps 1 of 1 << ONE.
+GOALS = (np.where(np.arange(17) > np.arange(16)[:, None], (1 << ONE) - 16, 0) + np.arange(17)).astype(np.int16)
 
 
 class Lanes:
@@ -41,7 +43,7 @@ class Lanes:
         half = 1 << 15
         self.p0, self.p1, self.p2 = (np.full(n << b, half, np.int32) for b in (8, 3, 5))
         self.merit = np.full((3, n), half, np.int32)
-        self.tree = np.broadcast_to(np.arange(17, dtype=np.int32) << 8, (n * 529, 17)).copy()  # cumulative, of 1 << ONE
+        self.tree = np.broadcast_to(np.arange(17, dtype=np.int16) << 8, (n * 529, 17)).copy()  # cumulative, of 1 << ONE
         self.prev1, self.prev2 = np.zeros(n, i64), np.zeros(n, i64)
         self.range = np.full(n, 1 << 32, i64)
         if words is None:
@@ -71,7 +73,8 @@ class Lanes:
         goal = np.where(hit, 65535, 0).astype(np.int32)
         for k, (table_, i, p) in enumerate(zip((self.p0, self.p1, self.p2), self.k, self.p, strict=True)):
             table_[i] = p + ((goal - p) >> 4)
-            self.merit[k, :n] += (np.where(hit, p, 65535 - p) - self.merit[k, :n]) >> 4
+            merit = self.merit[k, :n]
+            merit += (np.abs(goal + p - 65535) - merit) >> 4  # p after a hit, 65535 - p after a miss
         for next_, sure, i, c, s, most in ((self.next1, self.sure1, self.i1, self.c1, self.s1, 7), (self.next2, self.sure2, self.i2, self.c2, self.s2, 3)):
             same = c == ids
             next_[i] = np.where(same | (s > 1), c, ids)
@@ -106,9 +109,11 @@ class Lanes:
 
     def spread(self, rows: np.ndarray, cells: np.ndarray, choice: np.ndarray) -> None:
         """Move 16-way distributions towards the choice; every choice keeps a share."""
-        goal = np.where(np.arange(17) > choice[:, None], (1 << ONE) - 16, 0) + np.arange(17)
-        goal[:, 16] = 1 << ONE
-        self.tree[rows] = cells + ((goal - cells) >> 4)
+        goal = GOALS.take(choice, axis=0)
+        goal -= cells
+        goal >>= 4
+        goal += cells
+        self.tree[rows] = goal
 
     @staticmethod
     def row(own: np.ndarray, digits: list[np.ndarray]) -> np.ndarray:
@@ -135,11 +140,11 @@ class Lanes:
             own = np.flatnonzero(~hit)
             if len(own):
                 low, span, y, digits = self.low[own], self.range[own], x[own], []
-                at = np.arange(len(own))
+                at = self.lane[: len(own)]
                 for shift in (12, 8, 4, 0):
                     d = y >> shift & 15
                     rows = self.row(own, digits)
-                    cells = self.tree[rows]
+                    cells = self.tree.take(rows, axis=0)
                     start = cells[at, d]
                     low, span = self.narrow(start, cells[at, d + 1] - start, low, span, own)
                     self.spread(rows, cells, d)
@@ -171,12 +176,12 @@ class Lanes:
             own = np.flatnonzero(~hit)
             if len(own):
                 code, span, y, digits = self.low[own], self.range[own], np.zeros(len(own), i64), []
-                at = np.arange(len(own))
+                at = self.lane[: len(own)]
                 for _ in range(4):
                     rows = self.row(own, digits)
-                    cells = self.tree[rows]
-                    value = np.minimum(code // (span >> ONE), (1 << ONE) - 1)
-                    d = (cells[:, 1:16] <= value[:, None]).sum(1)
+                    cells = self.tree.take(rows, axis=0)
+                    value = np.minimum(code // (span >> ONE), (1 << ONE) - 1).astype(np.int16)
+                    d = (cells[:, 1:] > value[:, None]).argmax(1)
                     start = cells[at, d]
                     code, span = self.widen(start, cells[at, d + 1] - start, code, span, own)
                     self.spread(rows, cells, d)
