@@ -16,8 +16,8 @@ from .common import Store, groups, lean, partitions, table
 
 LENGTH = 50  # bytes of a match
 GRAM = 16  # bytes by which suffixes are sampled and sorted; each match holds LENGTH - GRAM + 1 of them
-BUFFER = 3 << 20  # bytes of text that a task looks at at once
-SHARE = 3 << 20  # bytes of text whose suffixes one shard of the index gets
+BUFFER = 3 << 19  # bytes of text that a task looks at at once
+SHARE = 2 << 20  # bytes of text whose suffixes one shard of the index gets
 LEVEL = 5  # of compression
 BATCH = 1 << 14  # suffixes that enter the index together
 PLACE = np.uint64((1 << 24) - 1)
@@ -46,7 +46,7 @@ class Hashes:
 
     def __init__(self, t: np.ndarray):
         n = len(t)
-        words, up, self.down = powers(1 << max(22, n.bit_length()))
+        words, up, self.down = powers(1 << max(21, n.bit_length()))
         self.sums = np.zeros(n + 1, u64)
         np.cumsum(words[t] * up[:n], out=self.sums[1:])
 
@@ -296,7 +296,7 @@ def shard_spans(blobs: list[bytes], parts: int) -> list[tuple[int, int, bytes]]:
     hit = order[shared[order]]  # in the order of documents
     if not len(hit):
         return []
-    lanes = (heads[hit, 0] ^ heads[hit, 1] * u64(0x9E3779B97F4A7C15)) % u64(max(1, int(lengths[hit].sum()) >> 21) + 1)  # one prefix, one lane
+    lanes = (heads[hit, 0] ^ heads[hit, 1] * u64(0x9E3779B97F4A7C15)) % u64(max(1, int(lengths[hit].sum()) >> 20) + 1)  # one prefix, one lane
     doc_out, key_out, a_out, b_out = [], [], [], []
     for lane in np.unique(lanes):
         ctx = hit[lanes == lane]
@@ -362,7 +362,8 @@ def without_repeats(spark: SparkSession, docs: DataFrame, keep: list[str], kept:
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())], ["to", "kind", "blob"])
 
     def anchors(batches):
-        for b in buffers(x for batch in batches for x in zip(*(c.to_pylist() for c in batch.columns), strict=True)):
+        pieces = (batch.slice(i, 500) for batch in batches for i in range(0, batch.num_rows, 500))
+        for b in buffers(x for piece in pieces for x in zip(*(c.to_pylist() for c in piece.columns), strict=True)):
             yield from emit(survey(b, shards))
 
     def at_shards(f):
