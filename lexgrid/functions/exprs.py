@@ -11,7 +11,7 @@ CONFIDENCE = {
     ("text", "article"): 0.95, ("text", "chapter"): 0.85, ("text", "act"): 0.75,
     ("note", "article"): 0.9, ("note", "chapter"): 0.8, ("note", "act"): 0.7,
 }
-MONTHS = ("yanv", "fevr", "mart", "apre", "may", "iyun", "iyul", "avgu", "sent", "okty", "noya", "deka")
+MONTHS = ("yanv", "fevr", "mart", "apre", "may", "iyun", "iyul", "avgu", "sent", "okta", "noya", "deka")
 APOSTROPHES = "ʻʼ’‘`´ʹ′"
 
 
