@@ -251,18 +251,21 @@ def read_segment(raw: bytes) -> tuple[list[int | None], list[int], np.ndarray]:
 
 
 def segments(docs: DataFrame, end: int = END, path: str | None = None) -> DataFrame:
-    """(part, segment, n_ids, payload): the documents' ids in ascending doc_id order, nulls last, equal ones by their text."""
+    """(part, segment, first, n_ids, payload): the documents' ids in ascending doc_id order, nulls last, equal ones by their text.
+
+    first counts the ids of a part's earlier segments.
+    """
     n = partitions(docs.sparkSession)
 
     def run(batches):
         part, at, tail = TaskContext.get().partitionId(), 0, np.array([end], "<u4").tobytes()
-        ids, own, lengths, held = [], [], [], 0
+        ids, own, lengths, held, first = [], [], [], 0, 0
 
         def emit():
-            nonlocal ids, own, lengths, held, at
+            nonlocal ids, own, lengths, held, at, first
             payload = write_segment(own, lengths, np.frombuffer(b"".join(ids), "<u4"))
-            row = pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "segment": pa.array([at], pa.int32()), "n_ids": pa.array([held], pa.int64()), "payload": pa.array([payload], pa.binary())})
-            ids, own, lengths, held, at = [], [], [], 0, at + 1
+            row = pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "segment": pa.array([at], pa.int32()), "first": pa.array([first], pa.int64()), "n_ids": pa.array([held], pa.int64()), "payload": pa.array([payload], pa.binary())})
+            ids, own, lengths, held, at, first = [], [], [], 0, at + 1, first + held
             return row
 
         for batch in batches:
@@ -280,20 +283,18 @@ def segments(docs: DataFrame, end: int = END, path: str | None = None) -> DataFr
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     key = F.col("doc_id").asc_nulls_last(), F.xxhash64("text")
-    return rows.repartitionByRange(n, *key).sortWithinPartitions(*key).mapInArrow(lean(run), "part int, segment int, n_ids long, payload binary")
+    return rows.repartitionByRange(n, *key).sortWithinPartitions(*key).mapInArrow(lean(run), "part int, segment int, first long, n_ids long, payload binary")
 
 
 def read_ids(files: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document in written segments; start counts the ids of all documents before it.
 
-    Segments start after the totals of the parts before theirs: one row for each task that wrote.
+    Parts start after the totals of the parts before theirs. There is one row for each task that wrote, so what is
+    broadcast is as long as the number of shuffle partitions.
     """
     totals = files.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_part_start"))
-    earlier = Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
-    starts = files.select("part", "segment", F.coalesce(F.sum("n_ids").over(earlier), F.lit(0)).alias("_start")).join(parts, "part")
-    starts = starts.select("part", "segment", (F.col("_start") + F.col("_part_start")).alias("start"))
+    parts = totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start"))
 
     def run(batches):
         for batch in batches:
@@ -305,8 +306,8 @@ def read_ids(files: DataFrame) -> DataFrame:
                 start = batch.column(1)[k].as_py()
                 yield pa.RecordBatch.from_pydict({"doc_id": pa.array(docs, pa.int64()), "start": pa.array([a + start for a in begin], pa.int64()), "n_tokens": pa.array(lengths, pa.int64()), "ids_crc32": pa.array(crc, pa.int64())})
 
-    found = files.select("part", "segment", "payload").join(F.broadcast(starts), ["part", "segment"])
-    return found.select("payload", "start").mapInArrow(lean(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    found = files.join(F.broadcast(parts), "part")
+    return found.select("payload", (F.col("first") + F.col("part_start")).alias("start")).mapInArrow(lean(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op7_idcoder(spark: SparkSession, sf_dir: str) -> DataFrame:
