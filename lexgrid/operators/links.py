@@ -64,13 +64,13 @@ def edges(found: DataFrame, rows: DataFrame, norms: DataFrame, structure: DataFr
     first = norms.withColumns({"_n": F.count("*").over(w), "_k": F.row_number().over(w.orderBy("occurrence"))}).where("_k = 1").select(
         F.col("doc_id").alias("dst_doc_id"), F.col("article_number").alias("article"), F.col("norm_id").alias("dst_norm_id"), (F.col("_n") > 1).alias("dst_ambiguous")
     )
-    known = F.broadcast(structure.select(F.col("node_id").alias("dst_struct_node_id"), F.lit(True).alias("_there")))
+    known = structure.select(F.col("node_id").alias("dst_struct_node_id"), F.lit(True).alias("_there"))
     chapter = F.concat(F.lit("C"), F.col("struct_number"))
     node = F.when(F.col("target_kind") == "section", F.concat(chapter, F.lit(".S"), F.col("section_number"))).when(F.col("target_kind") == "chapter", chapter)
     both = found.join(rows, "row_id").withColumn("dst_doc_id", F.when(F.col("target_kind") == "article", target_doc(F.col("article"))))
     both = both.join(first, ["dst_doc_id", "article"], "left").withColumn("dst_struct_node_id", node).join(known, "dst_struct_node_id", "left")
     back = structure.select(F.col("node_id").alias("_chapter"), F.lit(True).alias("_chapter_there"))
-    both = both.withColumn("_chapter", chapter).join(F.broadcast(back), "_chapter", "left")
+    both = both.withColumn("_chapter", chapter).join(back, "_chapter", "left")
     both = both.withColumn("dst_struct_node_id", F.when(F.col("_there"), F.col("dst_struct_node_id")).when(F.col("_chapter_there") & F.col("target_kind").isin("section", "chapter"), F.col("_chapter")))
     article = F.col("target_kind") == "article"
     both = both.withColumns({"dst_ambiguous": F.coalesce("dst_ambiguous", F.lit(False)), "dst_dangling": article & F.col("dst_doc_id").isNotNull() & F.col("dst_norm_id").isNull()})

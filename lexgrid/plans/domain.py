@@ -127,7 +127,6 @@ def extract_citations(spark, d):
     rows = table(spark, d, "lineitem").where("l_orderkey < 300").select("l_orderkey", "l_linenumber", "l_partkey").distinct()
     n = F.col("l_partkey") + 1
     text = F.concat(F.lit("Bu holat Fuqarolik kodeksining "), n.cast("string"), F.when(F.col("l_partkey") % 2 == 0, F.lit("")).otherwise(F.concat(F.lit(" — "), n + 2)), F.lit("-moddasi bilan belgilanadi, “Sudlar toʻgʻrisida”gi Qonunning 5-moddasi ham."))
-    spark.conf.set("spark.sql.execution.pythonUDTF.arrow.enabled", "true")
     call = ExtractCitations(F.col("r.text").outer(), F.lit(False), F.lit(False), F.lit(None).cast("string"))
     found = rows.withColumn("text", text).alias("r").lateralJoin(call.alias("c"))
     return found.select("r.l_orderkey", "r.l_linenumber", "r.l_partkey", "c.target_kind", "c.article", "c.listing", target_doc(F.col("article")).alias("dst_doc_id"))
