@@ -27,7 +27,7 @@ class Encoder:
     to the library at once as one text. Texts where a space follows other white space go to it whole.
     """
 
-    def __init__(self, path: str | None = None, remembered: int = 400_000, longest: int = 48):
+    def __init__(self, path: str | None = None, remembered: int = 700_000, longest: int = 48):
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path or vocabulary())
@@ -115,6 +115,6 @@ def encoder(path: str | None = None) -> Encoder:
 
 
 def settle() -> None:
-    """Between tasks a worker remembers only the words met last."""
+    """A task's words go with it: the next one's are others, and its memory is."""
     for each in encoders.values():
-        each.old = {}
+        each.new, each.old, each.first = {}, {}, {}
