@@ -100,7 +100,8 @@ def train(docs: DataFrame) -> Model | None:
                 [pa.array([np.packbits(presence(x) > 0).tobytes() for x, _ in own], pa.binary()), pa.array([y for _, y in own], pa.string())], ["bits", "lang"]
             )
 
-    sample = rows.where(unit < share).select("text", "lang").limit(2 * SAMPLE * len(counts)).mapInArrow(lean(bits), "bits binary, lang string")
+    drawn = rows.withColumn("_unit", unit).where(F.col("_unit") < share).dropDuplicates(["_unit", "lang"])  # rows that repeat are drawn once
+    sample = drawn.select("text", "lang").mapInArrow(lean(bits), "bits binary, lang string")
     taken = sorted((r["lang"], bytes(r["bits"])) for r in sample.collect())
     vectors = np.unpackbits(np.frombuffer(b"".join(x for _, x in taken), np.uint8)).reshape(-1, DIM).astype(np.float32)
     return fit(vectors, [y for y, _ in taken])
