@@ -37,7 +37,7 @@ def grow(x: np.ndarray, seed: list[int]) -> Tree:
     cuts, at = np.zeros(inner), np.zeros(len(x), np.int64)
     for k in range(inner):
         own = np.flatnonzero(at == k)
-        p = x[own] @ planes[k]
+        p = (x[own] * planes[k]).sum(1)  # no threaded linear algebra in the driver
         cuts[k] = np.median(p) if len(own) else 0.0
         at[own] = np.where(p <= cuts[k], 2 * k + 1, 2 * k + 2)
     return Tree(planes, cuts, np.bincount(at - inner, minlength=inner + 1) / max(1, len(x)))

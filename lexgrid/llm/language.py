@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import re
 from typing import NamedTuple
 
@@ -83,8 +84,8 @@ def held_out(doc_id) -> F.Column:
 def train(docs: DataFrame) -> Model | None:
     """A model of the labelled rows that are not held out, fitted on about SAMPLE texts of each of the LANGUAGES most frequent labels.
 
-    The driver gets the labels' counts and the sample's presence bits, DIM / 8 bytes a text; the sample is the rows whose
-    hashed doc_id falls below the share that their label needs.
+    The driver gets the labels' counts and the model; the sample's presence bits, DIM / 8 bytes a text, meet in one task.
+    The sample is the rows whose hashed doc_id falls below the share that their label needs.
     """
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "text", "lang")
     counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
@@ -101,10 +102,14 @@ def train(docs: DataFrame) -> Model | None:
             )
 
     drawn = rows.withColumn("_unit", unit).where(F.col("_unit") < share).dropDuplicates(["_unit", "lang"])  # rows that repeat are drawn once
-    sample = drawn.select("text", "lang").mapInArrow(lean(bits), "bits binary, lang string")
-    taken = sorted((r["lang"], bytes(r["bits"])) for r in sample.collect())
-    vectors = np.unpackbits(np.frombuffer(b"".join(x for _, x in taken), np.uint8)).reshape(-1, DIM).astype(np.float32)
-    return fit(vectors, [y for y, _ in taken])
+    def learn(batches):
+        taken = sorted((y, x) for batch in batches for x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        vectors = np.unpackbits(np.frombuffer(b"".join(x for _, x in taken), np.uint8)).reshape(-1, DIM).astype(np.float32)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(vectors, [y for y, _ in taken]))], pa.binary())], ["model"])
+
+    sample = drawn.select("text", "lang").mapInArrow(lean(bits), "bits binary, lang string").repartition(1)
+    made = sample.mapInArrow(lean(learn), "model binary").collect()
+    return pickle.loads(made[0]["model"]) if made else None
 
 
 def predict(docs: DataFrame, model: Model | None, names_of: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:

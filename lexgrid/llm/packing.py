@@ -71,11 +71,14 @@ def best_pattern(prices: np.ndarray, sizes: np.ndarray, room: int) -> tuple[floa
 
 
 def fractional(sizes: np.ndarray, demand: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:
-    """(patterns as columns, how often each is used) of the linear program, by the revised simplex method with priced columns."""
+    """(patterns as columns, how often each is used) of the linear program, by the revised simplex method with priced columns.
+
+    No threaded linear algebra: this runs in the driver, whose process has been forked to start the JVM.
+    """
     m = len(sizes)
     basis = np.diag((room // sizes).astype(float))
     need = demand * (1 + 1e-7 * np.random.default_rng(0).random(m))  # breaks ties of the ratio test
-    inverse = np.linalg.inv(basis)
+    inverse = np.diag(1.0 / np.diag(basis))
     for _ in range(ROUNDS):
         worth, column = best_pattern(inverse.sum(0), sizes, room)
         if worth <= 1 + GAP:  # the bound is what is used, divided by worth
@@ -89,7 +92,7 @@ def fractional(sizes: np.ndarray, demand: np.ndarray, room: int) -> tuple[np.nda
         row = inverse[out] / change[out]
         inverse -= np.outer(change, row)
         inverse[out] = row
-    return basis, np.linalg.solve(basis, demand.astype(float))
+    return basis, (inverse * demand).sum(1)
 
 
 def plan(histogram: dict[int, int], room: int) -> list[tuple[dict[int, int], int]]:
