@@ -10,7 +10,6 @@ from .common import Store, table
 #: (host and path, verdict); fixed values of the query's contract.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 ORDER = 4  # longest context, in characters
-BUCKETS = 1 << 14  # of hashed n-grams for each order: the model's proven size is 2 * (ORDER + 1) * BUCKETS rows
 STRENGTH = 4.0  # pseudo-counts that the shorter context's estimate gets in the longer one's
 MARK, END = "\u0002", "\u0003"
 
@@ -39,50 +38,53 @@ def padded(url: Column) -> Column:
 
 
 def bucket(text: Column) -> Column:
-    return F.pmod(F.xxhash64(text), F.lit(BUCKETS)).cast("int")
+    """What an n-gram or context is counted under: its own characters, so no two share a count."""
+    return text
 
 
-def places(urls: DataFrame) -> DataFrame:
-    """A row for each character of `url` and one for its end: urls' columns without url, and the n-gram and context buckets b0, c0, b1, ..."""
-    at = urls.withColumn("_s", padded(F.col("url"))).drop("url")
-    at = at.withColumn("_i", F.explode(F.sequence(F.lit(ORDER + 1), F.length("_s"))))
-    cells = {}
-    for k in range(ORDER + 1):
-        cells[f"b{k}"] = bucket(F.substr("_s", F.col("_i") - k, F.lit(k + 1)))
-        cells[f"c{k}"] = bucket(F.substr("_s", F.col("_i") - k, F.lit(k)))
-    return at.withColumns(cells).drop("_s", "_i")
-
-
-def counts(labelled: DataFrame) -> DataFrame:
-    """(kind, at, good, bad): occurrences of each n-gram bucket (kind b0, b1, ...) and context bucket (c0, ...) in the labelled urls.
-
-    2 * (ORDER + 1) * BUCKETS rows at most, whatever the input; each task sends one row a bucket.
-    """
-    kinds = [f"{x}{k}" for x in "bc" for k in range(ORDER + 1)]
-    cells = places(labelled).select("good", F.explode(F.array(*[F.struct(F.lit(x).alias("kind"), F.col(x).alias("at")) for x in kinds])).alias("x"))
-    good = F.col("good").cast("long")
-    return cells.groupBy("x.kind", "x.at").agg(F.sum(good).cast("double").alias("good"), F.sum(1 - good).cast("double").alias("bad"))
+def places(texts: DataFrame) -> DataFrame:
+    """A row for each character of `text` and one for its end: texts' columns without text, and gram, the character after the ORDER before it."""
+    at = F.sequence(F.lit(1), F.length("text") + 1)
+    s = padded(F.col("text"))
+    return texts.withColumn("gram", F.explode(F.transform(at, lambda i: F.substr(s, i, F.lit(ORDER + 1))))).drop("text")
 
 
-def scored(urls: DataFrame, model: DataFrame) -> DataFrame:
-    """urls with score: log-likelihood under the accepted model less that under the rejected one, a character; the end counts as one.
+def ratios(grams: DataFrame) -> DataFrame:
+    """(gram, ratio) of every gram of grams (gram, good, bad): log P(last character | those before) in accepted urls less that in rejected ones.
 
-    P(character | up to ORDER before it) is each order's count smoothed by the estimate of the next shorter context. The
-    model's parts are broadcast: BUCKETS rows each at most.
+    P is each order's count smoothed by the estimate of the next shorter context. The shorter n-grams are the ends of
+    the longer ones, and a context's count is that of the n-grams it begins. All tables grow with the distinct n-grams
+    and meet by equi-joins.
     """
-    own = urls.columns
-    at = places(urls.withColumn("_row", F.monotonically_increasing_id()).withColumn("_url", F.col("url")))
-    p = {"good": F.lit(1.0 / 128), "bad": F.lit(1.0 / 128)}
+    both = [F.sum(says).alias(says) for says in ("good", "bad")]
+    below = None
     for k in range(ORDER + 1):
-        for kind in (f"b{k}", f"c{k}"):
-            part = model.where(F.col("kind") == kind).select(F.col("at").alias(kind), F.col("good").alias(f"good_{kind}"), F.col("bad").alias(f"bad_{kind}"))
-            at = at.join(F.broadcast(part), kind, "left")
-        for says in p:
-            n, total = (F.coalesce(F.col(f"{says}_{x}{k}"), F.lit(0.0)) for x in "bc")
-            p[says] = (n + p[says] * STRENGTH) / (total + STRENGTH)
-    names = [c for c in own if c != "url"]
-    out = at.groupBy("_row", "_url", *names).agg(F.avg(F.log(p["good"]) - F.log(p["bad"])).alias("score"))
-    return out.drop("_row").withColumnRenamed("_url", "url")
+        own = grams.groupBy(bucket(F.substr("gram", F.lit(ORDER + 1 - k))).alias("gram")).agg(*both) if k < ORDER else grams
+        own = own.withColumn("context", bucket(F.substr("gram", F.lit(1), F.lit(k)))).withColumn("end", bucket(F.substr("gram", F.lit(2))))
+        total = own.groupBy("context").agg(*[F.sum(says).alias(f"{says}_total") for says in ("good", "bad")])
+        own = own.join(total, "context")
+        if below is None:
+            own = own.withColumns({"p_good": F.lit(1.0 / 128), "p_bad": F.lit(1.0 / 128)})
+        else:
+            own = own.join(below.withColumnRenamed("gram", "end"), "end")
+        p = {says: (F.col(says) + F.col(f"p_{says}") * STRENGTH) / (F.col(f"{says}_total") + STRENGTH) for says in ("good", "bad")}
+        below = own.select("gram", p["good"].alias("p_good"), p["bad"].alias("p_bad"))
+    return below.select("gram", (F.log("p_good") - F.log("p_bad")).alias("ratio"))
+
+
+def scored(rows: DataFrame, store: Store) -> DataFrame:
+    """rows (url, says, any other columns) with score: the mean ratio of a url's characters; the end counts as one.
+
+    Rows that says is "allow" or "block" of teach. Equal urls are scored once; a null one has no character.
+    """
+    text = F.coalesce("url", F.lit(""))
+    taught = [F.count_if(F.col("says") == says).alias(name) for says, name in (("allow", "good"), ("block", "bad"))]
+    texts = store.keep(rows.groupBy(text.alias("text")).agg(*taught).withColumn("_id", F.monotonically_increasing_id()))
+    grams = store.keep(places(texts.drop("_id")).groupBy("gram").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")))
+    known = store.keep(ratios(grams))
+    means = places(texts.select("text", "_id")).join(known, "gram").groupBy("_id").agg(F.avg("ratio").alias("score"))
+    scores = store.keep(texts.join(means, "_id").select(F.col("text").alias("_text"), "score"))
+    return rows.withColumn("_text", text).join(scores, "_text").drop("_text")
 
 
 def judge(spark: SparkSession, pages: DataFrame) -> DataFrame:
@@ -97,8 +99,7 @@ def judge(spark: SparkSession, pages: DataFrame) -> DataFrame:
     rows = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
     rule, says = rule_of(F.col("host"), F.col("path"))
     rows = store.keep(rows.select("*", rule.alias("rule"), says.alias("says")))
-    labelled = rows.where("says is not null").select("url", (F.col("says") == "allow").alias("good"))
-    rated = store.keep(scored(rows, store.keep(counts(labelled))))
+    rated = store.keep(scored(rows, store))
     by = {says: F.col("says") == says for says in ("allow", "block")}
     moments = rated.agg(
         *[f(F.when(by[says], F.col("score"))).alias(f"{name}_{says}") for says in by for name, f in (("m", F.avg), ("s", F.stddev_pop))]

@@ -89,3 +89,37 @@ def test_unruled_urls_follow_their_likeness(spark, sf):
     assert all(r.verdict == ("allow" if r.score >= r.threshold else "block") for r in rows if r.rule is None)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_every_ngram_has_its_own_count(spark):
+    """More n-grams than 16,384 hashed cells could tell apart: unlike url texts still score by what they hold."""
+    import random
+
+    rng = random.Random(2)
+    word = lambda letters: "".join(rng.choices(letters, k=40))
+    old, new = "abcdefghijklm", "nopqrstuvwxyz"
+    urls = [f"https://example.net/en/{word(old)}" for _ in range(1500)] + [f"https://example.com/de/{word(new)}" for _ in range(1500)]
+    urls += [f"https://a.test/{word(old)}" for _ in range(50)] + [f"https://a.test/{word(new)}" for _ in range(50)]
+    rows = [(i, u, None, None, *plain_rule(*plain_split(u))) for i, u in enumerate(urls)]
+    got = sorted(M.judge(spark, spark.createDataFrame([r[:2] for r in rows], "page_id long, url string")).collect(), key=lambda r: r.page_id)
+    counts = {}
+    for _, u, _, _, _, says in rows:
+        if says:
+            s = M.MARK * M.ORDER + u + M.END
+            for i in range(M.ORDER, len(s)):
+                for k in range(M.ORDER + 1):
+                    for key in ((says, "b", s[i - k : i + 1]), (says, "c", s[i - k : i])):
+                        counts[key] = counts.get(key, 0) + 1
+    assert sum(key[1] == "b" for key in counts) > 100_000
+    for g, u in list(zip(got, urls, strict=True))[::100] + [(got[k], urls[k]) for k in (3000, 3099)]:
+        s, total = M.MARK * M.ORDER + u + M.END, 0.0
+        for i in range(M.ORDER, len(s)):
+            p = {}
+            for says in ("allow", "block"):
+                x = 1 / 128
+                for k in range(M.ORDER + 1):
+                    x = (counts.get((says, "b", s[i - k : i + 1]), 0) + x * M.STRENGTH) / (counts.get((says, "c", s[i - k : i]), 0) + M.STRENGTH)
+                p[says] = x
+            total += math.log(p["allow"]) - math.log(p["block"])
+        assert abs(g.score - total / (len(s) - M.ORDER)) < 1e-9
+    assert [r.verdict for r in got[3000:]] == ["allow"] * 50 + ["block"] * 50
