@@ -18,6 +18,7 @@ GRAMS = (1, 2, 3)  # bytes; the blended spectrum
 SAMPLE = 600  # labelled texts of a language that the model is fitted on, as expected from a hashed share of them
 LANGUAGES = 256  # labels at most, the most frequent ones
 LANDMARKS = 160
+JUDGES = 30  # texts at least that say what evidence is usual
 RIDGE = 1e-2
 SEED = 5
 UNKNOWN = "und"
@@ -45,17 +46,23 @@ def presence(text: str) -> np.ndarray:
 class Model(NamedTuple):
     labels: list[str]
     landmarks: np.ndarray  # DIM x landmarks, 0 or 1
-    weights: np.ndarray  # landmarks x labels, for landmarks of length 1
+    weights: np.ndarray  # landmarks x labels and one more, the regression of 1 for every text; for landmarks of length 1
+    usual: float  # evidence that all but a hundredth of the sample's texts that are no landmarks reach; 0 if these are fewer than JUDGES
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        """texts x labels: two matrix products. The first counts shared n-grams, exactly; the result is rounded, so that a text scores alike in any batch."""
+        """texts x labels and one more: two matrix products. The first counts shared n-grams, exactly; the result is rounded, so that a text scores alike in any batch."""
         x = np.stack([presence(t) for t in texts])
         shared = (x @ self.landmarks).astype(np.float64)
         return np.round(shared / np.sqrt(np.maximum(x.sum(1, dtype=np.float64), 1))[:, None] @ self.weights, 9)
 
 
+def evidence(values: np.ndarray) -> np.ndarray:
+    """Of rows of scores(): the largest regression value with 1 for the label and 0, not -1, for others. About 1 for a text like the label's, falling to 0 for one that shares nothing with the landmarks."""
+    return (values[:, :-1].max(1) + values[:, -1]) / 2
+
+
 def fit(vectors: np.ndarray, labels: list[str]) -> Model | None:
-    """Ridge regression of +1 and -1 on the Nyström features of the kernel <x, y> / |x| |y|."""
+    """Ridge regression of +1 and -1, and of 1 alone, on the Nyström features of the kernel <x, y> / |x| |y|."""
     names = sorted(set(labels))
     if not names:
         return None
@@ -69,12 +76,14 @@ def fit(vectors: np.ndarray, labels: list[str]) -> Model | None:
     keep = values > 1e-6 * values.max()
     root = basis[:, keep] / np.sqrt(values[keep])
     z = (x @ marks).astype(np.float64) @ root
-    target = np.where(which[:, None] == np.arange(len(names)), 1.0, -1.0)
+    target = np.where((which[:, None] == np.arange(len(names) + 1)) | (np.arange(len(names) + 1) == len(names)), 1.0, -1.0)
     share = 1.0 / np.bincount(which)[which]  # classes weigh the same
     a = (z * share[:, None]).T @ z + RIDGE * np.eye(z.shape[1]) / len(z)
     coefficients = np.linalg.solve(a, (z * share[:, None]).T @ target)
     weights = (root @ coefficients) / np.sqrt(np.maximum(vectors[own].sum(1, dtype=np.float64), 1))[:, None]
-    return Model(names, np.ascontiguousarray(vectors[own].T, np.float32), weights)
+    judges = np.delete(z, own, axis=0)
+    usual = float(np.quantile(evidence(judges @ coefficients), 0.01)) if len(judges) >= JUDGES else 0.0
+    return Model(names, np.ascontiguousarray(vectors[own].T, np.float32), weights, usual)
 
 
 def held_out(doc_id) -> F.Column:
@@ -112,13 +121,13 @@ def train(docs: DataFrame) -> Model | None:
     return pickle.loads(made[0]["model"]) if made else None
 
 
-def predict(docs: DataFrame, model: Model | None, names_of: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """docs with lang_pred and score (named as names_of says), from whole texts alone.
+def predict(docs: DataFrame, model: Model | None, names_of: tuple[str, ...] = ("lang_pred", "score")) -> DataFrame:
+    """docs with lang_pred, score and, if names_of has a third name, evidence() (named as names_of says), from whole texts alone.
 
-    lang_pred is UNKNOWN and score 0 where the text is null or has no letter, or where there is no model. The score is
+    lang_pred is UNKNOWN, score and evidence 0 where the text is null or has no letter, or where there is no model. The score is
     the winning regression value carried from -1..1 to 0..1. Equal values go to the label that is first by name.
     """
-    schema = docs.withColumns({names_of[0]: F.lit("").cast("string"), names_of[1]: F.lit(0.0)}).schema
+    schema = docs.withColumns({names_of[0]: F.lit("").cast("string"), **{n: F.lit(0.0) for n in names_of[1:]}}).schema
 
     def run(batches):
         for batch in batches:
@@ -126,13 +135,15 @@ def predict(docs: DataFrame, model: Model | None, names_of: tuple[str, str] = ("
             for i in range(0, batch.num_rows, 128):
                 part = batch.slice(i, 128)
                 texts = part.column(at).to_pylist()
-                names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+                names, scores, shown = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
                 rows = [k for k, x in enumerate(texts) if model is not None and x and LETTER.search(x)]
                 if rows:
                     values = model.scores([texts[k] for k in rows])
+                    shown[rows] = evidence(values)
+                    values = values[:, :-1]
                     for k, best, value in zip(rows, values.argmax(1).tolist(), values.max(1).tolist(), strict=True):
                         names[k], scores[k] = model.labels[best], min(max((value + 1) / 2, 0.0), 1.0)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string()), pa.array(scores)], names=[*part.schema.names, *names_of])
+                yield pa.RecordBatch.from_arrays([*part.columns, *[pa.array(names, pa.string()), pa.array(scores), pa.array(shown)][: len(names_of)]], names=[*part.schema.names, *names_of])
 
     return docs.mapInArrow(lean(run), schema)
 

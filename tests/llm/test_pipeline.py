@@ -52,3 +52,26 @@ def test_edges(spark, tmp_path):
     for stage in (C.identify, C.near_dedup, C.cut_repeats, C.fill):
         assert stage(spark, docs(spark, []), "").count() == 0
     assert C.run(spark, written(spark, table, tmp_path)).count() == 3
+
+
+def test_texts_of_no_learned_language_go(spark):
+    """Planted: unlearned scripts and languages, and gibberish. All documents of the table that have a letter stay."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(1)
+    gibberish = lambda n, letters: " ".join("".join(rng.choices(letters, k=rng.randint(3, 9))) for _ in range(n))
+    alien = [
+        "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+        "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα.",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+        "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler.",
+        "人人生而自由，在尊严和权利上一律平等。他们赋有理性和良心，并应以兄弟关系的精神相对待。",
+        *[gibberish(n, "abcdefghijklmnopqrstuvwxyz") for n in (50, 500)],
+        *[gibberish(n, "абвгдежзийклмнопрстуфхцчшщыэюя") for n in (10, 500)],
+    ]
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    planted = spark.createDataFrame([(10**9 + i, x, None, "s", len(x)) for i, x in enumerate(alien)], table.schema)
+    kept = {r.doc_id for r in C.identify(spark, table.unionByName(planted), "").select("doc_id").collect()}
+    assert kept == {r.doc_id for r in table.where(F.col("text").rlike("\\p{L}")).select("doc_id").collect()}
