@@ -16,6 +16,7 @@ from .neardup_vectors import unit_rows, usable
 TREES, DEPTH = 8, 5
 SAMPLE = 16_384  # vectors that the trees are fitted on, expected; all vectors are indexed
 BUDGET = 1.1  # leaves that a query looks into, in tables' worth of rows (a row that several trees offer counts in each)
+EXACT = 256  # vectors of a dimension in the sample under which it has no trees but one leaf, which every query looks into
 TOP = 5
 EVERY = 50  # the stated query set: vec_id divisible by this
 ROWS, QUERIES = 20_000, 4_000  # of a block of a leaf, about
@@ -136,7 +137,8 @@ def nearest(spark: SparkSession, vectors: DataFrame, is_query, top: int = TOP, b
 
     Vectors that are null, empty, zero or hold null or non-finite components take no part, nor do rows without a vec_id
     or of another length than the query's. Equal vectors are indexed once with their smallest ids, which is all that a
-    result can show of them. Rows of the query's own vec_id are no candidates; an id whose rows hold several vectors is
+    result can show of them. A dimension of few vectors is searched whole; for others, the budget is spent on at least
+    budget / TREES of one tree's vectors, which are more than `top`. Rows of the query's own vec_id are no candidates; an id whose rows hold several vectors is
     a query by each. Leaves are compared in blocks of rows and queries, so no task grows with the table. Ties go to the
     smaller vec_id. An empty table gives no row.
     """
@@ -150,8 +152,11 @@ def nearest(spark: SparkSession, vectors: DataFrame, is_query, top: int = TOP, b
     share = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), "h1"), 11).cast("double") * 2.0**-53
     taken = [r[0] for r in classes.where(share < SAMPLE / max(n, 1)).orderBy("h1").limit(2 * SAMPLE).select("embedding").collect()] if n else []
     forest: dict[int, list[Tree]] = {}
+    few = max(EXACT, -(-(top + 1) * TREES // budget))
     for dim in {len(v) for v in taken}:
         own = [v for v in taken if len(v) == dim]
+        if len(own) < few:
+            continue
         unit = unit_rows(np.array(own, np.float64).ravel(), len(own))
         forest[dim] = [grow(unit, [SEED, dim, t]) for t in range(TREES)]
     row_blocks = max(1, -(-n // (ROWS << DEPTH)))

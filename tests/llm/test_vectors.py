@@ -113,3 +113,18 @@ def test_nearest_recall_and_ties(spark):
     assert [i for _, i, _ in sorted(got[750])] == [3, 700, 701, 702, 703]
     assert 850 not in got and 900 not in got
     assert ann.nearest(spark, table(spark, []), F.lit(True)).count() == 0
+
+
+def test_small_tables_give_all_their_neighbours(spark):
+    """Each dimension is a small table of its own: its exact nearest 5, or all others if fewer."""
+    rng = np.random.default_rng(9)
+    sizes = {3: 2, 4: 3, 5: 5, 6: 7, 7: 9, 8: 12, 9: 40, 10: 255}
+    rows = [(1000 * dim + i, [float(np.float32(x)) for x in rng.standard_normal(dim)], 0) for dim, n in sizes.items() for i in range(n)]
+    got = {}
+    for r in ann.nearest(spark, table(spark, rows), F.expr("vec_id % 1000 < 12")).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    by = dict((i, v) for i, v, _ in rows)
+    assert set(got) == {i for i in by if i % 1000 < 12}
+    for q, own in got.items():
+        truth = sorted((-cosine(by[q], v), i) for i, v in by.items() if i != q and len(v) == len(by[q]))[:5]
+        assert [i for _, i in sorted(own)] == [i for _, i in truth]
