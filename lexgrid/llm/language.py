@@ -16,7 +16,7 @@ from .common import lean, table
 DIM = 1 << 13  # of hashed n-gram presence
 GRAMS = (1, 2, 3)  # bytes; the blended spectrum
 SAMPLE = 600  # labelled texts of a language that the model is fitted on, as expected from a hashed share of them
-LANGUAGES = 256  # labels at most, the most frequent ones
+TEXTS = 256 * SAMPLE  # that the model is fitted on in all; with more labels than 256, each has fewer than SAMPLE
 LANDMARKS = 160
 JUDGES = 30  # texts at least that say what evidence is usual
 RIDGE = 1e-2
@@ -61,29 +61,38 @@ def evidence(values: np.ndarray) -> np.ndarray:
     return (values[:, :-1].max(1) + values[:, -1]) / 2
 
 
-def fit(vectors: np.ndarray, labels: list[str]) -> Model | None:
-    """Ridge regression of +1 and -1, and of 1 alone, on the Nyström features of the kernel <x, y> / |x| |y|."""
+def fit(bits: np.ndarray, labels: list[str], block: int = 4096) -> Model | None:
+    """Ridge regression of +1 and -1, and of 1 alone, on the Nyström features of the kernel <x, y> / |x| |y|. bits: packed presence, a row a text; they are unpacked by the block."""
     names = sorted(set(labels))
     if not names:
         return None
-    x = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
-    which = np.array([names.index(y) for y in labels])
+    place = {y: k for k, y in enumerate(names)}
+    which = np.array([place[y] for y in labels])
     rng = np.random.default_rng(SEED)
     each = -(-LANDMARKS // len(names))
-    own = np.concatenate([rng.permutation(np.flatnonzero(which == k))[:each] for k in range(len(names))])
-    marks = x[own].T
+    own = np.concatenate([rng.permutation(rows)[:each] for rows in np.split(np.argsort(which, kind="stable"), np.cumsum(np.bincount(which))[:-1])])
+    vectors = lambda rows: np.unpackbits(bits[rows], axis=1).astype(np.float32)
+    unit = lambda x: x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    landmarks = vectors(own)
+    marks = unit(landmarks).T
     values, basis = np.linalg.eigh((marks.T @ marks).astype(np.float64))
     keep = values > 1e-6 * values.max()
     root = basis[:, keep] / np.sqrt(values[keep])
-    z = (x @ marks).astype(np.float64) @ root
-    target = np.where((which[:, None] == np.arange(len(names) + 1)) | (np.arange(len(names) + 1) == len(names)), 1.0, -1.0)
+    features = lambda rows: (unit(vectors(rows)) @ marks).astype(np.float64) @ root
     share = 1.0 / np.bincount(which)[which]  # classes weigh the same
-    a = (z * share[:, None]).T @ z + RIDGE * np.eye(z.shape[1]) / len(z)
-    coefficients = np.linalg.solve(a, (z * share[:, None]).T @ target)
-    weights = (root @ coefficients) / np.sqrt(np.maximum(vectors[own].sum(1, dtype=np.float64), 1))[:, None]
-    judges = np.delete(z, own, axis=0)
-    usual = float(np.quantile(evidence(judges @ coefficients), 0.01)) if len(judges) >= JUDGES else 0.0
-    return Model(names, np.ascontiguousarray(vectors[own].T, np.float32), weights, usual)
+    a, right = RIDGE * np.eye(root.shape[1]) / len(which), np.zeros((root.shape[1], len(names) + 1))
+    for i in range(0, len(which), block):
+        rows = np.arange(i, min(i + block, len(which)))
+        z, columns = features(rows), np.arange(len(names) + 1)
+        target = np.where((which[rows, None] == columns) | (columns == len(names)), 1.0, -1.0)
+        a += (z * share[rows, None]).T @ z
+        right += (z * share[rows, None]).T @ target
+    coefficients = np.linalg.solve(a, right)
+    weights = (root @ coefficients) / np.sqrt(np.maximum(landmarks.sum(1, dtype=np.float64), 1))[:, None]
+    judges = np.setdiff1d(np.arange(len(which)), own)
+    shown = [evidence(features(judges[i : i + block]) @ coefficients) for i in range(0, len(judges), block)]
+    usual = float(np.quantile(np.concatenate(shown), 0.01)) if len(judges) >= JUDGES else 0.0
+    return Model(names, np.ascontiguousarray(landmarks.T), weights, usual)
 
 
 def held_out(doc_id) -> F.Column:
@@ -91,16 +100,17 @@ def held_out(doc_id) -> F.Column:
 
 
 def train(docs: DataFrame) -> Model | None:
-    """A model of the labelled rows that are not held out, fitted on about SAMPLE texts of each of the LANGUAGES most frequent labels.
+    """A model of the labelled rows that are not held out, fitted on about SAMPLE texts of each label, or TEXTS in all if there are more labels than that allows.
 
     The driver gets the labels' counts and the model; the sample's presence bits, DIM / 8 bytes a text, meet in one task.
     The sample is the rows whose hashed doc_id falls below the share that their label needs.
     """
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "text", "lang")
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()
     if not counts:
         return None
-    share = F.element_at(F.create_map(*[F.lit(y) for r in counts for y in (r["lang"], SAMPLE / r["n"])]), F.col("lang"))
+    each = min(SAMPLE, max(1, TEXTS // len(counts)))
+    share = F.element_at(F.create_map(*[F.lit(y) for r in counts for y in (r["lang"], each / r["n"])]), F.col("lang"))
     unit = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), "doc_id", F.length("text")), 11).cast("double") * 2.0**-53
 
     def bits(batches):
@@ -113,8 +123,8 @@ def train(docs: DataFrame) -> Model | None:
     drawn = rows.withColumn("_unit", unit).where(F.col("_unit") < share).dropDuplicates(["_unit", "lang"])  # rows that repeat are drawn once
     def learn(batches):
         taken = sorted((y, x) for batch in batches for x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True))
-        vectors = np.unpackbits(np.frombuffer(b"".join(x for _, x in taken), np.uint8)).reshape(-1, DIM).astype(np.float32)
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(vectors, [y for y, _ in taken]))], pa.binary())], ["model"])
+        packed = np.frombuffer(b"".join(x for _, x in taken), np.uint8).reshape(-1, DIM // 8)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(packed, [y for y, _ in taken]))], pa.binary())], ["model"])
 
     sample = drawn.select("text", "lang").mapInArrow(lean(bits), "bits binary, lang string").repartition(1)
     made = sample.mapInArrow(lean(learn), "model binary").collect()

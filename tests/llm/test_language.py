@@ -41,3 +41,23 @@ def test_no_labels_and_no_rows(spark, tmp_path):
     out = M.op5_language(spark, written(spark, docs(spark, [(1, "abc"), (2, None)]), tmp_path)).collect()
     assert [(r.lang_pred, r.score) for r in out] == [("und", 0.0)] * 2
     assert M.op5_language(spark, written(spark, docs(spark, []), tmp_path)).count() == 0
+
+
+def test_every_label_is_learned(spark):
+    """More labels than the 256 that were learned before, the last ones rarer."""
+    import random
+
+    rng = random.Random(3)
+    words = {f"l{k:03d}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(5)] for k in range(290)}
+    rows = [(i, " ".join(rng.sample(words[y], 4)), y) for i, y in enumerate(y for k, y in enumerate(words) for _ in range(12 if k < 256 else 8))]
+    table = docs(spark, rows)
+    got = M.predict(table.select("lang", "text"), M.train(table)).select("lang", "lang_pred").collect()
+    assert len(got) == len(rows) and np.mean([r.lang == r.lang_pred for r in got]) > 0.98
+    assert {r.lang_pred for r in got} == set(words)
+
+
+def test_blocks_of_the_fit_add_up():
+    rng = np.random.default_rng(1)
+    bits, labels = rng.integers(0, 256, (300, M.DIM // 8), np.uint8), [f"l{k % 3}" for k in range(300)]
+    one, many = M.fit(bits, labels), M.fit(bits, labels, block=17)
+    assert np.allclose(one.weights, many.weights, atol=1e-5) and abs(one.usual - many.usual) < 1e-3
