@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
@@ -153,11 +153,16 @@ def resolve_cascade(spark, d):
 @query()
 def fuzzy_ratio(spark, d):
     """The most similar name within a brand, if it is well ahead of the next."""
-    p = table(spark, d, "part").where("p_partkey < 2000").select("p_partkey", "p_brand", "p_name")
-    other = p.select(F.col("p_partkey").alias("q_partkey"), "p_brand", F.concat("p_name", F.lit("s")).alias("q_name"))
-    scored = p.join(other, "p_brand").where("p_partkey <> q_partkey").withColumn("r", seq_ratio("p_name", "q_name"))
-    best = W.top1(W.spans(scored.withColumn("neg", -F.col("r")), ["p_partkey"], "neg", "next_neg"), ["p_partkey"], [F.desc("r"), "q_partkey"])
-    return best.where("r >= 0.8").select("p_partkey", "q_partkey", F.round("r", 6).alias("ratio"))
+    p = table(spark, d, "part").select("p_partkey", "p_brand", "p_name")
+    names = p.select("p_brand", "p_name").distinct()  # parts share names; a pair of names is compared once
+    other = names.select("p_brand", F.col("p_name").alias("q_name"))
+    scored = names.join(other, "p_brand").withColumn("r", seq_ratio("p_name", F.concat("q_name", F.lit("s")))).where("r >= 0.8")
+    w = Window.partitionBy("p_brand", "p_name").orderBy("p_partkey")
+    first = p.distinct().withColumn("k", F.row_number().over(w)).where("k <= 2")  # one may be the part itself
+    first = first.select("p_brand", F.col("p_name").alias("q_name"), F.col("p_partkey").alias("q_partkey"))
+    pairs = p.join(scored.join(first, ["p_brand", "q_name"]), ["p_brand", "p_name"]).where("p_partkey <> q_partkey")
+    best = W.top1(pairs, ["p_partkey"], [F.desc("r"), "q_partkey"])
+    return best.select("p_partkey", "q_partkey", F.round("r", 6).alias("ratio"))
 
 
 @query("SELECT o_custkey AS doc_id, CAST(count(*) FILTER (WHERE o_totalprice < 100000) AS BIGINT) AS n_partial, CAST(count(*) FILTER (WHERE o_totalprice >= 100000) AS BIGINT) AS n_whole, arg_max(o_orderkey, o_orderdate::VARCHAR || lpad(CAST(o_orderkey AS VARCHAR), 12, '0')) AS last_clause, string_agg(DISTINCT CASE WHEN o_totalprice < 100000 THEN o_orderpriority END, ', ' ORDER BY CASE WHEN o_totalprice < 100000 THEN o_orderpriority END) AS locators FROM orders GROUP BY 1")

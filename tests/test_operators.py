@@ -81,3 +81,20 @@ def test_nfc_and_ratio(spark):
     df = spark.createDataFrame([("é", "abcd", "abcx")], "a string, b string, c string")
     r = df.select(resolve.nfc("a").alias("a"), resolve.seq_ratio("b", "c").alias("r")).first()
     assert r.a == "é" and abs(r.r - 0.75) < 1e-9
+
+
+def test_fuzzy_ratio_takes_every_part(spark, tmp_path):
+    from difflib import SequenceMatcher
+
+    from lexgrid.plans import catalog
+
+    names = ["cold widget", "colder widget", "small bolt", "smaller bolts", "ring", None, "cold widget"]
+    rows = [(1990 + i, f"b{i % 3 % 2}", names[i * 5 % 7]) for i in range(40)]
+    spark.createDataFrame(rows, "p_partkey long, p_brand string, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    expected = set()
+    for i, brand, name in rows:
+        found = [(-SequenceMatcher(None, name, f"{other}s").ratio(), j) for j, b, other in rows if name and other and b == brand and j != i]
+        if found and min(found)[0] <= -0.8:
+            expected.add((i, min(found)[1], round(-min(found)[0], 6)))
+    got = {tuple(r) for r in catalog.queries()["fuzzy_ratio"](spark, str(tmp_path)).collect()}
+    assert got == expected and max(expected)[0] > 2000
