@@ -34,17 +34,19 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group: the one with the smallest doc_id, once if its row is repeated.
 
+    Of texts that share that doc_id the one with the least hash stays; groups stay apart though they share a doc_id.
     Rows without a doc_id stay only if no row of their group has one, one for each of their fingerprints.
     """
-    key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    groups = simhash.simhash_groups(spark, docs.select("doc_id", "text")).select("doc_id", F.col("fp").alias("_lg_fp"), "component_id")
-    ids = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    bare = groups.where("doc_id IS NULL AND component_id IS NULL").select("_lg_fp").distinct()
-    nameless = docs.where(F.col("doc_id").isNull()).withColumn("_lg_h", key)
-    prints = simhash.fingerprints(nameless.select("_lg_h", "text"), key="_lg_h").withColumnRenamed("fp", "_lg_fp").dropDuplicates(["_lg_h"])
-    kept = nameless.join(prints, "_lg_h").join(bare, "_lg_fp", "left_semi").dropDuplicates(["_lg_fp"])
-    return named.select(*docs.columns).unionByName(kept.select(*docs.columns))
+    keyed = docs.withColumn("_lg_k", F.xxhash64("doc_id", F.coalesce(F.col("text"), F.lit(""))))  # rows that are alike are one
+    groups = simhash.simhash_groups(spark, keyed.select(F.col("_lg_k").alias("doc_id"), "text"))
+    groups = groups.select(F.col("doc_id").alias("_lg_k"), F.col("fp").alias("_lg_fp"), F.col("component_id").alias("_lg_c")).distinct()
+    members = groups.join(keyed.select("_lg_k", "doc_id").distinct(), "_lg_k")
+    least = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "_lg_k"))).alias("_lg_named")
+    prints = members.groupBy("_lg_c", "_lg_fp").agg(least, F.min("_lg_k").alias("_lg_any"))
+    named = prints.groupBy("_lg_c").agg(F.min("_lg_named").alias("_lg_first"))
+    bare = prints.join(named.where("_lg_first IS NULL"), "_lg_c").select(F.col("_lg_any").alias("_lg_k"))
+    kept = named.where("_lg_first IS NOT NULL").select(F.col("_lg_first._lg_k").alias("_lg_k")).unionByName(bare)
+    return keyed.join(kept, "_lg_k", "left_semi").dropDuplicates(["_lg_k"]).select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -75,3 +75,11 @@ def test_texts_of_no_learned_language_go(spark):
     planted = spark.createDataFrame([(10**9 + i, x, None, "s", len(x)) for i, x in enumerate(alien)], table.schema)
     kept = {r.doc_id for r in C.identify(spark, table.unionByName(planted), "").select("doc_id").collect()}
     assert kept == {r.doc_id for r in table.where(F.col("text").rlike("\\p{L}")).select("doc_id").collect()}
+
+
+def test_near_dedup_of_shared_ids(spark):
+    """Unlike texts that share a doc_id are documents of their own groups."""
+    a, b, c = (" ".join(f"{w}{i}" for i in range(60)) for w in ("alpha", "beta", "gamma"))
+    rows = [(5, a), (5, b), (5, b), (7, b), (8, c), (8, a), (None, c), (None, "delta " * 50)]
+    got = sorted(((str(r.doc_id), r.text) for r in C.near_dedup(spark, docs(spark, rows), "").collect()))
+    assert got == sorted([("5", a), ("5", b), ("8", c), ("None", "delta " * 50)])
