@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -14,204 +15,249 @@ from pyspark.sql import functions as F
 from .common import Store, lean, partitions, table
 from .tokens import encoder
 
-BLOCK = 2048  # ids; a block starts from an empty model
+BLOCK = 2048  # ids; a block starts from the segment's tables and an empty memory
 LANES = 1024  # blocks coded side by side: step k works on the k-th id of each
 SEGMENT = BLOCK * LANES  # ids after which a segment ends with its document
 END = 2  # the id after each document
-MAGIC = b"LXID1"
-ONE = 12  # bits of a probability
-HITS1, HITS2 = 11, 12  # bits of the tables of order-1 and order-2 predictions
+MAGIC = b"LXID2"
+GROUPS = 16  # of ids that are followed alike: each has a table of what follows it
+ROUNDS = 5  # of grouping
+ONE, FINE = 12, 16  # bits of the probability that a guess holds, and of the tables'
+SLOTS = 11  # bits of each block's memory of what followed an id, and of what followed two
+CELLS = 80  # adaptive probabilities of a block
+LOW, WORD = 32, 16  # a range below 1 << LOW is widened by a WORD
 
 i64 = np.int64
-#: Where a 16-way distribution moves by each choice: every other choice keeps 1 of 1 << ONE.
-GOALS = (np.where(np.arange(17) > np.arange(16)[:, None], (1 << ONE) - 16, 0) + np.arange(17)).astype(np.int16)
+#: Where the adaptive probabilities start, of 1 << 16: the better what speaks for the guess, the likelier.
+START = np.array(
+    [1500 + 3500 * (k // 2) for k in range(32)] + [1000 + 9000 * (k >> 3) + 2500 * (k >> 1 & 3) + 6000 * (k & 1) for k in range(32)] + [2000 + 7000 * (k >> 2) + 6000 * (k & 3) for k in range(16)],
+    np.int32,
+)
+
+
+class Tables(NamedTuple):
+    """The order-0 and order-1 predictions that every block of a segment starts from; they stand in its head."""
+
+    ids: np.ndarray  # the distinct ids, ascending; below, an id is its place here
+    group: np.ndarray  # of each id, and of a block's start, as what comes before
+    freq: np.ndarray  # groups x ids, each group's row adding up to 1 << FINE; 0 where an id never follows
+
+    @classmethod
+    def of(cls, ids: np.ndarray) -> Tables:
+        """Of the ids of a segment. Groups grow by likelihood: each id joins the group whose table codes its followers best."""
+        names = np.unique(ids)
+        d = len(names)
+        if d >= 1 << FINE:
+            raise ValueError(f"a segment holds at most {(1 << FINE) - 1} different ids")
+        if not d:
+            return cls(names.astype("<u4"), np.zeros(1, np.uint8), np.zeros((1, 0), np.int64))
+        x = np.searchsorted(names, ids)
+        before = np.concatenate([[d], x[:-1]])
+        before[::BLOCK] = d
+        pair = before * d + x
+        if d * (d + 1) <= 1 << 23:
+            n = np.bincount(pair)
+            pair = np.flatnonzero(n)
+            n = n[pair]
+        else:
+            pair, n = np.unique(pair, return_counts=True)
+        of, follows = pair // d, pair % d
+        first = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+        owner = of[first]
+        weight = np.add.reduceat(n, first)
+        k = min(GROUPS, len(owner))
+        base = np.bincount(follows, n, d) / n.sum()
+        group = np.full(d + 1, -1)
+        group[owner[np.argsort(-weight, kind="stable")[:k]]] = np.arange(k)
+        for _ in range(ROUNDS):
+            own = group[of]
+            seen = np.bincount(own[own >= 0] * d + follows[own >= 0], n[own >= 0], k * d).reshape(k, d)
+            logs = np.log((seen + 2 * base) / (seen.sum(1, keepdims=True) + 2))
+            fits = [np.add.reduceat(n * logs[j][follows], first) for j in range(k)]
+            group[owner] = np.argmax(fits, 0)
+        group = np.maximum(group, 0)
+        seen = np.bincount(group[of] * d + follows, n, k * d).reshape(k, d).astype(i64)
+        there = seen > 0
+        freq = np.where(there, np.maximum(1, seen * ((1 << FINE) - there.sum(1, keepdims=True)) // np.maximum(seen.sum(1, keepdims=True), 1)), 0)
+        rows = np.flatnonzero(there.any(1))
+        freq[rows, freq[rows].argmax(1)] += (1 << FINE) - freq[rows].sum(1)
+        return cls(names.astype("<u4"), group.astype(np.uint8), freq)
+
+    def pack(self) -> bytes:
+        flat = self.freq.T.astype("<u4").tobytes()  # an id's cells side by side
+        return struct.pack("<II", *self.freq.shape) + zlib.compress(np.diff(self.ids, prepend=0).astype("<u4").tobytes() + self.group.tobytes() + flat, 6)
+
+    @classmethod
+    def unpack(cls, raw: bytes) -> Tables:
+        k, d = struct.unpack_from("<II", raw)
+        flat = zlib.decompress(raw[8:])
+        ids = np.cumsum(np.frombuffer(flat, "<u4", d)).astype("<u4")
+        return cls(ids, np.frombuffer(flat, np.uint8, d + 1, 4 * d), np.frombuffer(flat, "<u4", k * d, 5 * d + 1).reshape(d, k).T.astype(i64))
 
 
 class Lanes:
     """The models of several blocks, and either end of their range coders.
 
-    Order 1 and order 2 predict the id that last followed the same one or two ids. Whether the prediction holds is one
-    binary symbol, whose probability mixes what the confidence of order 2, that of order 1, and the predicted id itself
-    (order 0) say, weighted by how well each did lately. An id that isn't predicted is coded by order 0: four adaptive
-    16-way choices. All arithmetic is on integers, so every machine decodes alike.
+    Two memories hold the id that last followed the same one or two ids of the block. The guess is what order 2 remembers,
+    else what order 1 does. Whether it holds is one binary symbol: its probability mixes three adaptive ones, which are
+    looked up by what the order-0 and order-1 tables give the guess, by how sure both memories are, and by how guesses
+    went lately; each weighs by how well it did. An id that wasn't guessed is a second symbol, coded by the table of the
+    id before it. All arithmetic is on integers, so every machine decodes alike.
     """
 
-    def __init__(self, n: int, words: list[bytes] | None = None, room: int = 0):
+    def __init__(self, tables: Tables, n: int, words: list[bytes] | None = None, room: int = 0):
+        k, d = tables.freq.shape
+        self.d, self.ids = d, tables.ids
+        self.row = tables.group.astype(i64) * d  # where the table of what follows an id begins
+        self.freq = tables.freq.ravel()
+        self.start = (np.cumsum(tables.freq, 1) - tables.freq).ravel()
+        self.grade = (2 * np.minimum(np.frexp(self.freq.astype(float))[1], 15)).astype(i64)
         self.lane = np.arange(n)
-        self.next1, self.next2 = np.zeros(n << HITS1, np.int32), np.zeros(n << HITS2, np.int32)
-        self.sure1, self.sure2 = np.zeros(n << HITS1, np.int8), np.zeros(n << HITS2, np.int8)
-        half = 1 << 15
-        self.p0, self.p1, self.p2 = (np.full(n << b, half, np.int32) for b in (8, 3, 5))
-        self.merit = np.full((3, n), half, np.int32)
-        self.tree = np.broadcast_to(np.arange(17, dtype=np.int16) << 8, (n * 529, 17)).copy()  # cumulative, of 1 << ONE
-        self.prev1, self.prev2 = np.zeros(n, i64), np.zeros(n, i64)
-        self.range = np.full(n, 1 << 32, i64)
+        self.slot = np.stack([self.lane, self.lane]) * (2 << SLOTS) + np.array([[0], [1 << SLOTS]])
+        self.cell = np.stack([self.lane * CELLS + c for c in (0, 32, 64)])
+        self.memory = np.zeros(n * (2 << SLOTS), np.int32)
+        self.cells = np.tile(START, n)
+        self.merit = np.full((3, n), 1 << 15, np.int32)
+        self.recent = np.zeros(n, i64)
+        self.before, self.before2 = np.full(n, d), np.full(n, d)
+        self.range, self.low, self.at = np.full(n, 1 << (LOW + WORD), i64), np.zeros(n, i64), np.zeros(n, i64)
         if words is None:
-            self.low, self.out, self.at = np.zeros(n, i64), np.zeros((n, room), np.int32), np.zeros(n, i64)
+            self.out = np.zeros((n, room), np.int32)
         else:
-            most = max(map(len, words)) // 2 + 4
-            self.words = np.zeros((n, most), i64)
-            for k, w in enumerate(words):
-                self.words[k, : len(w) // 2] = np.frombuffer(w, ">u2")
-            self.low, self.at = self.words[:, 0] << 16 | self.words[:, 1], np.full(n, 2, i64)
-
-    def predict(self, n: int):
-        lane = self.lane[:n]
-        self.i1 = (lane << HITS1) + (self.prev1[:n] * 40503 >> 3 & ((1 << HITS1) - 1))
-        self.i2 = (lane << HITS2) + ((self.prev1[:n] * 40503 + self.prev2[:n] * 10007 >> 2) & ((1 << HITS2) - 1))
-        self.c1, self.c2, self.s1, self.s2 = self.next1[self.i1], self.next2[self.i2], self.sure1[self.i1], self.sure2[self.i2]
-        guess = np.where(self.s2 > 0, self.c2, self.c1)
-        agree = self.c1 == self.c2
-        self.k = ((lane << 8) + (guess * 40503 >> 4 & 255), (lane << 3) + self.s1, (lane << 5) + (self.s2 * 2 + agree) * 4 + np.minimum(self.s1, 3))
-        self.p = (self.p0[self.k[0]], self.p1[self.k[1]], self.p2[self.k[2]])
-        w = [m[:n].astype(i64) >> 4 for m in self.merit]
-        w = [x * x >> 8 for x in w]
-        mixed = (w[0] * self.p[0] + w[1] * self.p[1] + w[2] * self.p[2]) // (w[0] + w[1] + w[2] + 1)
-        return guess, np.clip(mixed >> (16 - ONE), 1, (1 << ONE) - 1)
+            self.lookup = np.zeros((k, 1 << FINE), np.uint16)
+            for j, f in enumerate(tables.freq):
+                if f.any():
+                    self.lookup[j] = np.repeat(np.arange(d), f)
+            self.lookup = self.lookup.ravel()
+            self.words = np.zeros((n, max(map(len, words)) // 2 + 6), i64)
+            for j, w in enumerate(words):
+                self.words[j, : len(w) // 2] = np.frombuffer(w, ">u2")
+            for _ in range(3):
+                self.low = self.low << WORD | self.words[self.lane, self.at]
+                self.at += 1
+
+    def predict(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(guess, probability that it holds, where the table of what follows the id before begins) for the first n lanes."""
+        one, two = self.before[:n], self.before2[:n]
+        self.i = self.slot[:, :n].copy()
+        mask = (1 << SLOTS) - 1
+        self.i[0] += one & mask
+        self.i[1] += (one * 40503 + two * 10007 >> 2) & mask
+        self.e = self.memory[self.i]
+        self.sure, self.said = self.e & 3, self.e >> 2
+        guess = np.where(self.sure[1] > 0, self.said[1], self.said[0])
+        agree = self.said[0] == self.said[1]
+        row = self.row[one]
+        self.k = self.cell[:, :n].copy()
+        self.k[0] += self.grade[row + guess] + agree
+        self.k[1] += (self.sure[1] << 3) + (self.sure[0] << 1) + agree
+        self.k[2] += (self.sure[1] << 2) + self.recent[:n]
+        self.p = self.cells[self.k]
+        w = self.merit[:, :n] >> 6
+        w = (w * w >> 8) + 1
+        v = w * self.p
+        mixed = (v[0] + v[1] + v[2]) // (w[0] + w[1] + w[2])
+        return guess, (mixed >> (16 - ONE) | 1).astype(i64), row
 
     def learn(self, n: int, ids: np.ndarray, hit: np.ndarray) -> None:
-        goal = np.where(hit, 65535, 0).astype(np.int32)
-        for k, (table_, i, p) in enumerate(zip((self.p0, self.p1, self.p2), self.k, self.p, strict=True)):
-            table_[i] = p + ((goal - p) >> 4)
-            merit = self.merit[k, :n]
-            merit += (np.abs(goal + p - 65535) - merit) >> 4  # p after a hit, 65535 - p after a miss
-        for next_, sure, i, c, s, most in ((self.next1, self.sure1, self.i1, self.c1, self.s1, 7), (self.next2, self.sure2, self.i2, self.c2, self.s2, 3)):
-            same = c == ids
-            next_[i] = np.where(same | (s > 1), c, ids)
-            sure[i] = np.where(same, np.minimum(s + 1, most), np.where(s > 1, s >> 1, 1))
-        self.prev2[:n] = self.prev1[:n]
-        self.prev1[:n] = ids
-
-    def narrow(self, start, size, low, span, own):
-        """Encoder: the ranges of the lanes `own` become the parts [start, start + size) of 1 << ONE."""
-        part = span >> ONE
-        low, span = low + part * start, part * size
-        less = np.flatnonzero(span < 1 << 16)
-        if len(less):
-            of = own[less]
-            self.out[of, self.at[of]] = low[less] >> 16  # a 17th bit is a carry, resolved at the end
-            self.at[of] += 1
-            low[less] = (low[less] & 0xFFFF) << 16
-            span[less] <<= 16
-        return low, span
-
-    def widen(self, start, size, code, span, own):
-        """Decoder: the same step."""
-        part = span >> ONE
-        code, span = code - part * start, part * size
-        less = np.flatnonzero(span < 1 << 16)
-        if len(less):
-            of = own[less]
-            code[less] = code[less] << 16 | self.words[of, self.at[of]]
-            self.at[of] += 1
-            span[less] <<= 16
-        return code, span
-
-    def spread(self, rows: np.ndarray, cells: np.ndarray, choice: np.ndarray) -> None:
-        """Move 16-way distributions towards the choice; every choice keeps a share."""
-        goal = GOALS.take(choice, axis=0)
-        goal -= cells
-        goal >>= 4
-        goal += cells
-        self.tree[rows] = goal
-
-    @staticmethod
-    def row(own: np.ndarray, digits: list[np.ndarray]) -> np.ndarray:
-        """Where a digit's distribution lies, by the digits before it (the last by the two before)."""
-        base = own * 529
-        if not digits:
-            return base
-        if len(digits) == 1:
-            return base + 1 + digits[0]
-        return base + 17 + (len(digits) - 2) * 256 + digits[-2] * 16 + digits[-1]
-
-    def encode(self, ids: np.ndarray, last: int) -> list[bytes]:
-        """ids: lanes x steps; the last lane has `last` ids."""
-        lanes, steps = ids.shape
+        off = hit * np.int32(65535) - self.p
+        self.cells[self.k] = self.p + (off >> 4)
+        merit = self.merit[:, :n]
+        merit += (65535 - np.abs(off) - merit) >> 4
+        same = self.said == ids
+        surer = (same & (self.sure < 3)).view(np.int8) - (~same).view(np.int8)  # one more if right, one less if wrong
+        self.memory[self.i] = np.where(same | (self.sure > 1), self.e + surer, (ids << 2) + 1)
+        recent = self.recent[:n]
+        recent += recent + hit
+        recent &= 3
+        self.before2[:n] = self.before[:n]
+        self.before[:n] = ids
+
+    def encode(self, grid: np.ndarray, last: int) -> list[bytes]:
+        """grid: lanes x steps of ids as places in the tables; the last lane has `last` ids."""
+        lanes, steps = grid.shape
+        grid = np.ascontiguousarray(grid.T)
         for k in range(steps):
             n = lanes if k < last else lanes - 1
             if not n:
                 break
-            x = ids[:n, k]
-            guess, p = self.predict(n)
+            x = grid[k, :n]
+            guess, p, row = self.predict(n)
             hit = guess == x
-            own = self.lane[:n]
-            self.low[:n], self.range[:n] = self.narrow(np.where(hit, 0, p), np.where(hit, p, (1 << ONE) - p), self.low[:n], self.range[:n], own)
-            own = np.flatnonzero(~hit)
-            if len(own):
-                low, span, y, digits = self.low[own], self.range[own], x[own], []
-                at = self.lane[: len(own)]
-                for shift in (12, 8, 4, 0):
-                    d = y >> shift & 15
-                    rows = self.row(own, digits)
-                    cells = self.tree.take(rows, axis=0)
-                    start = cells[at, d]
-                    low, span = self.narrow(start, cells[at, d + 1] - start, low, span, own)
-                    self.spread(rows, cells, d)
-                    digits.append(d)
-                self.low[own], self.range[own] = low, span
+            at = row + x
+            low, span = self.low[:n], self.range[:n]
+            yes = (span >> ONE) * p
+            no = span - yes
+            fine = no >> FINE
+            miss = (~hit).view(np.int8)
+            low += (yes + fine * self.start[at]) * miss
+            span[:] = np.where(hit, yes, fine * self.freq[at])
+            less = np.flatnonzero(span < 1 << LOW)
+            while len(less):
+                self.out[less, self.at[less]] = low[less] >> LOW  # a 17th bit is a carry, resolved at the end
+                self.at[less] += 1
+                low[less] = (low[less] & ((1 << LOW) - 1)) << WORD
+                span[less] <<= WORD
+                less = less[span[less] < 1 << LOW]
             self.learn(n, x, hit)
-        for _ in range(2):
-            self.out[self.lane, self.at] = self.low >> 16
+        for _ in range(3):
+            self.out[self.lane, self.at] = self.low >> LOW
             self.at += 1
-            self.low = (self.low & 0xFFFF) << 16
+            self.low = (self.low & ((1 << LOW) - 1)) << WORD
         for k in range(self.out.shape[1] - 1, 0, -1):
-            self.out[:, k - 1] += self.out[:, k] >> 16
+            self.out[:, k - 1] += self.out[:, k] >> WORD
         raw = (self.out & 0xFFFF).astype(">u2")
         return [raw[k, : self.at[k]].tobytes() for k in range(lanes)]
 
     def decode(self, steps: int, last: int) -> np.ndarray:
         lanes = len(self.lane)
-        ids = np.zeros((lanes, steps), i64)
+        grid = np.zeros((steps, lanes), i64)
         for k in range(steps):
             n = lanes if k < last else lanes - 1
             if not n:
                 break
-            guess, p = self.predict(n)
-            part = self.range[:n] >> ONE
-            hit = self.low[:n] < part * p
-            x = guess.astype(i64)
-            own = self.lane[:n]
-            self.low[:n], self.range[:n] = self.widen(np.where(hit, 0, p), np.where(hit, p, (1 << ONE) - p), self.low[:n], self.range[:n], own)
-            own = np.flatnonzero(~hit)
-            if len(own):
-                code, span, y, digits = self.low[own], self.range[own], np.zeros(len(own), i64), []
-                at = self.lane[: len(own)]
-                for _ in range(4):
-                    rows = self.row(own, digits)
-                    cells = self.tree.take(rows, axis=0)
-                    value = np.minimum(code // (span >> ONE), (1 << ONE) - 1).astype(np.int16)
-                    d = (cells[:, 1:] > value[:, None]).argmax(1)
-                    start = cells[at, d]
-                    code, span = self.widen(start, cells[at, d + 1] - start, code, span, own)
-                    self.spread(rows, cells, d)
-                    y = y << 4 | d
-                    digits.append(d)
-                self.low[own], self.range[own] = code, span
-                x[own] = y
+            guess, p, row = self.predict(n)
+            code, span = self.low[:n], self.range[:n]
+            yes = (span >> ONE) * p
+            hit = code < yes
+            fine = span - yes >> FINE
+            rest = code - yes
+            place = np.minimum(np.maximum(rest // fine, 0), (1 << FINE) - 1)
+            x = np.where(hit, guess, self.lookup[(row // self.d << FINE) + place])
+            at = row + x
+            code[:] = np.where(hit, code, rest - fine * self.start[at])
+            span[:] = np.where(hit, yes, np.maximum(fine * self.freq[at], 1))
+            less = np.flatnonzero(span < 1 << LOW)
+            while len(less):
+                code[less] = code[less] << WORD | self.words[less, np.minimum(self.at[less], self.words.shape[1] - 1)]
+                self.at[less] += 1
+                span[less] <<= WORD
+                less = less[span[less] < 1 << LOW]
             self.learn(n, x, hit)
-            ids[:n, k] = x
-        return ids
+            grid[k, :n] = x
+        return self.ids[grid.T]
 
 
-def encode_ids(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, bytes]:
-    """(bytes of each block, checksums of each block's ids, data)."""
-    parts, sums = [], []
+def encode_ids(ids: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray, bytes]:
+    """(tables, bytes of each block, checksums of each block's ids, data)."""
+    tables = Tables.of(ids)
+    x, parts = np.searchsorted(tables.ids, ids), []
     for at in range(0, len(ids), SEGMENT):
-        own = ids[at : at + SEGMENT].astype(i64)
+        own = x[at : at + SEGMENT]
         lanes = -(-len(own) // BLOCK)
         last = len(own) - (lanes - 1) * BLOCK
         grid = np.zeros((lanes, BLOCK), i64)
         grid.ravel()[: len(own)] = own
         steps = BLOCK if lanes > 1 else last
-        parts += Lanes(lanes, room=2 * steps + 4).encode(grid[:, :steps], last)
+        parts += Lanes(tables, lanes, room=2 * steps + 6).encode(grid[:, :steps], last)
     raw = ids.astype("<u4").tobytes()
     sums = [zlib.crc32(raw[4 * a : 4 * (a + BLOCK)]) for a in range(0, len(ids), BLOCK)]
-    return np.array([len(x) for x in parts], "<u4"), np.array(sums, "<u4"), b"".join(parts)
+    return tables.pack(), np.array([len(x) for x in parts], "<u4"), np.array(sums, "<u4"), b"".join(parts)
 
 
-def decode_ids(count: int, sizes: np.ndarray, sums: np.ndarray, data: bytes) -> np.ndarray:
-    """The ids again; raises ValueError where a block differs from its checksum."""
+def decode_ids(tables: bytes, count: int, sizes: np.ndarray, sums: np.ndarray, data: bytes) -> np.ndarray:
+    """The ids again; raises ValueError where a block differs from its checksum. Any run of whole blocks decodes alone."""
+    model = Tables.unpack(tables)
     cuts = [0, *np.cumsum(sizes, dtype=i64).tolist()]
     blocks = [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
     out = []
@@ -220,7 +266,7 @@ def decode_ids(count: int, sizes: np.ndarray, sums: np.ndarray, data: bytes) ->
         left = min(count - at * BLOCK, len(own) * BLOCK)
         last = left - (len(own) - 1) * BLOCK
         steps = BLOCK if len(own) > 1 else last
-        out.append(Lanes(len(own), own).decode(steps, last).ravel()[:left])
+        out.append(Lanes(model, len(own), own).decode(steps, last).ravel()[:left])
     ids = np.concatenate(out).astype("<u4") if out else np.zeros(0, "<u4")
     raw = ids.tobytes()
     bad = [k for k, s in enumerate(sums.tolist()) if zlib.crc32(raw[4 * k * BLOCK : 4 * (k + 1) * BLOCK]) != s]
@@ -230,24 +276,27 @@ def decode_ids(count: int, sizes: np.ndarray, sums: np.ndarray, data: bytes) ->
 
 
 def write_segment(docs: list[int | None], lengths: list[int], ids: np.ndarray) -> bytes:
-    """MAGIC, counts, the documents' numbers (and which are null) and lengths, blocks' sizes and checksums, a checksum of all that, data."""
-    sizes, sums, data = encode_ids(ids)
-    head = MAGIC + struct.pack("<QQQ", len(docs), len(ids), len(sizes))
-    head += np.array([d or 0 for d in docs], "<i8").tobytes() + bytes(d is None for d in docs) + np.array(lengths, "<u8").tobytes() + sizes.tobytes() + sums.tobytes()
+    """MAGIC, counts, the documents' numbers (and which are null) and lengths, blocks' sizes and checksums, tables, a checksum of all that, data."""
+    tables, sizes, sums, data = encode_ids(ids)
+    head = MAGIC + struct.pack("<QQQQ", len(docs), len(ids), len(sizes), len(tables))
+    head += np.array([d or 0 for d in docs], "<i8").tobytes() + bytes(d is None for d in docs) + np.array(lengths, "<u8").tobytes() + sizes.tobytes() + sums.tobytes() + tables
     return head + struct.pack("<I", zlib.crc32(head)) + data
 
 
 def read_segment(raw: bytes) -> tuple[list[int | None], list[int], np.ndarray]:
-    n, count, blocks = struct.unpack_from("<QQQ", raw, len(MAGIC))
-    at = len(MAGIC) + 24
-    end = at + n * 17 + blocks * 8
-    if raw[: len(MAGIC)] != MAGIC or struct.unpack_from("<I", raw, end)[0] != zlib.crc32(raw[:end]):
-        raise ValueError("not a segment of token ids, or a damaged one")
+    if raw[: len(MAGIC)] != MAGIC or len(raw) < len(MAGIC) + 36:
+        raise ValueError("not a segment of token ids")
+    n, count, blocks, more = struct.unpack_from("<QQQQ", raw, len(MAGIC))
+    at = len(MAGIC) + 32
+    tables = at + n * 17 + blocks * 8
+    end = tables + more
+    if len(raw) < end + 4 or struct.unpack_from("<I", raw, end)[0] != zlib.crc32(raw[:end]):
+        raise ValueError("a damaged segment of token ids")
     docs = np.frombuffer(raw, "<i8", n, at).tolist()
     null = raw[at + 8 * n : at + 9 * n]
     lengths = np.frombuffer(raw, "<u8", n, at + 9 * n).tolist()
     sizes, sums = (np.frombuffer(raw, "<u4", blocks, at + 17 * n + k * 4 * blocks) for k in (0, 1))
-    return [None if z else d for d, z in zip(docs, null, strict=True)], lengths, decode_ids(count, sizes, sums, raw[end + 4 :])
+    return [None if z else d for d, z in zip(docs, null, strict=True)], lengths, decode_ids(raw[tables:end], count, sizes, sums, raw[end + 4 :])
 
 
 def segments(docs: DataFrame, end: int = END, path: str | None = None) -> DataFrame:

@@ -56,30 +56,68 @@ def test_bpe_query(spark, tmp_path, sf, theirs):
 def test_coder_round_trip(n):
     rng = np.random.default_rng(n)
     common = np.minimum(rng.zipf(1.3, n), 50256)
-    for ids in (common, rng.integers(0, 65536, n), np.zeros(n, int), np.arange(n) % 7):
+    for ids in (common, rng.integers(0, 1 << 32, n), np.zeros(n, int), np.arange(n) % 7):
         ids = ids.astype("<u4")
-        sizes, sums, data = idcoder.encode_ids(ids)
-        assert len(sizes) == len(sums) == -(-n // idcoder.BLOCK) and (idcoder.decode_ids(n, sizes, sums, data) == ids).all()
+        tables, sizes, sums, data = idcoder.encode_ids(ids)
+        assert len(sizes) == len(sums) == -(-n // idcoder.BLOCK) and (idcoder.decode_ids(tables, n, sizes, sums, data) == ids).all()
+
+
+def test_a_segment_of_more_ids_than_lanes_hold(monkeypatch):
+    monkeypatch.setattr(idcoder, "LANES", 3)
+    monkeypatch.setattr(idcoder, "SEGMENT", 3 * idcoder.BLOCK)
+    ids = np.random.default_rng(5).integers(0, 900, 8 * idcoder.BLOCK + 17).astype("<u4")
+    tables, sizes, sums, data = idcoder.encode_ids(ids)
+    assert (idcoder.decode_ids(tables, len(ids), sizes, sums, data) == ids).all()
+
+
+def test_too_many_different_ids():
+    with pytest.raises(ValueError, match="different ids"):
+        idcoder.encode_ids(np.arange(70_000).astype("<u4"))
 
 
 def test_coder_predicts():
     ids = np.tile(np.random.default_rng(1).integers(0, 50000, 50), 200).astype("<u4")
-    assert len(idcoder.encode_ids(ids)[2]) < 0.05 * 4 * len(ids)
+    assert len(idcoder.encode_ids(ids)[3]) < 0.05 * 4 * len(ids)
+
+
+def order0(ids):
+    n = np.bincount(ids)
+    n = n[n > 0]
+    return float(-(n / n.sum() * np.log2(n / n.sum())).sum())
+
+
+def test_coder_foresees_passages():
+    """Ids of ten passages in random order: what order 0 can't tell, the memories can once a passage has occurred in the block."""
+    rng = np.random.default_rng(1)
+    passages = [rng.integers(0, 3000, 40) for _ in range(10)]
+    ids = np.concatenate([passages[k] for k in rng.integers(0, 10, 400)]).astype("<u4")
+    assert 8 * len(idcoder.encode_ids(ids)[3]) / len(ids) < order0(ids) / 2
+
+
+def test_coder_beats_order_0_and_zlib(sf):
+    """All documents' ids, tables and checksums included."""
+    import pyarrow.parquet as pq
+
+    texts = [t or "" for t in pq.read_table(f"{sf}/documents.parquet").column("text").to_pylist()]
+    ids = np.frombuffer(b"".join(x + b"\x02\0\0\0" for x in encoder().encode(texts)), "<u4")
+    tables, sizes, sums, data = idcoder.encode_ids(ids)
+    bits = 8 * (len(tables) + 8 * len(sizes) + len(data)) / len(ids)
+    assert bits < min(8.3, order0(ids), 8 * len(zlib.compress(ids.astype("<u2").tobytes(), 9)) / len(ids))
 
 
 def test_blocks_are_independent_and_checked():
     ids = np.random.default_rng(2).integers(0, 50000, 5000).astype("<u4")
-    sizes, sums, data = idcoder.encode_ids(ids)
-    alone = idcoder.encode_ids(ids[2048:4096])
-    assert data[sizes[0] : sizes[0] + sizes[1]] == alone[2]
+    tables, sizes, sums, data = idcoder.encode_ids(ids)
+    own = data[sizes[0] : sizes[0] + sizes[1]]  # the second block, decoded without the first
+    assert (idcoder.decode_ids(tables, 2048, sizes[1:2], sums[1:2], own) == ids[2048:4096]).all()
     raw = bytearray(idcoder.write_segment([1, None], [4000, 1000], ids))
     docs_, lengths, back = idcoder.read_segment(bytes(raw))
     assert (docs_, lengths) == ([1, None], [4000, 1000]) and (back == ids).all()
-    raw[-3000] ^= 1
-    with pytest.raises(ValueError, match="checksum"):
-        idcoder.read_segment(bytes(raw))
-    with pytest.raises(ValueError, match="segment"):
-        idcoder.read_segment(b"LXID2" + bytes(raw[5:]))
+    for at, what in ((len(raw) - 3000, "checksum"), (len(raw) - len(data) - 40, "damaged"), (0, "not a segment")):
+        bad = bytearray(raw)
+        bad[at] ^= 1
+        with pytest.raises(ValueError, match=what):
+            idcoder.read_segment(bytes(bad))
 
 
 def test_id_files(spark, tmp_path, sf):
