@@ -1,10 +1,11 @@
-"""Repeated byte strings across documents: sampled suffix arrays in a logarithmic family of levels."""
+"""Repeated byte strings across documents: a logarithmic family of suffix arrays, merge-scanned batch by batch."""
 
 from __future__ import annotations
 
 import hashlib
 import struct
 from functools import cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -12,14 +13,16 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Store, groups, lean, partitions, table
+from .common import Store, column, groups, lean, partitions, table
 
 LENGTH = 50  # bytes of a match
-GRAM = 16  # bytes by which suffixes are sampled and sorted; each match holds LENGTH - GRAM + 1 of them
+GRAM = 16  # bytes by which suffixes are sampled; each match holds LENGTH - GRAM + 1 of them
 BUFFER = 3 << 19  # bytes of text that a task looks at at once
-SHARE = 2 << 20  # bytes of text whose suffixes one shard of the index gets
+SHARE = 2 << 20  # bytes of text whose anchors one shard gets
+SPREAD = 4  # shards' worth of text to one shard of the index, which holds only what may repeat
+BATCHES = 4  # by doc_id, that enter the index one after another
 LEVEL = 5  # of compression
-BATCH = 1 << 14  # suffixes that enter the index together
+TOLD = 1 << 20  # hashes that a task remembers having sent on
 PLACE = np.uint64((1 << 24) - 1)
 NULL_ID = (1 << 63) - 1  # stands for a null doc_id: no document is after it
 
@@ -108,7 +111,7 @@ def slices(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
 
 
-CONTEXT = ["u1", "u1", "<u4", "<i8", "<i8", "<i8", "u1"]  # lengths, anchors; per place: context, document, its text's hash, position; bytes
+CONTEXT = ["u1", "<u4", "<i8", "<i8", "<i8", "u1"]  # lengths; per place: context, document, its text's hash, position; bytes
 SPANS = ["<i8", "<i8", "<i8", "<i8"]  # document, its text's hash, start, end
 
 
@@ -132,14 +135,14 @@ class Buffer:
         self.own = np.searchsorted(self.end, self.first, "right")
 
 
-def buffers(rows):
-    """Buffers of about BUFFER bytes; the parts of a very long text share LENGTH - 1 bytes."""
+def buffers(rows, size: int):
+    """Buffers of about `size` bytes; the parts of a very long text share LENGTH - 1 bytes."""
     held, out = 0, []
     for doc, key, text in rows:
-        for at in range(0, max(1, len(text) - LENGTH + 1), BUFFER):
-            out.append((doc, key, at, text[at : at + BUFFER + LENGTH - 1]))
+        for at in range(0, max(1, len(text) - LENGTH + 1), size):
+            out.append((doc, key, at, text[at : at + size + LENGTH - 1]))
             held += len(out[-1][3])
-            if held >= BUFFER:
+            if held >= size:
                 yield Buffer(out)
                 held, out = 0, []
     if out:
@@ -153,8 +156,25 @@ def deal(to: np.ndarray, kind: int, columns: list[np.ndarray]) -> list[tuple[int
     return [(int(to[i[0]]), kind, pack([c[i] for c in columns])) for i in np.split(order, cuts) if len(i)]
 
 
-def survey(b: Buffer, shards: int) -> list[tuple[int, int, bytes]]:
-    """Of kind 1, for shards: each distinct anchor once, with its document's key or as one of several; of kind 0, for parts: marks of the latter."""
+class Told:
+    """Hashes that a task has sent on before, the latest TOLD or so: what many of its buffers share is sent once."""
+
+    def __init__(self) -> None:
+        self.known = np.zeros(0, u64)
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.known, h)
+        return self.known[np.minimum(at, len(self.known) - 1)] == h if len(self.known) else np.zeros(len(h), bool)
+
+    def add(self, h: np.ndarray) -> None:
+        self.known = np.unique(np.concatenate([self.known, h]) if len(self.known) < TOLD else h)
+
+
+def survey(b: Buffer, shards: int, told: Told) -> list[tuple[int, int, bytes]]:
+    """Of kind 1, for shards: each distinct anchor once, with its document's key or as one of several; of kind 0, for parts: marks of the latter.
+
+    An anchor that several documents of the task's buffers had isn't sent again: whoever has it is marked at once.
+    """
     h, key = b.h, b.key[b.own]
     order = np.lexsort((key, h))
     h, key = h[order], key[order]
@@ -164,8 +184,12 @@ def survey(b: Buffer, shards: int) -> list[tuple[int, int, bytes]]:
     first = np.ones(len(h), bool)
     first[1:] = h[1:] != h[:-1]
     several = (np.bincount(np.cumsum(first) - 1) > 1)[np.cumsum(first) - 1] if len(h) else first
-    out = deal((key[several] & 0xFFFFFFFF) % shards, 0, [marks(key[several], h[several])])
-    h, key, several = h[first], np.where(several, 0, key)[first], several[first]
+    known = told.has(h)
+    marked = several | known
+    out = deal((key[marked] & 0xFFFFFFFF) % shards, 0, [marks(key[marked], h[marked])])
+    told.add(h[first & several & ~known])
+    sent = first & ~known
+    h, key, several = h[sent], np.where(several, 0, key)[sent], several[sent]
     return out + deal((h & PLACE).astype(np.int64) % shards, 1, [(h >> u64(24)).astype("<u4"), key.astype("<u4"), several.astype("u1")])
 
 
@@ -181,10 +205,19 @@ def meet(blobs: list[bytes], shards: int) -> list[tuple[int, int, bytes]]:
     return deal(key[hit] % shards, 0, [marks(key[hit], h[hit])])
 
 
-def contexts(b: Buffer, shared: np.ndarray, shards: int, indexes: int) -> list[tuple[int, int, bytes]]:
-    """(shard, kind, blob): of kind 1 the contexts of the sampled suffixes whose marks are shared (sorted), of kind 0 spans that are known to repeat.
+def like(t: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the `size` bytes at a and at b are the same."""
+    if not len(a):
+        return np.zeros(0, bool)
+    equal = t[slices(a, size)] == t[slices(b, size)]
+    return np.logical_and.reduceat(equal, np.cumsum(size) - size)
 
-    Equal contexts are one, with the smallest document's places; in later documents all of the context repeats.
+
+def contexts(b: Buffer, shared: np.ndarray, shards: int, indexes: int, bounds: np.ndarray) -> list[tuple[int, int, bytes]]:
+    """(number, kind, blob): of kind 1 + batch, for shards of the index, the contexts of the sampled suffixes whose marks are shared (sorted); of kind 0, for parts, spans that are known to repeat.
+
+    A context is all strings of LENGTH bytes that have one anchor. Equal contexts (found by a hash, then compared) are
+    one, with the smallest document's places; in later documents all of the context repeats.
     """
     word = marks(b.key[b.own], b.h)
     at = np.searchsorted(shared, word)
@@ -195,11 +228,20 @@ def contexts(b: Buffer, shared: np.ndarray, shards: int, indexes: int) -> list[t
     first, last, anchor, h, own = b.first[hit], b.last[hit], b.anchor[hit], b.h[hit], b.own[hit]
     stop = last + LENGTH
     same = Hashes(t).of(first, stop) ^ (anchor - first).astype(u64) * u64(0xD6E8FEB86659FD93)
-    order = np.lexsort((doc[own], same))
-    new = np.ones(len(order), bool)
-    new[1:] = same[order][1:] != same[order][:-1]
-    group = np.cumsum(new) - 1
-    least = doc[own[order[new]]][group]
+    while True:
+        order = np.lexsort((doc[own], same))
+        new = np.ones(len(order), bool)
+        new[1:] = same[order][1:] != same[order][:-1]
+        group = np.cumsum(new) - 1
+        chief = order[new][group]
+        size = stop[order] - first[order]
+        alike = (size == stop[chief] - first[chief]) & (anchor[order] - first[order] == anchor[chief] - first[chief])
+        ask = alike & ~new
+        alike[ask] = like(t, first[order][ask], first[chief][ask], size[ask])
+        if alike.all():
+            break
+        same[order[~alike]] += np.arange(1, len(order) + 1, dtype=u64)[~alike]  # of one hash but not equal: apart
+    least = doc[own[chief]]
     kept = doc[own[order]] == least
     out = []
     gone = order[~kept]
@@ -208,125 +250,179 @@ def contexts(b: Buffer, shared: np.ndarray, shards: int, indexes: int) -> list[t
         at = base[o] - start[o]
         out += deal((key[o] & 0xFFFFFFFF) % shards, 0, [doc[o], key[o], first[gone] + at, stop[gone] + at])
     shard = (h & PLACE).astype(np.int64) % indexes
-    places, of = order[kept], order[new][group[kept]]  # each place, and where its context stands
-    by = np.lexsort((of, shard[of]))
-    places, of = places[by], of[by]
-    for i in np.split(np.arange(len(of)), np.flatnonzero(np.diff(shard[of])) + 1):
+    batch = np.searchsorted(bounds, doc[own], "left")
+    places, of = order[kept], chief[kept]  # each place, and where its context stands
+    to = shard[of] * (len(bounds) + 1) + batch[of]
+    by = np.lexsort((of, to))
+    places, of, to = places[by], of[by], to[by]
+    for i in np.split(np.arange(len(of)), np.flatnonzero(np.diff(to)) + 1):
         ctx, which = np.unique(of[i], return_inverse=True)
         o = own[places[i]]
         lengths = stop[ctx] - first[ctx]
-        out.append((int(shard[ctx[0]]), 1, pack([
-            lengths.astype("u1"), (anchor[ctx] - first[ctx]).astype("u1"), which.astype("<u4"), doc[o], key[o], first[places[i]] - start[o] + base[o], t[slices(first[ctx], lengths)],
+        out.append((int(shard[ctx[0]]), 1 + int(batch[ctx[0]]), pack([
+            lengths.astype("u1"), which.astype("<u4"), doc[o], key[o], first[places[i]] - start[o] + base[o], t[slices(first[ctx], lengths)],
         ])))
     return out
 
 
-class Levels:
-    """A logarithmic family of sampled suffix arrays, each sorted by the suffixes' first GRAM bytes (two big-endian words).
-
-    A batch is sorted, scanned against every level, and becomes a level; levels of about equal size merge. Each
-    distinct prefix stands in one level, by the first suffix that had it.
-    """
-
-    def __init__(self) -> None:
-        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-
-    @staticmethod
-    def scan(level: tuple, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Where in the level each (a, b) stands, -1 if nowhere."""
-        at, stop = np.searchsorted(level[0], a, "left"), np.searchsorted(level[0], a, "right")
-        out = np.full(len(a), -1)
-        left = np.flatnonzero(at < stop)
-        at = at.copy()
-        while len(left):
-            hit = level[1][at[left]] == b[left]
-            out[left[hit]] = at[left[hit]]
-            left = left[~hit]
-            at[left] += 1
-            left = left[at[left] < stop[left]]
+def words(text: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """The LENGTH bytes at each place as big-endian numbers, first bytes first: they compare as the strings do."""
+    size = len(text)
+    padded = np.concatenate([text, np.zeros(8, np.uint8)])
+    every = np.ndarray(size + 1, ">u8", padded, strides=(1,))
+    out = [every[at + k].astype(u64) for k in range(0, LENGTH - 7, 8)]
+    rest = LENGTH % 8
+    return out + [every[at + LENGTH - rest].astype(u64) >> u64(64 - 8 * rest)] if rest else out
+
+
+class Level(NamedTuple):
+    """A suffix array: places of distinct LENGTH-byte strings in a text of contexts, sorted by the strings, and the smallest document of each."""
+
+    lengths: np.ndarray  # of the contexts
+    docs: np.ndarray  # of the contexts
+    text: np.ndarray
+    order: np.ndarray  # the places
+
+    def owner(self, at: np.ndarray) -> np.ndarray:
+        return np.searchsorted(np.cumsum(self.lengths, dtype=np.int64), at, "right")
+
+    def scan(self, other: list[np.ndarray]) -> np.ndarray:
+        """The smallest document that has each of `other` (sorted strings, as words), NULL_ID where none has."""
+        own = words(self.text, self.order)
+        low, high = np.searchsorted(own[0], other[0], "left"), np.searchsorted(own[0], other[0], "right")
+        for k in range(1, len(own)):
+            more = np.flatnonzero(high - low > 1)  # where one is left, it is compared below
+            if not len(more):
+                break
+            for right in (False, True):
+                a, b = low[more].copy(), high[more].copy()
+                while len(live := np.flatnonzero(a < b)):
+                    mid = (a[live] + b[live]) >> 1
+                    here, key = own[k][mid], other[k][more[live]]
+                    before = here <= key if right else here < key
+                    a[live[before]] = mid[before] + 1
+                    b[live[~before]] = mid[~before]
+                if right:
+                    high[more] = a
+                else:
+                    start = a
+            low[more] = start
+        found = np.flatnonzero(high > low)
+        same = np.ones(len(found), bool)
+        for mine, theirs in zip(own, other, strict=True):
+            same &= mine[low[found]] == theirs[found]
+        out = np.full(len(other[0]), NULL_ID)
+        found = found[same]
+        out[found] = self.docs[self.owner(self.order[low[found]])]
         return out
 
-    def add(self, a: np.ndarray, b: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """The ids, of this batch and earlier ones, whose prefix another suffix has."""
-        order = np.lexsort((b, a))
-        a, b, ids = a[order], b[order], ids[order]
-        same = np.zeros(len(a) + 1, bool)
-        same[1:-1] = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
-        found = [ids[same[1:] | same[:-1]]]
-        new = ~same[:-1]
+    def merge(self, other: Level) -> Level:
+        """Both as one; of a string that both have the place in the first stays."""
+        text = np.concatenate([self.text, other.text])
+        at = np.concatenate([self.order.astype(np.int64), other.order.astype(np.int64) + len(self.text)])
+        return Level(np.concatenate([self.lengths, other.lengths]), np.concatenate([self.docs, other.docs]), text, at).sorted(at)[0]
+
+    def sorted(self, at: np.ndarray) -> tuple[Level, np.ndarray, np.ndarray, list[np.ndarray]]:
+        """(the suffix array of the places `at`, their order, which of them begins a run of equal strings, the distinct strings' words)."""
+        w = words(self.text, at)
+        order = np.lexsort(w[::-1])
+        w = [x[order] for x in w]
+        new = np.ones(len(order), bool)
+        new[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in w])
+        return self._replace(order=at[order][new]), order, new, [x[new] for x in w]
+
+    def compact(self) -> Level:
+        """Without the contexts that no place lies in."""
+        begin = np.cumsum(self.lengths, dtype=np.int64) - self.lengths
+        own = self.owner(self.order)
+        used = np.unique(own)
+        moved = np.zeros(len(self.lengths), np.int64)
+        moved[used] = np.cumsum(self.lengths[used], dtype=np.int64) - self.lengths[used]
+        return Level(self.lengths[used], self.docs[used], self.text[slices(begin[used], self.lengths[used].astype(np.int64))], self.order - begin[own] + moved[own])
+
+    def pack(self) -> bytes:
+        return pack([self.lengths.astype("u1"), self.docs.astype("<i8"), self.text, self.order.astype("<u4")])
+
+    @classmethod
+    def unpack(cls, blob: bytes) -> Level:
+        return cls(*unpack(blob, ["u1", "<i8", "u1", "<u4"]))
+
+
+class Family:
+    """A logarithmic family: the suffix array of a new batch is scanned against every level and becomes one; the newest levels merge while they stand for as many batches."""
+
+    def __init__(self, levels: list[Level]):
+        self.levels = levels  # oldest first
+
+    def enter(self, batch: Level) -> tuple[np.ndarray, np.ndarray]:
+        """(places, again) of the batch: whether the LENGTH bytes at each place stand in a document before its own, of the batch or of a level.
+
+        Contexts come by ascending document, and no later than those of earlier batches.
+        """
+        sizes = batch.lengths.astype(np.int64)
+        n = sizes - LENGTH + 1
+        at = slices(np.cumsum(sizes) - sizes, n)
+        own, order, new, distinct = batch.sorted(at)
         group = np.cumsum(new) - 1
-        fresh = np.flatnonzero(new)
-        known = np.zeros(len(fresh), bool)
+        doc = np.repeat(batch.docs, n)[order]
+        least = doc[new]  # equal strings lie in the order of their documents
+        fresh = np.ones(len(least), bool)
         for level in self.levels:
-            at = self.scan(level, a[fresh], b[fresh])
-            known |= at >= 0
-            found.append(level[2][at[at >= 0]])
-        found.append(ids[known[group]])
-        fresh = fresh[~known]
-        self.levels.append((a[fresh], b[fresh], ids[fresh]))
-        while len(self.levels) > 1 and len(self.levels[-1][0]) >= len(self.levels[-2][0]):
-            x, y = self.levels.pop(), self.levels.pop()
-            a2, b2, i2 = (np.concatenate(z) for z in zip(y, x, strict=True))
-            order = np.lexsort((b2, a2))
-            self.levels.append((a2[order], b2[order], i2[order]))
-        return np.concatenate(found)
-
-
-def shard_spans(blobs: list[bytes], parts: int) -> list[tuple[int, int, bytes]]:
-    """The repeated spans among the contexts of one shard."""
-    got = [unpack(x, CONTEXT) for x in blobs]
-    lengths, anchors = (np.concatenate([x[i] for x in got]).astype(np.int64) for i in (0, 1))
-    shift = np.cumsum([0, *(len(x[0]) for x in got[:-1])])
-    which = np.concatenate([x[2].astype(np.int64) + s for x, s in zip(got, shift, strict=True)])
-    doc, key, pos = (np.concatenate([x[i] for x in got]) for i in (3, 4, 5))
-    text = np.concatenate([*(x[6] for x in got), np.zeros(GRAM, np.uint8)])
-    del got
-    offset = np.cumsum(lengths) - lengths
-    by = np.argsort(which, kind="stable")
-    which, doc, key, pos = which[by], doc[by], key[by], pos[by]
-    places = np.bincount(which, minlength=len(lengths))
-    first_place = np.cumsum(places) - places
-    ctx_doc = doc[first_place]
-    order = np.argsort(ctx_doc, kind="stable")
-    heads = text[(offset + anchors)[:, None] + np.arange(GRAM)].view(">u8").astype(u64)
-    index, shared = Levels(), np.zeros(len(lengths), bool)
-    for i in range(0, len(order), BATCH):
-        part = order[i : i + BATCH]
-        shared[index.add(heads[part, 0], heads[part, 1], part)] = True
-    hit = order[shared[order]]  # in the order of documents
-    if not len(hit):
-        return []
-    lanes = (heads[hit, 0] ^ heads[hit, 1] * u64(0x9E3779B97F4A7C15)) % u64(max(1, int(lengths[hit].sum()) >> 20) + 1)  # one prefix, one lane
-    doc_out, key_out, a_out, b_out = [], [], [], []
-    for lane in np.unique(lanes):
-        ctx = hit[lanes == lane]
-        size = lengths[ctx]
-        raw = text[slices(offset[ctx], size)]
-        begin = np.cumsum(size) - size
-        n = size - LENGTH + 1
-        at = slices(begin, n)
-        h = Hashes(raw).of(at, at + LENGTH)
-        owner = np.repeat(np.arange(len(ctx)), n)
-        by = np.argsort(h, kind="stable")  # documents ascend among equal strings
-        new = np.ones(len(by), bool)
-        new[1:] = h[by][1:] != h[by][:-1]
-        d = ctx_doc[ctx[owner[by]]]
-        again = np.zeros(len(by), bool)
-        again[by] = d > d[new][np.cumsum(new) - 1]
+            found = level.scan(distinct)
+            fresh &= found == NULL_ID
+            least = np.minimum(least, found)
+        again = np.zeros(len(at), bool)
+        again[order] = doc > least[group]
+        self.levels.append(own._replace(order=own.order[fresh]).compact())
+        return at, again
+
+    def merge(self, levels: int) -> Level:
+        """The newest level, with that many before it."""
+        for _ in range(levels):
+            newer, older = self.levels.pop(), self.levels.pop()
+            self.levels.append(older.merge(newer))
+        return self.levels[-1]
+
+
+NOTHING = Level(np.zeros(0, "u1"), np.zeros(0, "<i8"), np.zeros(0, "u1"), np.zeros(0, np.int64))
+
+
+def enter_shard(levels: list[bytes | None], blobs: list[bytes], parts: int, merged: int | None) -> tuple[list[tuple[int, int, bytes]], bytes | None]:
+    """(repeated spans among one batch's contexts of one shard, by parts; the new level: the batch with `merged` levels before it, none if merged is null)."""
+    family, out = Family([NOTHING if x is None else Level.unpack(x) for x in levels]), []
+    if blobs:
+        got = [unpack(x, CONTEXT) for x in blobs]
+        lengths = np.concatenate([x[0] for x in got]).astype(np.int64)
+        shift = np.cumsum([0, *(len(x[0]) for x in got[:-1])])
+        which = np.concatenate([x[1].astype(np.int64) + s for x, s in zip(got, shift, strict=True)])
+        doc, key, pos = (np.concatenate([x[i] for x in got]) for i in (2, 3, 4))
+        text = np.concatenate([x[5] for x in got])
+        del got
+        by = np.argsort(which, kind="stable")
+        which, doc, key, pos = which[by], doc[by], key[by], pos[by]
+        many = np.bincount(which, minlength=len(lengths))
+        place = np.cumsum(many) - many
+        docs = doc[place]
+        order = np.argsort(docs, kind="stable")
+        begin = np.cumsum(lengths) - lengths
+        text = text[slices(begin[order], lengths[order])]
+        lengths, many, place = lengths[order], many[order], place[order]
+        at, again = family.enter(Level(lengths.astype("u1"), docs[order], text, np.zeros(0, np.int64)))
+        n = lengths - LENGTH + 1
+        owner = np.repeat(np.arange(len(n)), n)
         edge = np.ones(len(owner) + 1, bool)
         edge[1:-1] = owner[1:] != owner[:-1]
-        starts = np.flatnonzero(again & (edge[:-1] | ~np.concatenate([[False], again[:-1]])))
-        stops = np.flatnonzero(again & (edge[1:] | ~np.concatenate([again[1:], [False]])))
-        c = owner[starts]
-        many = places[ctx[c]]
-        record = slices(first_place[ctx[c]], many)
-        rel = np.repeat(np.stack([at[starts] - begin[c], at[stops] - begin[c] + LENGTH]), many, axis=1)
-        doc_out.append(doc[record])
-        key_out.append(key[record])
-        a_out.append(pos[record] + rel[0])
-        b_out.append(pos[record] + rel[1])
-    out = [np.concatenate(x) for x in (doc_out, key_out, a_out, b_out)]
-    return deal((out[1] & 0xFFFFFFFF) % parts, 0, out) if len(out[0]) else []
+        begins = np.flatnonzero(again & (edge[:-1] | ~np.concatenate([[False], again[:-1]])))
+        ends = np.flatnonzero(again & (edge[1:] | ~np.concatenate([again[1:], [False]])))
+        c = owner[begins]
+        offset = np.cumsum(lengths) - lengths
+        record = slices(place[c], many[c])
+        a, b = (np.repeat(x, many[c]) for x in (at[begins] - offset[c], at[ends] - offset[c] + LENGTH))
+        if len(record):
+            out = deal((key[record] & 0xFFFFFFFF) % parts, 0, [doc[record], key[record], pos[record] + a, pos[record] + b])
+    elif merged is not None:
+        family.levels.append(NOTHING)
+    return out, family.merge(merged).pack() if merged is not None else None
 
 
 def union(spans: np.ndarray) -> np.ndarray:
@@ -338,7 +434,9 @@ def union(spans: np.ndarray) -> np.ndarray:
     return np.stack([spans[new, 0], end[np.append(np.flatnonzero(new)[1:] - 1, len(spans) - 1)]], axis=1)
 
 
-def without_repeats(spark: SparkSession, docs: DataFrame, keep: list[str], kept: str = "bytes") -> DataFrame:
+def without_repeats(
+    spark: SparkSession, docs: DataFrame, keep: list[str], kept: str = "bytes", batches: int = BATCHES, buffer: int = BUFFER, share: int = SHARE
+) -> DataFrame:
     """The columns `keep` of docs (doc_id, text and any other columns), with n_bytes, n_removed, n_spans and kept.
 
     Removed is each byte covered by a LENGTH-byte string that also starts in a document with a smaller doc_id. kept is
@@ -346,41 +444,55 @@ def without_repeats(spark: SparkSession, docs: DataFrame, keep: list[str], kept:
     lose nothing. A null doc_id counts as larger than any other; rows of equal doc_id don't remove from one another.
     Repeated rows come out alike. An empty table gives no row.
 
-    Shards of the index first learn which sampled suffixes begin alike in several documents (a word for each). Documents
-    then send the surroundings of those, compressed; a shard finds repeats through its Levels in order of doc_id and
-    sends spans to where the documents are dealt. Shards get about SHARE bytes of text each, so their number grows with
-    the table; what many documents share is one row of each buffer.
+    Shards first learn which sampled suffixes begin alike in several documents (a word for each); only the surroundings
+    of those can repeat, and go to the index. It takes them in `batches` of ascending doc_id. Each shard of the index
+    sorts a batch's suffixes, scans them against its levels, whose bytes are compared, and sends the repeated spans to
+    where the documents are dealt. Levels are tables in the shared folder: the new batch's, merged with those that stand
+    for as many batches. Shards get about `share` bytes of text each, so their number grows with the table.
     """
     store = Store(spark, "substrings")
     doc, raw = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "utf-8")
-    total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    shards = max(partitions(spark), -(-total // SHARE))
-    indexes = max(1, shards // 4)  # of what is shared, which is less
+    cuts = F.percentile_approx(doc, [(k + 1) / batches for k in range(batches - 1)] or [1.0], 1000)
+    total, cuts = docs.agg(F.sum(F.octet_length("text").cast("long")), cuts).first()
+    bounds = np.array(sorted(set(cuts or []))[: batches - 1], np.int64)
+    shards = max(partitions(spark), -(-(total or 0) // share))
+    indexes = max(1, shards // SPREAD)
 
     def emit(rows):
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())], ["to", "kind", "blob"])
 
     def anchors(batches):
+        told = Told()
         pieces = (batch.slice(i, 500) for batch in batches for i in range(0, batch.num_rows, 500))
-        for b in buffers(x for piece in pieces for x in zip(*(c.to_pylist() for c in piece.columns), strict=True)):
-            yield from emit(survey(b, shards))
+        for b in buffers((x for piece in pieces for x in zip(*(c.to_pylist() for c in piece.columns), strict=True)), buffer):
+            yield from emit(survey(b, shards, told))
 
-    def at_shards(f):
-        def run(batches):
-            for g in groups(batches, ["to", "kind"]):
-                if g.column("kind")[0].as_py() == 0:  # for a part already
-                    yield from g.combine_chunks().to_batches()
-                else:
-                    yield from emit(f(g.column("blob").to_pylist(), shards))
-
-        return run
+    def meeting(batches):
+        for g in groups(batches, ["to", "kind"]):
+            if g.column("kind")[0].as_py() == 0:  # for a part already
+                yield from g.combine_chunks().to_batches()
+            else:
+                yield from emit(meet(g.column("blob").to_pylist(), shards))
 
     def surroundings(batches):
         for blobs, texts in parts_of(batches):
             shared = np.unique(np.concatenate([np.zeros(0, u64), *(unpack(x, ["<u8"])[0] for x in blobs)]))
-            for b in buffers((d, k, t) for piece in texts for d, k, t in zip(*(piece[c].to_pylist() for c in ("_d", "_k", "_t")), strict=True)):
-                yield from emit(contexts(b, shared, shards, indexes))
+            for b in buffers(((d, k, t) for piece in texts for d, k, t in zip(*(piece[c].to_pylist() for c in ("_d", "_k", "_t")), strict=True)), buffer):
+                yield from emit(contexts(b, shared, shards, indexes, bounds))
+
+    def entering(standing, merged):
+        def run(batches):
+            for g in groups(batches, ["to"]):
+                kind, blob = column(g, "kind").tolist(), g.column("blob").to_pylist()
+                levels = {k: x for k, x in zip(kind, blob, strict=True) if k < 0}
+                own = [x for k, x in zip(kind, blob, strict=True) if k > 0]
+                found, level = enter_shard([levels.get(k) for k in range(-standing, 0)], own, shards, merged)
+                yield from emit(found)
+                if level:
+                    yield from emit([(g.column("to")[0].as_py(), 1, level)])
+
+        return run
 
     schema, order = "to int, kind int, blob binary", ("to", "kind")
     key = F.xxhash64(doc, raw)
@@ -393,10 +505,23 @@ def without_repeats(spark: SparkSession, docs: DataFrame, keep: list[str], kept:
         return both.select("to", "kind", "blob", *rows.drop("to", "kind").columns)
 
     long = source.where(F.octet_length("_t") >= LENGTH)
-    met = long.mapInArrow(lean(anchors), schema).repartition(shards, "to").sortWithinPartitions(*order).mapInArrow(lean(at_shards(meet)), schema)
-    near = dealt(met, long).mapInArrow(lean(surroundings), schema).repartition(indexes, "to").sortWithinPartitions(*order)
-    spans = store.keep(near.mapInArrow(lean(at_shards(shard_spans)), schema))
-    del met, near
+    met = store.keep(long.mapInArrow(lean(anchors), schema).repartition(shards, "to").sortWithinPartitions(*order).mapInArrow(lean(meeting), schema))
+    store.release()
+    near = store.keep(dealt(met, long).mapInArrow(lean(surroundings), schema))
+    store.drop(met)
+    store.release()
+    spans, live = near.where("kind = 0"), []  # live: (batches that a level stands for, the level), oldest first
+    for b in range(len(bounds) + 1):
+        merged, size = 0, 1
+        while merged < len(live) and live[-1 - merged][0] == size:
+            merged, size = merged + 1, 2 * size
+        last = b == len(bounds)  # nothing comes after it
+        rows = near.where(F.col("kind") == b + 1)
+        for k, (_, level) in enumerate(live):
+            rows = rows.unionByName(level.withColumn("kind", F.lit(k - len(live))))
+        out = store.keep(rows.repartition(indexes, "to").sortWithinPartitions(*order).mapInArrow(lean(entering(len(live), None if last else merged)), schema))
+        spans = spans.unionByName(out.where("kind = 0"))
+        live[len(live) - merged :] = [(size, out.where("kind = 1"))]
     store.release()
 
     names = [f"_c{i}" for i in range(len(keep))]

@@ -28,8 +28,8 @@ def brute(rows, length=M.LENGTH):
     return out
 
 
-def compare(spark, rows):
-    got = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in M.without_repeats(spark, docs(spark, rows), ["doc_id"]).collect()), key=str)
+def compare(spark, rows, **sizes):
+    got = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in M.without_repeats(spark, docs(spark, rows), ["doc_id"], **sizes).collect()), key=str)
     assert got == sorted(((i, *b) for (i, _), b in zip(rows, brute(rows), strict=True)), key=str)
     return got
 
@@ -61,25 +61,74 @@ def test_edges(spark):
     assert M.without_repeats(spark, docs(spark, []), ["doc_id"]).count() == 0
 
 
-def test_small_buffers_and_batches(spark, monkeypatch):
+@pytest.mark.parametrize("batches", [1, 2, 7])
+def test_small_buffers_and_batches(spark, batches):
     """A very long text in parts, many levels, many shards: the same result."""
-    monkeypatch.setattr(M, "BUFFER", 700)
-    monkeypatch.setattr(M, "SHARE", 900)
-    monkeypatch.setattr(M, "BATCH", 16)
     rows = corpus(5) + [(7, " ".join(t for _, t in corpus(6, 20))), (500, " ".join(t for _, t in corpus(6, 20)))]
-    compare(spark, rows)
-
-
-def test_levels():
-    rng = np.random.default_rng(0)
-    a, b = rng.integers(0, 40, 3000).astype(np.uint64), rng.integers(0, 30, 3000).astype(np.uint64)
-    index, shared = M.Levels(), np.zeros(3000, bool)
-    for i in range(0, 3000, 100):
-        shared[index.add(a[i : i + 100], b[i : i + 100], np.arange(i, i + 100))] = True
-    keys = list(zip(a.tolist(), b.tolist(), strict=True))
-    assert shared.tolist() == [keys.count(k) > 1 for k in keys]
-    sizes = [len(x[0]) for x in index.levels]
-    assert sum(sizes) == len(set(keys)) and all(x > y for x, y in zip(sizes, sizes[1:], strict=False))
+    compare(spark, rows, batches=batches, buffer=700, share=900)
+
+
+def test_a_text_beyond_one_buffer(spark):
+    """Over 1.5 MB in one document, repeated in parts by two others."""
+    rng = random.Random(3)
+    text = "".join(rng.choices("abcdefgh ", k=1_700_000))
+    got = {r.doc_id: r for r in M.without_repeats(spark, docs(spark, [(1, text), (2, "#" + text[:900_000] + "#"), (3, text[1_500_000:])]), ["doc_id"]).collect()}
+    assert [(got[i].n_removed, bytes(got[i].kept)) for i in (1, 2, 3)] == [(0, text.encode()), (900_000, b"##"), (200_000, b"")]
+
+
+@pytest.mark.parametrize("scanning", [True, False])
+def test_the_scan_decides(monkeypatch, scanning):
+    """Without the scan of the levels, a document would keep what one of an earlier batch has: it is the index that removes."""
+    passage = " ".join(f"word{i}" for i in range(30))
+    if not scanning:
+        monkeypatch.setattr(M.Level, "scan", lambda self, other: np.full(len(other[0]), M.NULL_ID))
+    family, found = M.Family([]), []
+    for i in (1, 20, 2000):
+        raw = f"{i} {i} {passage if i != 20 else passage[::-1]} {i}".encode()
+        found.append(int(family.enter(M.Level(np.array([len(raw)]), np.array([i]), np.frombuffer(raw, np.uint8), np.zeros(0, np.int64)))[1].sum()))
+    assert found == [0, 0, len(passage) + 2 - M.LENGTH + 1 if scanning else 0]
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_family(seed):
+    """Batches of random texts against brute force; levels are sorted, distinct, and as many as the batches' number has ones."""
+    rng = np.random.default_rng(seed)
+    family, first, live = M.Family([]), {}, []
+    for batch in range(11):
+        sizes = rng.integers(50, 130, 12)
+        text = rng.integers(97, 99, sizes.sum()).astype(np.uint8)
+        text[text == 98] = 98 + (rng.random((text == 98).sum()) < 0.02)
+        for k in range(0, len(text) - 60, 200):  # much repeats
+            text[k : k + 60] = 97 + (np.arange(60) * 7919 >> (k // 200 % 4)) % 3
+        docs_ = np.sort(rng.integers(batch * 4, batch * 4 + 4, 12))
+        at, again = family.enter(M.Level(sizes, docs_, text, np.zeros(0, np.int64)))
+        owner = np.searchsorted(np.cumsum(sizes), at, "right")
+        strings = [text[p : p + M.LENGTH].tobytes() for p in at]
+        assert len(set(at.tolist())) == (sizes - M.LENGTH + 1).sum()
+        for w, d in zip(strings, docs_[owner].tolist(), strict=True):
+            first[w] = min(first.get(w, d), d)
+        assert again.tolist() == [first[w] < d for w, d in zip(strings, docs_[owner].tolist(), strict=True)]
+        merged, size = 0, 1
+        while merged < len(live) and live[-1 - merged] == size:
+            merged, size = merged + 1, 2 * size
+        live[len(live) - merged :] = [size]
+        newest = M.Level.unpack(family.merge(merged).pack())
+        family.levels[-1] = newest
+        assert len(family.levels) == bin(batch + 1).count("1")
+        for level in family.levels:
+            own = [level.text[p : p + M.LENGTH].tobytes() for p in level.order.tolist()]
+            assert own == sorted(set(own)) and all(first[w] == level.docs[level.owner(np.array([p]))[0]] for w, p in zip(own, level.order.tolist(), strict=True))
+    assert sum(len(x.order) for x in family.levels) == len(first)
+
+
+def test_a_task_tells_a_shared_anchor_once():
+    """What many buffers of a task share goes to its shard once; all who have it are marked."""
+    passage = b"the same passage of a licence in each and every document of the table, word for word"
+    told, sizes = M.Told(), []
+    for k in range(3):
+        out = M.survey(M.Buffer([(10 * k + i, 100 * k + i, 0, passage) for i in range(3)]), 1, told)
+        sizes.append((sum(len(M.unpack(x, ["<u4", "<u4", "u1"])[0]) for _, kind, x in out if kind == 1), sum(len(M.unpack(x, ["<u8"])[0]) for _, kind, x in out if kind == 0)))
+    assert sizes[0][0] > 0 and sizes[1][0] == sizes[2][0] == 0 and sizes[0][1] == sizes[1][1] == sizes[2][1] > 0
 
 
 def test_query(spark, sf):
