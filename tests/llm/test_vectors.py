@@ -40,9 +40,8 @@ def cosine(a, b):
     return float(a @ b / np.linalg.norm(a) / np.linalg.norm(b))
 
 
-def test_links_and_components(spark):
-    rows = fixture()
-    got = {r.vec_id: r for r in near.near_vectors(spark, table(spark, rows)).collect()}
+def check(spark, rows, **sizes):
+    got = {r.vec_id: r for r in near.near_vectors(spark, table(spark, rows), **sizes).collect()}
     links = {i: set() for i, _, _ in rows}
     for i, v, a in rows:
         for j, w, b in rows:
@@ -57,9 +56,54 @@ def test_links_and_components(spark):
         assert (got[i].component_id, got[i].kept) == (min(seen), i == min(seen))
 
 
-def test_a_large_bucket_is_compared_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(near, "BLOCK", 4)
-    test_links_and_components(spark)
+def test_links_and_components(spark):
+    check(spark, fixture())
+
+
+def test_tables_of_few_bits_and_blocks(spark, monkeypatch):
+    """Many small buckets in many tables, each compared in blocks: the same links."""
+    monkeypatch.setattr(near, "BUCKET", 4)
+    monkeypatch.setattr(near, "MISS", 1e-9)
+    assert near.Plan.of(120, near.THRESHOLD).bits == 5
+    check(spark, fixture(), block=4)
+
+
+def test_plan():
+    sizes = [0, 1, 64, 65, 1000, 10**5, 10**9]
+    plans = [near.Plan.of(n, near.THRESHOLD) for n in sizes]
+    assert [p.bits for p in plans] == [0, 0, 0, 1, 4, 11, 16] and plans[0].tables == 1
+    agree = 1 - math.acos(near.THRESHOLD) / math.pi
+    for p in plans[3:]:
+        assert (1 - agree**p.bits) ** p.tables <= near.MISS < (1 - agree**p.bits) ** (p.tables - 1)
+        assert p.signs >= p.bits * p.tables and p.most(near.THRESHOLD) < p.signs / 2 - 3 * math.sqrt(p.signs) / 2
+
+
+def test_recall_of_the_tables():
+    """Pairs at exactly the threshold: nearly all meet in a table and pass as plausible; unlike vectors don't."""
+    plan, rng = near.Plan.of(50_000, near.THRESHOLD), np.random.default_rng(8)
+    a, b = np.linalg.qr(rng.standard_normal((20_000, 32, 2)))[0].transpose(2, 0, 1)
+    c = near.THRESHOLD * a + math.sqrt(1 - near.THRESHOLD**2) * b
+    signs = [x @ plan.planes(32) > 0 for x in (a, b, c)]
+    meet = (plan.hashes(signs[0]) == plan.hashes(signs[2])).any(1)
+    most = plan.most(near.THRESHOLD)
+    assert meet.mean() > 1 - 2 * near.MISS and ((signs[0] != signs[2]).sum(1) <= most).all() and ((signs[0] != signs[1]).sum(1) <= most).mean() < 0.01
+
+
+def test_query(spark, sf):
+    """All rows of the table against all others."""
+    rows = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in near.op4_vectors(spark, sf).collect()}
+    fit = [(i, v, a) for i, v, a in rows if a is not None and good(v)]
+    unit = np.array([v for _, v, _ in fit], np.float32).astype(float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    label, ids = np.array([a for *_, a in fit]), np.array([i for i, *_ in fit])
+    x, y = np.nonzero((unit @ unit.T >= near.THRESHOLD) & (label[:, None] == label) & ~np.eye(len(fit), dtype=bool))
+    root = {i: i for i, *_ in rows}
+    for _ in range(20):
+        for a, b in zip(ids[x].tolist(), ids[y].tolist(), strict=True):
+            root[a] = root[b] = min(root[a], root[b])
+    n = dict(zip(*(z.tolist() for z in np.unique(ids[x], return_counts=True)), strict=True))
+    assert got == {i: (n.get(i, 0), root[i], root[i] == i) for i, *_ in rows}
 
 
 def test_null_and_repeated_ids(spark):
