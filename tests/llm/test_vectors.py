@@ -172,3 +172,69 @@ def test_small_tables_give_all_their_neighbours(spark):
     for q, own in got.items():
         truth = sorted((-cosine(by[q], v), i) for i, v in by.items() if i != q and len(v) == len(by[q]))[:5]
         assert [i for _, i in sorted(own)] == [i for _, i in truth]
+
+
+def unit_matrix(rng, n, clusters):
+    x = rng.standard_normal((n, 32))
+    if clusters:
+        centres = rng.standard_normal((clusters, 32))
+        x = centres[rng.integers(0, clusters, n)] + 0.35 * x
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def seen_share(forest, x, queries):
+    """(recall at 5, share of rows compared) of a forest over x, against exact search."""
+    lies, hit, share = [t.leaves(x) for t in forest.trees], 0, []
+    for q in queries:
+        score = x @ x[q]
+        score[q] = -2
+        seen = np.zeros(len(x), bool)
+        for t, leaf in forest.probe(x[q]):
+            seen |= lies[t] == leaf
+        hit += seen[np.argsort(-score)[:5]].sum()
+        share.append(seen.mean())
+    return hit / 5 / len(queries), float(np.mean(share))
+
+
+def test_the_forest_adapts_to_the_data():
+    """Structured vectors: deeper trees, and a query compares a small share of the rows. Without structure most of them must be compared for the same recall."""
+    rng = np.random.default_rng(2)
+    structured, plain = unit_matrix(rng, 8000, 200), unit_matrix(rng, 8000, 0)
+    forests = {name: ann.Forest.fit(x, len(x), 5) for name, x in (("structured", structured), ("plain", plain))}
+    recall, share = seen_share(forests["structured"], structured, range(0, 8000, 80))
+    assert recall >= 0.93 and share < 0.1 and forests["structured"].depth >= 6
+    recall, plain_share = seen_share(forests["plain"], plain, range(0, 8000, 80))
+    assert recall >= 0.9 and plain_share > 5 * share and forests["plain"].visits > 3 * forests["structured"].visits
+    assert all(f.visits <= ann.VISITS for f in forests.values())
+
+
+def test_a_tree_splits_evenly_and_nests():
+    x = unit_matrix(np.random.default_rng(3), 4096, 0)
+    tree = ann.Tree.grow(x, 1, 6)
+    assert (np.bincount(tree.leaves(x), minlength=64) == 64).all() and np.allclose(tree.shares, 1 / 64)
+    for depth in (0, 2, 5):
+        short = tree.cut_at(depth)
+        assert (short.leaves(x) == tree.leaves(x) >> (6 - depth)).all() and np.allclose(short.shares, 1 / (1 << depth))
+    order = list(ann.search([tree], x[0]))
+    assert len(order) == 64 and next(ann.search([tree], x[0]))[1] == tree.leaves(x[:1])[0]
+
+
+def test_nearest_query(spark, sf):
+    """Recall over all queries of the table against exact search; scores and ranks are exact."""
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect() if good(r.embedding)]
+    ids = np.array([i for i, _ in rows])
+    x = np.array([v for _, v in rows], np.float32).astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    got = {}
+    for r in ann.op9_ann(spark, sf).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert set(got) == {i for i in ids.tolist() if i % ann.EVERY == 0}
+    hit = 0
+    for q, own in got.items():
+        own.sort()
+        score = dict(zip(ids.tolist(), (x @ x[ids == q][0]).tolist(), strict=True))
+        del score[q]
+        true = sorted((-round(s, 12), i) for i, s in score.items())[:5]
+        assert [r for r, _, _ in own] == list(range(1, 6)) and all(abs(score[i] - s) < 1e-12 for _, i, s in own)
+        hit += len({i for _, i in true} & {i for _, i, _ in own})
+    assert hit / 5 / len(got) >= 0.9
