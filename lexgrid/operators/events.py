@@ -28,6 +28,7 @@ VERBS = (
     ("almashtirilgan", "replaced"), ("kiritilgan", "inserted"), (r"kuchini yo\wqot", "voided"), ("kuchga ega emas", "voided"),
 )
 ARTICLES = r"(?iU)((?:\d+(?:\s*(?:,|va|hamda|[-–—]+)\s*)?)+)(?:\s*[-–—]\s*|\s+)(modda|bob|paragraf)"
+AFTER = 460  # characters after an item that its groups look at: 60 and 400
 # --- End of the fixed values. ---
 
 
@@ -55,12 +56,18 @@ def repeal_items(provisions: DataFrame) -> DataFrame:
     """(row_id, doc_id, item_no, cited_date, iso_date, title, cited_number, locator, non_statute) of provisions (row_id, doc_id, text).
 
     Read is what follows the first clause that repeals, up to 8,000 characters; a locator right after an item means
-    that only a part is repealed.
+    that only a part is repealed. The tail is searched once; an item's groups are then read from its own stretch.
     """
-    tail = F.regexp_extract("text", TRIGGER, 1)
-    groups = F.arrays_zip(*[F.regexp_extract_all("tail", F.lit(ITEM), F.lit(g)).alias(f"g{g}") for g in range(1, 8)])
-    found = provisions.where(F.col("text").rlike(TRIGGER)).select("row_id", "doc_id", tail.alias("tail")).select("row_id", "doc_id", F.posexplode(groups).alias("item_no", "i"))
-    g = lambda k: F.col(f"i.g{k}")
+    rows = provisions.where(F.col("text").rlike("(?i)topilsin")).select("row_id", "doc_id", F.regexp_extract("text", TRIGGER, 1).alias("tail"))
+    matches = rows.withColumn("m", F.regexp_extract_all("tail", F.lit(ITEM), F.lit(0))).where(F.size("m") > 0)
+    step = lambda a, x: F.struct((F.call_function("locate", x, F.col("tail"), a["next"]) + F.length(x)).alias("next"), F.array_append(a["at"], F.call_function("locate", x, F.col("tail"), a["next"])).alias("at"))
+    places = F.aggregate("m", F.struct(F.lit(1).alias("next"), F.array().cast("array<int>").alias("at")), step, lambda a: a["at"])
+    stretch = F.substr("tail", F.col("i.at"), F.length("i.m") + AFTER)
+    mark = "\u0001"
+    cells = F.split(F.regexp_replace(stretch, f"(?s)^{ITEM}.*$", mark.join(f"${k}" for k in range(1, 8))), mark)
+    found = matches.select("row_id", "doc_id", "tail", F.posexplode(F.arrays_zip(F.col("m").alias("m"), places.alias("at"))).alias("item_no", "i"))
+    found = found.select("row_id", "doc_id", "item_no", cells.alias("g"))
+    g = lambda k: F.element_at("g", k)
     return found.select(
         "row_id", "doc_id", (F.col("item_no") + 1).alias("item_no"), F.concat(g(1), F.lit("-yil "), g(2), F.lit("-"), g(3)).alias("cited_date"), iso(g(1), g(2), g(3)).alias("iso_date"),
         norm_title(g(4)).alias("title"), F.nullif(F.upper(F.trim(g(6))), F.lit("")).alias("cited_number"), F.nullif(collapse(F.regexp_extract(g(7), LOCATOR, 1)), F.lit("")).alias("locator"), g(5).rlike(NOT_STATUTE).alias("non_statute"),

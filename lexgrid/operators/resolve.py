@@ -27,20 +27,26 @@ def cascade(items: DataFrame, targets: DataFrame, block: str, title: str, fuzzy:
 
     Tiers: the equal title (of several the largest dst); else the only title of the block that holds the item's or lies
     in it; else, if fuzzy is given, the most similar one, at least that similar and `margin` ahead of the next;
-    else unresolved. Candidates come from equal blocks only.
+    else unresolved. Candidates come from equal blocks only. Each title of a block is resolved once, however many items or targets bear it;
+    only titles that an equi-join leaves over are compared within their block. A null title or block is unresolved.
     """
-    item = F.struct(*items.columns)
-    pairs = items.select(item.alias("i"), F.col(block).alias("_block"), F.col(title).alias("_t")).join(targets.select(F.col(block).alias("_block"), F.col(title).alias("_u"), "dst"), "_block", "left")
-    inside = F.col("_u").contains(F.col("_t")) | F.col("_t").contains(F.col("_u"))
-    per = pairs.groupBy("i").agg(
-        F.max(F.when(F.col("_u") == F.col("_t"), F.col("dst"))).alias("exact"), F.count_if(inside).alias("n_sub"), F.max(F.when(inside, F.col("dst"))).alias("sub")
-    )
-    exact, sub = F.col("exact").isNotNull(), F.col("n_sub") == 1
-    out = per.select("i", F.when(exact, F.col("exact")).when(sub, F.col("sub")).alias("dst"), F.when(exact, "exact").when(sub, "substring").otherwise("unresolved").alias("method"))
+    key = ["_block", "_t"]
+    asked = items.select(F.col(block).alias("_block"), F.col(title).alias("_t")).where("_block IS NOT NULL AND _t IS NOT NULL").distinct()
+    known = targets.groupBy(F.col(block).alias("_block"), F.col(title).alias("_u")).agg(F.count("*").alias("_n"), F.max("dst").alias("_dst"))
+    tried = asked.join(known.select("_block", F.col("_u").alias("_t"), F.col("_dst").alias("_exact")), key, "left")
+    pairs = tried.where("_exact IS NULL").select(*key).join(known, "_block")
+    inside = pairs.where(F.col("_u").contains(F.col("_t")) | F.col("_t").contains(F.col("_u")))
+    part = inside.groupBy(*key).agg(F.sum("_n").alias("_hits"), F.max("_dst").alias("_part")).where("_hits = 1").drop("_hits")
+    out = tried.join(part, key, "left")
+    dst, method = F.coalesce("_exact", "_part"), F.when(F.col("_exact").isNotNull(), "exact").when(F.col("_part").isNotNull(), "substring")
     if fuzzy is not None:
-        left = out.where("method = 'unresolved'").select("i").join(pairs, "i").where("dst IS NOT NULL").withColumn("r", seq_ratio("_t", "_u"))
-        w = Window.partitionBy("i").orderBy(F.desc("r"), "dst")
-        best = left.withColumns({"rn": F.row_number().over(w), "next": F.lead("r", 1, 0.0).over(w)}).where(f"rn = 1 AND r >= {fuzzy} AND r - next >= {margin}")
-        out = out.join(best.select("i", F.col("dst").alias("_d"), F.col("r").alias("_r")), "i", "left")
-        out = out.select("i", F.coalesce("dst", "_d").alias("dst"), F.when(F.col("_r").isNotNull(), F.concat(F.lit("fuzzy:"), F.format_number("_r", 2))).otherwise(F.col("method")).alias("method"))
-    return out.select("i.*", "dst", "method")
+        shared = 2 * F.least(F.length("_t"), F.length("_u")) / (F.length("_t") + F.length("_u"))  # no ratio exceeds it
+        left = pairs.join(part, key, "left_anti").where(shared >= max(0.0, fuzzy - margin))
+        scored = left.withColumn("_r", seq_ratio("_t", "_u"))
+        w = Window.partitionBy(*key).orderBy(F.desc("_r"), "_dst")
+        ranked = scored.withColumns({"_rn": F.row_number().over(w), "_next": F.when(F.col("_n") > 1, F.col("_r")).otherwise(F.lead("_r", 1, 0.0).over(w))})
+        best = ranked.where(f"_rn = 1 AND _r >= {fuzzy} AND _r - _next >= {margin}").select(*key, F.col("_dst").alias("_near"), "_r")
+        out = out.join(best, key, "left")
+        dst, method = F.coalesce(dst, "_near"), method.when(F.col("_r").isNotNull(), F.concat(F.lit("fuzzy:"), F.format_number("_r", 2)))
+    out = out.select(*key, dst.alias("dst"), method.alias("method"))
+    return items.withColumns({"_block": F.col(block), "_t": F.col(title)}).join(out, key, "left").select(*items.columns, "dst", F.coalesce("method", F.lit("unresolved")).alias("method"))

@@ -16,9 +16,9 @@ from ..sources.tables import table
 from .catalog import query
 
 PAIRS = """
-a AS (SELECT l_orderkey % 500 AS k, l_partkey, l_suppkey, l_orderkey, row_number() OVER (PARTITION BY l_orderkey % 500 ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS occ,
-       count(*) OVER (PARTITION BY l_orderkey % 500) AS t FROM lineitem WHERE l_orderkey < 3000 AND l_quantity < 4),
-b AS (SELECT o_orderkey % 650 AS k, o_orderkey, row_number() OVER (PARTITION BY o_orderkey % 650 ORDER BY o_orderkey) AS occ, count(*) OVER (PARTITION BY o_orderkey % 650) AS t FROM orders WHERE o_orderkey < 2000 AND o_totalprice > 300000),
+a AS (SELECT l_orderkey * 4 AS k, l_partkey, l_suppkey, l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS occ,
+       count(*) OVER (PARTITION BY l_orderkey) AS t FROM lineitem),
+b AS (SELECT o_orderkey // 2 * 4 AS k, o_orderkey, row_number() OVER (PARTITION BY o_orderkey // 2 ORDER BY o_orderkey) AS occ, count(*) OVER (PARTITION BY o_orderkey // 2) AS t FROM orders),
 ta AS (SELECT DISTINCT k, t FROM a), tb AS (SELECT DISTINCT k, t FROM b),
 j AS (SELECT coalesce(a.k, b.k) AS k, coalesce(a.occ, b.occ) AS occurrence, a.l_partkey, b.o_orderkey, a.k IS NOT NULL AS ina, b.k IS NOT NULL AS inb FROM a FULL JOIN b ON a.k = b.k AND a.occ = b.occ),
 p AS (SELECT j.k, occurrence, l_partkey, o_orderkey, CASE WHEN ta.t = 1 AND tb.t = 1 THEN 'exact_key' ELSE 'positional_within_key' END AS method,
@@ -28,8 +28,8 @@ p AS (SELECT j.k, occurrence, l_partkey, o_orderkey, CASE WHEN ta.t = 1 AND tb.t
 
 
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
-    a = table(spark, d, "lineitem").where("l_orderkey < 3000 AND l_quantity < 4").select((F.col("l_orderkey") % 500).alias("k"), "l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_extendedprice")
-    b = table(spark, d, "orders").where("o_orderkey < 2000 AND o_totalprice > 300000").select((F.col("o_orderkey") % 650).alias("k"), "o_orderkey")
+    a = table(spark, d, "lineitem").select((F.col("l_orderkey") * 4).alias("k"), "l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_extendedprice")
+    b = table(spark, d, "orders").select((F.floor(F.col("o_orderkey") / 2) * 4).alias("k"), "o_orderkey")
     return positional(a, b, "k", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"], ["o_orderkey"])
 
 
@@ -101,13 +101,13 @@ def regex_dates(spark, d):
 
 
 @query("""
-SELECT l_orderkey, l_linenumber, l_partkey, CAST(article AS BIGINT) AS article FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, CAST(l_quantity AS BIGINT) AS q FROM lineitem WHERE l_orderkey < 500),
+SELECT l_orderkey, l_linenumber, l_partkey, CAST(article AS BIGINT) AS article FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, CAST(l_quantity AS BIGINT) AS q FROM lineitem),
  LATERAL (SELECT unnest([q, q + 100] || generate_series(q + 200, q + 200 + q % 5 + 1)) AS article)
 """)
 def expand_lists(spark, d):
     """Lists with sub-ranges, written out and expanded again."""
     q = F.col("q")
-    rows = table(spark, d, "lineitem").where("l_orderkey < 500").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("long").alias("q")).distinct()
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("long").alias("q")).distinct()
     text = F.concat(q.cast("string"), F.lit(", "), q + 200, F.lit("-"), q + 200 + q % 5 + 1, F.lit(" va "), q + 100)
     items = F.split(text, r"\s*(?:,|va|hamda)\s*")
     ends = lambda x: F.transform(F.split(x, r"\s*[-–—]+\s*"), lambda y: y.cast("long"))
@@ -120,11 +120,11 @@ SELECT l_orderkey, l_linenumber, l_partkey, 'article' AS target_kind, CAST(artic
  CAST(CASE WHEN b <= 385 THEN -111189 WHEN b <= 1199 THEN -180552 END AS BIGINT) AS dst_doc_id FROM
  (SELECT *, CASE WHEN article > 1199 THEN article // 10 ELSE article END AS b FROM (
   SELECT l_orderkey, l_linenumber, l_partkey, unnest(CASE WHEN l_partkey % 2 = 0 THEN [l_partkey + 1] ELSE generate_series(l_partkey + 1, l_partkey + 3) END) AS article, CASE WHEN l_partkey % 2 = 0 THEN 'single' ELSE 'range' END AS listing
-  FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey < 300)))
+  FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey FROM lineitem)))
 """)
 def extract_citations(spark, d):
     """Sentences that cite articles, through the grammar and to their documents."""
-    rows = table(spark, d, "lineitem").where("l_orderkey < 300").select("l_orderkey", "l_linenumber", "l_partkey").distinct()
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey").distinct()
     n = F.col("l_partkey") + 1
     text = F.concat(F.lit("Bu holat Fuqarolik kodeksining "), n.cast("string"), F.when(F.col("l_partkey") % 2 == 0, F.lit("")).otherwise(F.concat(F.lit(" — "), n + 2)), F.lit("-moddasi bilan belgilanadi, “Sudlar toʻgʻrisida”gi Qonunning 5-moddasi ham."))
     call = ExtractCitations(F.col("r.text").outer(), F.lit(False), F.lit(False), F.lit(None).cast("string"))

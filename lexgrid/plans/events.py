@@ -32,11 +32,11 @@ def repeal_items(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""
 SELECT o_orderkey AS row_id, CAST(unnest(CASE WHEN o_custkey % 3 = 0 THEN [o_custkey % 300 + 1, o_custkey % 300 + 2] WHEN o_custkey % 3 = 1 THEN generate_series(o_custkey % 300 + 1, o_custkey % 300 + 4) ELSE [NULL] END) AS VARCHAR) AS target_article,
- ['restated', 'removed', 'inserted', 'other'][CAST(o_orderkey % 4 + 1 AS INT)] AS change_type, strftime(o_orderdate, '%Y-%m-%d') AS amend_date, 'OʻRQ-' || o_custkey AS act_number FROM orders WHERE o_orderkey < 4000
+ ['restated', 'removed', 'inserted', 'other'][CAST(o_orderkey % 4 + 1 AS INT)] AS change_type, strftime(o_orderdate, '%Y-%m-%d') AS amend_date, 'OʻRQ-' || o_custkey AS act_number FROM orders
 """)
 def amendment_targets(spark, d):
     """Amendment notes to one event for each article that they name."""
-    o = table(spark, d, "orders").where("o_orderkey < 4000")
+    o = table(spark, d, "orders")
     n, kind = F.col("o_custkey") % 300 + 1, F.col("o_custkey") % 3
     scope = F.when(kind == 0, F.concat(n, F.lit(" va "), n + 1, F.lit("-moddalar "))).when(kind == 1, F.concat(n, F.lit(" — "), n + 3, F.lit("-moddalar "))).otherwise("birinchi qismi ")
     verbs = F.element_at(F.array(*map(F.lit, ("tahririda", "asosan chiqarib tashlangan", "bilan kiritilgan", "eʼlon qilingan"))), (F.col("o_orderkey") % 4 + 1).cast("int"))
@@ -71,30 +71,30 @@ def locator_status(spark, d):
 
 
 @query("""
-WITH c AS (SELECT o_orderkey AS clause_id, o_custkey AS src_doc_id, o_custkey % 997 AS dst_doc_id, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS locator, strftime(o_orderdate, '%Y-%m-%d') AS cited_date FROM orders WHERE o_orderkey % 9 = 0),
+WITH c AS (SELECT o_orderkey AS clause_id, o_custkey AS src_doc_id, o_custkey % 997 AS dst_doc_id, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS locator, strftime(o_orderdate, '%Y-%m-%d') AS cited_date FROM orders),
 w AS (SELECT dst_doc_id, src_doc_id FROM c WHERE locator IS NULL QUALIFY row_number() OVER (PARTITION BY dst_doc_id ORDER BY cited_date, clause_id) = 1)
 SELECT c_custkey AS doc_id, CASE WHEN src_doc_id IS NULL THEN 'in-force' ELSE 'superseded' END AS status, src_doc_id AS repealed_by FROM customer LEFT JOIN w ON dst_doc_id = c_custkey
 """)
 def act_currency(spark, d):
     """Which acts a whole-act repeal has superseded, and whose."""
-    o = table(spark, d, "orders").where("o_orderkey % 9 = 0")
+    o = table(spark, d, "orders")
     clauses = o.select(F.col("o_orderkey").alias("clause_id"), F.col("o_custkey").alias("src_doc_id"), (F.col("o_custkey") % 997).alias("dst_doc_id"), F.when(F.col("o_orderstatus") != "F", F.col("o_orderpriority")).alias("locator"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("cited_date"))
     return E.act_currency(table(spark, d, "customer").select(F.col("c_custkey").alias("doc_id")), clauses).select("doc_id", "status", "repealed_by")
 
 
 @query("""
-WITH n AS (SELECT p_partkey, count(*) OVER (PARTITION BY p_partkey % 150) AS t, row_number() OVER (PARTITION BY p_partkey % 150 ORDER BY p_partkey) AS k, CAST(p_partkey % 150 AS VARCHAR) AS article FROM part WHERE p_partkey < 200),
-s AS (SELECT o_orderkey, CAST(substr(o_orderpriority,1,1) AS INT) AS tier, CAST(o_custkey % 380 + 1 AS VARCHAR) AS article FROM orders WHERE o_orderkey < 3000)
+WITH n AS (SELECT p_partkey, count(*) OVER (PARTITION BY p_partkey % 150) AS t, row_number() OVER (PARTITION BY p_partkey % 150 ORDER BY p_partkey) AS k, CAST(p_partkey % 150 AS VARCHAR) AS article FROM part),
+s AS (SELECT o_orderkey, CAST(substr(o_orderpriority,1,1) AS INT) AS tier, CAST(o_custkey % 380 + 1 AS VARCHAR) AS article FROM orders)
 SELECT o_orderkey AS row_id, s.article, n.p_partkey AS dst_norm_id, coalesce(t > 1, false) AS dst_ambiguous, n.p_partkey IS NULL AS dst_dangling, CASE WHEN tier > 2 THEN 'realizes' ELSE 'cites' END AS relation,
  CASE WHEN tier > 2 THEN 'below' WHEN tier = 2 THEN 'same' ELSE 'above' END AS hierarchy_rel, CASE WHEN n.p_partkey IS NULL THEN 0.88 WHEN t > 1 THEN 0.85 ELSE 0.95 END::DOUBLE AS confidence
 FROM s LEFT JOIN n ON n.article = s.article AND k = 1
 """)
 def link_edges(spark, d):
     """Sentences to edges: grammar, target, ambiguity, relation and confidence."""
-    o = table(spark, d, "orders").where("o_orderkey < 3000")
+    o = table(spark, d, "orders")
     rows = o.select(F.col("o_orderkey").alias("row_id"), F.col("o_custkey").alias("doc_id"), F.substring("o_orderpriority", 1, 1).cast("int").alias("tier"), F.lit(False).alias("is_the_code"), F.concat(F.lit("Fuqarolik kodeksining "), F.col("o_custkey") % 380 + 1, F.lit("-moddasi")).alias("article_text"))
     found = citations(spark, rows.select("row_id", F.lit(False).alias("allow_fk_alias"), "is_the_code", F.lit("law").alias("doc_type"), "article_text"), ("article_text",))
-    norms = table(spark, d, "part").where("p_partkey < 200").select(F.col("p_partkey").alias("norm_id"), F.lit(-111189).cast("long").alias("doc_id"), (F.col("p_partkey") % 150).cast("string").alias("article_number"), F.col("p_partkey").alias("occurrence"))
+    norms = table(spark, d, "part").select(F.col("p_partkey").alias("norm_id"), F.lit(-111189).cast("long").alias("doc_id"), (F.col("p_partkey") % 150).cast("string").alias("article_number"), F.col("p_partkey").alias("occurrence"))
     edges = L.edges(found, rows.drop("article_text"), norms, spark.createDataFrame([("C1",)], "node_id string"))
     return edges.select("row_id", "article", "dst_norm_id", "dst_ambiguous", "dst_dangling", "relation", "hierarchy_rel", "confidence")
 
@@ -133,12 +133,12 @@ def superscripts(spark, d):
     return out.select("event_id", "num", "base", tail.alias("superscript"))
 
 
-@query("SELECT CAST(p_size AS INT) AS stage_no, CAST(min(p_partkey) AS BIGINT) AS art_from, CAST(max(p_partkey) AS BIGINT) AS art_to, CAST(count(*) AS BIGINT) AS n_articles FROM part WHERE p_size <= 20 GROUP BY 1")
+@query("SELECT CAST(p_size AS INT) AS stage_no, CAST(min(p_partkey) AS BIGINT) AS art_from, CAST(max(p_partkey) AS BIGINT) AS art_to, CAST(count(*) AS BIGINT) AS n_articles FROM part GROUP BY 1")
 def chapter_spans(spark, d):
     """Stages from the chapters that rows name in text, and what they span."""
     chapter = F.concat("p_size", F.lit("-bob. "), "p_name")
     stage = F.regexp_extract("chapter", r"^(\d+)-bob", 1).try_cast("int")
-    return table(spark, d, "part").where("p_size <= 20").select("p_partkey", chapter.alias("chapter")).groupBy(stage.alias("stage_no")).agg(F.min("p_partkey").alias("art_from"), F.max("p_partkey").alias("art_to"), F.count("*").alias("n_articles"))
+    return table(spark, d, "part").select("p_partkey", chapter.alias("chapter")).groupBy(stage.alias("stage_no")).agg(F.min("p_partkey").alias("art_from"), F.max("p_partkey").alias("art_to"), F.count("*").alias("n_articles"))
 
 
 @query("WITH a AS (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_returnflag = 'R'), b AS (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_linestatus = 'O') SELECT CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (WHERE b.l_orderkey IS NULL) AS BIGINT) AS n_only_first FROM a LEFT JOIN b ON a.l_orderkey = b.l_orderkey")
@@ -149,23 +149,23 @@ def disagreement(spark, d):
 
 
 @query("""
-WITH u AS (SELECT p_name FROM part GROUP BY 1 HAVING count(*) = 1), e AS (SELECT l_orderkey, CASE WHEN l_linenumber % 2 = 0 THEN l_partkey END AS norm_id, p_name FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_orderkey < 2000)
+WITH u AS (SELECT p_name FROM part GROUP BY 1 HAVING count(*) = 1), e AS (SELECT l_orderkey, CASE WHEN l_linenumber % 2 = 0 THEN l_partkey END AS norm_id, p_name FROM lineitem JOIN part ON p_partkey = l_partkey)
 SELECT p_partkey, CAST(count(*) AS BIGINT) AS n FROM (SELECT norm_id AS p_partkey FROM e WHERE norm_id IS NOT NULL UNION ALL SELECT part.p_partkey FROM e JOIN u ON u.p_name = e.p_name JOIN part ON part.p_name = e.p_name WHERE norm_id IS NULL) GROUP BY 1
 """)
 def null_tolerant_key(spark, d):
     """A join by id where there is one, else by name where the name is unambiguous: two keyed frames, not an OR."""
-    part, lineitem = table(spark, d, "part"), table(spark, d, "lineitem").where("l_orderkey < 2000")
+    part, lineitem = table(spark, d, "part"), table(spark, d, "lineitem")
     e = lineitem.join(part.select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey").select(F.when(F.col("l_linenumber") % 2 == 0, F.col("l_partkey")).alias("norm_id"), "p_name")
     only = part.groupBy("p_name").agg(F.count("*").alias("k"), F.min("p_partkey").alias("p_partkey")).where("k = 1")
     both = e.where("norm_id IS NOT NULL").select(F.col("norm_id").alias("p_partkey")).unionByName(e.where("norm_id IS NULL").join(only, "p_name").select("p_partkey"))
     return both.groupBy("p_partkey").agg(F.count("*").alias("n"))
 
 
-@query("SELECT o_orderkey, CAST(unnest([1, 2, 3]) AS BIGINT) AS article FROM orders WHERE o_orderkey < 500")
+@query("SELECT o_orderkey, CAST(unnest([1, 2, 3]) AS BIGINT) AS article FROM orders")
 def block_split(spark, d):
     """Texts cut at article markers."""
     text = F.concat(F.lit("Kirish. 1-modda. Bir "), "o_custkey", F.lit(" 2-modda. Ikki\n3-modda. Uch 4-moddasi bilan"))
-    cut = E.blocks(table(spark, d, "orders").where("o_orderkey < 500").select("o_orderkey", text.alias("t")), "o_orderkey", "t")
+    cut = E.blocks(table(spark, d, "orders").select("o_orderkey", text.alias("t")), "o_orderkey", "t")
     return cut.select("o_orderkey", F.regexp_extract("block", r"^(\d+)-modda\. ", 1).try_cast("long").alias("article")).where("article IS NOT NULL")
 
 

@@ -79,7 +79,7 @@ def missing_in_range(spark, d):
 @query("""
 WITH RECURSIVE t AS (SELECT 'R' || r_regionkey AS node_id, r_name AS path, 0 AS depth FROM region
   UNION ALL SELECT k.node_id, t.path || ' > ' || k.label, t.depth + 1 FROM t JOIN (SELECT 'N' || n_nationkey AS node_id, n_name AS label, 'R' || n_regionkey AS parent FROM nation
-  UNION ALL SELECT 'C' || c_custkey, c_name, 'N' || c_nationkey FROM customer WHERE c_custkey < 100) k ON k.parent = t.node_id)
+  UNION ALL SELECT 'C' || c_custkey, c_name, 'N' || c_nationkey FROM customer) k ON k.parent = t.node_id)
 SELECT node_id, path, CAST(depth AS INT) AS depth FROM t
 """)
 def tree_breadcrumb(spark, d):
@@ -88,17 +88,17 @@ def tree_breadcrumb(spark, d):
 
 
 def tree(spark, d) -> DataFrame:
-    """(node_id, parent_id, label) of regions, nations and some customers."""
+    """(node_id, parent_id, label) of regions, nations and customers."""
     region, nation, customer = (table(spark, d, t) for t in ("region", "nation", "customer"))
     node = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
     a = region.select(node("R", "r_regionkey").alias("node_id"), F.lit(None).cast("string").alias("parent_id"), F.col("r_name").alias("label"))
     b = nation.select(node("N", "n_nationkey"), node("R", "n_regionkey"), "n_name")
-    return a.union(b).union(customer.where("c_custkey < 100").select(node("C", "c_custkey"), node("N", "c_nationkey"), "c_name"))
+    return a.union(b).union(customer.select(node("C", "c_custkey"), node("N", "c_nationkey"), "c_name"))
 
 
 @query("""
 SELECT 'R' || r_regionkey AS ancestor, CAST(count(DISTINCT n_nationkey) + count(DISTINCT c_custkey) AS BIGINT) AS n_below, CAST(min(c_custkey) AS BIGINT) AS first_unit
-FROM region JOIN nation ON n_regionkey = r_regionkey LEFT JOIN customer ON c_nationkey = n_nationkey AND c_custkey < 100 GROUP BY 1
+FROM region JOIN nation ON n_regionkey = r_regionkey LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY 1
 """)
 def ancestor_rollup(spark, d):
     """What lies below each root."""
@@ -109,8 +109,8 @@ def ancestor_rollup(spark, d):
 
 @query("""
 SELECT node_id, row_number() OVER (ORDER BY f, depth, node_id) AS place FROM (
- SELECT 'R' || r_regionkey AS node_id, 0 AS depth, coalesce(min(c_custkey), 10000) AS f FROM region LEFT JOIN nation ON n_regionkey = r_regionkey LEFT JOIN customer ON c_nationkey = n_nationkey AND c_custkey < 100 GROUP BY 1
- UNION ALL SELECT 'N' || n_nationkey, 1, coalesce(min(c_custkey), 10000) FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey AND c_custkey < 100 GROUP BY 1)
+ SELECT 'R' || r_regionkey AS node_id, 0 AS depth, coalesce(min(c_custkey), 10000) AS f FROM region LEFT JOIN nation ON n_regionkey = r_regionkey LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY 1
+ UNION ALL SELECT 'N' || n_nationkey, 1, coalesce(min(c_custkey), 10000) FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY 1)
 """)
 def tree_order(spark, d):
     """Inner nodes in the order of the first unit below them."""
