@@ -44,11 +44,11 @@ class Store:
         self.spark, self.base = spark, f"{shared_dir(spark)}/lexgrid-{name}-{uuid.uuid4().hex[:12]}"
         self.n = 0
 
-    def keep(self, df: DataFrame) -> DataFrame:
-        """df, written as Parquet and read again with the written schema."""
+    def keep(self, df: DataFrame, *by: str) -> DataFrame:
+        """df, written as Parquet (in a folder for each value of the columns `by`) and read again with the written schema."""
         self.n += 1
         path = f"{self.base}/{self.n}"
-        df.write.parquet(path)
+        df.write.partitionBy(*by).parquet(path) if by else df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._lexgrid_path = path
         return out
@@ -60,10 +60,10 @@ class Store:
             self.spark._jvm.System.gc()
             time.sleep(0.5)  # the cleaner works beside us
 
-    def drop(self, df: DataFrame) -> None:
-        """Delete a kept table that nothing reads any more."""
+    def drop(self, df: DataFrame, part: str = "") -> None:
+        """Delete a kept table, or a folder in it, that nothing reads any more."""
         jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(df._lexgrid_path)
+        path = jvm.org.apache.hadoop.fs.Path(f"{df._lexgrid_path}/{part}" if part else df._lexgrid_path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

@@ -265,14 +265,65 @@ def contexts(b: Buffer, shared: np.ndarray, shards: int, indexes: int, bounds: n
     return out
 
 
-def words(text: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
-    """The LENGTH bytes at each place as big-endian numbers, first bytes first: they compare as the strings do."""
-    size = len(text)
-    padded = np.concatenate([text, np.zeros(8, np.uint8)])
-    every = np.ndarray(size + 1, ">u8", padded, strides=(1,))
-    out = [every[at + k].astype(u64) for k in range(0, LENGTH - 7, 8)]
-    rest = LENGTH % 8
-    return out + [every[at + LENGTH - rest].astype(u64) >> u64(64 - 8 * rest)] if rest else out
+class Strings:
+    """The LENGTH bytes at places of a text, as big-endian numbers: they compare as the strings do."""
+
+    def __init__(self, text: np.ndarray):
+        self.text = text
+        self.every = np.ndarray(len(text) + 1, ">u8", np.concatenate([text, np.zeros(8, np.uint8)]), strides=(1,))
+
+    def words(self, at: np.ndarray) -> list[np.ndarray]:
+        """Numbers of eight bytes, the last of what is left."""
+        rest = LENGTH % 8
+        out = [self.every[at + k].astype(u64) for k in range(0, LENGTH - 7, 8)]
+        return out + [self.every[at + LENGTH - rest].astype(u64) >> u64(64 - 8 * rest)] if rest else out
+
+    def equal(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out = np.ones(len(a), bool)
+        for k in [*range(0, LENGTH - 7, 8), LENGTH - 8]:
+            out &= self.every[a + k] == self.every[b + k]
+        return out
+
+    def unlike(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which strings at a differ from those at b, with what runs on from them. Where both run on by one place, only the last byte is new."""
+        begins = np.ones(len(a), bool)
+        begins[1:] = (a[1:] != a[:-1] + 1) | (b[1:] != b[:-1] + 1)
+        same = self.text[a + LENGTH - 1] == self.text[b + LENGTH - 1]
+        same[begins] &= self.equal(a[begins], b[begins])
+        run = np.cumsum(begins) - 1
+        broken = np.zeros(int(begins.sum()), bool)
+        broken[run[~same]] = True
+        return broken[run]
+
+    def order(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(order, new): at[order] is sorted by the strings, equal ones by their place in `at`; new: which begin a run of equal strings.
+
+        Sorted by the first eight bytes; then those that are still tied, by their tie and five bytes more at a time.
+        """
+        first = self.every[at].astype(u64)
+        order = np.argsort(first)
+        sorted_ = first[order]
+        new = np.ones(len(order), bool)
+        new[1:] = sorted_[1:] != sorted_[:-1]
+        done = 8
+        while done < LENGTH:
+            edge = np.append(new, True)
+            tied = np.flatnonzero(~(edge[:-1] & edge[1:]))
+            if not len(tied):
+                break
+            tie = np.cumsum(new[tied]).astype(u64)  # of at most 1 << 24 ties
+            size = min(5, LENGTH - done)
+            key = tie << u64(40) | self.every[at[order[tied]] + done].astype(u64) >> u64(64 - 8 * size)
+            by = np.argsort(key)
+            order[tied] = order[tied[by]]
+            key = key[by]
+            new[tied[1:]] |= key[1:] != key[:-1]
+            done += size
+        edge = np.flatnonzero(new)
+        many = np.repeat(edge, np.diff(np.append(edge, len(order))))
+        tied = np.flatnonzero(~(np.append(new, True)[:-1] & np.append(new, True)[1:]))
+        order[tied] = order[tied][np.lexsort((order[tied], many[tied]))]
+        return order, new
 
 
 class Level(NamedTuple):
@@ -288,7 +339,7 @@ class Level(NamedTuple):
 
     def scan(self, other: list[np.ndarray]) -> np.ndarray:
         """The smallest document that has each of `other` (sorted strings, as words), NULL_ID where none has."""
-        own = words(self.text, self.order)
+        own = Strings(self.text).words(self.order)
         low, high = np.searchsorted(own[0], other[0], "left"), np.searchsorted(own[0], other[0], "right")
         for k in range(1, len(own)):
             more = np.flatnonzero(high - low > 1)  # where one is left, it is compared below
@@ -320,21 +371,34 @@ class Level(NamedTuple):
         """Both as one; of a string that both have the place in the first stays."""
         text = np.concatenate([self.text, other.text])
         at = np.concatenate([self.order.astype(np.int64), other.order.astype(np.int64) + len(self.text)])
-        return Level(np.concatenate([self.lengths, other.lengths]), np.concatenate([self.docs, other.docs]), text, at).sorted(at)[0]
+        order, new = Strings(text).order(at)
+        return Level(np.concatenate([self.lengths, other.lengths]), np.concatenate([self.docs, other.docs]), text, at[order][new])
 
-    def sorted(self, at: np.ndarray) -> tuple[Level, np.ndarray, np.ndarray, list[np.ndarray]]:
-        """(the suffix array of the places `at`, their order, which of them begins a run of equal strings, the distinct strings' words)."""
-        w = words(self.text, at)
-        order = np.lexsort(w[::-1])
-        w = [x[order] for x in w]
-        new = np.ones(len(order), bool)
-        new[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in w])
-        return self._replace(order=at[order][new]), order, new, [x[new] for x in w]
+    def sorted(self, at: np.ndarray) -> tuple[Level, np.ndarray, np.ndarray]:
+        """(the suffix array of the strings at the ascending places `at`, which of these its places are, where in it each one's string stands).
 
-    def compact(self) -> Level:
-        """Without the contexts that no place lies in."""
+        Equal strings are found by a hash and compared, so that only distinct ones are sorted.
+        """
+        strings, h = Strings(self.text), Hashes(self.text).of(at, at + LENGTH)
+        by = np.argsort(h)
+        begins = np.flatnonzero(np.concatenate([np.ones(min(1, len(by)), bool), h[by][1:] != h[by][:-1]]))
+        heads = np.minimum.reduceat(by, begins) if len(by) else by
+        many = np.diff(np.append(begins, len(by)))
+        member = np.empty(len(at), np.int64)
+        member[by] = np.repeat(np.arange(len(heads)), many)
+        odd = np.flatnonzero(strings.unlike(at, at[heads][member]))  # perhaps of one hash, but not equal: sorted on their own
+        member[odd] = len(heads) + np.arange(len(odd))
+        own = np.concatenate([heads, odd])
+        order, new = strings.order(at[own])
+        rank = np.empty(len(own), np.int64)
+        rank[order] = np.cumsum(new) - 1
+        least = np.full(int(new.sum()), len(at))
+        np.minimum.at(least, rank, own) if len(odd) else least.__setitem__(rank, own)
+        return self._replace(order=at[least]), least, rank[member]
+
+    def compact(self, own: np.ndarray) -> Level:
+        """Without the contexts that no place lies in; own: the contexts of the places."""
         begin = np.cumsum(self.lengths, dtype=np.int64) - self.lengths
-        own = self.owner(self.order)
         used = np.unique(own)
         moved = np.zeros(len(self.lengths), np.int64)
         moved[used] = np.cumsum(self.lengths[used], dtype=np.int64) - self.lengths[used]
@@ -362,18 +426,17 @@ class Family:
         sizes = batch.lengths.astype(np.int64)
         n = sizes - LENGTH + 1
         at = slices(np.cumsum(sizes) - sizes, n)
-        own, order, new, distinct = batch.sorted(at)
-        group = np.cumsum(new) - 1
-        doc = np.repeat(batch.docs, n)[order]
-        least = doc[new]  # equal strings lie in the order of their documents
+        own, first, rank = batch.sorted(at)
+        distinct = Strings(own.text).words(own.order)
+        context = np.repeat(np.arange(len(n)), n)
+        least = batch.docs[context[first]]
         fresh = np.ones(len(least), bool)
         for level in self.levels:
             found = level.scan(distinct)
             fresh &= found == NULL_ID
             least = np.minimum(least, found)
-        again = np.zeros(len(at), bool)
-        again[order] = doc > least[group]
-        self.levels.append(own._replace(order=own.order[fresh]).compact())
+        again = batch.docs[context] > least[rank]
+        self.levels.append(own._replace(order=own.order[fresh]).compact(context[first[fresh]]))
         return at, again
 
     def merge(self, levels: int) -> Level:
@@ -507,10 +570,10 @@ def without_repeats(
     long = source.where(F.octet_length("_t") >= LENGTH)
     met = store.keep(long.mapInArrow(lean(anchors), schema).repartition(shards, "to").sortWithinPartitions(*order).mapInArrow(lean(meeting), schema))
     store.release()
-    near = store.keep(dealt(met, long).mapInArrow(lean(surroundings), schema))
+    near = store.keep(dealt(met, long).mapInArrow(lean(surroundings), schema), "kind")
     store.drop(met)
     store.release()
-    spans, live = near.where("kind = 0"), []  # live: (batches that a level stands for, the level), oldest first
+    spans, live = near.where("kind = 0"), []  # live: (batches that a level stands for, its table), oldest first
     for b in range(len(bounds) + 1):
         merged, size = 0, 1
         while merged < len(live) and live[-1 - merged][0] == size:
@@ -518,11 +581,16 @@ def without_repeats(
         last = b == len(bounds)  # nothing comes after it
         rows = near.where(F.col("kind") == b + 1)
         for k, (_, level) in enumerate(live):
-            rows = rows.unionByName(level.withColumn("kind", F.lit(k - len(live))))
-        out = store.keep(rows.repartition(indexes, "to").sortWithinPartitions(*order).mapInArrow(lean(entering(len(live), None if last else merged)), schema))
+            rows = rows.unionByName(level.where("kind = 1").withColumn("kind", F.lit(k - len(live))))
+        entered = rows.select("to", "kind", "blob").repartition(indexes, "to").sortWithinPartitions(*order)
+        out = store.keep(entered.mapInArrow(lean(entering(len(live), None if last else merged)), schema), "kind")
         spans = spans.unionByName(out.where("kind = 0"))
-        live[len(live) - merged :] = [(size, out.where("kind = 1"))]
-    store.release()
+        for _, level in live[len(live) - merged :] if not last else live:
+            store.drop(level, "kind=1")
+        store.drop(near, f"kind={b + 1}")
+        live[len(live) - merged :] = [(size, out)]
+        del rows, entered
+        store.release()
 
     names = [f"_c{i}" for i in range(len(keep))]
     rows = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names, strict=True)], doc.alias("_d"), key.alias("_k"), raw.alias("_t"))
@@ -540,7 +608,7 @@ def without_repeats(
                 )
 
     schema = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, fields, strict=True))
-    out = dealt(spans, rows).mapInArrow(lean(cut), f"{schema}, _n0 long, _n1 long, _n2 long, _kept {'binary' if result == pa.binary() else 'string'}")
+    out = dealt(spans.select("to", "kind", "blob"), rows).mapInArrow(lean(cut), f"{schema}, _n0 long, _n1 long, _n2 long, _kept {'binary' if result == pa.binary() else 'string'}")
     return out.toDF(*keep, "n_bytes", "n_removed", "n_spans", "kept")
 
 
