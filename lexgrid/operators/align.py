@@ -24,3 +24,18 @@ def positional(left: DataFrame, right: DataFrame, key: str, left_order: list, ri
         .otherwise(F.when(F.col("_ta").isNull(), "right_only").otherwise("right_only_occurrence"))
     )
     return both.withColumns({"method": F.when(F.coalesce(one, F.lit(False)), "exact_key").otherwise("positional_within_key"), "status": status}).drop("_a", "_b", "_ta", "_tb")
+
+
+def reviewed(aligned: DataFrame, overrides: DataFrame, key: str, superscript: str) -> DataFrame:
+    """aligned (of positional) with report, and status as decided: what a person has to look at, null for what is safe.
+
+    overrides: (key, status) of keys that were decided on; they are reported as such. Else rows that stand alone are reported by
+    their status, then pairs of a key that isn't single on both sides, then pairs with a superscript.
+    """
+    decided = overrides.select(key, F.col("status").alias("_decided"))
+    out = aligned.join(decided, key, "left")
+    report = (
+        F.when(F.col("_decided").isNotNull(), "override").when(F.col("status") != "aligned", F.col("status"))
+        .when(F.col("method") != "exact_key", "review_ambiguous_key").when(F.col(superscript).isNotNull(), "review_superscript")
+    )
+    return out.withColumns({"report": report, "status": F.coalesce("_decided", "status")}).drop("_decided")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import collapse, month_number, norm_title
+from .citations import ORDINALS
 from .windows import latest, top1
 
 # --- Fixed values: how clauses, notes and verbs are written. ---
@@ -28,6 +29,10 @@ VERBS = (
     ("almashtirilgan", "replaced"), ("kiritilgan", "inserted"), (r"kuchini yo\wqot", "voided"), ("kuchga ega emas", "voided"),
 )
 ARTICLES = r"(?iU)((?:\d+(?:\s*(?:,|va|hamda|[-–—]+)\s*)?)+)(?:\s*[-–—]\s*|\s+)(modda|bob|paragraf)"
+UNIT_LOCATOR = r"(?iU)^(\d+)-moddaning\s+(.+?)\s+qismi(?:ning)?$"
+UNIT_DIGITS, UNIT_WORD = r"(?iU)^(\d+)\s*-?\s*(?:qism|band)$", r"(?iU)^(.+?)\s+(?:qism|band)$"
+FOOTNOTE = r"(?is)in\s+accordance\s+with\s+the\s+Laws?\s+of\s+the\s+Republic\s+of\s+Uzbekistan\s+dated(.*?)\)_"
+FOOTNOTE_ACT = r"(?i)Z\s*R\s*U\s*-\s*(\d+)"
 AFTER = 460  # characters after an item that its groups look at: 60 and 400
 # --- End of the fixed values. ---
 
@@ -132,3 +137,54 @@ def blocks(docs: DataFrame, key: str, text: str) -> DataFrame:
 def sequence_numbers(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """rows with event_id: dense numbers in order, within the key."""
     return rows.withColumn("event_id", F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
+
+
+def ordinal(word: Column) -> Column:
+    """The number that an ordinal word stands for, whatever its apostrophe and case; null for other words."""
+    place = F.array_position(F.array(*map(F.lit, ORDINALS)), F.translate(F.lower(word), "ʼ'", "ʻʻ"))
+    return F.when(place > 0, place.cast("int"))
+
+
+def unit_number(text: Column) -> Column:
+    """The number of a part or item, written in digits or as an ordinal word."""
+    own = F.regexp_replace(F.trim(text), r"\.+$", "")
+    return F.coalesce(F.nullif(F.regexp_extract(own, UNIT_DIGITS, 1), F.lit("")).try_cast("int"), ordinal(F.regexp_extract(own, UNIT_WORD, 1)))
+
+
+def void_citations(edges: DataFrame, events: DataFrame) -> DataFrame:
+    """(edge_id, amend_event_id): edges (edge_id, dst_doc_id, dst_article_number, dst_qism) to a sub-unit that is removed or voided, and not since touched again.
+
+    events: as locator_status() takes them. Document, article and ordinal agree; of several events the last.
+    """
+    gone = locator_status(events).where(F.col("change_type").isin("removed", "voided") & ~F.col("is_stale"))
+    part = lambda g: F.regexp_extract(F.trim("locator"), UNIT_LOCATOR, g)
+    units = gone.select(F.col("doc_id").alias("dst_doc_id"), part(1).alias("dst_article_number"), ordinal(part(2)).alias("_unit"), "event_id").where("_unit IS NOT NULL")
+    last = units.groupBy("dst_doc_id", "dst_article_number", "_unit").agg(F.max("event_id").alias("amend_event_id"))
+    return edges.withColumn("_unit", unit_number(F.col("dst_qism"))).join(last, ["dst_doc_id", "dst_article_number", "_unit"]).select("edge_id", "amend_event_id")
+
+
+def footnote_acts(texts: DataFrame, text: str) -> DataFrame:
+    """(norm_id, act_number): the acts that the footnotes of a translated text (norm_id, text) name."""
+    notes = F.flatten(F.transform(F.regexp_extract_all(F.col(text), F.lit(FOOTNOTE), F.lit(1)), lambda x: F.regexp_extract_all(x, F.lit(FOOTNOTE_ACT), F.lit(1))))
+    return texts.select("norm_id", F.explode(notes.cast("array<bigint>")).alias("act_number")).distinct()
+
+
+def translation_staleness(footnotes: DataFrame, amendments: DataFrame) -> DataFrame:
+    """(norm_id, en_latest, uz_latest, types, stale) of norms that both know: the latest act by number, what it did, and whether the translation lags.
+
+    footnotes: norm_id, act_number; amendments: norm_id, act_number (the digits at its end count), change_type.
+    """
+    en = footnotes.groupBy("norm_id").agg(F.max("act_number").alias("en_latest"))
+    n = F.regexp_extract(F.col("act_number").cast("string"), r"(\d+)$", 1).try_cast("long").alias("n")
+    by = amendments.select("norm_id", n, "change_type").where("n IS NOT NULL").groupBy("norm_id", "n").agg(F.array_join(F.array_sort(F.collect_set("change_type")), ",").alias("types"))
+    uz = by.groupBy("norm_id").agg(F.max("n").alias("uz_latest"), F.max_by("types", "n").alias("types"))
+    return en.join(uz, "norm_id").select("norm_id", "en_latest", "uz_latest", "types", (F.col("en_latest") < F.col("uz_latest")).alias("stale"))
+
+
+def mentions(rows: DataFrame, pattern: str, around: int = 110) -> DataFrame:
+    """(doc_id, n_hits, evidence): how many rows (doc_id, row_id, text) of a document match, and the surroundings of the first match of its first such row."""
+    hit = rows.where(F.col("text").rlike(pattern)).withColumn("m", F.regexp_extract("text", pattern, 0))
+    at = F.call_function("locate", F.col("m"), F.col("text"))
+    begin = F.greatest(at - around, F.lit(1))
+    shown = collapse(F.substr("text", begin, at + F.length("m") + around - begin))
+    return hit.select("doc_id", F.struct("row_id", shown.alias("evidence")).alias("s")).groupBy("doc_id").agg(F.count("*").alias("n_hits"), F.min("s").alias("s")).select("doc_id", "n_hits", "s.evidence")

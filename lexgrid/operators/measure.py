@@ -54,7 +54,7 @@ def anchor_windows(provisions: DataFrame, found: DataFrame, names: tuple[str, ..
     """
     may = "(?i)kodeks|(?<![0-9A-Za-z_])fk"
     rows = fields(provisions, names).where(F.col("text").rlike(may))
-    call = Anchors(F.col("p.text"), F.col("p.allow_fk_alias"), F.col("p.is_the_code"))
+    call = Anchors(F.col("p.text").outer(), F.col("p.allow_fk_alias").outer(), F.col("p.is_the_code").outer())
     opened = rows.alias("p").lateralJoin(call.alias("a")).select("p.row_id", "p.source_field", "a.*")
     own = found.select("row_id", "source_field", F.col("start").alias("_at"), F.col("anchor").alias("_kind"), "target_kind", F.col("article").try_cast("int").alias("_n"))
     both = opened.join(own, ["row_id", "source_field"], "left")
@@ -77,7 +77,7 @@ def unit_recall(provisions: DataFrame, found: DataFrame, names: tuple[str, ...])
     texts = fields(provisions, names).select("row_id", "source_field", "text")
     single = found.where("target_kind = 'article' AND listing = 'single'").select("row_id", "source_field", "end", "qism")
     rows = single.join(texts, ["row_id", "source_field"]).alias("p")
-    follows = rows.lateralJoin(UnitFollows(F.col("p.text"), F.col("p.end")).alias("u")).where("unit_follows")
+    follows = rows.lateralJoin(UnitFollows(F.col("p.text").outer(), F.col("p.end").outer()).alias("u")).where("unit_follows")
     return follows.agg(F.count("*").alias("checked"), F.count_if(F.col("qism").isNull()).alias("missed"))
 
 
@@ -117,5 +117,6 @@ def shape(window: Column, anchor_kind: Column, field: Column) -> Column:
 
 
 def shape_key(features: Column) -> Column:
-    """A struct of features as one string, to group and compare by."""
-    return F.to_csv(features)
+    """A struct of features as one string, to group and compare by: keys, a digit for each flag, the buckets."""
+    flags = [F.when(features[name], "1").otherwise("0") for name, _ in SEPARATORS + SHAPES]
+    return F.concat(features["anchor_kind"], features["field"], *flags, *[features[n].cast("string") for n in ("separators", "distance", "digits")])

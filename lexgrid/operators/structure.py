@@ -85,6 +85,12 @@ def numbered(df: DataFrame, key: str, order: list, name: str, span: int = 1 << 1
     return df.withColumn("_span", cell).join(offsets, "_span").withColumn(name, own + F.col("_before")).drop("_span", "_before")
 
 
+def containing(points: DataFrame, nodes: DataFrame, at: str, low: str, high: str) -> DataFrame:
+    """points with the columns of each node whose [low, high] holds `at`, nulls if none: the intervals' points are listed, and the join is on equal points."""
+    listed = nodes.withColumn(at, F.explode(F.sequence(F.col(low).cast(points.schema[at].dataType), F.col(high).cast(points.schema[at].dataType))))
+    return points.join(listed, at, "left")
+
+
 def by_number(text: Column) -> Column:
     """Order of keys that are written numbers: by value; others last."""
     return text.try_cast("int").asc_nulls_last()

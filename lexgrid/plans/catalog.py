@@ -26,7 +26,7 @@ def query(sql: str | None = None, name: str | None = None):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import domain, events, relational, sequences  # noqa: F401
+    from . import amending, domain, events, measure, relational, sequences, structure, verify  # noqa: F401
 
     return _QUERIES
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import display as V
 from ..functions import exprs as X
+from ..operators import events as E
 from ..operators import quality as Q
 from ..operators import windows as W
 from ..operators.align import positional
-from ..operators.citations import ExtractCitations, target_doc
+from ..operators.citations import ORDINALS, ExtractCitations, target_doc
 from ..operators.headings import lines, sections
 from ..operators.resolve import cascade, seq_ratio
 from ..sources.tables import table
@@ -51,16 +53,15 @@ def norm_title(spark, d):
 
 
 @query("""
-SELECT doc_id, CAST(p AS BIGINT) AS found_at, CASE WHEN p = 0 THEN substr(text, 1, 60) ELSE substr(text, CAST(greatest(p - 20, 1) AS BIGINT), 60) END AS excerpt,
- CASE WHEN p = 0 THEN NULL ELSE substr(text, 1, p - 1) || '[' || substr(text, p, 4) || ']' || substr(text, p + 4, 10) END AS marked
-FROM (SELECT doc_id, text, strpos(lower(text), 'that') AS p FROM documents WHERE length(text) < 600)
+SELECT doc_id, CAST(p AS BIGINT) AS found_at, CASE WHEN length(text) = 0 OR text IS NULL THEN '' WHEN p > 0 THEN (CASE WHEN p - 1 > 40 THEN '…' ELSE '' END) || substr(text, CAST(greatest(p - 40, 1) AS BIGINT), CAST(p + 40 - greatest(p - 40, 1) AS BIGINT)) || '…' ELSE substr(text, 1, 40) END AS excerpt,
+ CASE WHEN doc_id % 5 < 4 AND doc_id % 5 + 3 <= length(text) THEN substr(text, 1, doc_id % 5) || '[' || substr(text, doc_id % 5 + 1, 3) || '[' || substr(text, doc_id % 5 + 4) ELSE text END AS marked
+FROM (SELECT *, CASE WHEN a > 0 THEN a ELSE b END AS p FROM (SELECT doc_id, text, strpos(lower(text), 'er the') AS a, strpos(lower(text), 'de la') AS b FROM documents))
 """)
 def excerpt_highlight(spark, d):
-    """A crop around the first hit, and the hit marked."""
-    p = F.col("p")
-    hit = table(spark, d, "documents").where(F.length("text") < 600).select("doc_id", "text", F.locate("that", F.lower("text")).alias("p"))
-    marked = F.concat(F.substr("text", F.lit(1), p - 1), F.lit("["), F.substr("text", p, F.lit(4)), F.lit("]"), F.substr("text", p + 4, F.lit(10)))
-    return hit.select("doc_id", p.cast("long").alias("found_at"), F.when(p == 0, X.crop(F.col("text"), F.lit(1), 60)).otherwise(X.crop(F.col("text"), p - 20, 60)).alias("excerpt"), F.when(p > 0, marked).alias("marked"))
+    """A crop around the first hit or its stand-in, and a span marked where it is one."""
+    text, start = F.col("text"), F.col("doc_id") % 5
+    hit, end = V.first_hit(text, F.lit("Er the"), "de la"), F.when(start < 4, start + 3)
+    return table(spark, d, "documents").select("doc_id", hit.cast("long").alias("found_at"), V.excerpt(text, F.lit("Er the"), 40, "de la").alias("excerpt"), V.highlight(text, start, end, "[").alias("marked"))
 
 
 @query("""
@@ -75,29 +76,26 @@ def roman_month_ordinal(spark, d):
     return table(spark, d, "part").select("p_partkey", X.roman(F.col("p_size")).alias("roman"), month.alias("month"), F.concat(F.lit("19"), F.lpad((F.col("p_size") + 40).cast("string"), 2, "0"), F.lit("-"), F.lpad(month.cast("string"), 2, "0")).alias("iso"))
 
 
-@query("SELECT event_id, CASE WHEN regexp_matches(event_type, 'pur') THEN 'restated' WHEN regexp_matches(event_type, 'err|pur') THEN 'removed' WHEN regexp_matches(event_type, '^s') THEN 'inserted' ELSE 'other' END AS change_type FROM events")
+@query("SELECT event_id, ['restated','supplemented','supplemented','removed','removed','replaced','inserted','voided','voided','other','removed'][CAST(event_id % 11 + 1 AS INT)] AS change_type FROM events")
 def verb_classify(spark, d):
-    """The first pattern that matches decides."""
-    out = F
-    for pattern, name in (("pur", "restated"), ("err|pur", "removed"), ("^s", "inserted")):
-        out = out.when(F.col("event_type").rlike(pattern), name)
-    return table(spark, d, "events").select("event_id", out.otherwise("other").alias("change_type"))
+    """The first verb, in their order, decides."""
+    said = ("yangi tahririda", "bilan toʻldirilgan", "toʻldirib", "chiqarib tashlangan va kiritilgan", "chiqarilsin", "almashtirilgan", "kiritilgan", "oʻz kuchini yoʻqotgan", "kuchga ega emas", "eʼlon qilingan", "chiqarilib almashtirilgan")
+    text = F.element_at(F.array(*map(F.lit, said)), (F.col("event_id") % 11 + 1).cast("int"))
+    return table(spark, d, "events").select("event_id", E.verb(text).alias("change_type"))
 
 
-@query("SELECT o_orderkey, CAST(year(o_orderdate) AS INT) AS y, CAST(month(o_orderdate) AS INT) AS m, CAST(day(o_orderdate) AS INT) AS dd, CAST(o_custkey AS INT) AS num, 'voided' AS change_type, CAST(2 AS BIGINT) AS n_clauses FROM orders")
+@query("""
+SELECT o_orderkey AS row_id, strftime(o_orderdate, '%Y-%m-%d') AS amend_date, CASE WHEN o_orderkey % 2 = 0 THEN 'OʻRQ-' || o_custkey ELSE o_custkey || '-XII-son' END AS act_number, 'voided' AS change_type,
+ CAST(year(o_orderdate) + 1 AS VARCHAR) || strftime(o_orderdate, '-%m-%d') AS effective_date, '7' AS target_article FROM orders
+""")
 def regex_dates(spark, d):
-    """Amendment clauses split by balanced parentheses, their dates and numbers read back."""
+    """Amendment clauses split by balanced parentheses, their dates and both forms of numbers read back."""
     o = table(spark, d, "orders")
-    month = F.element_at(F.array(*map(F.lit, X.MONTHS)), F.month("o_orderdate"))
-    note = F.concat(F.lit("(7-modda Oʻzbekiston Respublikasining "), F.year("o_orderdate"), F.lit("-yil "), F.day("o_orderdate"), F.lit("-"), month, F.lit("dagi OʻRQ-"), "o_custkey", F.lit("-sonli (yangi) Qonuniga asosan oʻz kuchini yoʻqotgan) va (ilova)"))
-    clauses = F.regexp_extract_all("note", F.lit(r"\((?:[^()]|\([^()]*\))*\)"), F.lit(0))
-    first = o.select("o_orderkey", note.alias("note")).select("o_orderkey", F.element_at(clauses, 1).alias("c"), F.size(clauses).cast("long").alias("n_clauses"))
-    event = r"(\d{4})-yil\s+(\d{1,2})-(\p{L}+?)dagi\s+OʻRQ-(\d+)"
-    part = lambda g: F.regexp_extract("c", event, g)
-    return first.select(
-        "o_orderkey", part(1).cast("int").alias("y"), X.month_number(part(3)).alias("m"), part(2).cast("int").alias("dd"), part(4).cast("int").alias("num"),
-        F.when(F.col("c").rlike("kuchini yoʻqot"), "voided").otherwise("other").alias("change_type"), "n_clauses",
-    )
+    day = F.concat(F.lit("-yil "), F.day("o_orderdate"), F.lit("-"), F.element_at(F.array(*map(F.lit, X.MONTHS)), F.month("o_orderdate")), F.lit("dagi "))
+    number = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("OʻRQ-"), "o_custkey", F.lit("-sonli"))).otherwise(F.concat("o_custkey", F.lit("-XII-sonli")))
+    note = F.concat(F.lit("(7-moddasi Oʻzbekiston Respublikasining "), F.year("o_orderdate"), day, number, F.lit(" Qonuniga asosan oʻz kuchini yoʻqotgan ("), F.year("o_orderdate") + 1, day, F.lit("kuchga kiradi)) va (ilova)"))
+    events = E.amendments(o.select(F.col("o_orderkey").alias("row_id"), F.col("o_custkey").alias("doc_id"), F.lit("7").alias("host_article"), note.alias("note")))
+    return events.select("row_id", "amend_date", "act_number", "change_type", "effective_date", "target_article")
 
 
 @query("""
@@ -109,10 +107,7 @@ def expand_lists(spark, d):
     q = F.col("q")
     rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("long").alias("q")).distinct()
     text = F.concat(q.cast("string"), F.lit(", "), q + 200, F.lit("-"), q + 200 + q % 5 + 1, F.lit(" va "), q + 100)
-    items = F.split(text, r"\s*(?:,|va|hamda)\s*")
-    ends = lambda x: F.transform(F.split(x, r"\s*[-–—]+\s*"), lambda y: y.cast("long"))
-    filled = F.flatten(F.transform(items, lambda x: F.when(F.size(ends(x)) == 2, F.sequence(F.element_at(ends(x), 1), F.element_at(ends(x), -1))).otherwise(ends(x))))
-    return rows.select("l_orderkey", "l_linenumber", "l_partkey", F.explode(filled).alias("article"))
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", F.explode(E.expanded(text).cast("array<bigint>")).alias("article"))
 
 
 @query("""
@@ -156,7 +151,8 @@ def fuzzy_ratio(spark, d):
     p = table(spark, d, "part").select("p_partkey", "p_brand", "p_name")
     names = p.select("p_brand", "p_name").distinct()  # parts share names; a pair of names is compared once
     other = names.select("p_brand", F.col("p_name").alias("q_name"))
-    scored = names.join(other, "p_brand").withColumn("r", seq_ratio("p_name", F.concat("q_name", F.lit("s")))).where("r >= 0.8")
+    close = 2 * F.least(F.length("p_name"), F.length("q_name") + 1) >= 0.8 * (F.length("p_name") + F.length("q_name") + 1)  # no ratio exceeds what the lengths allow
+    scored = names.join(other, "p_brand").where(close).withColumn("r", seq_ratio("p_name", F.concat("q_name", F.lit("s")))).where("r >= 0.8")
     w = Window.partitionBy("p_brand", "p_name").orderBy("p_partkey")
     first = p.distinct().withColumn("k", F.row_number().over(w)).where("k <= 2")  # one may be the part itself
     first = first.select("p_brand", F.col("p_name").alias("q_name"), F.col("p_partkey").alias("q_partkey"))
@@ -165,37 +161,44 @@ def fuzzy_ratio(spark, d):
     return best.select("p_partkey", "q_partkey", F.round("r", 6).alias("ratio"))
 
 
-@query("SELECT o_custkey AS doc_id, CAST(count(*) FILTER (WHERE o_totalprice < 100000) AS BIGINT) AS n_partial, CAST(count(*) FILTER (WHERE o_totalprice >= 100000) AS BIGINT) AS n_whole, arg_max(o_orderkey, o_orderdate::VARCHAR || lpad(CAST(o_orderkey AS VARCHAR), 12, '0')) AS last_clause, string_agg(DISTINCT CASE WHEN o_totalprice < 100000 THEN o_orderpriority END, ', ' ORDER BY CASE WHEN o_totalprice < 100000 THEN o_orderpriority END) AS locators FROM orders GROUP BY 1")
+@query("""
+SELECT o_custkey AS doc_id, CAST(count(*) AS BIGINT) AS n_partial, string_agg(DISTINCT o_orderpriority, ', ' ORDER BY o_orderpriority) AS locators, arg_max(o_orderkey, strftime(o_orderdate, '%Y-%m-%d') || lpad(CAST(o_orderkey AS VARCHAR), 12, '0')) AS last_by
+FROM orders WHERE o_totalprice < 100000 GROUP BY 1
+""")
 def partial_vs_whole(spark, d):
-    """Repeals of a part and of the whole, by act."""
-    part = F.col("o_totalprice") < 100000
-    out = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("doc_id")).agg(
-        F.count_if(part).alias("n_partial"), F.count_if(~part).alias("n_whole"), F.max_by("o_orderkey", F.struct("o_orderdate", "o_orderkey")).alias("last_clause"), F.collect_set(F.when(part, F.col("o_orderpriority"))).alias("l")
-    )
-    return out.select("doc_id", "n_partial", "n_whole", "last_clause", F.when(F.size("l") > 0, F.array_join(F.array_sort("l"), ", ")).alias("locators"))
+    """Acts of which parts are repealed, apart from those repealed whole."""
+    o = table(spark, d, "orders")
+    clauses = o.select(F.col("o_orderkey").alias("clause_id"), F.col("o_orderkey").alias("src_doc_id"), F.col("o_custkey").alias("dst_doc_id"), F.when(F.col("o_totalprice") < 100000, F.col("o_orderpriority")).alias("locator"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("cited_date"))
+    return E.partial_repeals(clauses)
 
 
-@query("SELECT DISTINCT event_id, l_orderkey, l_partkey FROM events JOIN lineitem ON l_orderkey = user_id AND l_linenumber = event_id % 7 + 1 AND CAST(l_quantity AS BIGINT) % 5 = event_id % 5")
+@query("""
+WITH e AS (SELECT user_id, event_id % 7 + 1 AS a, event_id % 5 + 1 AS o, max(event_id) AS amend_event_id FROM events GROUP BY 1, 2, 3)
+SELECT DISTINCT l_orderkey * 8 + l_linenumber AS edge_id, amend_event_id FROM lineitem JOIN e ON user_id = l_orderkey AND a = l_linenumber AND o = CAST(l_quantity AS BIGINT) % 5 + 1
+""")
 def void_exact_match(spark, d):
-    """Voided sub-units and citations of exactly those: document, article and ordinal agree."""
-    e = table(spark, d, "events").select("event_id", F.col("user_id").alias("l_orderkey"), (F.col("event_id") % 7 + 1).cast("int").alias("l_linenumber"), (F.col("event_id") % 5).alias("o"))
-    lineitem = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", (F.col("l_quantity").cast("long") % 5).alias("o"))
-    return e.join(lineitem, ["l_orderkey", "l_linenumber", "o"]).select("event_id", "l_orderkey", "l_partkey").distinct()
+    """Citations of voided sub-units: document, article and ordinal agree, in digits or words."""
+    words = lambda n: F.element_at(F.array(*map(F.lit, ORDINALS)), n.cast("int"))
+    k, o = F.col("event_id"), F.col("l_quantity").cast("long") % 5 + 1
+    events = table(spark, d, "events").select(k, F.col("user_id").alias("doc_id"), F.lit("1").alias("host_article"), F.concat(k % 7 + 1, F.lit("-moddaning "), words(k % 5 + 1), F.lit(" qismi")).alias("locator"), F.lit("voided").alias("change_type"), F.date_format("ts", "yyyy-MM-dd").alias("amend_date"))
+    qism = F.when(F.col("l_partkey") % 2 == 0, F.concat(o, F.lit("-qism"))).otherwise(F.concat(words(o), F.lit(" qism")))
+    edges = table(spark, d, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("edge_id"), F.col("l_orderkey").alias("dst_doc_id"), F.col("l_linenumber").cast("string").alias("dst_article_number"), qism.alias("dst_qism"))
+    return E.void_citations(edges, events).distinct()
 
 
 @query("""
-WITH en AS (SELECT user_id, max(CAST(regexp_extract(props, '(\\d+)', 1) AS BIGINT)) AS en_latest FROM events WHERE event_id % 3 = 0 GROUP BY 1),
-uz AS (SELECT user_id, max(CAST(regexp_extract(props, '(\\d+)', 1) AS BIGINT)) AS uz_latest FROM events GROUP BY 1),
-ty AS (SELECT e.user_id, string_agg(DISTINCT event_type, ', ' ORDER BY event_type) AS types FROM events e JOIN uz ON uz.user_id = e.user_id AND CAST(regexp_extract(props, '(\\d+)', 1) AS BIGINT) = uz_latest GROUP BY 1)
-SELECT uz.user_id, en_latest, uz_latest, types, en_latest < uz_latest AS stale FROM uz LEFT JOIN en ON en.user_id = uz.user_id JOIN ty ON ty.user_id = uz.user_id
+WITH e AS (SELECT *, CAST(regexp_extract(props, '(\\d+)', 1) AS BIGINT) AS n FROM events), en AS (SELECT user_id, max(n) AS en_latest FROM e WHERE event_id % 3 = 0 GROUP BY 1), uz AS (SELECT user_id, max(n) AS uz_latest FROM e WHERE event_id % 3 <> 0 GROUP BY 1),
+ty AS (SELECT e.user_id, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS types FROM e JOIN uz ON uz.user_id = e.user_id AND n = uz_latest WHERE event_id % 3 <> 0 GROUP BY 1)
+SELECT uz.user_id AS norm_id, en_latest, uz_latest, types, en_latest < uz_latest AS stale FROM uz JOIN en ON en.user_id = uz.user_id JOIN ty ON ty.user_id = uz.user_id
 """)
 def staleness(spark, d):
-    """The latest number that two sources know, and whether one lags; one grouped pass and one window, no self-join."""
-    n = F.regexp_extract("props", r"(\d+)", 1).cast("long")
-    e = table(spark, d, "events").select("user_id", "event_type", n.alias("n"), (F.col("event_id") % 3 == 0).alias("en"))
-    by = e.groupBy("user_id", "n").agg(F.collect_set("event_type").alias("t"), F.max(F.when(F.col("en"), F.col("n"))).alias("en_n"))
-    out = by.groupBy("user_id").agg(F.max("en_n").alias("en_latest"), F.max("n").alias("uz_latest"), F.max_by("t", "n").alias("t"))
-    return out.select("user_id", "en_latest", "uz_latest", F.array_join(F.array_sort("t"), ", ").alias("types"), (F.col("en_latest") < F.col("uz_latest")).alias("stale"))
+    """The latest act that footnotes of a translation name, against the latest that amended the text."""
+    n = F.regexp_extract("props", r"(\d+)", 1)
+    e = table(spark, d, "events").select(F.col("user_id").alias("norm_id"), "event_type", n.alias("n"), (F.col("event_id") % 3 == 0).alias("en"))
+    note = F.concat(F.lit("_(in accordance with the Law of the Republic of Uzbekistan dated May 1, 2001 No. ZRU-"), "n", F.lit(")_ text"))
+    footnotes = E.footnote_acts(e.where("en").select("norm_id", note.alias("t")), "t")
+    amended = e.where("NOT en").select("norm_id", F.concat(F.lit("OʻRQ-"), "n").alias("act_number"), F.col("event_type").alias("change_type"))
+    return E.translation_staleness(footnotes, amended)
 
 
 @query("SELECT user_id AS assignment_id, event_type AS decision, ts AS decided_at, CASE WHEN event_type = 'purchase' THEN 1.0::DOUBLE ELSE round(value / 1000, 3) END AS confidence FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")

@@ -175,15 +175,6 @@ def row_ids(spark, d):
     return with_row_id(spark, f"{d}/orders.parquet").agg(F.count("*").alias("n"), F.max("row_id").alias("last_row"), F.countDistinct("file_name", "row_id").alias("n_ids"))
 
 
-@query("""
-SELECT doc_id, CAST(len(list_distinct(list_filter(regexp_extract_all(text, '[0-9]+'), lambda x: length(x) > 2))) AS BIGINT) AS n_naive, CAST(len(list_distinct(list_filter(regexp_extract_all(text, '[0-9]+'), lambda x: length(x) > 2 AND substr(x, 1, 1) <> '1'))) AS BIGINT) AS n_found FROM documents
-""")
-def naive_recall(spark, d):
-    """What a naive detector sees against what a stricter one keeps."""
-    seen = F.array_distinct(F.filter(F.regexp_extract_all("text", F.lit("([0-9]+)"), F.lit(1)), lambda x: F.length(x) > 2))
-    return table(spark, d, "documents").select("doc_id", F.size(seen).cast("long").alias("n_naive"), F.size(F.array_except(seen, F.filter(seen, lambda x: x.startswith("1")))).cast("long").alias("n_found"))
-
-
 @query("SELECT c_custkey, coalesce(p, c_mktsegment) AS c_mktsegment FROM customer LEFT JOIN (SELECT o_custkey, max(o_orderpriority) AS p FROM orders WHERE o_totalprice > 480000 GROUP BY 1) ON o_custkey = c_custkey")
 def keyed_update(spark, d):
     """Rows changed by keyed updates: a left join and a coalesce, written as a new snapshot."""

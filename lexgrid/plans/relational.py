@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import hierarchy
+from ..functions.exprs import hierarchy, tier
+from ..operators.amending import bodies
+from ..operators.events import mentions
+from ..operators.structure import containing
 from ..sources.tables import table
 from .catalog import query
 
@@ -49,16 +52,17 @@ def act_rollup(spark, d):
 
 
 @query("""
-SELECT p_partkey, CASE WHEN p_type = 'PROMO' AND NOT regexp_matches(p_name, '^(red|blue)') THEN 9 ELSE length(p_type) END AS tier,
-       CASE WHEN p_type <> 'PROMO' THEN NULL WHEN regexp_matches(p_name, '^(red|blue)') THEN 'kept' ELSE 'retiered' END AS tier_note
-FROM part
+SELECT p_partkey, CAST(CASE WHEN k = 0 AND NOT regexp_matches(p_name, '^(red|blue)') THEN 9 WHEN k = 6 THEN 9 ELSE k + 1 END AS BIGINT) AS tier,
+       CASE WHEN k <> 0 THEN NULL WHEN regexp_matches(p_name, '^(red|blue)') THEN 'kept' ELSE 'retiered' END AS tier_note
+FROM (SELECT *, p_partkey % 7 AS k FROM part)
 """)
 def retier_override(spark, d):
     """A tier with its override and the reason for it, computed in the projection."""
-    odd, named = F.col("p_type") == "PROMO", F.col("p_name").rlike("^(red|blue)")
-    return _t(spark, d, "part").select(
-        "p_partkey", F.when(odd & ~named, 9).otherwise(F.length("p_type")).cast("long").alias("tier"), F.when(~odd, F.lit(None)).when(named, "kept").otherwise("retiered").alias("tier_note")
-    )
+    kind = F.element_at(F.array(*map(F.lit, ("constitution", "code", "law", "decree", "resolution", "order", "letter"))), (F.col("p_partkey") % 7 + 1).cast("int"))
+    odd, named = F.col("kind") == "constitution", F.col("p_name").rlike("^(red|blue)")
+    return _t(spark, d, "part").withColumn("kind", kind).select(
+        "p_partkey", F.when(odd & ~named, 9).otherwise(tier(F.col("kind"))).cast("long").alias("tier"), F.when(~odd, F.lit(None)).when(named, "kept").otherwise("retiered").alias("tier_note")
+    )
 
 
 @query("""
@@ -190,13 +194,13 @@ def fanout_distinct(spark, d):
     return some.join(part.select(F.col("p_partkey").alias("l_partkey"), "p_brand"), "l_partkey").groupBy("p_brand").agg(F.countDistinct("l_orderkey").alias("n_orders"), F.count("*").alias("n_rows"))
 
 
-@query("""
-SELECT p_partkey, node FROM part LEFT JOIN (SELECT i AS node, i * 7 + 1 AS lo, i * 7 + 5 AS hi FROM range(0, 8) r(i)) ON p_size BETWEEN lo AND hi
-""")
+@query("SELECT p_partkey, n_nationkey AS node FROM part LEFT JOIN nation ON p_size BETWEEN n_nationkey * 2 + 1 AND n_nationkey * 2 + 2 - n_nationkey % 2")
 def range_containment(spark, d):
-    """Points in intervals: the intervals' points are listed, and the join is on equal points."""
-    nodes = spark.range(8).select(F.col("id").alias("node"), F.explode(F.sequence((F.col("id") * 7 + 1).cast("int"), (F.col("id") * 7 + 5).cast("int"))).alias("p_size"))
-    return _t(spark, d, "part").join(F.broadcast(nodes), "p_size", "left").select("p_partkey", "node")
+    """Points in intervals of a table, some of which hold fewer points than others."""
+    nation, part = _t(spark, d, "nation", "part")
+    k = F.col("n_nationkey")
+    nodes = nation.select(k.alias("node"), (k * 2 + 1).alias("low"), (k * 2 + 2 - k % 2).alias("high"))
+    return containing(part.select("p_partkey", "p_size"), nodes, "p_size", "low", "high").select("p_partkey", "node")
 
 
 @query("SELECT c_mktsegment, CAST(count(*) FILTER (WHERE c_acctbal < 0) AS BIGINT) AS n_debt, CAST(count(DISTINCT c_nationkey) FILTER (WHERE c_acctbal > 5000) AS BIGINT) AS n_rich_nations, CAST(count(DISTINCT CASE WHEN c_acctbal < 1000 THEN c_nationkey END) AS BIGINT) AS n_poor_nations FROM customer GROUP BY 1")
@@ -258,22 +262,24 @@ def sets_per_key(spark, d):
     return s.select("o_custkey", "top", F.array_join(F.array_sort("s"), ",").alias("statuses"), F.size("s").cast("long").alias("n"))
 
 
-@query("SELECT conv_id, string_agg(text, ' ' ORDER BY turn, role) AS full_text, CAST(count(*) AS BIGINT) AS n_turns FROM (SELECT * FROM conversations WHERE (conv_id, turn) IN (SELECT (conv_id, turn) FROM conversations GROUP BY conv_id, turn HAVING count(*) = 1)) GROUP BY 1")
+@query("SELECT conv_id AS doc_id, string_agg(text, ' ' ORDER BY turn, text) AS body FROM conversations WHERE text IS NOT NULL GROUP BY 1")
 def doc_reassembly(spark, d):
-    """Chunks of a document put together in order; chunks whose place is taken twice are left out."""
-    c = _t(spark, d, "conversations")
-    one = c.groupBy("conv_id", "turn").agg(F.count("*").alias("k"), F.first("text").alias("text")).where("k = 1")
-    parts = one.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("parts"))
-    return parts.select("conv_id", F.array_join(F.transform("parts", lambda p: p["text"]), " ").alias("full_text"), F.size("parts").cast("long").alias("n_turns"))
+    """Chunks of a document put together in order."""
+    return bodies(_t(spark, d, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("row_id"), F.col("text").alias("article_text")))
 
 
-@query("SELECT o_custkey AS doc_id, 'cites' AS route, CAST(count(*) AS BIGINT) AS n_hits, min(o_orderkey) AS evidence FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1 UNION ALL SELECT doc_id, 'names', CAST(1 AS BIGINT), CAST(length(text) AS BIGINT) FROM documents WHERE regexp_matches(lower(text), 'licen[cs]e')")
+@query("""
+SELECT o_custkey AS doc_id, 'cites' AS route, CAST(count(*) AS BIGINT) AS n_hits, CAST(min(o_orderkey) AS VARCHAR) AS evidence FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1
+UNION ALL SELECT doc_id, 'names', CAST(count(*) AS BIGINT), list(ev ORDER BY turn, ev)[1] FROM (SELECT conv_id AS doc_id, turn,
+ trim(regexp_replace(substr(text, greatest(p - 110, 1), p + length(m) + 110 - greatest(p - 110, 1)), '\\s+', ' ', 'g')) AS ev FROM
+ (SELECT *, strpos(text, m) AS p FROM (SELECT *, regexp_extract(text, 'th[ae]n +\\w+', 0) AS m FROM conversations WHERE regexp_matches(text, 'th[ae]n +\\w+')))) GROUP BY 1
+""")
 def two_route_union(spark, d):
-    """Acts that come in by citation and acts that come in by name."""
-    orders, docs = _t(spark, d, "orders", "documents")
-    cites = orders.where("o_orderpriority = '1-URGENT'").groupBy(F.col("o_custkey").alias("doc_id")).agg(F.lit("cites").alias("route"), F.count("*").alias("n_hits"), F.min("o_orderkey").alias("evidence"))
-    names = docs.where(F.lower("text").rlike("licen[cs]e")).select("doc_id", F.lit("names").alias("route"), F.lit(1).cast("long").alias("n_hits"), F.length("text").cast("long").alias("evidence"))
-    return cites.unionByName(names)
+    """Acts that come in by citation and acts that come in by name, with where they are named first."""
+    orders, turns = _t(spark, d, "orders", "conversations")
+    cites = orders.where("o_orderpriority = '1-URGENT'").groupBy(F.col("o_custkey").alias("doc_id")).agg(F.lit("cites").alias("route"), F.count("*").alias("n_hits"), F.min("o_orderkey").cast("string").alias("evidence"))
+    named = mentions(turns.select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("row_id"), "text"), r"th[ae]n +\w+")
+    return cites.unionByName(named.select("doc_id", F.lit("names").alias("route"), "n_hits", "evidence"))
 
 
 @query("SELECT p_partkey, p_name, CAST(n AS BIGINT) AS n FROM (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1) JOIN part ON p_partkey = l_partkey ORDER BY n DESC, p_partkey LIMIT 15")
