@@ -19,13 +19,13 @@ def _norms(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select(
         F.concat(F.lit("n"), k).alias("norm_id"), F.lit(DOC).cast("long").alias("doc_id"), k.alias("src_row"), k.cast("string").alias("article_number"), F.col("p_name").alias("article_title_uz"), F.col("p_type").alias("article_text_uz"),
         text.alias("article_text_en"), F.when(k % 40 != 1, "aligned").alias("en_align_status"), F.when(k % 60 != 2, k).alias("en_line_start"), (k + 1 + F.when(k % 300 == 4, 1).otherwise(0)).alias("en_line_end"),
-        F.when(k % 70 != 3, F.concat(F.lit("C"), F.floor((k - 1) / 10))).alias("struct_node_id"), F.when(k % 80 == 5, k + 10).otherwise(k).alias("article_base"), F.when(k % 25 == 0, 1).alias("superscript"),
+        F.when(k % 70 != 3, F.concat(F.lit("C"), F.floor(k / 10))).alias("struct_node_id"), F.when(k % 80 == 5, k + 11).otherwise(k + 1).alias("article_base"), F.when(k % 25 == 0, 1).alias("superscript"),
     )
 
 
 NORMS = f"""part_ AS (SELECT *, p_partkey AS k FROM part), norm AS (SELECT 'n' || k AS norm_id, k AS src_row, p_name AS title, p_type AS txt, k,
  CASE WHEN k % 9 <> 0 THEN CASE WHEN k % 101 = 0 THEN ' ' ELSE 'line ' || k || chr(10) || 'line ' || (k + 1) END END AS en, CASE WHEN k % 40 <> 1 THEN 'aligned' END AS st, CASE WHEN k % 60 <> 2 THEN k END AS a, k + 1 + CASE WHEN k % 300 = 4 THEN 1 ELSE 0 END AS b,
- CASE WHEN k % 70 <> 3 THEN 'C' || ((k - 1) // 10) END AS node, CASE WHEN k % 80 = 5 THEN k + 10 ELSE k END AS base, CASE WHEN k % 25 = 0 THEN 1 END AS sup FROM part_)"""
+ CASE WHEN k % 70 <> 3 THEN 'C' || (k // 10) END AS node, CASE WHEN k % 80 = 5 THEN k + 11 ELSE k + 1 END AS base, CASE WHEN k % 25 = 0 THEN 1 END AS sup FROM part_)"""
 quoted = lambda x: x.replace("'", "''")
 say = lambda area, name, n: f"SELECT '{area}' AS area, '{quoted(name)}' AS \"check\", CAST(n AS BIGINT) = 0 AS ok, CAST(n AS BIGINT) AS detail FROM ({n})"
 union = lambda area, rows: " UNION ALL ".join(say(area, name, n) for name, n in rows)
@@ -54,7 +54,7 @@ def verify_transfer(spark, d):
     return V.report({"transfer": V.transfer(norm, reported, part), "slices": V.slices(norm, lines), "raw": V.raw_layer(raw, norm, raw.count(), 4)})
 
 
-@query(f"""WITH {NORMS}, node AS (SELECT 'C' || i AS node_id, i, i * 10 + 1 AS a, i * 10 + 10 + CASE WHEN i % 17 = 3 THEN 1 ELSE 0 END AS b FROM (SELECT DISTINCT (k - 1) // 10 AS i FROM part_)) {union('tree', [
+@query(f"""WITH {NORMS}, node AS (SELECT 'C' || i AS node_id, i, i * 10 + 1 AS a, i * 10 + 10 + CASE WHEN i % 17 = 3 THEN 1 ELSE 0 END AS b FROM (SELECT DISTINCT k // 10 AS i FROM part_)) {union('tree', [
     ('ranges are contiguous', "SELECT count(*) AS n FROM (SELECT a, lag(b) OVER (ORDER BY a) AS p FROM node) WHERE a <> p + 1"), ('norms are attached', "SELECT count(*) AS n FROM norm WHERE node IS NULL"),
     ('bases lie in their node\'s range', "SELECT count(*) AS n FROM norm x JOIN node y ON y.node_id = x.node WHERE x.base NOT BETWEEN y.a AND y.b"), ('unit counts add up', "SELECT count(*) AS n FROM norm WHERE node IS NULL"),
     ('superscripts agree with the source', "SELECT count(*) AS n FROM norm WHERE k % 25 = 0 AND k % 50 <> 0"), ('norms have a breadcrumb', "SELECT count(*) AS n FROM norm WHERE node IS NULL")])}
@@ -66,7 +66,7 @@ def verify_transfer(spark, d):
 def verify_structure(spark, d):
     """The tree of structure and the classifier (areas 4 and 6)."""
     norm, k = _norms(spark, d), F.col("p_partkey")
-    i = table(spark, d, "part").select(F.floor((k - 1) / 10).alias("i")).distinct()
+    i = table(spark, d, "part").select(F.floor(k / 10).alias("i")).distinct()
     nodes = i.select(F.concat(F.lit("C"), "i").alias("node_id"), F.lit(None).cast("string").alias("parent_id"), F.lit("chapter").alias("kind"), F.lit(DOC).alias("doc_id"), (F.col("i") * 10 + 1).alias("art_from"), (F.col("i") * 10 + 10 + F.when(F.col("i") % 17 == 3, 1).otherwise(0)).alias("art_to"))
     units = norm.groupBy(F.col("struct_node_id").alias("node_id")).agg(F.count("*").alias("n_units"))
     nodes = nodes.join(units, "node_id", "left")
