@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import ctypes
 import gc
@@ -10,6 +11,7 @@ import tempfile
 import time
 import uuid
 from collections.abc import Callable, Iterator
+from typing import ClassVar
 
 import numpy as np
 import pyarrow as pa
@@ -29,18 +31,26 @@ def partitions(spark: SparkSession) -> int:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a temporary one if they are one process, else an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + os.path.join(tempfile.gettempdir(), "lexgrid-shared")
     return found.rstrip("/")
 
 
 class Store:
-    """Tables written to the shared folder in place of lineage: an executor's loss costs no recomputation of what is written."""
+    """Tables written to the shared folder in place of lineage: an executor's loss costs no recomputation of what is written.
+
+    A result may read them as long as it lives, so they go when the driver's process ends, or before, by sweep().
+    """
+
+    made: ClassVar[list[Store]] = []  # those that still have their folder
 
     def __init__(self, spark: SparkSession, name: str):
         ship(spark)
+        Store.made.append(self)
         self.spark, self.base = spark, f"{shared_dir(spark)}/lexgrid-{name}-{uuid.uuid4().hex[:12]}"
         self.n = 0
 
@@ -66,6 +76,21 @@ class Store:
         path = jvm.org.apache.hadoop.fs.Path(f"{df._lexgrid_path}/{part}" if part else df._lexgrid_path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    @classmethod
+    def sweep(cls, since: int = 0, *but: Store) -> None:
+        """Delete the folders of the stores made since there were so many, but for some: nothing may read them any more."""
+        gone = [s for s in cls.made[since:] if s not in but]
+        for store in gone:
+            path = store.spark._jvm.org.apache.hadoop.fs.Path(store.base)
+            path.getFileSystem(store.spark._jsc.hadoopConfiguration()).delete(path, True)
+            cls.made.remove(store)
+
+
+@atexit.register
+def _end() -> None:
+    with contextlib.suppress(Exception):  # the JVM may have ended first
+        Store.sweep()
+
 
 def lean(f: Callable) -> Callable:
     """f on a partition's batches; then the worker gives back the memory that it no longer needs, as it stays for other tasks."""

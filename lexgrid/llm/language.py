@@ -103,7 +103,7 @@ def train(docs: DataFrame) -> Model | None:
     """A model of the labelled rows that are not held out, fitted on about SAMPLE texts of each label, or TEXTS in all if there are more labels than that allows.
 
     The driver gets the labels' counts and the model; the sample's presence bits, DIM / 8 bytes a text, meet in one task.
-    The sample is the rows whose hashed doc_id falls below the share that their label needs.
+    The sample is the rows whose hash, of doc_id and text, falls below the share that their label needs.
     """
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "text", "lang")
     counts = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()
@@ -111,7 +111,7 @@ def train(docs: DataFrame) -> Model | None:
         return None
     each = min(SAMPLE, max(1, TEXTS // len(counts)))
     share = F.element_at(F.create_map(*[F.lit(y) for r in counts for y in (r["lang"], each / r["n"])]), F.col("lang"))
-    unit = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), "doc_id", F.length("text")), 11).cast("double") * 2.0**-53
+    unit = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), "doc_id", "text"), 11).cast("double") * 2.0**-53
 
     def bits(batches):
         for batch in batches:
@@ -121,6 +121,7 @@ def train(docs: DataFrame) -> Model | None:
             )
 
     drawn = rows.withColumn("_unit", unit).where(F.col("_unit") < share).dropDuplicates(["_unit", "lang"])  # rows that repeat are drawn once
+
     def learn(batches):
         taken = sorted((y, x) for batch in batches for x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True))
         packed = np.frombuffer(b"".join(x for _, x in taken), np.uint8).reshape(-1, DIM // 8)

@@ -64,16 +64,15 @@ def near(df: DataFrame, store: Store, radius: int = 3, block: int = 1024) -> Dat
         fp, side = g.column("fp").to_numpy().view(np.uint64), g.column("side").to_numpy()
         if len(fp) < 2:
             return None
-        left = fp
-        right = fp[side == 1] if side.any() else fp
-        at = np.flatnonzero(side == 1) if side.any() else np.arange(len(fp))
+        from_, to = (np.flatnonzero(side == k) for k in (0, 1)) if g.column("block_i")[0] != g.column("block_j")[0] else (np.arange(len(fp)),) * 2
+        if not len(from_) or not len(to):
+            return None
         a, b = [], []
-        for i in range(0, len(left), 512):
-            x, y = np.nonzero(np.bitwise_count(left[i : i + 512, None] ^ right[None, :]) <= radius)
-            y = at[y]
-            ok = x + i != y
-            a.append(x[ok] + i)
-            b.append(y[ok])
+        for i in range(0, len(from_), 512):
+            x, y = np.nonzero(np.bitwise_count(fp[from_[i : i + 512], None] ^ fp[to][None, :]) <= radius)
+            x, y = from_[x + i], to[y]
+            a.append(x[x != y])
+            b.append(y[x != y])
         a, b = np.concatenate(a), np.concatenate(b)
         if not len(a):
             return None

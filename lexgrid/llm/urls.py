@@ -37,11 +37,6 @@ def padded(url: Column) -> Column:
     return F.concat(F.lit(MARK * ORDER), F.coalesce(url, F.lit("")), F.lit(END))
 
 
-def bucket(text: Column) -> Column:
-    """What an n-gram or context is counted under: its own characters, so no two share a count."""
-    return text
-
-
 def places(texts: DataFrame) -> DataFrame:
     """A row for each character of `text` and one for its end: texts' columns without text, and gram, the character after the ORDER before it."""
     at = F.sequence(F.lit(1), F.length("text") + 1)
@@ -49,27 +44,28 @@ def places(texts: DataFrame) -> DataFrame:
     return texts.withColumn("gram", F.explode(F.transform(at, lambda i: F.substr(s, i, F.lit(ORDER + 1))))).drop("text")
 
 
-def ratios(grams: DataFrame) -> DataFrame:
-    """(gram, ratio) of every gram of grams (gram, good, bad): log P(last character | those before) in accepted urls less that in rejected ones.
+def chances(grams: DataFrame) -> DataFrame:
+    """(gram, p_good, p_bad) of every gram of grams (gram, good, bad): P(last character | those before) in accepted and in rejected urls.
 
-    P is each order's count smoothed by the estimate of the next shorter context. The shorter n-grams are the ends of
-    the longer ones, and a context's count is that of the n-grams it begins. All tables grow with the distinct n-grams
-    and meet by equi-joins.
+    P is each order's count smoothed by the estimate of the next shorter context; below order 0 all characters that occur are alike, so
+    that a context's chances add up to 1. The shorter n-grams are the ends of the longer ones, and a context's count is that of the
+    n-grams it begins. All tables grow with the distinct n-grams and meet by equi-joins.
     """
     both = [F.sum(says).alias(says) for says in ("good", "bad")]
+    alphabet = grams.select(F.substr("gram", F.lit(ORDER + 1)).alias("c")).distinct().agg(F.count("*").alias("n")).scalar()
     below = None
     for k in range(ORDER + 1):
-        own = grams.groupBy(bucket(F.substr("gram", F.lit(ORDER + 1 - k))).alias("gram")).agg(*both) if k < ORDER else grams
-        own = own.withColumn("context", bucket(F.substr("gram", F.lit(1), F.lit(k)))).withColumn("end", bucket(F.substr("gram", F.lit(2))))
+        own = grams.groupBy(F.substr("gram", F.lit(ORDER + 1 - k)).alias("gram")).agg(*both) if k < ORDER else grams
+        own = own.withColumn("context", F.substr("gram", F.lit(1), F.lit(k))).withColumn("end", F.substr("gram", F.lit(2)))
         total = own.groupBy("context").agg(*[F.sum(says).alias(f"{says}_total") for says in ("good", "bad")])
         own = own.join(total, "context")
         if below is None:
-            own = own.withColumns({"p_good": F.lit(1.0 / 128), "p_bad": F.lit(1.0 / 128)})
+            own = own.withColumns({"p_good": 1.0 / alphabet, "p_bad": 1.0 / alphabet})
         else:
             own = own.join(below.withColumnRenamed("gram", "end"), "end")
         p = {says: (F.col(says) + F.col(f"p_{says}") * STRENGTH) / (F.col(f"{says}_total") + STRENGTH) for says in ("good", "bad")}
         below = own.select("gram", p["good"].alias("p_good"), p["bad"].alias("p_bad"))
-    return below.select("gram", (F.log("p_good") - F.log("p_bad")).alias("ratio"))
+    return below
 
 
 def scored(rows: DataFrame, store: Store) -> DataFrame:
@@ -81,7 +77,7 @@ def scored(rows: DataFrame, store: Store) -> DataFrame:
     taught = [F.count_if(F.col("says") == says).alias(name) for says, name in (("allow", "good"), ("block", "bad"))]
     texts = store.keep(rows.groupBy(text.alias("text")).agg(*taught).withColumn("_id", F.monotonically_increasing_id()))
     grams = store.keep(places(texts.drop("_id")).groupBy("gram").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")))
-    known = store.keep(ratios(grams))
+    known = store.keep(chances(grams).select("gram", (F.log("p_good") - F.log("p_bad")).alias("ratio")))
     means = places(texts.select("text", "_id")).join(known, "gram").groupBy("_id").agg(F.avg("ratio").alias("score"))
     scores = store.keep(texts.join(means, "_id").select(F.col("text").alias("_text"), "score"))
     return rows.withColumn("_text", text).join(scores, "_text").drop("_text")

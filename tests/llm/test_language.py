@@ -61,3 +61,50 @@ def test_blocks_of_the_fit_add_up():
     bits, labels = rng.integers(0, 256, (300, M.DIM // 8), np.uint8), [f"l{k % 3}" for k in range(300)]
     one, many = M.fit(bits, labels), M.fit(bits, labels, block=17)
     assert np.allclose(one.weights, many.weights, atol=1e-5) and abs(one.usual - many.usual) < 1e-3
+
+
+def plain_presence(text):
+    """The hashed n-grams of a text, one by one."""
+    raw = b" " + bytes(b if b > 127 or chr(b).isalpha() else 32 for b in text.lower().encode()) + b" "
+    out = set()
+    for n in M.GRAMS:
+        for i in range(len(raw) - n + 1):
+            code = int.from_bytes(raw[i : i + n], "big")
+            out.add((((code * 2654435761 + n * 40503) & 0xFFFFFFFF) * 2246822519 & 0xFFFFFFFF) >> 19)
+    return out
+
+
+def test_presence_against_plain_python():
+    for text in ("", "a", "The cat, the CAT!", "Ähre über Öl 12", "日本語 text"):
+        assert set(np.flatnonzero(M.presence(text)).tolist()) == plain_presence(text)
+
+
+def test_scores_against_plain_regression():
+    """The kernel by sets, and the ridge regression on the landmarks solved in its dual form, without features."""
+    import random
+
+    rng = random.Random(7)
+    words = {y: ["".join(rng.choices(letters, k=6)) for _ in range(40)] for y, letters in (("a", "abcdefgh"), ("b", "efghijkl"), ("c", "ijklmnop"))}
+    texts = [(" ".join(rng.choices(words[y], k=12)), y) for y in "aaabbc" * 25]
+    bits = np.stack([np.packbits(M.presence(x) > 0) for x, _ in texts])
+    labels = [y for _, y in texts]
+    model = M.fit(bits, labels)
+    sets = [plain_presence(x) for x, _ in texts]
+    marks = [set(np.flatnonzero(column).tolist()) for column in model.landmarks.T]
+    assert all(m in sets for m in marks) and len(marks) <= M.LANDMARKS + 2
+    kernel = lambda a, b: np.array([[len(x & y) / (len(x) * len(y)) ** 0.5 for y in b] for x in a])
+    names = sorted(set(labels))
+    goal = np.array([[1.0 if y == z else -1.0 for z in names] + [1.0] for y in labels])
+    share = np.array([1 / labels.count(y) for y in labels])
+    k, m = kernel(sets, marks), kernel(marks, marks)
+    alpha = np.linalg.lstsq((k * share[:, None]).T @ k + M.RIDGE / len(texts) * m, (k * share[:, None]).T @ goal, rcond=1e-12)[0]
+    asked = [" ".join(rng.choices(words[y], k=9)) for y in "abcabc"] + ["zzz unlike", "abc"]
+    got, plain = model.scores(asked), kernel([plain_presence(x) for x in asked], marks) @ alpha
+    assert np.abs(got - plain).max() < 1e-3 and (got[:, :-1].argmax(1) == plain[:, :-1].argmax(1)).all()
+
+
+def test_rows_without_an_id_are_drawn_one_by_one(spark):
+    """Texts of one length and no doc_id are samples of their own; equal ones are drawn once."""
+    rows = [(None, f"{w} {w} {i:03d}", y) for i in range(40) for w, y in (("abcd", "x"), ("wxyz", "y"))]
+    model = M.train(docs(spark, rows + rows[:10]))
+    assert model.labels == ["x", "y"] and model.landmarks.shape[1] == 80

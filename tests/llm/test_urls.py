@@ -26,26 +26,16 @@ def plain_rule(host, path):
     return best or (None, None)
 
 
-def plain_scores(spark, rows):
-    """The two models by dictionaries over the same buckets."""
-    from pyspark.sql import functions as F
-
-    grams = set()
-    for url, _ in rows:
-        s = M.MARK * M.ORDER + (url or "") + M.END
-        for i in range(M.ORDER, len(s)):
-            for k in range(M.ORDER + 1):
-                grams |= {s[i - k : i + 1], s[i - k : i]}
-    grams = sorted(grams)
-    df = spark.createDataFrame([(g,) for g in grams], "g string")
-    bucket = dict(df.select("g", M.bucket(F.col("g"))).collect())
-    counts = {}
+def plain_scores(rows):
+    """The two models by dictionaries: n-grams and contexts counted as strings."""
+    counts, alphabet = {}, {M.END}
     for url, says in rows:
+        s = M.MARK * M.ORDER + (url or "") + M.END
+        alphabet |= set(url or "")
         if says:
-            s = M.MARK * M.ORDER + (url or "") + M.END
             for i in range(M.ORDER, len(s)):
                 for k in range(M.ORDER + 1):
-                    for key in ((says, "b", k, bucket[s[i - k : i + 1]]), (says, "c", k, bucket[s[i - k : i]])):
+                    for key in ((says, "gram", s[i - k : i + 1]), (says, "context", s[i - k : i])):
                         counts[key] = counts.get(key, 0) + 1
     out = []
     for url, _ in rows:
@@ -53,15 +43,37 @@ def plain_scores(spark, rows):
         for i in range(M.ORDER, len(s)):
             p = {}
             for says in ("allow", "block"):
-                x = 1 / 128
+                x = 1 / len(alphabet)
                 for k in range(M.ORDER + 1):
-                    x = (counts.get((says, "b", k, bucket[s[i - k : i + 1]]), 0) + x * M.STRENGTH) / (counts.get((says, "c", k, bucket[s[i - k : i]]), 0) + M.STRENGTH)
+                    x = (counts.get((says, "gram", s[i - k : i + 1]), 0) + x * M.STRENGTH) / (counts.get((says, "context", s[i - k : i]), 0) + M.STRENGTH)
                 p[says] = x
             total += math.log(p["allow"]) - math.log(p["block"])
         out.append(total / (len(s) - M.ORDER))
     return out
 
 
+def test_chances_of_a_context_add_up(spark):
+    """Every context of three characters: its chances are a distribution, whether it was seen or not."""
+    import itertools
+
+    seen = {"aaaab": (3, 1), "aaaac": (1, 0), "baaaa": (0, 5), "abcab": (2, 2)}
+    rows = [("".join(g), *seen.get("".join(g), (0, 0))) for g in itertools.product("abc", repeat=M.ORDER + 1)]
+    sums = {}
+    for r in M.chances(spark.createDataFrame(rows, "gram string, good long, bad long")).collect():
+        for name in ("p_good", "p_bad"):
+            assert 0 < r[name] < 1
+            sums[r.gram[:-1], name] = sums.get((r.gram[:-1], name), 0) + r[name]
+    assert len(sums) == 2 * 3**M.ORDER and all(abs(x - 1) < 1e-12 for x in sums.values())
+
+
+def test_a_very_long_url(spark):
+    long = "https://a.test/" + "ab" * 40_000
+    urls = [(1, "https://example.net/en/abab"), (2, "https://example.com/de/xyxy"), (3, long)]
+    got = {r.page_id: r for r in M.judge(spark, spark.createDataFrame(urls, "page_id long, url string")).collect()}
+    scores = plain_scores([(u, plain_rule(*plain_split(u))[1]) for _, u in urls])
+    assert abs(got[3].score - scores[2]) < 1e-9 and got[3].verdict == "allow" and got[3].path == long[len("https://a.test") :]
+
+
 def test_against_plain_python(spark):
     pages = spark.createDataFrame([(i, u, "h", 1.0) for i, u in URLS], "page_id long, url string, html string, score double")
     got = sorted(M.judge(spark, pages).collect(), key=lambda r: (r.page_id is None, r.page_id or 0))
@@ -69,7 +81,7 @@ def test_against_plain_python(spark):
     for i, u in sorted(URLS, key=lambda r: (r[0] is None, r[0] or 0)):
         host, path = plain_split(u)
         rows.append((i, u, host, path, *plain_rule(host, path)))
-    scores = plain_scores(spark, [(r[1], r[5]) for r in rows])
+    scores = plain_scores([(r[1], r[5]) for r in rows])
     for g, r, s in zip(got, rows, scores, strict=True):
         assert (g.page_id, g.host, g.path, g.rule) == (r[0], r[2], r[3], r[4])
         assert abs(g.score - s) < 1e-9
@@ -102,24 +114,6 @@ def test_every_ngram_has_its_own_count(spark):
     urls += [f"https://a.test/{word(old)}" for _ in range(50)] + [f"https://a.test/{word(new)}" for _ in range(50)]
     rows = [(i, u, None, None, *plain_rule(*plain_split(u))) for i, u in enumerate(urls)]
     got = sorted(M.judge(spark, spark.createDataFrame([r[:2] for r in rows], "page_id long, url string")).collect(), key=lambda r: r.page_id)
-    counts = {}
-    for _, u, _, _, _, says in rows:
-        if says:
-            s = M.MARK * M.ORDER + u + M.END
-            for i in range(M.ORDER, len(s)):
-                for k in range(M.ORDER + 1):
-                    for key in ((says, "b", s[i - k : i + 1]), (says, "c", s[i - k : i])):
-                        counts[key] = counts.get(key, 0) + 1
-    assert sum(key[1] == "b" for key in counts) > 100_000
-    for g, u in list(zip(got, urls, strict=True))[::100] + [(got[k], urls[k]) for k in (3000, 3099)]:
-        s, total = M.MARK * M.ORDER + u + M.END, 0.0
-        for i in range(M.ORDER, len(s)):
-            p = {}
-            for says in ("allow", "block"):
-                x = 1 / 128
-                for k in range(M.ORDER + 1):
-                    x = (counts.get((says, "b", s[i - k : i + 1]), 0) + x * M.STRENGTH) / (counts.get((says, "c", s[i - k : i]), 0) + M.STRENGTH)
-                p[says] = x
-            total += math.log(p["allow"]) - math.log(p["block"])
-        assert abs(g.score - total / (len(s) - M.ORDER)) < 1e-9
+    for g, score in zip(got, plain_scores([(r[1], r[5]) for r in rows]), strict=True):
+        assert abs(g.score - score) < 1e-9
     assert [r.verdict for r in got[3000:]] == ["allow"] * 50 + ["block"] * 50
