@@ -15,6 +15,16 @@ from lexgrid.llm.common import Store, table
 LEAST_EVIDENCE = 0.27  # for the predicted language; texts of the learned languages showed 0.29 or more on the tables, other scripts and most unlearned languages less
 
 
+def plain(docs: DataFrame, *keep: str) -> DataFrame:
+    """docs with numbered column names but for those to keep, so that no name clashes with a stage's own."""
+    return docs.select(*[F.col(f"`{c}`").alias(c if c in keep else f"_in_{i}") for i, c in enumerate(docs.columns)])
+
+
+def named(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of plain(docs) under their own names again."""
+    return rows.select(*[F.col(c if c in rows.columns and f"_in_{i}" not in rows.columns else f"_in_{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that have a language: those without a letter, or that no language's regression value speaks for, go.
 
@@ -26,9 +36,9 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language.train(docs)
     if model is None:
         return docs.where(F.col("text").rlike("\\p{L}"))
-    judged = language.predict(docs.select(*docs.columns), model, ("_lang_pred", "_score", "_evidence"))
+    judged = language.predict(plain(docs, "text"), model, ("_lang_pred", "_score", "_evidence"))
     least = min(LEAST_EVIDENCE, model.usual / 2)
-    return judged.where((F.col("_lang_pred") != language.UNKNOWN) & (F.col("_evidence") >= least)).select(*docs.columns)
+    return named(judged.where((F.col("_lang_pred") != language.UNKNOWN) & (F.col("_evidence") >= least)), docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,16 +47,17 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Of texts that share that doc_id the one with the least hash stays; groups stay apart though they share a doc_id.
     Rows without a doc_id stay only if no row of their group has one, one for each of their fingerprints.
     """
-    keyed = docs.withColumn("_lg_k", F.xxhash64("doc_id", F.coalesce(F.col("text"), F.lit(""))))  # rows that are alike are one
+    own = plain(docs, "doc_id", "text")
+    keyed = own.withColumn("_lg_k", F.xxhash64("doc_id", F.coalesce(F.col("text"), F.lit(""))))  # rows that are alike are one
     groups = simhash.simhash_groups(spark, keyed.select(F.col("_lg_k").alias("doc_id"), "text"))
     groups = groups.select(F.col("doc_id").alias("_lg_k"), F.col("fp").alias("_lg_fp"), F.col("component_id").alias("_lg_c")).distinct()
     members = groups.join(keyed.select("_lg_k", "doc_id").distinct(), "_lg_k")
     least = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "_lg_k"))).alias("_lg_named")
     prints = members.groupBy("_lg_c", "_lg_fp").agg(least, F.min("_lg_k").alias("_lg_any"))
-    named = prints.groupBy("_lg_c").agg(F.min("_lg_named").alias("_lg_first"))
-    bare = prints.join(named.where("_lg_first IS NULL"), "_lg_c").select(F.col("_lg_any").alias("_lg_k"))
-    kept = named.where("_lg_first IS NOT NULL").select(F.col("_lg_first._lg_k").alias("_lg_k")).unionByName(bare)
-    return keyed.join(kept, "_lg_k", "left_semi").dropDuplicates(["_lg_k"]).select(*docs.columns)
+    firsts = prints.groupBy("_lg_c").agg(F.min("_lg_named").alias("_lg_first"))
+    bare = prints.join(firsts.where("_lg_first IS NULL"), "_lg_c").select(F.col("_lg_any").alias("_lg_k"))
+    kept = firsts.where("_lg_first IS NOT NULL").select(F.col("_lg_first._lg_k").alias("_lg_k")).unionByName(bare)
+    return named(keyed.join(kept, "_lg_k", "left_semi").dropDuplicates(["_lg_k"]), docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,7 +82,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each stage's rows written to the shared folder and read by the next."""
-    store, docs = Store(spark, "pipeline"), table(spark, sf_dir, "documents")
+    store, docs, before = Store(spark, "pipeline"), table(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
+        made = len(Store.made)
         docs = store.keep(stage(spark, docs, sf_dir))
+        Store.sweep(made)  # what the stage wrote for itself
+        if before is not None:
+            store.drop(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
