@@ -98,3 +98,44 @@ def test_fuzzy_ratio_takes_every_part(spark, tmp_path):
             expected.add((i, min(found)[1], round(-min(found)[0], 6)))
     got = {tuple(r) for r in catalog.queries()["fuzzy_ratio"](spark, str(tmp_path)).collect()}
     assert got == expected and max(expected)[0] > 2000
+
+
+def test_fuzzy_against_difflib(spark, tmp_path):
+    """The query's best names on a small table, against every pair."""
+    import random
+    from difflib import SequenceMatcher
+
+    from lexgrid.plans import catalog
+
+    rng = random.Random(4)
+    words = ["steel", "copper", "linen", "small", "plated", "brushed"]
+    parts = [(i, f"B{i % 3}", " ".join(rng.choices(words, k=rng.randint(1, 4))) + "x" * rng.randint(0, 2)) for i in range(60)]
+    spark.createDataFrame(parts, "p_partkey long, p_brand string, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    expected = {}
+    for i, brand, name in parts:
+        near = sorted((-SequenceMatcher(None, name, other + "s").ratio(), k) for k, b, other in parts if b == brand and k != i)
+        if near and -near[0][0] >= 0.8:
+            expected[i] = (near[0][1], round(-near[0][0], 6))
+    assert {r.p_partkey: (r.q_partkey, r.ratio) for r in catalog.queries()["fuzzy_ratio"](spark, str(tmp_path)).collect()} == expected and len(expected) > 5
+
+
+def test_cascade_tiers(spark):
+    items = spark.createDataFrame([(1, "d", "act on land"), (2, "d", "act on lan"), (3, "d", "nothing alike"), (4, "e", "act on land"), (5, None, "act on land"), (6, "d", None), (7, "d", "act on land"), (8, "f", "abcdefghij"), (9, "g", "abcdefghij")], "i int, b string, t string")
+    targets = spark.createDataFrame([(10, "d", "act on land"), (11, "d", "act on land"), (12, "d", "other thing"), (13, "f", "abcdefghiX"), (14, "g", "abcdefghiX"), (15, "g", "abcdefghiY")], "dst int, b string, t string")
+    got = {r.i: (r.dst, r.method) for r in resolve.cascade(items, targets, "b", "t", fuzzy=0.8).collect()}
+    assert got == {1: (11, "exact"), 2: (None, "unresolved"), 3: (None, "unresolved"), 4: (None, "unresolved"), 5: (None, "unresolved"), 6: (None, "unresolved"), 7: (11, "exact"), 8: (13, "fuzzy:0.90"), 9: (None, "unresolved")}
+
+
+def test_excerpts_and_highlights(spark):
+    from lexgrid.functions import display as V
+
+    text = "a" * 500 + " Needle here " + "b" * 500
+    rows = [(1, text, "needle HERE", 501, 507), (2, text, "absent", None, 3), (3, "x" * 50 + "Fuqarolik kodeksi", "absent", 5, 5), (4, "", "x", 0, 1), (5, None, None, 0, 1), (6, "short needle", "needle", 6, 12)]
+    df = spark.createDataFrame(rows, "i int, t string, n string, a int, b int")
+    got = {r.i: (r.e, r.h) for r in df.select("i", V.excerpt(df.t, df.n).alias("e"), V.highlight(df.t, df.a, df.b).alias("h")).collect()}
+    assert got[1] == ("…" + text[101:901] + "…", text[:501] + "**Needle**" + text[507:])
+    assert got[2] == (text[:400], text) and got[3] == (rows[2][1] + "…", rows[2][1]) and got[4] == ("", "") and got[5] == ("", None) and got[6] == ("short needle…", "short **needle**")
+    from pyspark.sql import functions as F
+
+    said = spark.range(1).select(V.snapshot_note(F.lit("2001-01-01"), F.lit("2011-01-01")).alias("a"), V.snapshot_note(F.lit("2010-01-01"), F.lit("2011-01-01")).alias("b"), V.snapshot_note(F.lit("no date"), F.lit("2011-01-01")).alias("c"), V.display_number(F.lit("1737"), F.lit(7), F.lit(None).cast("string")).alias("d")).first()
+    assert said[:] == ("snapshot of 2001-01-01, about 10 years old", "", "", "Article 173⁷")
