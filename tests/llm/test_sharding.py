@@ -54,3 +54,34 @@ def test_empty(spark, tmp_path):
     assert M.op1_sharding(spark, written(spark, docs(spark, []), tmp_path)).count() == 0
 
 
+
+
+def plain_draw(key, level, node, weight):
+    import math
+    import struct
+
+    import xxhash
+
+    seed = xxhash.xxh64_intdigest(f"{level}/{node}".encode(), 42)
+    bits = xxhash.xxh64_intdigest(struct.pack("<q", key), seed) >> 11
+    return -math.log((bits + 0.5) * 2.0**-53) / weight
+
+
+def plain_shard(key, shards):
+    """Each level's draws one by one, from the hash library."""
+    level, left = "root", shards
+    for name in (lambda s: s.region, lambda s: s.rack, lambda s: s.shard):
+        weights = {}
+        for s in left:
+            weights[name(s)] = weights.get(name(s), 0) + s.weight
+        weights = {n: w for n, w in weights.items() if w > 0}
+        won = min(weights, key=lambda n: plain_draw(key, level, n, weights[n]))  # noqa: B023
+        left = [s for s in left if name(s) == won]
+        level = won if level == "root" else f"{level}/{won}"
+    return left[0].shard
+
+
+def test_draws_against_plain_python(spark):
+    for shards in (M.topology(16), M.topology(17), [M.Shard("a", "r", 0, 1.5), M.Shard("a", "r", 1, 3.0), M.Shard("a", "q", 2, 0.0), M.Shard("b", "q", 3, 4.0)]):
+        got = {r.id: r.shard for r in M.assign(spark.range(-50, 400), ["id"], shards).collect()}
+        assert got == {i: plain_shard(i, shards) for i in got}

@@ -104,3 +104,9 @@ def test_query(spark, sf):
     ids = sorted(texts)
     root = plain_components([plain_fingerprint(texts[i]) for i in ids])
     assert {r.doc_id: r.component_id for r in out} == {i: ids[r] for i, r in zip(ids, root, strict=True)}
+
+
+def test_a_very_long_text(spark):
+    """Over many chunks of shingles: the same bits as one by one."""
+    text = " ".join(f"W{i % 7919} word{i % 13}" for i in range(40_000))
+    assert M.fingerprint(text) == plain_fingerprint(text)

@@ -134,3 +134,15 @@ def test_id_files(spark, tmp_path, sf):
         order = [r.doc_id for r in got if r.doc_id is not None]
         assert order == sorted(order) and all(r.doc_id is None for r in got[len(order) :])
     assert idcoder.op7_idcoder(spark, written(spark, docs(spark, []), tmp_path)).count() == 0
+
+
+def test_very_long_texts(theirs):
+    """Beyond any batch or matrix: a text of 3 MB of words, and pieces of 100,000 letters."""
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcdeéß", k=rng.randint(1, 9))) for _ in range(500)]
+    text = " ".join(rng.choices(words, k=500_000))
+    own = bpe.coder()
+    for each in (text, "x" * 100_000, "".join(rng.choices("abcde", k=100_000))):
+        ids = own.encode([each])[0]
+        assert np.frombuffer(ids, "<u4").tolist() == theirs.encode_ordinary(each) and own.decode(ids) == each.encode()
+    assert encoder().encode([text])[0] == encoder().whole([text])[0]
