@@ -35,6 +35,15 @@ START = np.array(
 )
 
 
+def placed(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the distinct ids, ascending; each id's place among them)."""
+    if not len(ids) or ids.max() >= 1 << 22:
+        return np.unique(ids, return_inverse=True)
+    known = np.zeros(int(ids.max()) + 1, bool)
+    known[ids] = True
+    return np.flatnonzero(known), (np.cumsum(known) - 1)[ids]
+
+
 class Tables(NamedTuple):
     """The order-0 and order-1 predictions that every block of a segment starts from; they stand in its head."""
 
@@ -43,15 +52,13 @@ class Tables(NamedTuple):
     freq: np.ndarray  # groups x ids, each group's row adding up to 1 << FINE; 0 where an id never follows
 
     @classmethod
-    def of(cls, ids: np.ndarray) -> Tables:
-        """Of the ids of a segment. Groups grow by likelihood: each id joins the group whose table codes its followers best."""
-        names = np.unique(ids)
+    def of(cls, names: np.ndarray, x: np.ndarray) -> Tables:
+        """Of a segment's ids, as placed(). Groups grow by likelihood: each id joins the group whose table codes its followers best."""
         d = len(names)
         if d >= 1 << FINE:
             raise ValueError(f"a segment holds at most {(1 << FINE) - 1} different ids")
         if not d:
             return cls(names.astype("<u4"), np.zeros(1, np.uint8), np.zeros((1, 0), np.int64))
-        x = np.searchsorted(names, ids)
         before = np.concatenate([[d], x[:-1]])
         before[::BLOCK] = d
         pair = before * d + x
@@ -240,8 +247,8 @@ class Lanes:
 
 def encode_ids(ids: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray, bytes]:
     """(tables, bytes of each block, checksums of each block's ids, data)."""
-    tables = Tables.of(ids)
-    x, parts = np.searchsorted(tables.ids, ids), []
+    names, x = placed(ids)
+    tables, parts = Tables.of(names, x), []
     for at in range(0, len(ids), SEGMENT):
         own = x[at : at + SEGMENT]
         lanes = -(-len(own) // BLOCK)
