@@ -17,11 +17,12 @@ from .common import Store, column, groups, lean, partitions, table
 
 LENGTH = 50  # bytes of a match
 GRAM = 16  # bytes by which suffixes are sampled; each match holds LENGTH - GRAM + 1 of them
-BUFFER = 3 << 19  # bytes of text that a task looks at at once
+BUFFER = 1 << 20  # bytes of text that a task looks at at once
 SHARE = 2 << 20  # bytes of text whose anchors one shard gets
 SPREAD = 4  # shards' worth of text to one shard of the index, which holds only what may repeat
-BATCHES = 4  # by doc_id, that enter the index one after another
-LEVEL = 5  # of compression
+BATCHES = 3  # by doc_id, that enter the index one after another
+LEVEL = 3  # of compression
+NEAR = 1 << 16  # places looked at at once within a buffer
 TOLD = 1 << 20  # hashes that a task remembers having sent on
 PLACE = np.uint64((1 << 24) - 1)
 NULL_ID = (1 << 63) - 1  # stands for a null doc_id: no document is after it
@@ -66,18 +67,28 @@ def sample(t: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarra
     """
     n = len(t)
     padded = np.concatenate([t, np.zeros(2 * LENGTH, np.uint8)])
-    words = np.ndarray(n + 8, "<u8", padded, strides=(1,))
-    h = words[:n] * u64(0x9E3779B97F4A7C15) ^ (words[8 : n + 8] + u64(0x632BE59BD9B4E019)) * u64(0xC2B2AE3D27D4EB4F)
-    h ^= h >> u64(29)
-    h *= u64(0xBF58476D1CE4E5B9)
-    h ^= h >> u64(32)
-    least = (h & ~PLACE) | np.arange(n, dtype=u64)
-    reach, span = 1, LENGTH - GRAM + 1
-    while reach < span:
-        step = min(reach, span - reach)
-        least = np.minimum(least[:-step], least[step:])
-        reach += step
-    anchor = (least & PLACE).astype(np.int64)
+    words = np.ndarray(n + LENGTH, "<u8", padded, strides=(1,))
+
+    def grams(at):
+        h = words[at] * u64(0x9E3779B97F4A7C15) ^ (words[at + 8 if isinstance(at, np.ndarray) else slice(at.start + 8, at.stop + 8)] + u64(0x632BE59BD9B4E019)) * u64(0xC2B2AE3D27D4EB4F)
+        h ^= h >> u64(29)
+        h *= u64(0xBF58476D1CE4E5B9)
+        h ^= h >> u64(32)
+        return h
+
+    span = LENGTH - GRAM + 1
+    anchor = np.zeros(max(0, n - span + 1), np.int32)
+    for low in range(0, len(anchor), NEAR):  # what is worked on stays in the processor's cache
+        high = min(low + NEAR, len(anchor))
+        least = grams(slice(low, high + span - 1))
+        least &= ~PLACE
+        least |= np.arange(low, high + span - 1, dtype=u64)
+        reach = 1
+        while reach < span:
+            step = min(reach, span - reach)
+            least = np.minimum(least[:-step], least[step:])
+            reach += step
+        anchor[low:high] = least & PLACE
     ok = np.zeros(n + 2, np.int8)
     long = end - start >= LENGTH
     ok[start[long]] += 1
@@ -88,7 +99,8 @@ def sample(t: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarra
     first = np.flatnonzero(new)
     stop = ok.copy()
     stop[:-1] &= ~ok[1:] | new[1:]
-    return first, np.flatnonzero(stop), anchor[first], h[anchor[first]]
+    found = anchor[first].astype(np.int64)
+    return first, np.flatnonzero(stop), found, grams(found)
 
 
 def pack(arrays: list[np.ndarray]) -> bytes:
@@ -272,16 +284,15 @@ class Strings:
         self.text = text
         self.every = np.ndarray(len(text) + 1, ">u8", np.concatenate([text, np.zeros(8, np.uint8)]), strides=(1,))
 
-    def words(self, at: np.ndarray) -> list[np.ndarray]:
-        """Numbers of eight bytes, the last of what is left."""
-        rest = LENGTH % 8
-        out = [self.every[at + k].astype(u64) for k in range(0, LENGTH - 7, 8)]
-        return out + [self.every[at + LENGTH - rest].astype(u64) >> u64(64 - 8 * rest)] if rest else out
+    def word(self, at: np.ndarray, k: int) -> np.ndarray:
+        """The k-th number of eight bytes of each; the last overlaps the one before it."""
+        return self.every[at + min(8 * k, LENGTH - 8)].astype(u64)
 
-    def equal(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        out = np.ones(len(a), bool)
+    def equal(self, a: np.ndarray, b: np.ndarray, other: Strings | None = None) -> np.ndarray:
+        """Which strings at a are those at b, here or in another text."""
+        out, there = np.ones(len(a), bool), (other or self).every
         for k in [*range(0, LENGTH - 7, 8), LENGTH - 8]:
-            out &= self.every[a + k] == self.every[b + k]
+            out &= self.every[a + k] == there[b + k]
         return out
 
     def unlike(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -337,20 +348,29 @@ class Level(NamedTuple):
     def owner(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(np.cumsum(self.lengths, dtype=np.int64), at, "right")
 
-    def scan(self, other: list[np.ndarray]) -> np.ndarray:
-        """The smallest document that has each of `other` (sorted strings, as words), NULL_ID where none has."""
-        own = Strings(self.text).words(self.order)
-        low, high = np.searchsorted(own[0], other[0], "left"), np.searchsorted(own[0], other[0], "right")
-        for k in range(1, len(own)):
-            more = np.flatnonzero(high - low > 1)  # where one is left, it is compared below
+    def scan(self, other: Level) -> np.ndarray:
+        """The smallest document here that has each string of another suffix array, NULL_ID where none has.
+
+        Both are sorted, so the first eight bytes are met in one sweep; ties of them are halved by the next bytes until one place is
+        left, whose string is compared.
+        """
+        mine, theirs, at = Strings(self.text), Strings(other.text), other.order
+        first, asked = mine.word(self.order, 0), theirs.word(at, 0)
+        low = np.searchsorted(first, asked, "left")
+        near = np.flatnonzero(first[np.minimum(low, len(first) - 1)] == asked) if len(first) else low[:0]
+        low, asked, at = low[near], asked[near], at[near]
+        high = np.searchsorted(first, asked, "right")
+        for k in range(1, -(-LENGTH // 8)):
+            more = np.flatnonzero(high - low > 1)
             if not len(more):
                 break
+            key = theirs.word(at[more], k)
             for right in (False, True):
                 a, b = low[more].copy(), high[more].copy()
                 while len(live := np.flatnonzero(a < b)):
                     mid = (a[live] + b[live]) >> 1
-                    here, key = own[k][mid], other[k][more[live]]
-                    before = here <= key if right else here < key
+                    here = mine.word(self.order[mid], k)
+                    before = here <= key[live] if right else here < key[live]
                     a[live[before]] = mid[before] + 1
                     b[live[~before]] = mid[~before]
                 if right:
@@ -359,12 +379,10 @@ class Level(NamedTuple):
                     start = a
             low[more] = start
         found = np.flatnonzero(high > low)
-        same = np.ones(len(found), bool)
-        for mine, theirs in zip(own, other, strict=True):
-            same &= mine[low[found]] == theirs[found]
-        out = np.full(len(other[0]), NULL_ID)
-        found = found[same]
-        out[found] = self.docs[self.owner(self.order[low[found]])]
+        place = self.order[low[found]]
+        same = mine.equal(place, at[found], theirs)
+        out = np.full(len(other.order), NULL_ID)
+        out[near[found[same]]] = self.docs[self.owner(place[same])]
         return out
 
     def merge(self, other: Level) -> Level:
@@ -427,12 +445,11 @@ class Family:
         n = sizes - LENGTH + 1
         at = slices(np.cumsum(sizes) - sizes, n)
         own, first, rank = batch.sorted(at)
-        distinct = Strings(own.text).words(own.order)
         context = np.repeat(np.arange(len(n)), n)
         least = batch.docs[context[first]]
         fresh = np.ones(len(least), bool)
         for level in self.levels:
-            found = level.scan(distinct)
+            found = level.scan(own)
             fresh &= found == NULL_ID
             least = np.minimum(least, found)
         again = batch.docs[context] > least[rank]
@@ -447,6 +464,21 @@ class Family:
         return self.levels[-1]
 
 
+def chiefs(text: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The first context that has each one's bytes: found by a hash, then compared."""
+    begin = np.cumsum(lengths) - lengths
+    h = Hashes(text).of(begin, begin + lengths)
+    by = np.argsort(h, kind="stable")
+    new = np.ones(len(by), bool)
+    new[1:] = h[by][1:] != h[by][:-1]
+    first = by[new][np.cumsum(new) - 1]
+    ask = np.flatnonzero(~new & (lengths[by] == lengths[first]))
+    ask = ask[like(text, begin[by[ask]], begin[first[ask]], lengths[by[ask]])]
+    out = np.arange(len(lengths))
+    out[by[ask]] = first[ask]
+    return out
+
+
 NOTHING = Level(np.zeros(0, "u1"), np.zeros(0, "<i8"), np.zeros(0, "u1"), np.zeros(0, np.int64))
 
 
@@ -461,16 +493,27 @@ def enter_shard(levels: list[bytes | None], blobs: list[bytes], parts: int, merg
         doc, key, pos = (np.concatenate([x[i] for x in got]) for i in (2, 3, 4))
         text = np.concatenate([x[5] for x in got])
         del got
-        by = np.argsort(which, kind="stable")
-        which, doc, key, pos = which[by], doc[by], key[by], pos[by]
-        many = np.bincount(which, minlength=len(lengths))
-        place = np.cumsum(many) - many
-        docs = doc[place]
+        docs = np.empty(len(lengths), np.int64)
+        docs[which] = doc
         order = np.argsort(docs, kind="stable")
         begin = np.cumsum(lengths) - lengths
-        text = text[slices(begin[order], lengths[order])]
-        lengths, many, place = lengths[order], many[order], place[order]
-        at, again = family.enter(Level(lengths.astype("u1"), docs[order], text, np.zeros(0, np.int64)))
+        text, lengths, docs = text[slices(begin[order], lengths[order])], lengths[order], docs[order]
+        moved = np.empty(len(order), np.int64)
+        moved[order] = np.arange(len(order))
+        chief = chiefs(text, lengths)
+        which = moved[which]
+        later = docs[which] > docs[chief[which]]  # all of a context repeats that an earlier document has
+        spans = [doc[later], key[later], pos[later], pos[later] + lengths[which[later]]]
+        own = np.flatnonzero(chief == np.arange(len(chief)))
+        rank = np.cumsum(chief == np.arange(len(chief))) - 1
+        of = rank[chief[which[~later]]]
+        by = np.argsort(of, kind="stable")
+        doc, key, pos = doc[~later][by], key[~later][by], pos[~later][by]
+        many = np.bincount(of, minlength=len(own))
+        place = np.cumsum(many) - many
+        begin = np.cumsum(lengths) - lengths
+        text, lengths, docs = text[slices(begin[own], lengths[own])], lengths[own], docs[own]
+        at, again = family.enter(Level(lengths.astype("u1"), docs, text, np.zeros(0, np.int64)))
         n = lengths - LENGTH + 1
         owner = np.repeat(np.arange(len(n)), n)
         edge = np.ones(len(owner) + 1, bool)
@@ -481,8 +524,9 @@ def enter_shard(levels: list[bytes | None], blobs: list[bytes], parts: int, merg
         offset = np.cumsum(lengths) - lengths
         record = slices(place[c], many[c])
         a, b = (np.repeat(x, many[c]) for x in (at[begins] - offset[c], at[ends] - offset[c] + LENGTH))
-        if len(record):
-            out = deal((key[record] & 0xFFFFFFFF) % parts, 0, [doc[record], key[record], pos[record] + a, pos[record] + b])
+        found = [np.concatenate(x) for x in zip(spans, [doc[record], key[record], pos[record] + a, pos[record] + b], strict=True)]
+        if len(found[0]):
+            out = deal((found[1] & 0xFFFFFFFF) % parts, 0, found)
     elif merged is not None:
         family.levels.append(NOTHING)
     return out, family.merge(merged).pack() if merged is not None else None
