@@ -52,6 +52,7 @@ class Store:
         ship(spark)
         Store.made.append(self)
         self.spark, self.base = spark, f"{shared_dir(spark)}/lexgrid-{name}-{uuid.uuid4().hex[:12]}"
+        self.jvm, self.conf = spark._jvm, spark._jsc.hadoopConfiguration()  # these outlive the session
         self.n = 0
 
     def keep(self, df: DataFrame, *by: str) -> DataFrame:
@@ -72,17 +73,18 @@ class Store:
 
     def drop(self, df: DataFrame, part: str = "") -> None:
         """Delete a kept table, or a folder in it, that nothing reads any more."""
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{df._lexgrid_path}/{part}" if part else df._lexgrid_path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self.delete(f"{df._lexgrid_path}/{part}" if part else df._lexgrid_path)
+
+    def delete(self, path: str) -> None:
+        where = self.jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(self.conf).delete(where, True)
 
     @classmethod
     def sweep(cls, since: int = 0, *but: Store) -> None:
         """Delete the folders of the stores made since there were so many, but for some: nothing may read them any more."""
         gone = [s for s in cls.made[since:] if s not in but]
         for store in gone:
-            path = store.spark._jvm.org.apache.hadoop.fs.Path(store.base)
-            path.getFileSystem(store.spark._jsc.hadoopConfiguration()).delete(path, True)
+            store.delete(store.base)
             cls.made.remove(store)
 
 

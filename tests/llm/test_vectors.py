@@ -238,3 +238,19 @@ def test_nearest_query(spark, sf):
         assert [r for r, _, _ in own] == list(range(1, 6)) and all(abs(score[i] - s) < 1e-12 for _, i, s in own)
         hit += len({i for _, i in true} & {i for _, i, _ in own})
     assert hit / 5 / len(got) >= 0.9
+
+
+def test_stores_are_swept(spark, tmp_path):
+    """A store's folder goes with what is in it; others stay."""
+    import os
+
+    before = len(Store.made)
+    kept, gone = Store(spark, "kept"), Store(spark, "gone")
+    rows = kept.keep(spark.range(5))
+    gone.keep(spark.range(5).withColumn("k", F.col("id") % 2), "k")
+    folder = lambda store: store.base.removeprefix("file://")
+    assert os.path.isdir(folder(gone)) and sorted(x for x in os.listdir(f"{folder(gone)}/1") if x.startswith("k=")) == ["k=0", "k=1"]
+    Store.sweep(before, kept)
+    assert not os.path.exists(folder(gone)) and rows.count() == 5 and kept in Store.made
+    Store.sweep(before)
+    assert not os.path.exists(folder(kept)) and len(Store.made) == before
