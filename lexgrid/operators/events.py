@@ -84,8 +84,11 @@ def amendments(notes: DataFrame) -> DataFrame:
 
     row_id, doc_id, host_article, clause_no, target_article, locator, change_type, amend_date, act_number, effective_date, evidence.
     """
-    clauses = notes.select("row_id", "doc_id", "host_article", F.posexplode(F.regexp_extract_all("note", F.lit(NOTE), F.lit(0))).alias("clause_no", "evidence")).where(F.col("evidence").rlike(EVENT))
-    g = lambda k: F.regexp_extract("evidence", EVENT, k)
+    clauses = notes.select("row_id", "doc_id", "host_article", F.posexplode(F.regexp_extract_all("note", F.lit(NOTE), F.lit(0))).alias("clause_no", "evidence"))
+    mark = "\u0001"  # all groups by one match of the clause
+    cells = F.split(F.regexp_replace("evidence", EVENT, mark.join(f"${k}" for k in range(1, 10))), mark)
+    clauses = clauses.withColumn("g", cells).where(F.size("g") == 9)
+    g = lambda k: F.element_at("g", k)
     number = F.when(g(5) != "", F.concat(F.lit("OʻRQ-"), g(5))).otherwise(F.concat(g(6), F.when(g(7) != "", F.concat(F.lit("-"), g(7))).otherwise(""), F.lit("-son")))
     dates = F.transform(F.regexp_extract_all("evidence", F.lit(ANY_DATE), F.lit(1)), lambda x: iso(F.substring(x, 1, 4), F.regexp_extract(x, r"\s(\d{1,2})-", 1), F.regexp_extract(x, r"-([^-\s]+)$", 1)))
     scope = F.concat_ws(" ", g(1), g(8))
