@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from lexgrid.functions import exprs as X
 from lexgrid.operators import graph, headings, quality, resolve, windows
+from lexgrid.operators import measure as M
 from lexgrid.operators.align import positional
 
 
@@ -139,3 +140,14 @@ def test_excerpts_and_highlights(spark):
 
     said = spark.range(1).select(V.snapshot_note(F.lit("2001-01-01"), F.lit("2011-01-01")).alias("a"), V.snapshot_note(F.lit("2010-01-01"), F.lit("2011-01-01")).alias("b"), V.snapshot_note(F.lit("no date"), F.lit("2011-01-01")).alias("c"), V.display_number(F.lit("1737"), F.lit(7), F.lit(None).cast("string")).alias("d")).first()
     assert said[:] == ("snapshot of 2001-01-01, about 10 years old", "", "", "Article 173⁷")
+
+
+def test_shapes_read_patterns_as_sql_does(spark):
+    """Words end at letters beyond ASCII, and (?i) knows the letters that fold to ASCII ones; a vertical tab is no white space."""
+    import duckdb
+
+    texts = ["Übob", "übob bob", "ʻmodda", "moddaʻ 1", "é1234é", "é12345", "1 ſ 2", "3 qiſm", "yo\u212ai", "1 yo\u212ai 2", "ik\u212ainchi", "\u212aband", "1\v,\v2", "1\v-\v2", "1\t-\f2", "5\vmodda", "5 moddaé", "IV\vbob", "IV bob", "4\u00a0va\u00a05", "4 va 5", "4 VA 5", "bo\u0301b", "e\u0301bob", "_bob", "9bob", "İband", "sakkızinchi", "ſakkizinchi", "paragraf", "ParaGrİf"]
+    con = duckdb.connect()
+    for name, pattern in M.SEPARATORS + M.SHAPES:
+        got = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(M.shape(F.col("t"), F.lit(""), F.lit(""))[name]).collect()]
+        assert got == [con.execute("SELECT regexp_matches(?, ?)", [t, pattern]).fetchone()[0] for t in texts], name
