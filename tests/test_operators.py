@@ -151,3 +151,13 @@ def test_shapes_read_patterns_as_sql_does(spark):
     for name, pattern in M.SEPARATORS + M.SHAPES:
         got = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(M.shape(F.col("t"), F.lit(""), F.lit(""))[name]).collect()]
         assert got == [con.execute("SELECT regexp_matches(?, ?)", [t, pattern]).fetchone()[0] for t in texts], name
+
+
+def test_numeric_order_of_equal_texts(spark, tmp_path):
+    """Where p_partkey alone tells rows apart, they come by it, however the table lies."""
+    from lexgrid.plans import catalog
+
+    keys = [1055, 55, 3055, 2055, 20, 7]
+    spark.createDataFrame([(k, 49) for k in keys], "p_partkey long, p_size int").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    got = {r.p_partkey: r.place for r in catalog.queries()["numeric_order"](spark, str(tmp_path)).collect()}
+    assert got == {55: 1, 1055: 2, 2055: 3, 3055: 4, 7: 5, 20: 6}
