@@ -105,6 +105,8 @@ def lean(f: Callable) -> Callable:
 
             settle()
             gc.collect()
+            if not gc.get_freeze_count():
+                gc.freeze()  # modules and the like, which every later task would look through
             pa.default_memory_pool().release_unused()
             with contextlib.suppress(OSError, AttributeError):  # only glibc has it
                 ctypes.CDLL("libc.so.6").malloc_trim(0)

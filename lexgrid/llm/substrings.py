@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
+from collections.abc import Iterator
 from functools import cache
 from typing import NamedTuple
 
@@ -18,11 +19,12 @@ from .common import Store, column, groups, lean, partitions, table
 LENGTH = 50  # bytes of a match
 GRAM = 16  # bytes by which suffixes are sampled; each match holds LENGTH - GRAM + 1 of them
 BUFFER = 1 << 20  # bytes of text that a task looks at at once
-SHARE = 2 << 20  # bytes of text whose anchors one shard gets
-SPREAD = 4  # shards' worth of text to one shard of the index, which holds only what may repeat
+SHARE = 4 << 20  # bytes of text whose anchors one shard gets
+SPREAD = 2  # shards' worth of text to one shard of the index, which holds only what may repeat
 BATCHES = 3  # by doc_id, that enter the index one after another
-LEVEL = 5  # of compression
+LEVEL, QUICK = 3, 1  # of compression: of texts, and of hashes, which hardly shrink
 NEAR = 1 << 16  # places looked at at once within a buffer
+HELD = 1 << 20  # anchors that a task sorts and deals at once
 TOLD = 1 << 20  # hashes that a task remembers having sent on
 PLACE = np.uint64((1 << 24) - 1)
 NULL_ID = (1 << 63) - 1  # stands for a null doc_id: no document is after it
@@ -103,9 +105,14 @@ def sample(t: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarra
     return first, np.flatnonzero(stop), found, grams(found)
 
 
-def pack(arrays: list[np.ndarray]) -> bytes:
-    raw = [np.ascontiguousarray(a).tobytes() for a in arrays]
-    return zstandard.ZstdCompressor(level=LEVEL).compress(struct.pack(f"<{len(raw)}q", *map(len, raw)) + b"".join(raw))
+@cache
+def compressor(level: int) -> zstandard.ZstdCompressor:
+    return zstandard.ZstdCompressor(level=level)
+
+
+def pack(arrays: list[np.ndarray], level: int = LEVEL) -> bytes:
+    raw = [a.tobytes() for a in arrays]
+    return compressor(level).compress(struct.pack(f"<{len(raw)}q", *map(len, raw)) + b"".join(raw))
 
 
 def unpack(blob: bytes, kinds: list[str]) -> list[np.ndarray]:
@@ -117,6 +124,35 @@ def unpack(blob: bytes, kinds: list[str]) -> list[np.ndarray]:
     return out
 
 
+def begins(x: np.ndarray) -> np.ndarray:
+    """Which of sorted values begin a run of equal ones."""
+    new = np.ones(len(x), bool)
+    new[1:] = x[1:] != x[:-1]
+    return new
+
+
+def distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[begins(x)]
+
+
+def by_number(to: np.ndarray) -> np.ndarray:
+    """The stable order of small numbers from 0."""
+    return np.argsort(to.astype(np.uint16) if len(to) and to.max() < 1 << 16 else to, kind="stable")
+
+
+def digests(t: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of strings of at least 8 bytes, to hold against one another."""
+    words = np.ndarray(len(t) + 1, "<u8", np.concatenate([t, np.zeros(8, np.uint8)]), strides=(1,))
+    size, last = end - start, end - 8
+    x = size.astype(u64) * u64(0xD6E8FEB86659FD93)
+    for k in range(0, int(size.max()) if len(size) else 0, 8):
+        x ^= words[np.minimum(start + k, last)]
+        x *= u64(0x9E3779B97F4A7C15)
+        x ^= x >> u64(29)
+    return x
+
+
 def slices(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """All positions start .. start + size - 1, one range after another."""
     ends = np.cumsum(size)
@@ -161,11 +197,14 @@ def buffers(rows, size: int):
         yield Buffer(out)
 
 
-def deal(to: np.ndarray, kind: int, columns: list[np.ndarray]) -> list[tuple[int, int, bytes]]:
+def deal(to: np.ndarray, kind: int, columns: list[np.ndarray], level: int = LEVEL) -> list[tuple[int, int, bytes]]:
     """(number, kind, blob of the columns' rows) for each number in `to`."""
-    order = np.argsort(to, kind="stable")
-    cuts = np.flatnonzero(np.diff(to[order])) + 1
-    return [(int(to[i[0]]), kind, pack([c[i] for c in columns])) for i in np.split(order, cuts) if len(i)]
+    if not len(to):
+        return []
+    order = by_number(to)
+    to, columns = to[order], [c[order] for c in columns]
+    cuts = np.flatnonzero(begins(to)).tolist()
+    return [(n, kind, pack([c[a:b] for c in columns], level)) for n, a, b in zip(to[cuts].tolist(), cuts, [*cuts[1:], len(to)], strict=True)]
 
 
 class Told:
@@ -179,7 +218,15 @@ class Told:
         return self.known[np.minimum(at, len(self.known) - 1)] == h if len(self.known) else np.zeros(len(h), bool)
 
     def add(self, h: np.ndarray) -> None:
-        self.known = np.unique(np.concatenate([self.known, h]) if len(self.known) < TOLD else h)
+        self.known = distinct(np.concatenate([self.known, h]) if len(self.known) < TOLD else h)
+
+
+class Gathered(NamedTuple):
+    """The anchors of several buffers, as of one: dealt together they are fewer blobs."""
+
+    h: np.ndarray
+    key: np.ndarray
+    own: slice = slice(None)
 
 
 def survey(b: Buffer, shards: int, told: Told) -> list[tuple[int, int, bytes]]:
@@ -188,33 +235,55 @@ def survey(b: Buffer, shards: int, told: Told) -> list[tuple[int, int, bytes]]:
     An anchor that several documents of the task's buffers had isn't sent again: whoever has it is marked at once.
     """
     h, key = b.h, b.key[b.own]
-    order = np.lexsort((key, h))
+    if not len(h):
+        return []
+    order = np.argsort(h)
     h, key = h[order], key[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (key[1:] != key[:-1])
-    h, key = h[new], key[new]
-    first = np.ones(len(h), bool)
-    first[1:] = h[1:] != h[:-1]
-    several = (np.bincount(np.cumsum(first) - 1) > 1)[np.cumsum(first) - 1] if len(h) else first
-    known = told.has(h)
-    marked = several | known
-    out = deal((key[marked] & 0xFFFFFFFF) % shards, 0, [marks(key[marked], h[marked])])
-    told.add(h[first & several & ~known])
-    sent = first & ~known
-    h, key, several = h[sent], np.where(several, 0, key)[sent], several[sent]
-    return out + deal((h & PLACE).astype(np.int64) % shards, 1, [(h >> u64(24)).astype("<u4"), key.astype("<u4"), several.astype("u1")])
+    at = np.flatnonzero(begins(h))
+    heads, least = h[at], np.minimum.reduceat(key, at)
+    several = least != np.maximum.reduceat(key, at)
+    known = told.has(heads)
+    marked = np.repeat(several | known, np.diff(np.append(at, len(h))))
+    word, key = marks(key[marked], h[marked]), key[marked]
+    order = np.argsort(word)
+    order = order[begins(word[order])]
+    out = deal((key[order] & 0xFFFFFFFF) % shards, 0, [word[order]], QUICK)
+    told.add(heads[several & ~known])
+    h, key, several = heads[~known], np.where(several, 0, least)[~known].astype("<u4"), several[~known]
+    order = np.argsort(key)
+    h, key, several = h[order], key[order], several[order]
+    to = (h & PLACE).astype(np.int64) % shards
+    order = by_number(to)
+    h, key, several, to = h[order], key[order], several[order], to[order]
+    step = np.diff(key, prepend=key[:1])  # steps from key to key shrink, keys don't
+    step[begins(to)] = key[begins(to)]
+    return out + deal(to, 1, [(h >> u64(24)).astype("<u4"), step, several.astype("u1")], QUICK)
+
+
+def surveys(found: Iterator[Buffer], shards: int) -> Iterator[list[tuple[int, int, bytes]]]:
+    """survey() of a task's buffers, of HELD anchors at a time: blobs go with tasks times shards, not with buffers times shards."""
+    told, held, n = Told(), [], 0
+    for b in found:
+        held.append((b.h, b.key[b.own]))
+        n += len(b.h)
+        if n >= HELD:
+            yield survey(Gathered(*map(np.concatenate, zip(*held, strict=True))), shards, told)
+            held, n = [], 0
+    if held:
+        yield survey(Gathered(*map(np.concatenate, zip(*held, strict=True))), shards, told)
 
 
 def meet(blobs: list[bytes], shards: int) -> list[tuple[int, int, bytes]]:
     """Marks, for parts, of the anchors of one shard that more than one buffer has."""
-    h, key, several = (np.concatenate(x) for x in zip(*(unpack(x, ["<u4", "<u4", "u1"]) for x in blobs), strict=True))
-    h, key = h.astype(u64) << u64(24), key.astype(np.int64)
-    order = np.argsort(h, kind="stable")
+    h, step, several = zip(*(unpack(x, ["<u4", "<u4", "u1"]) for x in blobs), strict=True)
+    key = np.concatenate([np.cumsum(x, dtype="<u4") for x in step]).astype(np.int64)
+    h, several = np.concatenate(h).astype(u64) << u64(24), np.concatenate(several)
+    order = np.argsort(h)
     h, key, several = h[order], key[order], several[order].astype(bool)
     same = np.zeros(len(h) + 1, bool)
     same[1:-1] = h[1:] == h[:-1]
     hit = (same[1:] | same[:-1]) & ~several
-    return deal(key[hit] % shards, 0, [marks(key[hit], h[hit])])
+    return deal(key[hit] % shards, 0, [marks(key[hit], h[hit])], QUICK)
 
 
 def like(t: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -239,41 +308,50 @@ def contexts(b: Buffer, shared: np.ndarray, shards: int, indexes: int, bounds: n
     t, doc, key, base, start = b.text, b.doc, b.key, b.base, b.start
     first, last, anchor, h, own = b.first[hit], b.last[hit], b.anchor[hit], b.h[hit], b.own[hit]
     stop = last + LENGTH
-    same = Hashes(t).of(first, stop) ^ (anchor - first).astype(u64) * u64(0xD6E8FEB86659FD93)
+    same = digests(t, first, stop) ^ (anchor - first).astype(u64) * u64(0xD6E8FEB86659FD93)
     while True:
-        order = np.lexsort((doc[own], same))
-        new = np.ones(len(order), bool)
-        new[1:] = same[order][1:] != same[order][:-1]
+        order = np.argsort(same)
+        new = begins(same[order])
         group = np.cumsum(new) - 1
-        chief = order[new][group]
+        heads = order[new][group]
         size = stop[order] - first[order]
-        alike = (size == stop[chief] - first[chief]) & (anchor[order] - first[order] == anchor[chief] - first[chief])
+        alike = (size == stop[heads] - first[heads]) & (anchor[order] - first[order] == anchor[heads] - first[heads])
         ask = alike & ~new
-        alike[ask] = like(t, first[order][ask], first[chief][ask], size[ask])
+        alike[ask] = like(t, first[order][ask], first[heads][ask], size[ask])
         if alike.all():
             break
         same[order[~alike]] += np.arange(1, len(order) + 1, dtype=u64)[~alike]  # of one hash but not equal: apart
-    least = doc[own[chief]]
-    kept = doc[own[order]] == least
+    held = doc[own[order]]
+    kept = held == np.minimum.reduceat(held, np.flatnonzero(new))[group]
     out = []
-    gone = order[~kept]
+    gone = np.sort(order[~kept])
     if len(gone):
         o = own[gone]
         at = base[o] - start[o]
         out += deal((key[o] & 0xFFFFFFFF) % shards, 0, [doc[o], key[o], first[gone] + at, stop[gone] + at])
+    chief = np.empty(int(group[-1]) + 1, np.int64)  # one of the smallest document's places
+    chief[group[kept]] = order[kept]
     shard = (h & PLACE).astype(np.int64) % indexes
     batch = np.searchsorted(bounds, doc[own], "left")
-    places, of = order[kept], chief[kept]  # each place, and where its context stands
+    places, of = order[kept], chief[group[kept]]  # each place, and where its context stands
     to = shard[of] * (len(bounds) + 1) + batch[of]
-    by = np.lexsort((of, to))
+    by = np.argsort(of << 32 | places)  # what lies side by side in the text compresses well
+    by = by[by_number(to[by])]
     places, of, to = places[by], of[by], to[by]
-    for i in np.split(np.arange(len(of)), np.flatnonzero(np.diff(to)) + 1):
-        ctx, which = np.unique(of[i], return_inverse=True)
-        o = own[places[i]]
-        lengths = stop[ctx] - first[ctx]
-        out.append((int(shard[ctx[0]]), 1 + int(batch[ctx[0]]), pack([
-            lengths.astype("u1"), which.astype("<u4"), doc[o], key[o], first[places[i]] - start[o] + base[o], t[slices(first[ctx], lengths)],
-        ])))
+    new = begins(of)
+    edge = begins(to)
+    cuts = np.flatnonzero(edge)
+    which = np.cumsum(new) - 1
+    ctx, which = of[new], which - np.repeat(which[cuts], np.diff(np.append(cuts, len(to))))
+    lengths = stop[ctx] - first[ctx]
+    text, o = t[slices(first[ctx], lengths)], own[places]
+    docs, keys, spots = doc[o], key[o], first[places] - start[o] + base[o]
+    low = np.append(np.flatnonzero(edge[new]), len(ctx)).tolist()  # a number's contexts, and their bytes
+    bytes_ = np.concatenate([[0], np.cumsum(lengths)])[low].tolist()
+    lengths, which, cuts = lengths.astype("u1"), which.astype("<u4"), [*cuts.tolist(), len(to)]
+    for i, n in enumerate(to[cuts[:-1]].tolist()):
+        a, b = cuts[i], cuts[i + 1]
+        out.append((n // (len(bounds) + 1), 1 + n % (len(bounds) + 1), pack([lengths[low[i] : low[i + 1]], which[a:b], docs[a:b], keys[a:b], spots[a:b], text[bytes_[i] : bytes_[i + 1]]])))
     return out
 
 
@@ -356,10 +434,11 @@ class Level(NamedTuple):
         """
         mine, theirs, at = Strings(self.text), Strings(other.text), other.order
         first, asked = mine.word(self.order, 0), theirs.word(at, 0)
-        low = np.searchsorted(first, asked, "left")
+        low = np.flatnonzero(np.argsort(np.concatenate([asked, first]), kind="stable") < len(asked)) - np.arange(len(asked))  # two sorted runs are merged
         near = np.flatnonzero(first[np.minimum(low, len(first) - 1)] == asked) if len(first) else low[:0]
-        low, asked, at = low[near], asked[near], at[near]
-        high = np.searchsorted(first, asked, "right")
+        low, at = low[near], at[near]
+        new = begins(first)
+        high = np.append(np.flatnonzero(new)[1:], len(first))[(np.cumsum(new) - 1)[low]]
         for k in range(1, -(-LENGTH // 8)):
             more = np.flatnonzero(high - low > 1)
             if not len(more):
@@ -417,7 +496,9 @@ class Level(NamedTuple):
     def compact(self, own: np.ndarray) -> Level:
         """Without the contexts that no place lies in; own: the contexts of the places."""
         begin = np.cumsum(self.lengths, dtype=np.int64) - self.lengths
-        used = np.unique(own)
+        mark = np.zeros(len(self.lengths), bool)
+        mark[own] = True
+        used = np.flatnonzero(mark)
         moved = np.zeros(len(self.lengths), np.int64)
         moved[used] = np.cumsum(self.lengths[used], dtype=np.int64) - self.lengths[used]
         return Level(self.lengths[used], self.docs[used], self.text[slices(begin[used], self.lengths[used].astype(np.int64))], self.order - begin[own] + moved[own])
@@ -467,12 +548,11 @@ class Family:
 def chiefs(text: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The first context that has each one's bytes: found by a hash, then compared."""
     begin = np.cumsum(lengths) - lengths
-    h = Hashes(text).of(begin, begin + lengths)
-    by = np.argsort(h, kind="stable")
-    new = np.ones(len(by), bool)
-    new[1:] = h[by][1:] != h[by][:-1]
-    first = by[new][np.cumsum(new) - 1]
-    ask = np.flatnonzero(~new & (lengths[by] == lengths[first]))
+    h = digests(text, begin, begin + lengths)
+    by = np.argsort(h)
+    new = begins(h[by])
+    first = (np.minimum.reduceat(by, np.flatnonzero(new)) if len(by) else by)[np.cumsum(new) - 1]
+    ask = np.flatnonzero((by != first) & (lengths[by] == lengths[first]))
     ask = ask[like(text, begin[by[ask]], begin[first[ask]], lengths[by[ask]])]
     out = np.arange(len(lengths))
     out[by[ask]] = first[ask]
@@ -570,10 +650,9 @@ def without_repeats(
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())], ["to", "kind", "blob"])
 
     def anchors(batches):
-        told = Told()
         pieces = (batch.slice(i, 500) for batch in batches for i in range(0, batch.num_rows, 500))
-        for b in buffers((x for piece in pieces for x in zip(*(c.to_pylist() for c in piece.columns), strict=True)), buffer):
-            yield from emit(survey(b, shards, told))
+        for blobs in surveys(buffers((x for piece in pieces for x in zip(*(c.to_pylist() for c in piece.columns), strict=True)), buffer), shards):
+            yield from emit(blobs)
 
     def meeting(batches):
         for g in groups(batches, ["to", "kind"]):
@@ -584,8 +663,8 @@ def without_repeats(
 
     def surroundings(batches):
         for blobs, texts in parts_of(batches):
-            shared = np.unique(np.concatenate([np.zeros(0, u64), *(unpack(x, ["<u8"])[0] for x in blobs)]))
-            for b in buffers(((d, k, t) for piece in texts for d, k, t in zip(*(piece[c].to_pylist() for c in ("_d", "_k", "_t")), strict=True)), buffer):
+            shared = distinct(np.concatenate([np.zeros(0, u64), *(unpack(x, ["<u8"])[0] for x in blobs)]))
+            for b in buffers(((d, k, t) for piece in texts for d, k, t in zip(*(piece[c].to_pylist() for c in ("_d", "_k", "_t")), strict=True)), 2 * buffer):
                 yield from emit(contexts(b, shared, shards, indexes, bounds))
 
     def entering(standing, merged):

@@ -131,6 +131,34 @@ def test_a_task_tells_a_shared_anchor_once():
     assert sizes[0][0] > 0 and sizes[1][0] == sizes[2][0] == 0 and sizes[0][1] == sizes[1][1] == sizes[2][1] > 0
 
 
+def test_blobs_of_many_buffers():
+    """A task deals its anchors once for many buffers: blobs go with tasks times shards, not with buffers times shards."""
+    rows, shards = [(i, 7919 * i, (t or "").encode()) for i, t in corpus(5, 200)], 4
+    few, many = (list(M.buffers(rows, size)) for size in (1 << 20, 300))
+    assert len(few) == 1 and len(many) > 100
+    one, other = ([x for blobs in M.surveys(iter(b), shards) for x in blobs] for b in (few, many))
+    assert len(other) == len(one) <= 2 * shards
+    met = [sorted(np.concatenate([M.unpack(x, ["<u8"])[0] for _, _, x in [y for y in out if y[1] == 0] + [z for s in range(shards) for z in M.meet([x for to, k, x in out if (to, k) == (s, 1)], shards)]]).tolist()) for out in (one, other)]
+    assert set(met[0]) == set(met[1]) and met[0]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_scan_of_sorted_runs(seed):
+    """Ties of the first eight bytes, in one level or the other, at its ends or nowhere: the document of each equal string."""
+    rng = np.random.default_rng(seed)
+
+    def level(n):
+        text = np.frombuffer(b"".join(b"abcdefgh" * int(rng.integers(1, 6)) + rng.integers(97, 99, 50).astype("u1").tobytes() for _ in range(n)), np.uint8)
+        at = np.arange(max(0, len(text) - M.LENGTH + 1))
+        string = [text[p : p + M.LENGTH].tobytes() for p in at]
+        at = np.array(sorted({w: p for p, w in zip(at.tolist(), string, strict=True)}.values(), key=string.__getitem__), np.int64)
+        return M.Level(np.array([len(text)]), np.array([n]), text, at), {string[p] for p in at}
+
+    for n, m in ((30, 20), (1, 40), (0, 5), (5, 0)):
+        (a, have), (b, _) = level(n), level(m)
+        assert a.scan(b).tolist() == [n if b.text[p : p + M.LENGTH].tobytes() in have else M.NULL_ID for p in b.order.tolist()]
+
+
 def test_query(spark, sf):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     expected = {i: (n, gone, spans, hashlib.sha256(rest).hexdigest()) for (i, _), (n, gone, spans, rest) in zip(rows, brute(rows), strict=True)}
