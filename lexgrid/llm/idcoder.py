@@ -16,7 +16,7 @@ from .common import Store, lean, partitions, table
 from .tokens import encoder
 
 BLOCK = 2048  # ids; a block starts from the segment's tables and an empty memory
-LANES = 1024  # blocks coded side by side: step k works on the k-th id of each
+LANES = 4096  # blocks coded side by side: step k works on the k-th id of each
 SEGMENT = BLOCK * LANES  # ids after which a segment ends with its document
 END = 2  # the id after each document
 MAGIC = b"LXID2"
@@ -129,18 +129,23 @@ class Lanes:
         self.before, self.before2 = np.full(n, d), np.full(n, d)
         self.range, self.low, self.at = np.full(n, 1 << (LOW + WORD), i64), np.zeros(n, i64), np.zeros(n, i64)
         if words is None:
-            self.out = np.zeros((n, room), np.int32)
+            self.out, self.room = np.zeros(n * room, np.int32), room
+            self.at += self.lane * room
         else:
+            self.shelf = tables.group.astype(i64) << FINE
             self.lookup = np.zeros((k, 1 << FINE), np.uint16)
             for j, f in enumerate(tables.freq):
                 if f.any():
                     self.lookup[j] = np.repeat(np.arange(d), f)
             self.lookup = self.lookup.ravel()
-            self.words = np.zeros((n, max(map(len, words)) // 2 + 6), i64)
-            for j, w in enumerate(words):
-                self.words[j, : len(w) // 2] = np.frombuffer(w, ">u2")
+            size = np.array([len(w) // 2 + 6 for w in words])  # zeros stand after each block's words
+            self.end = np.cumsum(size) - 1
+            self.at = self.end + 1 - size
+            self.words = np.zeros(size.sum(), np.uint16)
+            for j, w in zip(self.at.tolist(), words, strict=True):
+                self.words[j : j + len(w) // 2] = np.frombuffer(w, ">u2", len(w) // 2)
             for _ in range(3):
-                self.low = self.low << WORD | self.words[self.lane, self.at]
+                self.low = self.low << WORD | self.words[self.at]
                 self.at += 1
 
     def predict(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -150,30 +155,31 @@ class Lanes:
         mask = (1 << SLOTS) - 1
         self.i[0] += one & mask
         self.i[1] += (one * 40503 + two * 10007 >> 2) & mask
-        self.e = self.memory[self.i]
+        self.e = self.memory.take(self.i)
         self.sure, self.said = self.e & 3, self.e >> 2
         guess = np.where(self.sure[1] > 0, self.said[1], self.said[0])
         agree = self.said[0] == self.said[1]
-        row = self.row[one]
+        row = self.row.take(one)
         self.k = self.cell[:, :n].copy()
-        self.k[0] += self.grade[row + guess] + agree
+        self.k[0] += self.grade.take(row + guess) + agree
         self.k[1] += (self.sure[1] << 3) + (self.sure[0] << 1) + agree
         self.k[2] += (self.sure[1] << 2) + self.recent[:n]
-        self.p = self.cells[self.k]
+        self.p = self.cells.take(self.k)
         w = self.merit[:, :n] >> 6
         w = (w * w >> 8) + 1
         v = w * self.p
-        mixed = (v[0] + v[1] + v[2]) // (w[0] + w[1] + w[2])
-        return guess, (mixed >> (16 - ONE) | 1).astype(i64), row
+        mixed = ((v[0] + v[1] + v[2]) / (w[0] + w[1] + w[2])).astype(i64)  # exact: numbers of 31 bits
+        return guess, mixed >> (16 - ONE) | 1, row
 
     def learn(self, n: int, ids: np.ndarray, hit: np.ndarray) -> None:
         off = hit * np.int32(65535) - self.p
         self.cells[self.k] = self.p + (off >> 4)
         merit = self.merit[:, :n]
         merit += (65535 - np.abs(off) - merit) >> 4
-        same = self.said == ids
+        small = ids.astype(np.int32)
+        same = self.said == small
         surer = (same & (self.sure < 3)).view(np.int8) - (~same).view(np.int8)  # one more if right, one less if wrong
-        self.memory[self.i] = np.where(same | (self.sure > 1), self.e + surer, (ids << 2) + 1)
+        self.memory[self.i] = np.where(same | (self.sure > 1), self.e + surer, (small << 2) + 1)
         recent = self.recent[:n]
         recent += recent + hit
         recent &= 3
@@ -197,24 +203,28 @@ class Lanes:
             no = span - yes
             fine = no >> FINE
             miss = (~hit).view(np.int8)
-            low += (yes + fine * self.start[at]) * miss
-            span[:] = np.where(hit, yes, fine * self.freq[at])
+            low += (yes + fine * self.start.take(at)) * miss
+            span[:] = np.where(hit, yes, fine * self.freq.take(at))
             less = np.flatnonzero(span < 1 << LOW)
             while len(less):
-                self.out[less, self.at[less]] = low[less] >> LOW  # a 17th bit is a carry, resolved at the end
-                self.at[less] += 1
-                low[less] = (low[less] & ((1 << LOW) - 1)) << WORD
-                span[less] <<= WORD
-                less = less[span[less] < 1 << LOW]
+                at, was, wide = self.at[less], low[less], span[less] << WORD
+                self.out[at] = was >> LOW  # a 17th bit is a carry, resolved at the end
+                self.at[less] = at + 1
+                low[less] = (was & ((1 << LOW) - 1)) << WORD
+                span[less] = wide
+                less = less[wide < 1 << LOW]
             self.learn(n, x, hit)
         for _ in range(3):
-            self.out[self.lane, self.at] = self.low >> LOW
+            self.out[self.at] = self.low >> LOW
             self.at += 1
             self.low = (self.low & ((1 << LOW) - 1)) << WORD
-        for k in range(self.out.shape[1] - 1, 0, -1):
-            self.out[:, k - 1] += self.out[:, k] >> WORD
-        raw = (self.out & 0xFFFF).astype(">u2")
-        return [raw[k, : self.at[k]].tobytes() for k in range(lanes)]
+        carry = np.flatnonzero(self.out >> WORD)
+        while len(carry):  # few, and seldom one after another
+            self.out[carry] &= (1 << WORD) - 1
+            self.out[carry - 1] += 1
+            carry = (carry - 1)[self.out[carry - 1] >> WORD > 0]
+        raw = self.out.astype(">u2")
+        return [raw[k * self.room : self.at[k]].tobytes() for k in range(lanes)]
 
     def decode(self, steps: int, last: int) -> np.ndarray:
         lanes = len(self.lane)
@@ -229,17 +239,18 @@ class Lanes:
             hit = code < yes
             fine = span - yes >> FINE
             rest = code - yes
-            place = np.minimum(np.maximum(rest // fine, 0), (1 << FINE) - 1)
-            x = np.where(hit, guess, self.lookup[(row // self.d << FINE) + place])
+            place = np.minimum(np.maximum((rest / fine).astype(i64), 0), (1 << FINE) - 1)  # exact: a quotient of 16 bits by a divisor of 36
+            x = np.where(hit, guess, self.lookup.take(self.shelf.take(self.before[:n]) + place))
             at = row + x
-            code[:] = np.where(hit, code, rest - fine * self.start[at])
-            span[:] = np.where(hit, yes, np.maximum(fine * self.freq[at], 1))
+            code[:] = np.where(hit, code, rest - fine * self.start.take(at))
+            span[:] = np.where(hit, yes, np.maximum(fine * self.freq.take(at), 1))
             less = np.flatnonzero(span < 1 << LOW)
             while len(less):
-                code[less] = code[less] << WORD | self.words[less, np.minimum(self.at[less], self.words.shape[1] - 1)]
-                self.at[less] += 1
-                span[less] <<= WORD
-                less = less[span[less] < 1 << LOW]
+                at, wide = self.at[less], span[less] << WORD
+                code[less] = code[less] << WORD | self.words[np.minimum(at, self.end[less])]
+                self.at[less] = at + 1
+                span[less] = wide
+                less = less[wide < 1 << LOW]
             self.learn(n, x, hit)
             grid[k, :n] = x
         return self.ids[grid.T]

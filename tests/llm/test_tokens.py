@@ -70,6 +70,16 @@ def test_a_segment_of_more_ids_than_lanes_hold(monkeypatch):
     assert (idcoder.decode_ids(tables, len(ids), sizes, sums, data) == ids).all()
 
 
+def test_blocks_of_a_task_are_coded_side_by_side(monkeypatch):
+    """Over two million ids, more than a thousand blocks, take no more steps than one block, each way; carries and the last, short block included."""
+    steps, predict = [], idcoder.Lanes.predict
+    monkeypatch.setattr(idcoder.Lanes, "predict", lambda self, n: steps.append(n) or predict(self, n))
+    ids = np.minimum(np.random.default_rng(8).zipf(1.2, 1100 * idcoder.BLOCK + 77), 60_000).astype("<u4")
+    tables, sizes, sums, data = idcoder.encode_ids(ids)
+    assert (idcoder.decode_ids(tables, len(ids), sizes, sums, data) == ids).all()
+    assert len(steps) == 2 * idcoder.BLOCK and sum(steps) == 2 * len(ids)
+
+
 def test_too_many_different_ids():
     with pytest.raises(ValueError, match="different ids"):
         idcoder.encode_ids(np.arange(70_000).astype("<u4"))
