@@ -22,7 +22,7 @@ BUFFER = 1 << 20  # bytes of text that a task looks at at once
 SHARE = 4 << 20  # bytes of text whose anchors one shard gets
 SPREAD = 2  # shards' worth of text to one shard of the index, which holds only what may repeat
 BATCHES = 3  # by doc_id, that enter the index one after another
-LEVEL, QUICK = 3, 1  # of compression: of texts, and of hashes, which hardly shrink
+LEVEL, QUICK = 5, 1  # of compression: of texts, and of hashes, which hardly shrink
 NEAR = 1 << 16  # places looked at at once within a buffer
 HELD = 1 << 20  # anchors that a task sorts and deals at once
 TOLD = 1 << 20  # hashes that a task remembers having sent on
