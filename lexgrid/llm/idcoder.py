@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Store, lean, partitions, table
-from .tokens import encoder
+from .tokens import batched, encoder
 
 BLOCK = 2048  # ids; a block starts from the segment's tables and an empty memory
 LANES = 4096  # blocks coded side by side: step k works on the k-th id of each
@@ -336,9 +336,8 @@ def segments(docs: DataFrame, end: int = END, path: str | None = None) -> DataFr
             return row
 
         for batch in batches:
-            for i in range(0, batch.num_rows, 100):
-                piece = batch.slice(i, 100)
-                for d, x in zip(piece.column(0).to_pylist(), encoder(path).encode([t or "" for t in piece.column(1).to_pylist()]), strict=True):
+            for piece, texts in batched(batch, 1):
+                for d, x in zip(piece.column(0).to_pylist(), encoder(path).encode(texts), strict=True):
                     ids.append(x + tail)
                     own.append(d)
                     lengths.append(len(x) // 4 + 1)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .common import Store, lean, table
 from .sharding import with_slots
-from .tokens import encoder
+from .tokens import batched, encoder
 
 LENGTH = 2048
 CUT = 512  # what is left of a document after full sequences is cut at its last multiple of this, so that short tails can fill sequences
@@ -33,10 +33,9 @@ def pieces(docs: DataFrame, length: int = LENGTH, cut: int = CUT, path: str | No
     def run(batches):
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 100):
-                part = batch.slice(at, 100)
+            for part, texts in batched(batch, 1):
                 rows = []
-                for i, ids in enumerate(encoder(path).encode([x or "" for x in part.column(1).to_pylist()])):
+                for i, ids in enumerate(encoder(path).encode(texts)):
                     ids += end
                     n = len(ids) // 4
                     rows += [(i, a, b - a, zlib.crc32(ids[4 * a : 4 * b]), n) for a, b in cuts(n, length, cut)]

@@ -4,11 +4,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 
 from lexgrid.llm import bpe, idcoder
-from lexgrid.llm.tokens import encoder
+from lexgrid.llm.tokens import Encoder, batched, encoder
 
 from .helpers import EDGES, docs, written
 
@@ -156,3 +157,33 @@ def test_very_long_texts(theirs):
         ids = own.encode([each])[0]
         assert np.frombuffer(ids, "<u4").tolist() == theirs.encode_ordinary(each) and own.decode(ids) == each.encode()
     assert encoder().encode([text])[0] == encoder().whole([text])[0]
+
+
+def test_the_library_is_asked_for_letters_once():
+    """Whatever marks follow a word, its letters go to the model once and not through the pattern."""
+    rng = random.Random(4)
+    stems = list(dict.fromkeys("".join(rng.choices("abcdeéñß", k=rng.randint(3, 9))) for _ in range(1000)))
+    text = " ".join(s + m for s in stems for m in ("", ",", ".", "!!"))
+    own = Encoder()
+    whole, plain, sent, asked = own.whole, own.plain, [], []
+    own.whole = lambda texts: sent.extend(texts) or whole(texts)
+    own.plain = lambda words: asked.extend(words) or plain(words)
+    assert own.encode([text]) == whole([text])
+    assert sorted(asked) == sorted(stems) and sum(map(len, sent)) < 50
+
+
+def test_marks_and_letters_that_are_not_settled():
+    """Contractions, marks alone, letters of late Unicode versions, white space of Python's own, numbers that aren't digits, in any order."""
+    rng = random.Random(3)
+    words = ["don't", "it's,", "l'", "'s", "foo's'", "foo.", "Bar,", "é..", "x²", "½", "ª", "_a", "a_", "a_b", "日本", "日本.", "<|endoftext|>", "ab́c", "Ġa", "a.\nB", "\x1ca", "a\x1c", "a\x85", "", "\n", "Ԯԯ.", "Աբ", "ꟊ", "\U0001e900,", "..."]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 20))) for _ in range(400)]
+    own = Encoder(remembered=40, longest=4)
+    for part in (texts, texts[::-1], []):
+        assert own.encode(part) == own.whole(part)
+
+
+def test_batches_are_cut_by_the_size_of_texts():
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(7)), "text": ["a" * 30, None, "b" * 9, "", "c" * 200, "d", None]})
+    parts = [(rows.column(0).to_pylist(), texts) for rows, texts in batched(batch, 1, 40)]
+    assert [d for own, _ in parts for d in own] == list(range(7)) and [t for _, own in parts for t in own] == ["a" * 30, "", "b" * 9, "", "c" * 200, "d", ""]
+    assert all(len(own) == 1 or sum(map(len, own)) <= 40 for _, own in parts) and [len(own) for _, own in parts] == [4, 1, 2]
