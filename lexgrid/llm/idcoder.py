@@ -41,7 +41,7 @@ def placed(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.unique(ids, return_inverse=True)
     known = np.zeros(int(ids.max()) + 1, bool)
     known[ids] = True
-    return np.flatnonzero(known), (np.cumsum(known) - 1)[ids]
+    return np.flatnonzero(known), (np.cumsum(known, dtype=np.int32) - np.int32(1))[ids]
 
 
 class Tables(NamedTuple):
@@ -157,7 +157,7 @@ class Lanes:
         self.i[1] += (one * 40503 + two * 10007 >> 2) & mask
         self.e = self.memory.take(self.i)
         self.sure, self.said = self.e & 3, self.e >> 2
-        guess = np.where(self.sure[1] > 0, self.said[1], self.said[0])
+        guess = self.said[0] + (self.sure[1] > 0) * (self.said[1] - self.said[0])  # np.where is slower where neither side is likelier
         agree = self.said[0] == self.said[1]
         row = self.row.take(one)
         self.k = self.cell[:, :n].copy()
@@ -179,7 +179,8 @@ class Lanes:
         small = ids.astype(np.int32)
         same = self.said == small
         surer = (same & (self.sure < 3)).view(np.int8) - (~same).view(np.int8)  # one more if right, one less if wrong
-        self.memory[self.i] = np.where(same | (self.sure > 1), self.e + surer, (small << 2) + 1)
+        new = (small << 2) + np.int32(1)
+        self.memory[self.i] = new + (same | (self.sure > 1)) * (self.e + surer - new)
         recent = self.recent[:n]
         recent += recent + hit
         recent &= 3
@@ -194,7 +195,7 @@ class Lanes:
             n = lanes if k < last else lanes - 1
             if not n:
                 break
-            x = grid[k, :n]
+            x = grid[k, :n].astype(i64)
             guess, p, row = self.predict(n)
             hit = guess == x
             at = row + x
@@ -204,7 +205,8 @@ class Lanes:
             fine = no >> FINE
             miss = (~hit).view(np.int8)
             low += (yes + fine * self.start.take(at)) * miss
-            span[:] = np.where(hit, yes, fine * self.freq.take(at))
+            own = fine * self.freq.take(at)
+            span[:] = own + hit * (yes - own)
             less = np.flatnonzero(span < 1 << LOW)
             while len(less):
                 at, was, wide = self.at[less], low[less], span[less] << WORD
@@ -218,17 +220,20 @@ class Lanes:
             self.out[self.at] = self.low >> LOW
             self.at += 1
             self.low = (self.low & ((1 << LOW) - 1)) << WORD
-        carry = np.flatnonzero(self.out >> WORD)
+        size = self.at - self.lane * self.room
+        room = int(size.max())
+        out = self.out.reshape(lanes, self.room)[:, :room].ravel()  # few blocks need the room that they have
+        carry = np.flatnonzero(out >> WORD)
         while len(carry):  # few, and seldom one after another
-            self.out[carry] &= (1 << WORD) - 1
-            self.out[carry - 1] += 1
-            carry = (carry - 1)[self.out[carry - 1] >> WORD > 0]
-        raw = self.out.astype(">u2")
-        return [raw[k * self.room : self.at[k]].tobytes() for k in range(lanes)]
+            out[carry] &= (1 << WORD) - 1
+            out[carry - 1] += 1
+            carry = (carry - 1)[out[carry - 1] >> WORD > 0]
+        raw = out.astype(">u2")
+        return [raw[k * room : k * room + n].tobytes() for k, n in enumerate(size.tolist())]
 
     def decode(self, steps: int, last: int) -> np.ndarray:
         lanes = len(self.lane)
-        grid = np.zeros((steps, lanes), i64)
+        grid = np.zeros((steps, lanes), np.int32)
         for k in range(steps):
             n = lanes if k < last else lanes - 1
             if not n:
@@ -238,12 +243,14 @@ class Lanes:
             yes = (span >> ONE) * p
             hit = code < yes
             fine = span - yes >> FINE
-            rest = code - yes
-            place = np.minimum(np.maximum((rest / fine).astype(i64), 0), (1 << FINE) - 1)  # exact: a quotient of 16 bits by a divisor of 36
-            x = np.where(hit, guess, self.lookup.take(self.shelf.take(self.before[:n]) + place))
+            miss = (~hit).view(np.int8)
+            place = np.minimum(((code - yes) * miss / fine).astype(i64), (1 << FINE) - 1)  # exact: a quotient of 16 bits by a divisor of 36
+            x = self.lookup.take(self.shelf.take(self.before[:n]) + place).astype(i64)
+            x += hit * (guess - x)
             at = row + x
-            code[:] = np.where(hit, code, rest - fine * self.start.take(at))
-            span[:] = np.where(hit, yes, np.maximum(fine * self.freq.take(at), 1))
+            code -= (yes + fine * self.start.take(at)) * miss
+            own = np.maximum(fine * self.freq.take(at), 1)
+            span[:] = own + hit * (yes - own)
             less = np.flatnonzero(span < 1 << LOW)
             while len(less):
                 at, wide = self.at[less], span[less] << WORD
@@ -264,7 +271,7 @@ def encode_ids(ids: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray, bytes]:
         own = x[at : at + SEGMENT]
         lanes = -(-len(own) // BLOCK)
         last = len(own) - (lanes - 1) * BLOCK
-        grid = np.zeros((lanes, BLOCK), i64)
+        grid = np.zeros((lanes, BLOCK), np.int32)
         grid.ravel()[: len(own)] = own
         steps = BLOCK if lanes > 1 else last
         parts += Lanes(tables, lanes, room=2 * steps + 6).encode(grid[:, :steps], last)

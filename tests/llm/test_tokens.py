@@ -81,6 +81,17 @@ def test_blocks_of_a_task_are_coded_side_by_side(monkeypatch):
     assert len(steps) == 2 * idcoder.BLOCK and sum(steps) == 2 * len(ids)
 
 
+def test_carries_are_looked_for_in_what_was_written(monkeypatch):
+    """Not in all the room that blocks could have needed."""
+    seen, flatnonzero = [], np.flatnonzero
+    monkeypatch.setattr(np, "flatnonzero", lambda a: seen.append(np.size(a)) or flatnonzero(a))
+    ids = np.zeros(50 * idcoder.BLOCK + 9, "<u4")
+    tables, sizes, sums, data = idcoder.encode_ids(ids)
+    assert max(seen) <= 51 * int(sizes.max()) // 2 < len(ids) // 20
+    monkeypatch.undo()
+    assert (idcoder.decode_ids(tables, len(ids), sizes, sums, data) == ids).all()
+
+
 def test_too_many_different_ids():
     with pytest.raises(ValueError, match="different ids"):
         idcoder.encode_ids(np.arange(70_000).astype("<u4"))
