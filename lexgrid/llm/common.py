@@ -114,6 +114,14 @@ def lean(f: Callable) -> Callable:
     return run
 
 
+def hold() -> None:
+    """From here on this worker keeps what it frees until its task ends, see lean(): large arrays come and go, and each new page costs time."""
+    with contextlib.suppress(OSError, AttributeError):
+        libc = ctypes.CDLL("libc.so.6")
+        for what in (-1, -3):  # M_TRIM_THRESHOLD, M_MMAP_THRESHOLD
+            libc.mallopt(what, 1 << 30)
+
+
 def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Complete groups of equal keys (integers without nulls) from batches that are sorted by them."""
     held: list[pa.RecordBatch] = []

@@ -12,27 +12,29 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Store, lean, partitions, table
+from .common import Store, hold, lean, partitions, table
 from .tokens import batched, encoder
 
 BLOCK = 2048  # ids; a block starts from the segment's tables and an empty memory
 LANES = 4096  # blocks coded side by side: step k works on the k-th id of each
 SEGMENT = BLOCK * LANES  # ids after which a segment ends with its document
+ROOM = 8 << 20  # bytes of text tokenized at once
 END = 2  # the id after each document
-MAGIC = b"LXID2"
+MAGIC = b"LXID3"
 GROUPS = 16  # of ids that are followed alike: each has a table of what follows it
 ROUNDS = 5  # of grouping
 ONE, FINE = 12, 16  # bits of the probability that a guess holds, and of the tables'
-SLOTS = 11  # bits of each block's memory of what followed an id, and of what followed two
-CELLS = 80  # adaptive probabilities of a block
-LOW, WORD = 32, 16  # a range below 1 << LOW is widened by a WORD
+SLOTS = 10  # bits of each block's memory of what followed an id, and of what followed two
+CELLS = 32, 128  # adaptive probabilities of a block, of either kind
+LOW, WORD = 30, 32  # a range below 1 << LOW is widened by a WORD
+FLOOR, RATE = 2.0**-13, 2.0**-4  # what adaptive probabilities keep from 0 and 1, and how fast they move
 
 i64 = np.int64
 #: Where the adaptive probabilities start, of 1 << 16: the better what speaks for the guess, the likelier.
 START = np.array(
-    [1500 + 3500 * (k // 2) for k in range(32)] + [1000 + 9000 * (k >> 3) + 2500 * (k >> 1 & 3) + 6000 * (k & 1) for k in range(32)] + [2000 + 7000 * (k >> 2) + 6000 * (k & 3) for k in range(16)],
-    np.int32,
-)
+    [1500 + 3500 * (k // 2) for k in range(32)] + [1000 + 8000 * (k >> 5) + 2000 * (k >> 3 & 3) + 5000 * (k >> 2 & 1) + 3000 * (k & 3) for k in range(128)],
+    np.float32,
+) / np.float32(1 << 16)
 
 
 def placed(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -59,15 +61,13 @@ class Tables(NamedTuple):
             raise ValueError(f"a segment holds at most {(1 << FINE) - 1} different ids")
         if not d:
             return cls(names.astype("<u4"), np.zeros(1, np.uint8), np.zeros((1, 0), np.int64))
-        before = np.concatenate([[d], x[:-1]])
-        before[::BLOCK] = d
-        pair = before * d + x
-        if d * (d + 1) <= 1 << 23:
-            n = np.bincount(pair)
-            pair = np.flatnonzero(n)
-            n = n[pair]
-        else:
-            pair, n = np.unique(pair, return_counts=True)
+        after = x.astype(np.uint32)
+        pair = np.concatenate([after[:1], after[:-1]])
+        pair[::BLOCK] = d
+        pair *= d
+        pair += after
+        pair, n = np.unique(pair, return_counts=True)  # numbers of 32 bits are sorted much faster than longer ones
+        pair = pair.astype(i64)
         of, follows = pair // d, pair % d
         first = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
         owner = of[first]
@@ -106,161 +106,207 @@ class Lanes:
     """The models of several blocks, and either end of their range coders.
 
     Two memories hold the id that last followed the same one or two ids of the block. The guess is what order 2 remembers,
-    else what order 1 does. Whether it holds is one binary symbol: its probability mixes three adaptive ones, which are
-    looked up by what the order-0 and order-1 tables give the guess, by how sure both memories are, and by how guesses
+    else what order 1 does. Whether it holds is one binary symbol: its probability mixes two adaptive ones, which are
+    looked up by what the order-0 and order-1 tables give the guess, and by how sure both memories are and how guesses
     went lately; each weighs by how well it did. An id that wasn't guessed is a second symbol, coded by the table of the
-    id before it. All arithmetic is on integers, so every machine decodes alike.
+    id before it. Arithmetic is on integers, or one rounded operation at a time on floats, so every machine decodes alike.
     """
 
-    def __init__(self, tables: Tables, n: int, words: list[bytes] | None = None, room: int = 0):
+    def __init__(self, tables: Tables, n: int, words: list[bytes] | None = None):
         k, d = tables.freq.shape
         self.d, self.ids = d, tables.ids
-        self.row = tables.group.astype(i64) * d  # where the table of what follows an id begins
-        self.freq = tables.freq.ravel()
-        self.start = (np.cumsum(tables.freq, 1) - tables.freq).ravel()
-        self.grade = (2 * np.minimum(np.frexp(self.freq.astype(float))[1], 15)).astype(i64)
-        self.lane = np.arange(n)
-        self.slot = np.stack([self.lane, self.lane]) * (2 << SLOTS) + np.array([[0], [1 << SLOTS]])
-        self.cell = np.stack([self.lane * CELLS + c for c in (0, 32, 64)])
-        self.memory = np.zeros(n * (2 << SLOTS), np.int32)
+        self.kind = kind = np.uint16 if d < 1 << 14 else np.uint32  # of an id and how sure it is, in two bits
+        self.group = tables.group.astype(i64)
+        start = np.cumsum(tables.freq, 1) - tables.freq
+        self.share = (start << FINE | (tables.freq - 1) & ((1 << FINE) - 1)).astype(np.uint32).ravel()
+        self.grade = (2 * np.minimum(np.frexp(tables.freq.ravel().astype(float))[1], 15)).astype(kind)
+        lane = np.arange(n)
+        self.slot = np.stack([lane, lane]) * (2 << SLOTS) + np.array([[0], [1 << SLOTS]])
+        self.cell = np.stack([lane, lane]) * sum(CELLS) + np.array([[0], [CELLS[0]]])
+        self.i, self.k = np.empty((2, n), i64), np.empty((2, n), i64)
+        self.memory = np.zeros(n * (2 << SLOTS), kind)
         self.cells = np.tile(START, n)
-        self.merit = np.full((3, n), 1 << 15, np.int32)
-        self.recent = np.zeros(n, i64)
-        self.before, self.before2 = np.full(n, d), np.full(n, d)
-        self.range, self.low, self.at = np.full(n, 1 << (LOW + WORD), i64), np.zeros(n, i64), np.zeros(n, i64)
-        if words is None:
-            self.out, self.room = np.zeros(n * room, np.int32), room
-            self.at += self.lane * room
-        else:
-            self.shelf = tables.group.astype(i64) << FINE
+        self.merit = np.full((2, n), 0.5, np.float32)
+        self.recent = np.zeros(n, kind)
+        self.before = self.before2 = np.full(n, d)
+        self.range, self.low = np.full(n, 1 << (LOW + WORD), i64), np.zeros(n, i64)
+        if words is not None:
             self.lookup = np.zeros((k, 1 << FINE), np.uint16)
             for j, f in enumerate(tables.freq):
                 if f.any():
                     self.lookup[j] = np.repeat(np.arange(d), f)
             self.lookup = self.lookup.ravel()
-            size = np.array([len(w) // 2 + 6 for w in words])  # zeros stand after each block's words
-            self.end = np.cumsum(size) - 1
-            self.at = self.end + 1 - size
-            self.words = np.zeros(size.sum(), np.uint16)
+            size = np.array([len(w) // 4 + 3 for w in words])  # zeros stand after each block's words
+            self.end = np.cumsum(size) - 2
+            self.at = self.end + 2 - size
+            raw = np.zeros(size.sum(), i64)
             for j, w in zip(self.at.tolist(), words, strict=True):
-                self.words[j : j + len(w) // 2] = np.frombuffer(w, ">u2", len(w) // 2)
-            for _ in range(3):
-                self.low = self.low << WORD | self.words[self.at]
-                self.at += 1
+                raw[j : j + len(w) // 4] = np.frombuffer(w, ">u4", len(w) // 4)
+            self.low += raw[self.at] << LOW | raw[self.at + 1] >> (WORD - LOW)
+            self.at += 1
+            self.words = ((raw[:-1] << LOW | raw[1:] >> (WORD - LOW)) & ((1 << WORD) - 1)).astype(np.uint32)  # what comes LOW bits after
 
     def predict(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(guess, probability that it holds, where the table of what follows the id before begins) for the first n lanes."""
-        one, two = self.before[:n], self.before2[:n]
-        self.i = self.slot[:, :n].copy()
-        mask = (1 << SLOTS) - 1
-        self.i[0] += one & mask
-        self.i[1] += (one * 40503 + two * 10007 >> 2) & mask
-        self.e = self.memory.take(self.i)
+        """(guess, probability that it holds, the group of the id before) for the first n lanes."""
+        one, self.i, self.k = self.before[:n], self.i[:, :n], self.k[:, :n]
+        self.i[0] = one
+        np.multiply(one, 40503, out=self.i[1])
+        self.i[1] += self.before2[:n]
+        self.i &= (1 << SLOTS) - 1
+        self.i += self.slot[:, :n]
+        self.e = self.memory.take(self.i, mode="wrap")  # which is faster; all are there
         self.sure, self.said = self.e & 3, self.e >> 2
-        guess = self.said[0] + (self.sure[1] > 0) * (self.said[1] - self.said[0])  # np.where is slower where neither side is likelier
+        guess = self.said[1] + (self.e[1] == 0) * self.said[0]  # np.where is slower where neither side is likelier
         agree = self.said[0] == self.said[1]
-        row = self.row.take(one)
-        self.k = self.cell[:, :n].copy()
-        self.k[0] += self.grade.take(row + guess) + agree
-        self.k[1] += (self.sure[1] << 3) + (self.sure[0] << 1) + agree
-        self.k[2] += (self.sure[1] << 2) + self.recent[:n]
-        self.p = self.cells.take(self.k)
-        w = self.merit[:, :n] >> 6
-        w = (w * w >> 8) + 1
+        group = self.group.take(one)
+        at = group * self.d
+        at += guess
+        np.add(self.grade.take(at, mode="wrap") + agree, self.cell[0, :n], out=self.k[0])
+        trust = self.sure[1] << 2
+        trust += self.sure[0]
+        trust += trust
+        trust += agree
+        trust <<= 2
+        trust += self.recent[:n]
+        np.add(trust, self.cell[1, :n], out=self.k[1])
+        self.p = self.cells.take(self.k, mode="wrap")
+        w = np.square(self.merit[:, :n])
         v = w * self.p
-        mixed = ((v[0] + v[1] + v[2]) / (w[0] + w[1] + w[2])).astype(i64)  # exact: numbers of 31 bits
-        return guess, mixed >> (16 - ONE) | 1, row
+        mixed = v[0] + v[1]
+        mixed /= w[0] + w[1]
+        mixed *= (1 << ONE) - 2
+        p = mixed.astype(i64)
+        p += 1
+        return guess, p, group
 
     def learn(self, n: int, ids: np.ndarray, hit: np.ndarray) -> None:
-        off = hit * np.int32(65535) - self.p
-        self.cells[self.k] = self.p + (off >> 4)
+        """ids: what came, of the memory's kind."""
+        off = hit * np.float32(1 - 2 * FLOOR) + np.float32(FLOOR) - self.p
+        self.cells[self.k] = self.p + off * np.float32(RATE)
         merit = self.merit[:, :n]
-        merit += (65535 - np.abs(off) - merit) >> 4
-        small = ids.astype(np.int32)
-        same = self.said == small
-        surer = (same & (self.sure < 3)).view(np.int8) - (~same).view(np.int8)  # one more if right, one less if wrong
-        new = (small << 2) + np.int32(1)
-        self.memory[self.i] = new + (same | (self.sure > 1)) * (self.e + surer - new)
+        np.abs(off, out=off)
+        off += merit
+        off -= 1
+        off *= np.float32(RATE)
+        merit -= off
+        same = self.said == ids
+        new = ids << 2
+        new += 1
+        value = self.e + same  # one more if right, one less if wrong
+        value += same & (self.sure < 3)
+        value -= 1
+        same |= self.sure > 1
+        value -= new
+        value *= same
+        value += new
+        self.memory[self.i] = value
         recent = self.recent[:n]
-        recent += recent + hit
+        recent += recent
+        recent += hit
         recent &= 3
-        self.before2[:n] = self.before[:n]
-        self.before[:n] = ids
+        self.before2, self.before = self.before, ids.astype(i64)
 
     def encode(self, grid: np.ndarray, last: int) -> list[bytes]:
         """grid: lanes x steps of ids as places in the tables; the last lane has `last` ids."""
         lanes, steps = grid.shape
-        grid = np.ascontiguousarray(grid.T)
+        grid = np.ascontiguousarray(grid.astype(self.kind, copy=False).T)
+        owner, out = [], []
         for k in range(steps):
             n = lanes if k < last else lanes - 1
             if not n:
                 break
-            x = grid[k, :n].astype(i64)
-            guess, p, row = self.predict(n)
+            x = grid[k, :n]
+            guess, p, at = self.predict(n)
             hit = guess == x
-            at = row + x
+            at *= self.d
+            at += x
+            share = self.share.take(at, mode="wrap").astype(i64)
             low, span = self.low[:n], self.range[:n]
-            yes = (span >> ONE) * p
-            no = span - yes
-            fine = no >> FINE
-            miss = (~hit).view(np.int8)
-            low += (yes + fine * self.start.take(at)) * miss
-            own = fine * self.freq.take(at)
-            span[:] = own + hit * (yes - own)
+            yes = span >> ONE
+            yes *= p
+            fine = span - yes
+            fine >>= FINE
+            over = share >> FINE
+            over *= fine
+            over += yes
+            over *= ~hit
+            low += over
+            share &= (1 << FINE) - 1
+            share += 1
+            share *= fine
+            yes -= share
+            yes *= hit
+            np.add(yes, share, out=span)
             less = np.flatnonzero(span < 1 << LOW)
-            while len(less):
-                at, was, wide = self.at[less], low[less], span[less] << WORD
-                self.out[at] = was >> LOW  # a 17th bit is a carry, resolved at the end
-                self.at[less] = at + 1
-                low[less] = (was & ((1 << LOW) - 1)) << WORD
-                span[less] = wide
-                less = less[wide < 1 << LOW]
+            if len(less):
+                was = low[less]
+                owner.append(less)
+                out.append(was >> LOW)  # a 33rd bit is a carry, resolved at the end
+                was &= (1 << LOW) - 1
+                was <<= WORD
+                low[less] = was
+                span[less] = span[less] << WORD
             self.learn(n, x, hit)
-        for _ in range(3):
-            self.out[self.at] = self.low >> LOW
-            self.at += 1
-            self.low = (self.low & ((1 << LOW) - 1)) << WORD
-        size = self.at - self.lane * self.room
-        room = int(size.max())
-        out = self.out.reshape(lanes, self.room)[:, :room].ravel()  # few blocks need the room that they have
+        owner.append(np.arange(lanes))
+        out.append((self.low + ((1 << LOW) - 1)) >> LOW)  # the range holds a number that ends in zeros
+        owner = np.concatenate(owner).astype(np.uint16 if lanes <= 1 << 16 else i64)
+        out = np.concatenate(out)[np.argsort(owner, kind="stable")]
         carry = np.flatnonzero(out >> WORD)
         while len(carry):  # few, and seldom one after another
             out[carry] &= (1 << WORD) - 1
             out[carry - 1] += 1
             carry = (carry - 1)[out[carry - 1] >> WORD > 0]
-        raw = out.astype(">u2")
-        return [raw[k * room : k * room + n].tobytes() for k, n in enumerate(size.tolist())]
+        raw = out.astype(">u4").tobytes()
+        cuts = np.cumsum(4 * np.bincount(owner, minlength=lanes)).tolist()
+        return [raw[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
 
     def decode(self, steps: int, last: int) -> np.ndarray:
-        lanes = len(self.lane)
-        grid = np.zeros((steps, lanes), np.int32)
+        lanes = len(self.range)
+        grid = np.zeros((steps, lanes), self.kind)
         for k in range(steps):
             n = lanes if k < last else lanes - 1
             if not n:
                 break
-            guess, p, row = self.predict(n)
+            guess, p, at = self.predict(n)
             code, span = self.low[:n], self.range[:n]
-            yes = (span >> ONE) * p
+            yes = span >> ONE
+            yes *= p
             hit = code < yes
-            fine = span - yes >> FINE
-            miss = (~hit).view(np.int8)
-            place = np.minimum(((code - yes) * miss / fine).astype(i64), (1 << FINE) - 1)  # exact: a quotient of 16 bits by a divisor of 36
-            x = self.lookup.take(self.shelf.take(self.before[:n]) + place).astype(i64)
-            x += hit * (guess - x)
-            at = row + x
-            code -= (yes + fine * self.start.take(at)) * miss
-            own = np.maximum(fine * self.freq.take(at), 1)
-            span[:] = own + hit * (yes - own)
+            miss = ~hit
+            fine = span - yes
+            fine >>= FINE
+            place = code - yes
+            place *= miss
+            place //= fine
+            np.minimum(place, (1 << FINE) - 1, out=place)
+            place += at << FINE
+            x = self.lookup.take(place, mode="wrap").astype(self.kind, copy=False)
+            guess -= x
+            guess *= hit
+            x += guess
+            at *= self.d
+            at += x
+            share = self.share.take(at, mode="wrap").astype(i64)
+            over = share >> FINE
+            over *= fine
+            over += yes
+            over *= miss
+            code -= over
+            share &= (1 << FINE) - 1
+            share += 1
+            share *= fine
+            yes -= share
+            yes *= hit
+            np.add(yes, share, out=span)
             less = np.flatnonzero(span < 1 << LOW)
-            while len(less):
-                at, wide = self.at[less], span[less] << WORD
-                code[less] = code[less] << WORD | self.words[np.minimum(at, self.end[less])]
+            if len(less):
+                at = self.at[less]
+                code[less] = code[less] << WORD | self.words.take(np.minimum(at, self.end[less]))
                 self.at[less] = at + 1
-                span[less] = wide
-                less = less[wide < 1 << LOW]
+                span[less] = span[less] << WORD
             self.learn(n, x, hit)
             grid[k, :n] = x
-        return self.ids[grid.T]
+        return self.ids.take(grid.T)
 
 
 def encode_ids(ids: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray, bytes]:
@@ -274,7 +320,7 @@ def encode_ids(ids: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray, bytes]:
         grid = np.zeros((lanes, BLOCK), np.int32)
         grid.ravel()[: len(own)] = own
         steps = BLOCK if lanes > 1 else last
-        parts += Lanes(tables, lanes, room=2 * steps + 6).encode(grid[:, :steps], last)
+        parts += Lanes(tables, lanes).encode(grid[:, :steps], last)
     raw = ids.astype("<u4").tobytes()
     sums = [zlib.crc32(raw[4 * a : 4 * (a + BLOCK)]) for a in range(0, len(ids), BLOCK)]
     return tables.pack(), np.array([len(x) for x in parts], "<u4"), np.array(sums, "<u4"), b"".join(parts)
@@ -334,6 +380,7 @@ def segments(docs: DataFrame, end: int = END, path: str | None = None) -> DataFr
     def run(batches):
         part, at, tail = TaskContext.get().partitionId(), 0, np.array([end], "<u4").tobytes()
         ids, own, lengths, held, first = [], [], [], 0, 0
+        hold()
 
         def emit():
             nonlocal ids, own, lengths, held, at, first
@@ -343,8 +390,8 @@ def segments(docs: DataFrame, end: int = END, path: str | None = None) -> DataFr
             return row
 
         for batch in batches:
-            for piece, texts in batched(batch, 1):
-                for d, x in zip(piece.column(0).to_pylist(), encoder(path).encode(texts), strict=True):
+            for piece, texts in batched(batch, 1, ROOM):
+                for d, x in zip(piece.column(0).to_pylist(), encoder(path).encode(texts, ROOM), strict=True):
                     ids.append(x + tail)
                     own.append(d)
                     lengths.append(len(x) // 4 + 1)
@@ -370,6 +417,7 @@ def read_ids(files: DataFrame) -> DataFrame:
     parts = totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start"))
 
     def run(batches):
+        hold()
         for batch in batches:
             for k in range(batch.num_rows):
                 docs, lengths, ids = read_segment(batch.column(0)[k].as_py())

@@ -92,6 +92,24 @@ def test_carries_are_looked_for_in_what_was_written(monkeypatch):
     assert (idcoder.decode_ids(tables, len(ids), sizes, sums, data) == ids).all()
 
 
+@pytest.mark.parametrize("n", [(1 << 14) - 1, 1 << 14, (1 << 16) - 1])
+def test_memories_are_as_wide_as_ids_need(n):
+    """Two bytes a slot and less than a page of 4 KB a block and memory while places fit beside how sure they are, four from there on."""
+    ids = np.random.default_rng(n).permutation(np.concatenate([np.arange(n), np.arange(6000) % 50])).astype("<u4")
+    tables, sizes, sums, data = idcoder.encode_ids(ids)
+    assert (idcoder.decode_ids(tables, len(ids), sizes, sums, data) == ids).all()
+    assert idcoder.Lanes(idcoder.Tables.unpack(tables), 1).memory.nbytes == (4096 if n < 1 << 14 else 8192)
+
+
+def test_blocks_are_words_of_32_bits():
+    """So a range is widened half as often as by 16; a block ends in one word."""
+    ids = np.concatenate([np.zeros(3 * idcoder.BLOCK, int), np.random.default_rng(4).integers(0, 900, idcoder.BLOCK + 5)]).astype("<u4")
+    tables, sizes, sums, data = idcoder.encode_ids(ids)
+    assert (sizes % 4 == 0).all() and len(data) == sizes.sum()
+    assert (idcoder.decode_ids(tables, len(ids), sizes, sums, data) == ids).all()
+    assert idcoder.encode_ids(ids[:1])[1].tolist() == [4]
+
+
 def test_too_many_different_ids():
     with pytest.raises(ValueError, match="different ids"):
         idcoder.encode_ids(np.arange(70_000).astype("<u4"))
@@ -193,6 +211,18 @@ def test_marks_and_letters_that_are_not_settled():
         assert own.encode(part) == own.whole(part)
 
 
+@pytest.mark.parametrize("remembered", [30, 700_000])
+def test_ids_do_not_depend_on_chunks(remembered):
+    """However much is told apart at once and however little is remembered, words that come again in other chunks included."""
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcdeñßжԀ", k=rng.randint(1, 7))) + rng.choice(["", "", ",", ".", "!!", "1", "\n"]) for _ in range(600)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 60))) for _ in range(200)]
+    own = Encoder(remembered=remembered)
+    whole = own.whole(texts)
+    for room in (1, 500, 8 << 20):
+        assert own.encode(texts, room) == whole
+
+
 def test_batches_are_cut_by_the_size_of_texts():
     batch = pa.RecordBatch.from_pydict({"doc_id": list(range(7)), "text": ["a" * 30, None, "b" * 9, "", "c" * 200, "d", None]})
     parts = [(rows.column(0).to_pylist(), texts) for rows, texts in batched(batch, 1, 40)]
