@@ -157,13 +157,16 @@ def unit_number(text: Column) -> Column:
 def void_citations(edges: DataFrame, events: DataFrame) -> DataFrame:
     """(edge_id, amend_event_id): edges (edge_id, dst_doc_id, dst_article_number, dst_qism) to a sub-unit that is removed or voided, and not since touched again.
 
-    events: as locator_status() takes them. Document, article and ordinal agree; of several events the last.
+    events: as locator_status() takes them. Document, article and ordinal agree; of several events the last. Edges meet
+    the units of their document's article first, so that only those that have any are read.
     """
     gone = locator_status(events).where(F.col("change_type").isin("removed", "voided") & ~F.col("is_stale"))
     part = lambda g: F.regexp_extract(F.trim("locator"), UNIT_LOCATOR, g)
     units = gone.select(F.col("doc_id").alias("dst_doc_id"), part(1).alias("dst_article_number"), ordinal(part(2)).alias("_unit"), "event_id").where("_unit IS NOT NULL")
-    last = units.groupBy("dst_doc_id", "dst_article_number", "_unit").agg(F.max("event_id").alias("amend_event_id"))
-    return edges.withColumn("_unit", unit_number(F.col("dst_qism"))).join(last, ["dst_doc_id", "dst_article_number", "_unit"]).select("edge_id", "amend_event_id")
+    last = units.groupBy("dst_doc_id", "dst_article_number", "_unit").agg(F.max("event_id").alias("_event"))
+    places = last.groupBy("dst_doc_id", "dst_article_number").agg(F.map_from_entries(F.collect_list(F.struct("_unit", "_event"))).alias("_units"))
+    met = edges.where("dst_qism IS NOT NULL").join(places, ["dst_doc_id", "dst_article_number"])
+    return met.select("edge_id", F.try_element_at("_units", unit_number(F.col("dst_qism"))).alias("amend_event_id")).where("amend_event_id IS NOT NULL")
 
 
 def footnote_acts(texts: DataFrame, text: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import duckdb
 
+from lexgrid.operators import events as E
 from lexgrid.plans import catalog
 from lexgrid.sources.tables import parts, table
 
@@ -31,3 +32,12 @@ def test_pyramid_counts_acts_by_size_and_keeps_repeats(spark, tmp_path):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
     assert sorted(map(str, map(tuple, df.collect()))) == sorted(map(str, con.execute(catalog.oracle_sql()["pyramid"]).fetchall()))
     assert "distinct" not in plan(df) and "RepartitionByExpression [l_orderkey" in plan(df)
+
+
+def test_void_citations_reads_only_edges_of_a_changed_article(spark):
+    events = spark.createDataFrame([(1, 5, "1", "3-moddaning ikkinchi qismi", "voided", "2001-01-01"), (2, 5, "1", "3-moddaning birinchi qismi", "voided", "2001-01-02")], "event_id long, doc_id long, host_article string, locator string, change_type string, amend_date string")
+    edges = spark.createDataFrame([(10, 5, "3", "2-qism"), (11, 5, "3", "birinchi qism"), (12, 5, "3", None), (13, 5, "3", "uchinchi qism"), (14, 5, "4", "2-qism"), (15, 6, "3", "2-qism")], "edge_id long, dst_doc_id long, dst_article_number string, dst_qism string")
+    out = E.void_citations(edges, events)
+    assert sorted(map(tuple, out.collect())) == [(10, 1), (11, 2)]
+    below = plan(out).split("Join Inner", 1)[1].split("\n", 1)[1]
+    assert "dst_qism" in below and not any("regexp" in x and "dst_qism" in x for x in below.split("\n"))  # patterns run on what met
