@@ -10,7 +10,7 @@ from ..operators import events as E
 from ..operators import links as L
 from ..operators import windows as W
 from ..operators.citations import citations
-from ..sources.tables import table, with_row_id
+from ..sources.tables import dealt, table, with_row_id
 from .catalog import query
 
 
@@ -21,7 +21,7 @@ UNION ALL SELECT o_orderkey, 2, strftime(o_orderdate, '%Y-%m-%d'), 'ikkinchi', N
 """)
 def repeal_items(spark: SparkSession, d: str) -> DataFrame:
     """Items of repealing clauses read back from their sentences."""
-    o = table(spark, d, "orders")
+    o = dealt(table(spark, d, "orders"), "o_orderkey")
     date = F.concat(F.year("o_orderdate"), F.lit("-yil "), F.day("o_orderdate"), F.lit("-"), F.element_at(F.array(*map(F.lit, X.MONTHS)), F.month("o_orderdate")), F.lit("da qabul qilingan “"))
     one = F.concat(date, F.lit("Akt raqami "), "o_custkey", F.lit("”gi "), F.col("o_orderkey") % 900, F.lit("-II-sonli Qonuni "), F.when(F.col("o_orderstatus") == "F", F.concat(F.col("o_custkey") % 50 + 1, F.lit("-moddasi"))).otherwise(""))
     two = F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("; 2) "), date, F.lit("Ikkinchi”gi Qarori"))).otherwise("")
@@ -36,7 +36,7 @@ SELECT o_orderkey AS row_id, CAST(unnest(CASE WHEN o_custkey % 3 = 0 THEN [o_cus
 """)
 def amendment_targets(spark, d):
     """Amendment notes to one event for each article that they name."""
-    o = table(spark, d, "orders")
+    o = dealt(table(spark, d, "orders"), "o_orderkey")
     n, kind = F.col("o_custkey") % 300 + 1, F.col("o_custkey") % 3
     scope = F.when(kind == 0, F.concat(n, F.lit(" va "), n + 1, F.lit("-moddalar "))).when(kind == 1, F.concat(n, F.lit(" — "), n + 3, F.lit("-moddalar "))).otherwise("birinchi qismi ")
     verbs = F.element_at(F.array(*map(F.lit, ("tahririda", "asosan chiqarib tashlangan", "bilan kiritilgan", "eʼlon qilingan"))), (F.col("o_orderkey") % 4 + 1).cast("int"))

@@ -2,6 +2,7 @@
 
 import duckdb
 import pyarrow as pa
+import pytest
 
 from lexgrid.operators import citations as C
 from lexgrid.operators import events as E
@@ -66,3 +67,8 @@ def test_sentences_are_read_once_for_each_part(spark, sf):
     """The grammar meets distinct parts, not lines."""
     text = plan(catalog.queries()["extract_citations"](spark, sf))
     assert "MapInArrow" in text and "Aggregate [l_partkey" in text.split("MapInArrow", 1)[1]
+
+
+@pytest.mark.parametrize("name", ["regex_dates", "repeal_items", "amendment_targets"])
+def test_one_row_group_is_spread_over_all_cores(spark, sf, name):
+    assert catalog.queries()[name](spark, sf).rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
