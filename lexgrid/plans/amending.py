@@ -9,7 +9,7 @@ from ..functions import exprs as X
 from ..operators import amending as A
 from ..operators import events as E
 from ..operators.citations import GENERAL, citations
-from ..sources.tables import table
+from ..sources.tables import dealt, table
 from .catalog import query
 
 ACTS = """acts AS (SELECT c_custkey AS doc_id, CAST('2001-01-01' AS DATE) + CAST(c_custkey % 700 AS INT) AS doc_date, CASE WHEN c_custkey % 3 = 0 THEN 'law' ELSE 'decree' END AS doc_type, c_custkey % 10 = 1 AS titled,
@@ -63,7 +63,7 @@ def alias_citations(spark, d):
     """Citations by the abbreviation, in acts that define it somewhere."""
     k = F.col("o_orderkey")
     text = F.concat(F.when(k % 50 == 0, "Kodeks (bundan buyon matnda FK deb yuritiladi). ").otherwise(""), F.lit("FK "), k % 380 + 1, F.lit("-moddasi"))
-    rows = table(spark, d, "orders").select(k.alias("row_id"), F.col("o_custkey").alias("doc_id"), F.lit(False).alias("is_the_code"), F.lit("law").alias("doc_type"), text.alias("article_text"))
+    rows = dealt(table(spark, d, "orders"), "o_orderkey").select(k.alias("row_id"), F.col("o_custkey").alias("doc_id"), F.lit(False).alias("is_the_code"), F.lit("law").alias("doc_type"), text.alias("article_text"))
     return citations(spark, A.with_alias(rows), ("article_text",)).select("row_id", "article", "anchor")
 
 
@@ -80,7 +80,7 @@ def cited_units(spark, d):
         F.when(k == 0, F.concat(article, F.lit("birinchi va ikkinchi qismlari"))).when(k == 1, F.concat(article, F.lit("ikkinchi — toʻrtinchi qismlari")))
         .when(k == 2, F.concat(chapter, F.lit(", "), c % 9 + 1, F.lit("-paragrafi"))).otherwise(chapter)
     )
-    rows = table(spark, d, "orders").select(F.col("o_orderkey").alias("row_id"), F.lit(False).alias("allow_fk_alias"), F.lit(True).alias("is_the_code"), F.lit("code").alias("doc_type"), F.concat(F.lit("ushbu Kodeksning "), own).alias("article_text"))
+    rows = dealt(table(spark, d, "orders"), "o_orderkey").select(F.col("o_orderkey").alias("row_id"), F.lit(False).alias("allow_fk_alias"), F.lit(True).alias("is_the_code"), F.lit("code").alias("doc_type"), F.concat(F.lit("ushbu Kodeksning "), own).alias("article_text"))
     return citations(spark, rows, ("article_text",)).select("row_id", "target_kind", "article", "struct_number", "section_number", "qism")
 
 
@@ -92,7 +92,7 @@ def cited_parts(spark, d):
     """Parts in Roman numerals, chapters called parts, and the act itself where nothing else is named."""
     k, c = F.col("o_orderkey") % 3, F.col("o_custkey")
     own = F.when(k == 0, F.concat(X.roman(c % 30 + 1), F.lit("-boʻlimi"))).when(k == 1, F.concat(c % 70 + 1, F.lit("-boʻlimi"))).otherwise("talablari (bundan buyon Kodeks deb yuritiladi)")
-    rows = table(spark, d, "orders").select(F.col("o_orderkey").alias("row_id"), F.lit(False).alias("allow_fk_alias"), F.lit(False).alias("is_the_code"), F.lit("law").alias("doc_type"), F.concat(F.lit("Fuqarolik kodeksining "), own).alias("article_text"))
+    rows = dealt(table(spark, d, "orders"), "o_orderkey").select(F.col("o_orderkey").alias("row_id"), F.lit(False).alias("allow_fk_alias"), F.lit(False).alias("is_the_code"), F.lit("law").alias("doc_type"), F.concat(F.lit("Fuqarolik kodeksining "), own).alias("article_text"))
     return citations(spark, rows, ("article_text",)).select("row_id", "target_kind", "struct_number")
 
 

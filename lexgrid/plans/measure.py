@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import measure as M
 from ..operators.citations import citations
-from ..sources.tables import table
+from ..sources.tables import dealt, table
 from .catalog import query
 
 
@@ -16,7 +16,7 @@ def _rows(spark: SparkSession, d: str) -> DataFrame:
     k, n = F.col("o_orderkey"), F.col("o_custkey") % 300 + 20
     other = F.when(k % 5 == 0, ", Mehnat toʻgʻrisidagi kodeksning 9-moddasi").otherwise("")
     text = F.concat(F.lit("Fuqarolik kodeksining "), n, F.lit("-moddasi, "), n + 5, F.lit("-moddasi"), F.when(k % 2 == 0, " uchinchi qismi").otherwise(""), other, F.lit(". “Sudlar toʻgʻrisida”gi Qonunning 7-moddasi."))
-    return table(spark, d, "orders").select(k.alias("row_id"), F.lit(False).alias("allow_fk_alias"), F.lit(False).alias("is_the_code"), F.lit("law").alias("doc_type"), text.alias("article_text"))
+    return dealt(table(spark, d, "orders"), "o_orderkey").select(k.alias("row_id"), F.lit(False).alias("allow_fk_alias"), F.lit(False).alias("is_the_code"), F.lit("law").alias("doc_type"), text.alias("article_text"))
 
 
 TEXT = """(SELECT o_orderkey, o_custkey % 300 + 20 AS n, 'Fuqarolik kodeksining ' || (o_custkey % 300 + 20) || '-moddasi, ' || (o_custkey % 300 + 25) || '-moddasi' || CASE WHEN o_orderkey % 2 = 0 THEN ' uchinchi qismi' ELSE '' END

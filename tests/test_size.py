@@ -69,6 +69,6 @@ def test_sentences_are_read_once_for_each_part(spark, sf):
     assert "MapInArrow" in text and "Aggregate [l_partkey" in text.split("MapInArrow", 1)[1]
 
 
-@pytest.mark.parametrize("name", ["regex_dates", "repeal_items", "amendment_targets"])
+@pytest.mark.parametrize("name", ["regex_dates", "cited_units", "cited_parts", "repeal_items", "amendment_targets"])
 def test_one_row_group_is_spread_over_all_cores(spark, sf, name):
     assert catalog.queries()[name](spark, sf).rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
