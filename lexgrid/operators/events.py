@@ -64,7 +64,7 @@ def repeal_items(provisions: DataFrame) -> DataFrame:
     that only a part is repealed. The tail is searched once; an item's groups are then read from its own stretch.
     """
     rows = provisions.where(F.col("text").rlike("(?i)topilsin")).select("row_id", "doc_id", F.regexp_extract("text", TRIGGER, 1).alias("tail"))
-    matches = rows.withColumn("m", F.regexp_extract_all("tail", F.lit(ITEM), F.lit(0))).where(F.size("m") > 0)
+    matches = rows.withColumn("m", F.regexp_extract_all("tail", F.lit(ITEM), F.lit(0)))  # no filter on them: it would run in the scan, and on what they are joined with
     step = lambda a, x: F.struct((F.call_function("locate", x, F.col("tail"), a["next"]) + F.length(x)).alias("next"), F.array_append(a["at"], F.call_function("locate", x, F.col("tail"), a["next"])).alias("at"))
     places = F.aggregate("m", F.struct(F.lit(1).alias("next"), F.array().cast("array<int>").alias("at")), step, lambda a: a["at"])
     stretch = F.substr("tail", F.col("i.at"), F.length("i.m") + AFTER)

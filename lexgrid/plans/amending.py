@@ -102,7 +102,7 @@ SELECT o_orderkey AS row_id, CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_custkey %
 """)
 def late_locators(spark, d):
     """Places named after an amendment's source, and titles that are no statute's."""
-    o, k = table(spark, d, "orders"), F.col("o_orderkey") % 2
+    o, k = dealt(table(spark, d, "orders"), "o_orderkey"), F.col("o_orderkey") % 2
     place = F.when(k == 0, F.concat(F.col("o_custkey") % 300 + 1, F.lit("-moddasining "), F.col("o_custkey") % 6, F.lit("-qismi"))).otherwise(F.concat(F.col("o_custkey") % 300 + 1, F.lit("-modda")))
     note = F.concat(F.lit("(Oʻzbekiston Respublikasining 2001-yil 3-maydagi OʻRQ-1-sonli Qonuniga asosan "), place, F.lit(" chiqarilgan sanasi 2001-yil)"))
     events = E.amendments(o.select(F.col("o_orderkey").alias("row_id"), F.col("o_custkey").alias("doc_id"), F.lit("1").alias("host_article"), note.alias("note")))

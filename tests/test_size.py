@@ -69,6 +69,12 @@ def test_sentences_are_read_once_for_each_part(spark, sf):
     assert "MapInArrow" in text and "Aggregate [l_partkey" in text.split("MapInArrow", 1)[1]
 
 
-@pytest.mark.parametrize("name", ["regex_dates", "cited_units", "cited_parts", "repeal_items", "amendment_targets"])
+@pytest.mark.parametrize("name", ["regex_dates", "cited_units", "cited_parts", "late_locators", "repeal_items", "amendment_targets"])
 def test_one_row_group_is_spread_over_all_cores(spark, sf, name):
     assert catalog.queries()[name](spark, sf).rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
+
+
+def test_late_locators_reads_no_sentence_in_the_scan(spark, sf):
+    """What finds items runs once they are spread, on neither side of the join before."""
+    scans = plan(catalog.queries()["late_locators"](spark, sf)).split("RepartitionByExpression")[1:]
+    assert len(scans) == 2 and not any("regexp_extract_all" in x.split(":- ")[0].split("+- Project [row_id")[0] for x in scans)
