@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexgrid.llm import language, packing, simhash, substrings
-from lexgrid.llm.common import Store, table
+from lexgrid.llm.common import Store, compact, table
 
 LEAST_EVIDENCE = 0.27  # for the predicted language; texts of the learned languages showed 0.29 or more on the tables, other scripts and most unlearned languages less
 
@@ -87,6 +87,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         made = len(Store.made)
         docs = store.keep(stage(spark, docs, sf_dir))
         Store.sweep(made)  # what the stage wrote for itself
+        compact(spark)
         if before is not None:
             store.drop(before)
         before = docs

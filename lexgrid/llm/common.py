@@ -114,6 +114,16 @@ def lean(f: Callable) -> Callable:
     return run
 
 
+def compact(spark: SparkSession) -> int:
+    """Have the executors' JVMs collect their garbage and give back the heap that it took; how many calls were made.
+
+    A stage's shuffles grow a heap to its limit, where it stays, though the next stage needs the memory for its Python
+    workers. One call for each core and one more, as free cores take them in turn.
+    """
+    n = 2 * spark.sparkContext.defaultParallelism
+    return len(spark.range(0, n, 1, n).select(F.reflect(F.lit("java.lang.System"), F.lit("gc"))).collect())
+
+
 def hold() -> None:
     """From here on this worker keeps what it frees until its task ends, see lean(): large arrays come and go, and each new page costs time."""
     with contextlib.suppress(OSError, AttributeError):
